@@ -48,3 +48,157 @@ def q_counter_rate_daily(spark, sf):
         .withColumn("covered_seconds", F.round("covered_seconds_raw", 3))
         .drop("covered_seconds_raw")
     )
+
+
+# ----------------------------------------------------------------- IV-01..IV-09
+from statsweep.operators import interval as IV  # noqa: E402
+from statsweep.sources import readers as R  # noqa: E402
+
+CHECKPOINT_FIELDS = {"num_timed": "long", "num_requested": "long", "write_time": "double",
+                     "sync_time": "double", "wal_bytes": "long"}
+
+
+def _interval_query(name: str):
+    p = IV.PRESETS[name]
+
+    def build(spark, sf):
+        ev = _t(spark, sf, "events")
+        if name == "checkpoint":
+            src = R.unpack_payload(B.checkpoint_samples(ev), "payload", CHECKPOINT_FIELDS)
+        else:
+            src = B.b1_dataset(ev, name)
+        out = IV.interval_metrics(src, p, tiebreak=["event_id"])
+        metric_cols = list(p.metrics(lambda c: F.col(c), F.col("elapsed_seconds")).keys())
+        extra = ["is_reset"] if name == "statement_store" else []
+        if name == "statement_store":
+            out = out.withColumn("is_reset", F.col("dealloc_kind") == "reset")
+        return out.select(*p.keys, "event_id", "source_collected_at", "elapsed_seconds", *metric_cols, *extra)
+
+    build.__name__ = f"q_{name}_interval"
+    build.__doc__ = f"IV preset '{name}': counter deltas per {', '.join(p.keys)} and derived metrics."
+    query(f"{name}_interval")(build)
+
+
+for _n in IV.PRESETS:
+    _interval_query(_n)
+
+
+# ----------------------------------------------------------------- activity (B2)
+from statsweep.functions import scalars as S  # noqa: E402
+from statsweep.operators import activity as A  # noqa: E402
+
+COLLECTOR_APP = "collector"
+
+
+def _sessions(spark, sf):
+    """B2 sessions without the collector's own, with ages at the sample time."""
+    raw = B.sessions(_t(spark, sf, "events"))
+    s = S.exclude_self(raw, COLLECTOR_APP)
+    s = S.truncate_text(s, {"query": 2000})
+    return S.session_ages(s, "source_collected_at"), B.server_settings(raw)
+
+
+@query("session_ages")
+def q_session_ages(spark, sf):
+    """PRJ-06/07/08: per-session ages after excluding the collector, query text cut at 2,000."""
+    s, _ = _sessions(spark, sf)
+    return s.select("server_id", "source_collected_at", "pid", "active_query_age_seconds",
+                    "transaction_age_seconds", "idle_in_transaction_age_seconds",
+                    F.col("query").alias("query_text"))
+
+
+@query("activity_summary")
+def q_activity_summary(spark, sf):
+    """AG-01 + JN-07: one row per sample (spine from settings), conditional counts and maxima."""
+    s, settings = _sessions(spark, sf)
+    return A.activity_summary(s, settings)
+
+
+@query("sessions_by_state")
+def q_sessions_by_state(spark, sf):
+    """AG-02: client sessions by state as a map per sample, compared as exploded rows."""
+    s, _ = _sessions(spark, sf)
+    m = A.count_map(s, "state", where=A.CLIENT())
+    return m.select(*A.SAMPLE, F.explode("state_counts").alias("state", "session_count"))
+
+
+@query("sessions_by_backend_type")
+def q_sessions_by_backend_type(spark, sf):
+    """AG-02: all sessions by backend type as a map per sample, compared as exploded rows."""
+    s, _ = _sessions(spark, sf)
+    m = A.count_map(s, "backend_type")
+    return m.select(*A.SAMPLE, F.explode("backend_type_counts").alias("backend_type", "session_count"))
+
+
+@query("wait_type_counts")
+def q_wait_type_counts(spark, sf):
+    s, _ = _sessions(spark, sf)
+    return A.wait_type_counts(s)
+
+
+@query("wait_event_counts")
+def q_wait_event_counts(spark, sf):
+    s, _ = _sessions(spark, sf)
+    return A.wait_event_counts(s)
+
+
+@query("waits_by_query")
+def q_waits_by_query(spark, sf):
+    """AG-05 + WN-11: top 500 wait groups per sample with the group count."""
+    s, _ = _sessions(spark, sf)
+    return A.waits_by_query(s)
+
+
+@query("system_backend_waits")
+def q_system_backend_waits(spark, sf):
+    s, _ = _sessions(spark, sf)
+    return A.system_backend_waits(s)
+
+
+@query("worker_groups")
+def q_worker_groups(spark, sf):
+    """AG-07: per leader counts; the ordered worker list rendered as a pid list."""
+    s, _ = _sessions(spark, sf)
+    g = A.worker_groups(s)
+    return g.withColumn("worker_pids", F.array_join(F.transform("workers", lambda x: x["worker_pid"].cast("string")),
+                                                    ",")).drop("workers")
+
+
+@query("parallel_groups")
+def q_parallel_groups(spark, sf):
+    """JN-08: worker groups joined to the leader session."""
+    s, _ = _sessions(spark, sf)
+    g = A.parallel_groups(s)
+    return g.drop("workers")
+
+
+@query("interesting_sessions")
+def q_interesting_sessions(spark, sf):
+    """WN-12 + AG-08: top-200 interesting sessions per sample as an ordered list, exploded back."""
+    s, settings = _sessions(spark, sf)
+    cand = A.interesting_sessions(s, k=None).drop("rank")
+    age = F.coalesce("active_query_age_seconds", "transaction_age_seconds", F.lit(0.0))
+    lists = A.ordered_structs(cand, A.SAMPLE, [age.desc(), F.col("pid").asc()],
+                              ["pid", "backend_type", "state", "wait_event_type"], k=A.TOP_SESSIONS,
+                              out="interesting_sessions", spine=settings)
+    return lists.select(*A.SAMPLE, F.posexplode_outer("interesting_sessions").alias("position", "s")).select(
+        *A.SAMPLE, "position", F.col("s.pid").alias("pid"), F.col("s.backend_type").alias("backend_type"),
+        F.col("s.state").alias("state"), F.col("s.wait_event_type").alias("wait_event_type"))
+
+
+@query("wait_shares")
+def q_wait_shares(spark, sf):
+    """AG-29: wait-type shares of active sessions and sampled occupancy per sample."""
+    s, settings = _sessions(spark, sf)
+    summary = A.activity_summary(s, settings)
+    return A.wait_shares(summary, A.wait_type_counts(s))
+
+
+@query("waiting_with_totals")
+def q_waiting_with_totals(spark, sf):
+    """JN-06: waiting client sessions with their sample's totals attached."""
+    s, settings = _sessions(spark, sf)
+    totals = A.activity_summary(s, settings).select(*A.SAMPLE, "client_connections", "active_client_connections")
+    w = s.where(A.CLIENT() & A.ACTIVE() & F.col("wait_event_type").isNotNull())
+    return A.attach_scalars(w, totals).select(
+        *A.SAMPLE, "pid", "wait_event_type", "client_connections", "active_client_connections")

@@ -72,3 +72,170 @@ def counter_samples(events: DataFrame) -> DataFrame:
         F.sum((F.col("event_type") == "click").cast("long")).over(w).alias("n_clicks"),
         F.sum((F.col("event_type") == "error").cast("long")).over(w).alias("n_errors"),
     )
+
+
+# Per-dataset column maps over B1 (SQL expressions valid in Spark SQL and DuckDB).
+# Keys are one-to-one with user_id (except where a dataset key adds a split, such as
+# ``toplevel``), so each key is one counter series with weekly resets.
+B1_DATASETS: dict[str, dict[str, str]] = {
+    "database": {
+        "server_id": "server_id", "datid": "user_id", "datname": "'db' || CAST(user_id AS STRING)",
+        "xact_commit": "n_rows", "xact_rollback": "n_errors", "blks_hit": "counter",
+        "blks_read": "n_clicks * 5000", "temp_bytes": "counter * 1024", "deadlocks": "n_errors",
+        "blk_read_time": "CAST(counter AS DOUBLE) / 100", "blk_write_time": "CAST(n_clicks AS DOUBLE) * 1.5",
+        "stats_reset": "stats_reset",
+    },
+    "query": {
+        "server_id": "server_id", "dbid": "user_id % 3", "userid": "user_id % 5", "queryid": "user_id",
+        "toplevel": "(event_id % 2 = 0)", "calls": "n_rows", "plans": "n_clicks",
+        "total_exec_time": "CAST(counter AS DOUBLE) / 10", "total_plan_time": "CAST(cents AS DOUBLE) / 10",
+        "jit_generation_time": "CAST(n_errors AS DOUBLE)", "jit_inlining_time": "CAST(n_clicks AS DOUBLE) / 2",
+        "jit_optimization_time": "CAST(n_rows AS DOUBLE) / 4", "jit_emission_time": "CAST(n_errors AS DOUBLE) / 8",
+        "jit_deform_time": "CAST(n_clicks AS DOUBLE) / 16", "parallel_workers_to_launch": "n_rows * 2",
+        "parallel_workers_launched": "n_rows + n_clicks", "stats_since": "stats_reset",
+    },
+    "statement_store": {
+        "server_id": "'srv-u' || CAST(user_id AS STRING)", "dealloc": "n_errors", "stats_reset": "stats_reset",
+    },
+    "io": {
+        "server_id": "server_id",
+        "backend_type": "CASE WHEN user_id % 3 = 0 THEN 'client backend' WHEN user_id % 3 = 1 "
+                        "THEN 'checkpointer' ELSE 'background writer' END",
+        "object": "'relation'", "context": "'ctx' || CAST(user_id AS STRING)",
+        "reads": "n_clicks", "read_bytes": "n_clicks * 8192", "writes": "n_errors", "write_bytes": "n_errors * 8192",
+        "extends": "n_rows", "extend_bytes": "n_rows * 8192", "hits": "counter", "evictions": "n_errors",
+        "stats_reset": "stats_reset",
+    },
+    "checkpoint": {
+        "server_id": "server_id", "source_view": "'checkpointer-' || CAST(user_id AS STRING)",
+        "num_timed": "n_rows", "num_requested": "n_clicks", "write_time": "CAST(counter AS DOUBLE) / 10",
+        "sync_time": "CAST(n_errors AS DOUBLE)", "wal_bytes": "counter * 16", "stats_reset": "stats_reset",
+    },
+    "table": {
+        "server_id": "server_id", "database_name": "'db' || CAST(user_id % 3 AS STRING)", "relid": "user_id",
+        "seq_scan": "n_rows", "seq_tup_read": "counter", "n_tup_upd": "n_clicks", "n_tup_hot_upd": "n_errors",
+        "heap_blks_hit": "counter", "heap_blks_read": "n_rows", "idx_blks_hit": "n_clicks * 10",
+        "idx_blks_read": "n_errors", "n_live_tup": "cents", "n_dead_tup": "n_errors",
+    },
+    "index": {
+        "server_id": "server_id", "database_name": "'db' || CAST(user_id % 3 AS STRING)",
+        "indexrelid": "user_id", "relid": "user_id % 10", "idx_scan": "n_clicks", "idx_blks_hit": "counter",
+        "idx_blks_read": "n_rows",
+    },
+    "slru": {
+        "server_id": "server_id", "name": "'slru' || CAST(user_id AS STRING)", "blks_hit": "counter",
+        "blks_read": "n_rows", "blks_written": "n_clicks", "flushes": "n_errors", "stats_reset": "stats_reset",
+    },
+    "pooler": {
+        "server_id": "server_id",
+        "pb_command": "CASE WHEN event_id % 2 = 0 THEN 'STATS' ELSE 'STATS_TOTALS' END",
+        "database": "'db' || CAST(user_id AS STRING)", "total_xact_count": "n_rows",
+        "total_query_count": "n_rows * 3", "total_server_assignment_count": "n_clicks",
+        "total_received": "counter", "total_sent": "counter * 2", "total_xact_time": "counter * 100",
+        "total_query_time": "counter * 50", "total_wait_time": "n_errors * 1000",
+    },
+}
+
+
+def b1_dataset(events: DataFrame, name: str) -> DataFrame:
+    """One monitoring dataset of B1_DATASETS, with ``source_collected_at`` and ``event_id`` kept."""
+    m = B1_DATASETS[name]
+    s = counter_samples(events)
+    return s.select("event_id", "source_collected_at", *[F.expr(e).alias(c) for c, e in m.items()])
+
+
+def checkpoint_samples(events: DataFrame) -> DataFrame:
+    """IV-05 input: ``source_view`` plus a JSON ``payload`` as the server returns it."""
+    m = B1_DATASETS["checkpoint"]
+    s = counter_samples(events)
+    fields = ["num_timed", "num_requested", "write_time", "sync_time", "wal_bytes"]
+    return s.select(
+        "event_id", "source_collected_at", F.expr(m["server_id"]).alias("server_id"),
+        F.expr(m["source_view"]).alias("source_view"), F.col("stats_reset"),
+        F.to_json(F.struct(*[F.expr(m[f]).alias(f) for f in fields])).alias("payload"),
+    )
+
+
+# ------------------------------------------------------- dialect-neutral bindings
+def _dialect(expr: str, dialect: str) -> str:
+    """Fill ``{secs:x}`` (interval of x seconds) and ``{hour:c}`` / ``{day:c}`` / ``{week:c}``
+    (truncation, as TIMESTAMP_NTZ) for Spark SQL or DuckDB."""
+
+    def secs(m):
+        x = m.group(1)
+        if dialect == "spark":
+            return f"make_dt_interval(0, 0, 0, CAST(({x}) AS DECIMAL(18,6)))"
+        return f"to_microseconds(CAST(round(({x}) * 1000000) AS BIGINT))"
+
+    def tr(m):
+        unit, x = m.group(1), m.group(2)
+        if dialect == "spark":
+            return f"CAST(date_trunc('{unit}', {x}) AS TIMESTAMP_NTZ)"
+        return f"date_trunc('{unit}', {x})"
+
+    import re
+
+    expr = re.sub(r"\{secs:([^}]*)\}", secs, expr)
+    expr = re.sub(r"\{(hour|day|week|minute):([^}]*)\}", tr, expr)
+    return expr
+
+
+def exprs(mapping: dict[str, str], dialect: str) -> list[str]:
+    return [f"{_dialect(e, dialect)} AS {c}" for c, e in mapping.items()]
+
+
+def select_mapped(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
+    return df.selectExpr(*exprs(mapping, "spark"))
+
+
+# ---------------------------------------------------------------- B2 sessions
+_WORKER = "(user_id % 3 = 0 AND event_id % 4 <> 0)"
+B2_SESSIONS: dict[str, str] = {
+    "server_id": "'srv-' || CAST(user_id % 2 AS STRING)",
+    "source_collected_at": "{hour:ts} + INTERVAL 1 HOUR",
+    "datid": "user_id % 3",
+    "datname": "'db' || CAST(user_id % 3 AS STRING)",
+    "pid": "CAST(event_id AS INT)",
+    "leader_pid": f"CASE WHEN {_WORKER} THEN CAST(event_id - event_id % 4 AS INT) END",
+    "usename": "'u' || CAST(user_id % 7 AS STRING)",
+    "application_name": "CASE WHEN user_id % 13 = 0 THEN 'collector' WHEN user_id % 5 = 0 THEN NULL "
+                        "ELSE 'app' || CAST(user_id % 5 AS STRING) END",
+    "client_addr": "'10.0.0.' || CAST(user_id % 200 AS STRING)",
+    "backend_type": f"CASE WHEN {_WORKER} THEN 'parallel worker' WHEN user_id % 11 = 0 THEN 'autovacuum worker' "
+                    "WHEN user_id % 11 = 1 THEN 'checkpointer' ELSE 'client backend' END",
+    "state": "CASE WHEN event_type IN ('click', 'signup') THEN 'active' WHEN event_type = 'view' THEN 'idle' "
+             "WHEN event_type = 'purchase' THEN 'idle in transaction' END",
+    "wait_event_type": "CASE WHEN event_type = 'view' THEN 'Client' WHEN event_type = 'purchase' THEN 'Lock' "
+                       "WHEN event_type = 'signup' AND value >= 50 THEN 'IO' WHEN event_type = 'signup' THEN 'LWLock' "
+                       "WHEN event_type = 'click' AND value >= 80 THEN 'BufferPin' "
+                       "WHEN event_type = 'error' THEN 'IPC' END",
+    "wait_event": "CASE WHEN event_type = 'view' THEN 'ClientRead' WHEN event_type = 'purchase' THEN 'relation' "
+                  "WHEN event_type = 'signup' AND value >= 50 THEN 'DataFileRead' "
+                  "WHEN event_type = 'signup' THEN 'BufferMapping' "
+                  "WHEN event_type = 'click' AND value >= 80 THEN 'BufferPin' "
+                  "WHEN event_type = 'error' THEN 'ParallelFinish' END",
+    "query_id": "user_id % 20",
+    "query": "'select ' || event_type || ' from t' || CAST(user_id % 20 AS STRING)",
+    "query_start": "ts - {secs:value}",
+    "xact_start": "CASE WHEN event_type IN ('view', 'error') THEN NULL ELSE ts - {secs:value * 2} END",
+    "state_change": "ts",
+    "backend_start": "ts - INTERVAL 1 HOUR",
+}
+# Per-sample server settings: the sample spine (one row per server and sample).
+B2_SETTINGS = (
+    "SELECT DISTINCT server_id, source_collected_at, 100 AS max_connections, 16 AS max_worker_processes, "
+    "8 AS max_parallel_workers, 2 AS max_parallel_workers_per_gather FROM sessions"
+)
+
+
+def sessions(events: DataFrame) -> DataFrame:
+    """B2: backends per hourly sample (pid = event id, every 4th pid leads a parallel group)."""
+    return select_mapped(events, B2_SESSIONS)
+
+
+def server_settings(sessions_df: DataFrame) -> DataFrame:
+    """B2 spine: one settings row per (server_id, source_collected_at) seen in ``sessions``."""
+    return sessions_df.select("server_id", "source_collected_at").distinct().select(
+        "server_id", "source_collected_at",
+        F.lit(100).alias("max_connections"), F.lit(16).alias("max_worker_processes"),
+        F.lit(8).alias("max_parallel_workers"), F.lit(2).alias("max_parallel_workers_per_gather"))
