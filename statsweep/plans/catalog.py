@@ -202,3 +202,43 @@ def q_waiting_with_totals(spark, sf):
     w = s.where(A.CLIENT() & A.ACTIVE() & F.col("wait_event_type").isNotNull())
     return A.attach_scalars(w, totals).select(
         *A.SAMPLE, "pid", "wait_event_type", "client_connections", "active_client_connections")
+
+
+# ----------------------------------------------------------------- blocking
+from statsweep.operators import blocking as BL  # noqa: E402
+
+CURRENT_DATID = 1
+
+
+@query("wait_edges")
+def q_wait_edges(spark, sf):
+    """RC-01: waiting locks' blocker lists as edges."""
+    return BL.wait_edges(B.locks(_t(spark, sf, "customer")))
+
+
+@query("blocker_summary")
+def q_blocker_summary(spark, sf):
+    """AG-14: direct blockers per blocked pid (sorted list rendered as text)."""
+    s = BL.blocker_summary(BL.wait_edges(B.locks(_t(spark, sf, "customer"))))
+    return s.withColumn("direct_blocker_pids", F.array_join(F.col("direct_blocker_pids").cast("array<string>"), ","))
+
+
+@query("chain_depth")
+def q_chain_depth(spark, sf):
+    """RC-02: maximum blocking chain depth per blocked pid (simple paths, depth <= 32)."""
+    return BL.chain_depth(BL.wait_edges(B.locks(_t(spark, sf, "customer"))))
+
+
+@query("root_blockers")
+def q_root_blockers(spark, sf):
+    """RC-03: blockers not blocked themselves, with direct and transitive waiters."""
+    return BL.root_blockers(BL.wait_edges(B.locks(_t(spark, sf, "customer"))))
+
+
+@query("blocking_pairs")
+def q_blocking_pairs(spark, sf):
+    """JN-09 (+PRJ-13): each waiting lock with each direct blocker, sessions, relation and chain depth."""
+    c = _t(spark, sf, "customer")
+    out = BL.blocking_pairs(B.locks(c), B.lock_sessions(c), B.relations(_t(spark, sf, "nation")), CURRENT_DATID)
+    return out.withColumn("direct_blocker_pids",
+                          F.array_join(F.col("direct_blocker_pids").cast("array<string>"), ","))

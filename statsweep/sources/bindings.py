@@ -239,3 +239,79 @@ def server_settings(sessions_df: DataFrame) -> DataFrame:
         "server_id", "source_collected_at",
         F.lit(100).alias("max_connections"), F.lit(16).alias("max_worker_processes"),
         F.lit(8).alias("max_parallel_workers"), F.lit(2).alias("max_parallel_workers_per_gather"))
+
+
+# ---------------------------------------------------------------- B3 blocking
+_B3_T0 = {"spark": "TIMESTAMP_NTZ '2024-01-01 00:00:00'", "duckdb": "TIMESTAMP '2024-01-01 00:00:00'"}
+
+
+def b3_locks(dialect: str) -> list[str]:
+    """B3 locks: blocked = c_custkey, blocker = floor(c_custkey / 3), a second blocker c_custkey - 1
+    when c_custkey % 50 = 0; one sample; every 97th lock is granted."""
+    t0 = _B3_T0[dialect]
+    arr = ("array(CAST(floor(c_custkey / 3) AS INT), CAST(c_custkey - 1 AS INT))" if dialect == "spark"
+           else "[CAST(floor(c_custkey / 3) AS INT), CAST(c_custkey - 1 AS INT)]")
+    one = ("array(CAST(floor(c_custkey / 3) AS INT))" if dialect == "spark"
+           else "[CAST(floor(c_custkey / 3) AS INT)]")
+    m = {
+        "server_id": "'srv-0'",
+        "source_collected_at": t0,
+        "pid": "CAST(c_custkey AS INT)",
+        "locktype": "CASE WHEN c_custkey % 2 = 0 THEN 'relation' ELSE 'transactionid' END",
+        "mode": "CASE WHEN c_custkey % 3 = 0 THEN 'AccessExclusiveLock' ELSE 'ShareLock' END",
+        "database": "CAST(c_nationkey % 3 AS BIGINT)",
+        "relation": "CASE WHEN c_custkey % 2 = 0 THEN CAST(c_nationkey AS BIGINT) END",
+        "page": "CAST(NULL AS INT)",
+        "tuple": "CAST(NULL AS INT)",
+        "virtualxid": "CAST(NULL AS STRING)",
+        "transactionid": "CASE WHEN c_custkey % 2 = 1 THEN CAST(c_custkey AS STRING) END",
+        "granted": "(c_custkey % 97 = 0)",
+        "waitstart": f"CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE {t0} - {{secs:c_custkey % 90}} END",
+        "blocking_pids": f"CASE WHEN c_custkey % 50 = 0 THEN {arr} ELSE {one} END",
+    }
+    return exprs(m, dialect)
+
+
+def b3_sessions(dialect: str) -> list[str]:
+    t0 = _B3_T0[dialect]
+    m = {
+        "server_id": "'srv-0'",
+        "source_collected_at": t0,
+        "pid": "CAST(c_custkey AS INT)",
+        "datname": "'db' || CAST(c_nationkey % 3 AS STRING)",
+        "usename": "c_name",
+        "application_name": "c_mktsegment",
+        "client_addr": "'10.1.0.' || CAST(c_custkey % 250 AS STRING)",
+        "state": "CASE WHEN c_acctbal < 0 THEN 'idle in transaction' ELSE 'active' END",
+        "wait_event_type": "'Lock'",
+        "wait_event": "'relation'",
+        "query_id": "CAST(c_nationkey AS BIGINT)",
+        "query_start": f"{t0} - {{secs:c_custkey % 120}}",
+        "xact_start": f"{t0} - {{secs:c_custkey % 240}}",
+        "query": "'update accounts set bal = bal where id = ' || CAST(c_custkey AS STRING)",
+    }
+    return exprs(m, dialect)
+
+
+def b3_relations(dialect: str) -> list[str]:
+    m = {
+        "server_id": "'srv-0'",
+        "source_collected_at": _B3_T0[dialect],
+        "oid": "CAST(n_nationkey AS BIGINT)",
+        "schemaname": "CASE WHEN n_regionkey = 1 THEN 'Sales Data' ELSE 'public' END",
+        "relname": "CASE WHEN n_regionkey = 2 THEN n_name ELSE lower(n_name) END",
+        "relkind": "'r'",
+    }
+    return exprs(m, dialect)
+
+
+def locks(customer: DataFrame) -> DataFrame:
+    return customer.selectExpr(*b3_locks("spark"))
+
+
+def lock_sessions(customer: DataFrame) -> DataFrame:
+    return customer.selectExpr(*b3_sessions("spark"))
+
+
+def relations(nation: DataFrame) -> DataFrame:
+    return nation.selectExpr(*b3_relations("spark"))
