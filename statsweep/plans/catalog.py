@@ -242,3 +242,82 @@ def q_blocking_pairs(spark, sf):
     out = BL.blocking_pairs(B.locks(c), B.lock_sessions(c), B.relations(_t(spark, sf, "nation")), CURRENT_DATID)
     return out.withColumn("direct_blocker_pids",
                           F.array_join(F.col("direct_blocker_pids").cast("array<string>"), ","))
+
+
+# ------------------------------------------------------------- query store
+from statsweep.operators import qstore as QS  # noqa: E402
+
+WAIT_PERIOD_MS = 100.0
+PLAN_INTERVAL = ("1996-01-01 00:00:00", "1999-01-01 00:00:00")
+
+
+def _waits(spark, sf):
+    ev = _t(spark, sf, "events")
+    return B.window_waits_input(spark, ev), B.window_runtime_input(spark, ev)
+
+
+@query("runtime_by_window")
+def q_runtime_by_window(spark, sf):
+    """AG-09: window runtime per query."""
+    _, rt = _waits(spark, sf)
+    return QS.runtime_by_window(rt)
+
+
+@query("window_waits")
+def q_window_waits(spark, sf):
+    """JN-04 + WN-03 + PRJ-11 + PRJ-16: waits attributed to window runtime with shares."""
+    w, rt = _waits(spark, sf)
+    return QS.window_waits(w, rt, WAIT_PERIOD_MS)
+
+
+@query("unmatched_share")
+def q_unmatched_share(spark, sf):
+    """AG-28: share of wait samples per window with no runtime row."""
+    w, rt = _waits(spark, sf)
+    return QS.unmatched_share(QS.window_waits(w, rt, WAIT_PERIOD_MS))
+
+
+@query("unmapped_waits")
+def q_unmapped_waits(spark, sf):
+    """JN-12: waits missing from the wait dictionary and their share."""
+    ev = _t(spark, sf, "events")
+    return QS.unmapped_waits(B.window_waits_input(spark, ev), B.wait_dictionary(spark, ev))
+
+
+@query("incremental_read")
+def q_incremental_read(spark, sf):
+    """SRC-06: wait rows after a high-water mark up to now - 2 min."""
+    w, _ = _waits(spark, sf)
+    return R.read_incremental(w, F.lit("2024-01-08 00:00:00").cast("timestamp_ntz"),
+                              F.lit("2024-01-25 00:01:00").cast("timestamp_ntz"))
+
+
+@query("plan_features")
+def q_plan_features(spark, sf):
+    """PRJ-12: plan flags and planned workers from plan text."""
+    return S.plan_features(B.plans(_t(spark, sf, "part"))).drop("plan_text")
+
+
+def _plan_runtime(spark, sf):
+    return QS.runtime_by_plan(B.plan_runtime(_t(spark, sf, "lineitem")),
+                              F.lit(PLAN_INTERVAL[0]).cast("timestamp_ntz"),
+                              F.lit(PLAN_INTERVAL[1]).cast("timestamp_ntz"))
+
+
+@query("runtime_by_plan")
+def q_runtime_by_plan(spark, sf):
+    """AG-10: per-plan sums over windows overlapping an interval."""
+    return _plan_runtime(spark, sf)
+
+
+@query("plan_inventory")
+def q_plan_inventory(spark, sf):
+    """JN-10: top-200 parallel plans by total time (a top-k report)."""
+    return QS.plan_inventory(_plan_runtime(spark, sf), B.plans(_t(spark, sf, "part")))
+
+
+@query("plan_variability")
+def q_plan_variability(spark, sf):
+    """AG-26: queries with several parallel plans and their slowest/fastest mean ratio."""
+    inv = QS.plan_inventory(_plan_runtime(spark, sf), B.plans(_t(spark, sf, "part")), k=None)
+    return QS.plan_variability(inv)

@@ -315,3 +315,99 @@ def lock_sessions(customer: DataFrame) -> DataFrame:
 
 def relations(nation: DataFrame) -> DataFrame:
     return nation.selectExpr(*b3_relations("spark"))
+
+
+# ------------------------------------------------------- B4 window waits / runtime
+# Fixed mapping of event types to (wait_event_type, wait_event) pairs of the wait dictionary.
+_W_TYPE = ("CASE event_type WHEN 'view' THEN 'Client' WHEN 'click' THEN 'Client' WHEN 'purchase' THEN 'Lock' "
+           "WHEN 'signup' THEN 'IO' ELSE 'Activity' END")
+_W_EVENT = ("CASE event_type WHEN 'view' THEN 'ClientRead' WHEN 'click' THEN 'ClientWrite' "
+            "WHEN 'purchase' THEN 'relation' WHEN 'signup' THEN 'DataFileRead' ELSE 'WalWriterMain' END")
+
+
+def b4_waits_sql(dialect: str) -> str:
+    """B4 wait-sampling rows: day windows, query = user, calls = sampled events."""
+    return _dialect(
+        "SELECT 'srv-' || CAST(user_id % 2 AS STRING) AS server_id, {day:ts} AS start_time, "
+        "{day:ts} + INTERVAL 1 DAY AS end_time, user_id % 7 AS user_id, user_id % 3 AS db_id, user_id AS query_id, "
+        f"{_W_TYPE} AS event_type, {_W_EVENT} AS event, COUNT(*) AS calls "
+        "FROM events GROUP BY 1, 2, 3, 4, 5, 6, 7, 8", dialect)
+
+
+def b4_runtime_sql(dialect: str) -> str:
+    """B4 runtime rows per plan; none for user_id % 10 = 0 so some waits have no runtime."""
+    return _dialect(
+        "SELECT 'srv-' || CAST(user_id % 2 AS STRING) AS server_id, {day:ts} AS start_time, "
+        "{day:ts} + INTERVAL 1 DAY AS end_time, user_id % 7 AS user_id, user_id % 3 AS db_id, user_id AS query_id, "
+        "user_id * 10 + event_id % 3 AS plan_id, 'select * from t' || CAST(user_id AS STRING) AS query_sql_text, "
+        "(user_id % 17 = 0) AS is_system_query, COUNT(*) AS calls, "
+        "CAST(SUM(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) AS total_time, MAX(value) AS max_time, "
+        "SUM(CAST(round(value * 100) AS BIGINT)) AS shared_blks_hit, COUNT(*) * 2 AS shared_blks_read, "
+        "CAST(SUM(event_id % 100) AS DOUBLE) AS blk_read_time, CAST(COUNT(*) AS DOUBLE) AS blk_write_time "
+        "FROM events WHERE user_id % 10 <> 0 GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9", dialect)
+
+
+def b15_dictionary_sql(dialect: str) -> str:
+    """B15 wait dictionary: the pairs of every event type except 'error'."""
+    return (f"SELECT DISTINCT 170000 AS server_version_num, {_W_TYPE} AS wait_event_type, {_W_EVENT} AS wait_event, "
+            "'mapped' AS description FROM events WHERE event_type <> 'error'")
+
+
+def _sql_over(spark: SparkSession, events: DataFrame, text: str) -> DataFrame:
+    """Run a binding's SELECT over ``events`` (a session-scoped temp view of the given frame)."""
+    name = f"events_{abs(hash(text)) % 10**8}"
+    events.createOrReplaceTempView(name)
+    return spark.sql(text.replace("FROM events", f"FROM {name}"))
+
+
+def window_waits_input(spark: SparkSession, events: DataFrame) -> DataFrame:
+    return _sql_over(spark, events, b4_waits_sql("spark"))
+
+
+def window_runtime_input(spark: SparkSession, events: DataFrame) -> DataFrame:
+    return _sql_over(spark, events, b4_runtime_sql("spark"))
+
+
+def wait_dictionary(spark: SparkSession, events: DataFrame) -> DataFrame:
+    return _sql_over(spark, events, b15_dictionary_sql("spark"))
+
+
+# ----------------------------------------------------------- B10 plans / runtime
+def b10_plans(dialect: str) -> list[str]:
+    m = {
+        "server_id": "'srv-0'",
+        "plan_id": "p_partkey",
+        "db_id": "p_partkey % 3",
+        "query_id": "p_partkey % 200",
+        "plan_text": "(CASE WHEN p_size % 2 = 0 THEN 'Gather Merge -> Parallel Hash Join' "
+                     "WHEN p_size % 5 = 0 THEN 'Gather -> Parallel Seq Scan on ' || p_type "
+                     "WHEN p_size % 7 = 0 THEN 'Gather -> Parallel Index Only Scan' "
+                     "ELSE 'Seq Scan on ' || p_type END) || "
+                     "CASE WHEN p_size % 3 = 0 THEN ' Workers Planned: ' || CAST(p_size % 8 AS STRING) ELSE '' END",
+    }
+    return exprs(m, dialect)
+
+
+def b10_runtime(dialect: str) -> list[str]:
+    m = {
+        "server_id": "'srv-0'",
+        "start_time": "{day:l_shipdate}",
+        "end_time": "{day:l_shipdate} + INTERVAL 1 DAY",
+        "db_id": "l_partkey % 3",
+        "query_id": "l_partkey % 200",
+        "plan_id": "l_partkey",
+        "calls": "CAST(l_linenumber AS BIGINT)",
+        "total_time": "l_quantity",
+        "max_time": "l_extendedprice",
+        "is_system_query": "(l_suppkey % 13 = 0)",
+        "query_sql_text": "'select part ' || CAST(l_partkey % 200 AS STRING)",
+    }
+    return exprs(m, dialect)
+
+
+def plans(part: DataFrame) -> DataFrame:
+    return part.selectExpr(*b10_plans("spark"))
+
+
+def plan_runtime(lineitem: DataFrame) -> DataFrame:
+    return lineitem.selectExpr(*b10_runtime("spark"))
