@@ -321,3 +321,127 @@ def q_plan_variability(spark, sf):
     """AG-26: queries with several parallel plans and their slowest/fastest mean ratio."""
     inv = QS.plan_inventory(_plan_runtime(spark, sf), B.plans(_t(spark, sf, "part")), k=None)
     return QS.plan_variability(inv)
+
+
+# ------------------------------------------------------------- series and phases
+from statsweep.operators import joins as J  # noqa: E402
+from statsweep.operators import series as SE  # noqa: E402
+
+CADENCE_S = 3600
+
+
+def _series(spark, sf):
+    return B.metric_series(spark, _t(spark, sf, "events"))
+
+
+def _phases(spark, sf):
+    return R.phase_intervals(B.phase_markers(spark, _t(spark, sf, "events")))
+
+
+def _phased(spark, sf):
+    return SE.assign_phase(_series(spark, sf), _phases(spark, sf).drop("test_run_id"), "time_utc")
+
+
+@query("phase_intervals")
+def q_phase_intervals(spark, sf):
+    """SRC-08: week markers to half-open phases, last one open."""
+    return _phases(spark, sf)
+
+
+@query("assign_phase")
+def q_assign_phase(spark, sf):
+    """JN-14: each series sample with the phase containing it (start included, end excluded)."""
+    return _phased(spark, sf).select(*SE.SERIES, "time_utc", "value", "phase_name", "user_load")
+
+
+@query("series_summary")
+def q_series_summary(spark, sf):
+    """AG-19: min/max/avg/P50/P90/P95/P99/count per series and phase (exact percentiles)."""
+    return SE.summarize_series(_phased(spark, sf), [*SE.SERIES, "phase_name"])
+
+
+@query("breach_runs")
+def q_breach_runs(spark, sf):
+    """WN-06: runs of consecutive hours at or above 90; a missing hour ends a run."""
+    return SE.breach_runs(_series(spark, sf), F.col("value") >= 90, CADENCE_S)
+
+
+@query("breach_summary")
+def q_breach_summary(spark, sf):
+    """AG-20: minutes at or above 70/80/90, first/last breach, longest breach per series and phase."""
+    return SE.breach_summary(_phased(spark, sf), [*SE.SERIES, "phase_name"], CADENCE_S)
+
+
+@query("trend_slope")
+def q_trend_slope(spark, sf):
+    """AG-21: value slope per hour per series and phase."""
+    return SE.trend_slope(_phased(spark, sf), [*SE.SERIES, "phase_name"])
+
+
+@query("consecutive_high")
+def q_consecutive_high(spark, sf):
+    """WN-04: samples ending 3 consecutive samples at or above 90."""
+    out = SE.consecutive(_series(spark, sf), F.col("value") >= 90, 3)
+    return out.where("consecutive").select(*SE.SERIES, "time_utc", "value")
+
+
+@query("sustained_high")
+def q_sustained_high(spark, sf):
+    """WN-05: 3-hour trailing average at or above 80 with full coverage."""
+    out = SE.sustained(_series(spark, sf), "value", 3 * 3600, CADENCE_S, 80.0)
+    return out.select(*SE.SERIES, "time_utc", F.round("sustained_value", 6).alias("avg_value"),
+                      "sustained_samples", "sustained")
+
+
+@query("increasing_series")
+def q_increasing_series(spark, sf):
+    """WN-07: samples ending a strictly rising run of 3 samples."""
+    out = SE.increasing(_series(spark, sf), "value", 3)
+    return out.where("increasing").select(*SE.SERIES, "time_utc", "value")
+
+
+@query("vs_baseline")
+def q_vs_baseline(spark, sf):
+    """WN-08: samples over 1.1x the series' week-1 average for 2 samples in a row."""
+    ph = _phased(spark, sf)
+    base = ph.where(F.col("phase_name") == "week-1").groupBy(*SE.SERIES).agg(
+        F.avg("value").alias("baseline_value"))
+    out = SE.vs_baseline(ph, base, "value", 1.1, 2)
+    return out.where("above_baseline").select(*SE.SERIES, "time_utc", "value")
+
+
+@query("stalled_series")
+def q_stalled_series(spark, sf):
+    """WN-09: value unchanged for at least 2 hours (e.g. capped at 100)."""
+    out = SE.stalled(_series(spark, sf), "value", 2 * 3600, list(SE.SERIES), "time_utc")
+    return out.select(*SE.SERIES, "time_utc", "value", "last_change_at", "unchanged_seconds", "stalled")
+
+
+@query("value_changes")
+def q_value_changes(spark, sf):
+    """WN-10: samples whose value changed by 25 % or more against the previous sample."""
+    out = SE.changes(_series(spark, sf), "value", list(SE.SERIES), "time_utc", min_pct=25.0)
+    return out.where("changed").select(*SE.SERIES, "time_utc", "value", "previous_value",
+                                       F.round("change_percent", 6).alias("change_percent"))
+
+
+@query("align_asof")
+def q_align_asof(spark, sf):
+    """JN-16: each click with the user's latest view at or before it (as-of join)."""
+    ev = _t(spark, sf, "events")
+    clicks = ev.where(F.col("event_type") == "click").select("user_id", "event_id", "ts")
+    views = ev.where(F.col("event_type") == "view").select(
+        "user_id", F.col("ts").alias("view_ts"), F.col("event_id").alias("view_event_id"),
+        F.col("value").alias("view_value"))
+    out = J.align_asof(clicks, views, ["user_id"], "ts", "view_ts", ["view_event_id", "view_value"])
+    return out.drop("matched_view_ts")
+
+
+@query("supplier_labels")
+def q_supplier_labels(spark, sf):
+    """JN-01: suppliers labelled with nation and region names (size-checked broadcast)."""
+    s = _t(spark, sf, "supplier")
+    n = _t(spark, sf, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name", "n_regionkey")
+    r = _t(spark, sf, "region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
+    return J.label(J.label(s, n, "s_nationkey"), r, "n_regionkey").select(
+        "s_suppkey", "s_name", "n_name", "r_name")

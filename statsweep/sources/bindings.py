@@ -411,3 +411,31 @@ def plans(part: DataFrame) -> DataFrame:
 
 def plan_runtime(lineitem: DataFrame) -> DataFrame:
     return lineitem.selectExpr(*b10_runtime("spark"))
+
+
+# ------------------------------------------------------------ B5 series, B6 phases
+def b5_series_sql(dialect: str) -> str:
+    """Hourly metric per resource (user_id % 5): least(100, sum of cents / 100); empty hours are gaps."""
+    return _dialect(
+        "SELECT 'res' || CAST(user_id % 5 AS STRING) AS resource_id, 'cpu_percent' AS metric_id, "
+        "'' AS dimension_key, {hour:ts} AS time_utc, "
+        "least(CAST(100 AS DOUBLE), CAST(SUM(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / 100) AS value "
+        "FROM events GROUP BY 1, 2, 3, 4", dialect)
+
+
+def b6_markers_sql(dialect: str) -> str:
+    """One phase marker per distinct week of events (run 'run-1'); load 100 x week number."""
+    return _dialect(
+        "SELECT 'run-1' AS test_run_id, 'week-' || CAST(rn AS STRING) AS phase_name, start_time, "
+        "CAST(NULL AS TIMESTAMP) AS end_time, CAST(100 * rn AS INT) AS user_load FROM ("
+        "SELECT start_time, ROW_NUMBER() OVER (ORDER BY start_time) AS rn FROM ("
+        "SELECT DISTINCT {week:ts} AS start_time FROM events) w) r", dialect).replace(
+        "CAST(NULL AS TIMESTAMP)", "CAST(NULL AS TIMESTAMP_NTZ)" if dialect == "spark" else "CAST(NULL AS TIMESTAMP)")
+
+
+def metric_series(spark: SparkSession, events: DataFrame) -> DataFrame:
+    return _sql_over(spark, events, b5_series_sql("spark"))
+
+
+def phase_markers(spark: SparkSession, events: DataFrame) -> DataFrame:
+    return _sql_over(spark, events, b6_markers_sql("spark"))
