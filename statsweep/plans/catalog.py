@@ -445,3 +445,75 @@ def q_supplier_labels(spark, sf):
     r = _t(spark, sf, "region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
     return J.label(J.label(s, n, "s_nationkey"), r, "n_regionkey").select(
         "s_suppkey", "s_name", "n_name", "r_name")
+
+
+# ------------------------------------------------------------- configuration
+from statsweep.operators import config as CF  # noqa: E402
+
+
+def _cfg(spark, sf):
+    part = _t(spark, sf, "part")
+    return (B.setting_overrides(_t(spark, sf, "orders")), B.effective_settings(spark, part),
+            B.routine_settings(part))
+
+
+@query("explode_settings")
+def q_explode_settings(spark, sf):
+    """PRJ-02: override arrays to (name, value) rows split at the first '='."""
+    ov, _, _ = _cfg(spark, sf)
+    return S.explode_settings(ov, "setconfig")
+
+
+@query("override_scope")
+def q_override_scope(spark, sf):
+    """PRJ-01: scope labels of database/role overrides."""
+    ov, _, _ = _cfg(spark, sf)
+    x = S.override_scope(S.explode_settings(ov, "setconfig"))
+    return x.select("server_id", "setting_scope", "database_name", "role_name", "parameter_name", "parameter_value")
+
+
+@query("select_parameters")
+def q_select_parameters(spark, sf):
+    """PRJ-03: effective settings restricted to the 53-name allow-list."""
+    _, st, _ = _cfg(spark, sf)
+    return CF.select_parameters(st, CF.CONFIG_PARAMETERS).select("server_id", "name", "setting")
+
+
+@query("lock_logging_config")
+def q_lock_logging_config(spark, sf):
+    """PRJ-03 (lock logging list): the six lock/error logging settings."""
+    _, st, _ = _cfg(spark, sf)
+    return CF.select_parameters(st, CF.LOCK_LOGGING_PARAMETERS).select("server_id", "name", "setting",
+                                                                        "pending_restart")
+
+
+def _unified(spark, sf):
+    ov, st, rt = _cfg(spark, sf)
+    return (CF.effective_configuration(st), CF.override_configuration(ov, st), CF.routine_configuration(rt, st))
+
+
+@query("unified_configuration")
+def q_unified_configuration(spark, sf):
+    """PRJ-04 (+PRJ-14): effective, override and routine settings in one 10-column dataset."""
+    return CF.unify_configuration(*_unified(spark, sf))
+
+
+@query("capability_flags")
+def q_capability_flags(spark, sf):
+    """PRJ-05: per-server object presence flags and the version gate."""
+    return CF.capability_flags(B.catalog_objects(_t(spark, sf, "nation")))
+
+
+@query("missing_parameters")
+def q_missing_parameters(spark, sf):
+    """JN-13: allow-list names a server did not report."""
+    _, st, _ = _cfg(spark, sf)
+    return CF.missing_parameters(st)
+
+
+@query("override_ratio")
+def q_override_ratio(spark, sf):
+    """JN-19: override values over the server's effective value."""
+    eff, ovr, _ = _unified(spark, sf)
+    return CF.override_ratio(ovr, eff).select("server_id", "setting_scope", "database_name", "role_name",
+                                              "parameter_name", "parameter_value", "server_value", "override_ratio")

@@ -439,3 +439,89 @@ def metric_series(spark: SparkSession, events: DataFrame) -> DataFrame:
 
 def phase_markers(spark: SparkSession, events: DataFrame) -> DataFrame:
     return _sql_over(spark, events, b6_markers_sql("spark"))
+
+
+# ------------------------------------------------------------- B7 configuration
+def _arr(items: list[str], dialect: str) -> str:
+    return ("array(" if dialect == "spark" else "[") + ", ".join(items) + (")" if dialect == "spark" else "]")
+
+
+def b7_overrides(dialect: str) -> list[str]:
+    """B7 overrides: ``work_mem=<o_orderkey % 64>``, ``jit=on=<status>`` (second '='), priority (no '=')."""
+    m = {
+        "server_id": "'srv-' || CAST(o_custkey % 3 AS STRING)",
+        "setdatabase": "o_orderkey % 4",
+        "setrole": "o_custkey % 5",
+        "datname": "'db' || CAST(o_orderkey % 4 AS STRING)",
+        "rolname": "'role' || CAST(o_custkey % 5 AS STRING)",
+        "setconfig": _arr(["'work_mem=' || CAST(o_orderkey % 64 AS STRING)", "'jit=on=' || o_orderstatus",
+                           "o_orderpriority"], dialect),
+    }
+    return exprs(m, dialect)
+
+
+def b7_settings_sql(dialect: str) -> str:
+    """B7 effective settings: one row per (server, name); name picked by p_size from the known lists."""
+    from statsweep.operators.config import CONFIG_PARAMETERS, LOCK_LOGGING_PARAMETERS
+
+    names = [*CONFIG_PARAMETERS, *LOCK_LOGGING_PARAMETERS, "unrelated_a", "unrelated_b", "unrelated_c"]
+    arr = _arr([f"'{n}'" for n in names], dialect)
+    return (
+        "SELECT server_id, name, CAST(MAX(p_partkey % 97) AS STRING) AS setting, 'kB' AS unit, "
+        "'configuration file' AS source, 'user' AS context, (MAX(p_partkey) % 2 = 0) AS pending_restart, "
+        "'postgres' AS database_name, 'collector' AS role_name FROM ("
+        "SELECT 'srv-' || CAST(p_partkey % 3 AS STRING) AS server_id, "
+        f"element_at({arr}, CAST(p_size + (p_partkey % 3) * 5 AS INT)) AS name, p_partkey FROM part) x "
+        "GROUP BY server_id, name") if dialect == "spark" else (
+        "SELECT server_id, name, CAST(MAX(p_partkey % 97) AS VARCHAR) AS setting, 'kB' AS unit, "
+        "'configuration file' AS source, 'user' AS context, (MAX(p_partkey) % 2 = 0) AS pending_restart, "
+        "'postgres' AS database_name, 'collector' AS role_name FROM ("
+        "SELECT 'srv-' || CAST(p_partkey % 3 AS VARCHAR) AS server_id, "
+        f"{arr}[CAST(p_size + (p_partkey % 3) * 5 AS INT)] AS name, p_partkey FROM part) x "
+        "GROUP BY server_id, name")
+
+
+def b7_routines(dialect: str) -> list[str]:
+    m = {
+        "server_id": "'srv-' || CAST(p_partkey % 3 AS STRING)",
+        "oid": "p_partkey",
+        "signature": "'f' || CAST(p_partkey AS STRING) || '()'",
+        "schema": "CASE p_partkey % 10 WHEN 0 THEN 'pg_catalog' WHEN 1 THEN 'pg_toast_99' WHEN 2 THEN 'pg_temp_3' "
+                  "WHEN 3 THEN 'information_schema' ELSE 'app' END",
+        "owner": "'owner' || CAST(p_partkey % 4 AS STRING)",
+        "database_name": "'db' || CAST(p_partkey % 4 AS STRING)",
+        "proconfig": "CASE WHEN p_partkey % 6 = 0 THEN NULL ELSE "
+                     + _arr(["'work_mem=' || CAST(p_size AS STRING) || 'MB'", "'search_path=app'", "'jit=off'"],
+                            dialect) + " END",
+    }
+    return exprs(m, dialect)
+
+
+def b7_objects(dialect: str) -> list[str]:
+    m = {
+        "server_id": "'srv-' || CAST(n_nationkey % 4 AS STRING)",
+        "kind": "CASE WHEN n_nationkey % 6 = 5 THEN 'extension' ELSE 'view' END",
+        "name": "CASE n_nationkey % 6 WHEN 0 THEN 'pg_stat_statements' WHEN 1 THEN 'pg_stat_statements_info' "
+                "WHEN 2 THEN 'pg_stat_io' WHEN 3 THEN 'pg_stat_checkpointer' WHEN 4 THEN 'other_view' "
+                "ELSE 'pg_stat_statements' END",
+        "server_version_num": "160000 + (n_nationkey % 3) * 10000",
+    }
+    return exprs(m, dialect)
+
+
+def setting_overrides(orders: DataFrame) -> DataFrame:
+    return orders.selectExpr(*b7_overrides("spark"))
+
+
+def effective_settings(spark: SparkSession, part: DataFrame) -> DataFrame:
+    name = f"part_{abs(hash('b7')) % 10**8}"
+    part.createOrReplaceTempView(name)
+    return spark.sql(b7_settings_sql("spark").replace("FROM part", f"FROM {name}"))
+
+
+def routine_settings(part: DataFrame) -> DataFrame:
+    return part.selectExpr(*b7_routines("spark"))
+
+
+def catalog_objects(nation: DataFrame) -> DataFrame:
+    return nation.selectExpr(*b7_objects("spark"))
