@@ -517,3 +517,64 @@ def q_override_ratio(spark, sf):
     eff, ovr, _ = _unified(spark, sf)
     return CF.override_ratio(ovr, eff).select("server_id", "setting_scope", "database_name", "role_name",
                                               "parameter_name", "parameter_value", "server_value", "override_ratio")
+
+
+# ------------------------------------------------------------- cache and memory
+from statsweep.operators import cache as CA  # noqa: E402
+
+CURRENT_DB_OID = 1
+DEFAULT_TABLESPACE = 1663
+
+
+def _relcache(spark, sf):
+    c = CA.cache_by_relation(B.buffers(_t(spark, sf, "lineitem")), CURRENT_DB_OID)
+    return CA.map_relations(c, B.buffer_catalog(_t(spark, sf, "part")), DEFAULT_TABLESPACE)
+
+
+@query("cache_by_relation")
+def q_cache_by_relation(spark, sf):
+    """AG-11: cached/dirty/pinned buffers per relation file of the current database."""
+    out = CA.cache_by_relation(B.buffers(_t(spark, sf, "lineitem")), CURRENT_DB_OID)
+    return out.withColumn("avg_usagecount", F.round("avg_usagecount", 6))
+
+
+@query("relation_cache")
+def q_relation_cache(spark, sf):
+    """JN-05 + WN-03 + WN-11: cache mapped to relations, shares, top 100 per sample."""
+    out = CA.relation_cache_report(_relcache(spark, sf))
+    return out.withColumn("avg_usagecount", F.round("avg_usagecount", 6))
+
+
+@query("buffer_summary")
+def q_buffer_summary(spark, sf):
+    """AG-12: buffer usage summary per sample."""
+    out = CA.buffer_summary(B.buffers(_t(spark, sf, "lineitem")))
+    return out.withColumn("usagecount_avg", F.round("usagecount_avg", 6))
+
+
+@query("usage_counts")
+def q_usage_counts(spark, sf):
+    """AG-12/AG-08: usage-count distribution list per sample, exploded."""
+    u = CA.usage_counts(B.buffers(_t(spark, sf, "lineitem")))
+    return u.select(*CA.SAMPLE, F.inline("usage_counts"))
+
+
+@query("allocation_shares")
+def q_allocation_shares(spark, sf):
+    """AG-13: shared memory allocation shares per sample."""
+    return CA.allocation_shares(B.allocations(_t(spark, sf, "orders")))
+
+
+@query("table_stats")
+def q_table_stats(spark, sf):
+    """JN-02: table counters with I/O counters (left join)."""
+    return CA.table_stats(B.table_counter_rows(_t(spark, sf, "part")),
+                          B.relation_io(spark, _t(spark, sf, "lineitem"), "relid"))
+
+
+@query("index_stats")
+def q_index_stats(spark, sf):
+    """JN-03: index usage with I/O (left) and definition (inner)."""
+    part = _t(spark, sf, "part")
+    return CA.index_stats(B.index_usage_rows(part), B.relation_io(spark, _t(spark, sf, "lineitem"), "indexrelid"),
+                          B.index_definitions(spark, part))

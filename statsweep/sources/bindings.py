@@ -176,7 +176,7 @@ def _dialect(expr: str, dialect: str) -> str:
     import re
 
     expr = re.sub(r"\{secs:([^}]*)\}", secs, expr)
-    expr = re.sub(r"\{(hour|day|week|minute):([^}]*)\}", tr, expr)
+    expr = re.sub(r"\{(hour|day|week|minute|month|year):([^}]*)\}", tr, expr)
     return expr
 
 
@@ -525,3 +525,116 @@ def routine_settings(part: DataFrame) -> DataFrame:
 
 def catalog_objects(nation: DataFrame) -> DataFrame:
     return nation.selectExpr(*b7_objects("spark"))
+
+
+# ------------------------------------------------------------- B9 buffers and catalog
+def b9_buffers(dialect: str) -> list[str]:
+    """One buffer per lineitem row; file node = l_partkey, sample = ship year."""
+    m = {
+        "server_id": "'srv-0'",
+        "source_collected_at": "{year:l_shipdate}",
+        "reldatabase": "CASE WHEN l_orderkey % 10 = 0 THEN 2 ELSE 1 END",
+        "reltablespace": "CASE WHEN l_suppkey % 2 = 0 THEN 1663 ELSE 1700 END",
+        "relfilenode": "CASE WHEN l_orderkey % 50 = 0 THEN NULL ELSE l_partkey END",
+        "relforknumber": "CASE WHEN l_linenumber = 7 THEN 1 ELSE 0 END",
+        "isdirty": "(l_returnflag = 'R')",
+        "usagecount": "l_linenumber",
+        "pinning_backends": "CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END",
+    }
+    return exprs(m, dialect)
+
+
+def b9_catalog(dialect: str) -> list[str]:
+    m = {
+        "server_id": "'srv-0'",
+        "oid": "p_partkey + 100000",
+        "relfilenode": "p_partkey",
+        "reltablespace": "CASE WHEN p_partkey % 5 = 0 THEN 1700 ELSE 0 END",
+        "schemaname": "CASE WHEN p_partkey % 20 = 0 THEN 'pg_temp_1' ELSE 'public' END",
+        "relname": "'part_' || CAST(p_partkey AS STRING)",
+        "relkind": "'r'",
+        "main_fork_bytes": "CAST(p_size AS BIGINT) * 8192 * 10",
+    }
+    return exprs(m, dialect)
+
+
+def b9_allocations(dialect: str) -> list[str]:
+    m = {
+        "server_id": "'srv-0'",
+        "source_collected_at": "{year:o_orderdate}",
+        "name": "CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE o_orderpriority || '-' || o_orderstatus END",
+        "off": "o_orderkey",
+        "size": "CAST(floor(o_totalprice) AS BIGINT)",
+        "allocated_size": "CAST(floor(o_totalprice) AS BIGINT) + 64",
+    }
+    return exprs(m, dialect)
+
+
+def buffers(lineitem: DataFrame) -> DataFrame:
+    return lineitem.selectExpr(*b9_buffers("spark"))
+
+
+def buffer_catalog(part: DataFrame) -> DataFrame:
+    return part.selectExpr(*b9_catalog("spark"))
+
+
+def allocations(orders: DataFrame) -> DataFrame:
+    return orders.selectExpr(*b9_allocations("spark"))
+
+
+# ------------------------------------------------- JN-02/JN-03 tables and indexes (part + lineitem)
+_T0 = {"spark": "TIMESTAMP_NTZ '2024-01-01 00:00:00'", "duckdb": "TIMESTAMP '2024-01-01 00:00:00'"}
+
+
+def rel_stats(dialect: str) -> list[str]:
+    m = {"server_id": "'srv-0'", "source_collected_at": _T0[dialect], "relid": "p_partkey",
+         "schemaname": "'public'", "relname": "'part_' || CAST(p_partkey AS STRING)",
+         "seq_scan": "CAST(p_size AS BIGINT)", "seq_tup_read": "CAST(p_size AS BIGINT) * 100",
+         "n_live_tup": "CAST(p_size AS BIGINT) * 1000", "n_dead_tup": "p_partkey % 17"}
+    return exprs(m, dialect)
+
+
+def rel_io_sql(dialect: str, key: str) -> str:
+    """Per-part I/O counters from lineitem sums (``key`` is relid or indexrelid)."""
+    return _dialect(
+        f"SELECT 'srv-0' AS server_id, {_T0[dialect]} AS source_collected_at, l_partkey AS {key}, "
+        "COUNT(*) AS blks_read, CAST(SUM(l_quantity) AS BIGINT) AS blks_hit FROM lineitem GROUP BY l_partkey",
+        dialect)
+
+
+def index_usage(dialect: str) -> list[str]:
+    m = {"server_id": "'srv-0'", "source_collected_at": _T0[dialect], "indexrelid": "p_partkey",
+         "relid": "p_partkey % 100", "indexrelname": "'ix_part_' || CAST(p_partkey AS STRING)",
+         "idx_scan": "CAST(p_size AS BIGINT) % 7", "idx_tup_read": "CAST(p_size AS BIGINT) * 3"}
+    return exprs(m, dialect)
+
+
+def index_definitions_sql(dialect: str) -> str:
+    return _dialect(
+        f"SELECT 'srv-0' AS server_id, {_T0[dialect]} AS source_collected_at, p_partkey AS indexrelid, "
+        "'CREATE INDEX ix ON part_' || CAST(p_partkey % 100 AS STRING) || ' (p_brand)' AS indexdef, "
+        "CAST(p_retailprice * 1000000 AS BIGINT) AS index_size_bytes, (p_size % 2 = 0) AS indisunique, "
+        "(p_size % 10 = 0) AS indisprimary, (p_partkey % 29 <> 0) AS indisvalid, TRUE AS indisready "
+        "FROM part WHERE p_partkey % 7 <> 0", dialect)
+
+
+def _over(spark: SparkSession, df: DataFrame, table_name: str, text: str) -> DataFrame:
+    name = f"{table_name}_{abs(hash(text)) % 10**8}"
+    df.createOrReplaceTempView(name)
+    return spark.sql(text.replace(f"FROM {table_name}", f"FROM {name}"))
+
+
+def table_counter_rows(part: DataFrame) -> DataFrame:
+    return part.selectExpr(*rel_stats("spark"))
+
+
+def relation_io(spark: SparkSession, lineitem: DataFrame, key: str) -> DataFrame:
+    return _over(spark, lineitem, "lineitem", rel_io_sql("spark", key))
+
+
+def index_usage_rows(part: DataFrame) -> DataFrame:
+    return part.selectExpr(*index_usage("spark"))
+
+
+def index_definitions(spark: SparkSession, part: DataFrame) -> DataFrame:
+    return _over(spark, part, "part", index_definitions_sql("spark"))
