@@ -578,3 +578,44 @@ def q_index_stats(spark, sf):
     part = _t(spark, sf, "part")
     return CA.index_stats(B.index_usage_rows(part), B.relation_io(spark, _t(spark, sf, "lineitem"), "indexrelid"),
                           B.index_definitions(spark, part))
+
+
+# ------------------------------------------------------------- pooler
+from statsweep.operators import pooler as PL  # noqa: E402
+
+
+@query("pool_derived")
+def q_pool_derived(spark, sf):
+    """PRJ-18: derived pool metrics per pool and sample."""
+    return PL.pool_derived(B.pool_snapshot(spark, _t(spark, sf, "events")))
+
+
+@query("pool_totals")
+def q_pool_totals(spark, sf):
+    """AG-15: per-pool and all-pool aggregates per sample (grouping sets)."""
+    return PL.pool_totals(B.pool_snapshot(spark, _t(spark, sf, "events")))
+
+
+@query("client_diagnostics")
+def q_client_diagnostics(spark, sf):
+    """AG-16: client counts by state per sample, application and address."""
+    return PL.client_diagnostics(B.pool_clients(_t(spark, sf, "events")))
+
+
+@query("server_diagnostics")
+def q_server_diagnostics(spark, sf):
+    """AG-17: server counts by state, database/user and application."""
+    return PL.server_diagnostics(B.pool_servers(_t(spark, sf, "events")))
+
+
+@query("pivot_lists")
+def q_pivot_lists(spark, sf):
+    """AG-18: SHOW LISTS rows pivoted to columns with used-object percentages."""
+    return PL.pivot_lists(B.pool_lists(spark, _t(spark, sf, "events")))
+
+
+@query("reconcile_pool_backends")
+def q_reconcile_pool_backends(spark, sf):
+    """JN-18: pooler server connections against client backends by pid."""
+    ev = _t(spark, sf, "events")
+    return PL.reconcile_pool_backends(B.pool_servers(ev), B.sessions(ev))

@@ -638,3 +638,78 @@ def index_usage_rows(part: DataFrame) -> DataFrame:
 
 def index_definitions(spark: SparkSession, part: DataFrame) -> DataFrame:
     return _over(spark, part, "part", index_definitions_sql("spark"))
+
+
+# ------------------------------------------------------------- B11 pooler
+_POOL_SRV = "'srv-' || CAST(user_id % 2 AS STRING)"
+_HOUR_END = "{hour:ts} + INTERVAL 1 HOUR"
+
+
+def b11_pools_sql(dialect: str) -> str:
+    """B11 SHOW POOLS per hour and pool (user_id % 4): clicks active, errors waiting, views/purchases/signups servers."""
+    return _dialect(
+        f"SELECT {_POOL_SRV} AS server_id, {_HOUR_END} AS source_collected_at, "
+        "'db' || CAST(user_id % 4 AS STRING) AS database, 'app' || CAST(user_id % 4 AS STRING) AS user, "
+        "'transaction' AS pool_mode, "
+        "SUM(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) AS cl_active, "
+        "SUM(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS cl_waiting, "
+        "CAST(0 AS BIGINT) AS cl_active_cancel_req, CAST(0 AS BIGINT) AS cl_waiting_cancel_req, "
+        "SUM(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END) AS sv_active, "
+        "CAST(0 AS BIGINT) AS sv_active_cancel, CAST(0 AS BIGINT) AS sv_being_canceled, "
+        "SUM(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS sv_idle, "
+        "SUM(CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END) AS sv_used, "
+        "CAST(0 AS BIGINT) AS sv_tested, CAST(0 AS BIGINT) AS sv_login, "
+        "COALESCE(MAX(CASE WHEN event_type = 'error' THEN CAST(floor(value) AS BIGINT) END), 0) AS maxwait, "
+        "COALESCE(MAX(CASE WHEN event_type = 'error' THEN CAST(round(value * 100) AS BIGINT) % 100 * 10000 END), 0) "
+        "AS maxwait_us FROM events GROUP BY 1, 2, 3, 4, 5", dialect).replace(
+        "SUM(CASE", "CAST(SUM(CASE").replace("ELSE 0 END) AS", "ELSE 0 END) AS BIGINT) AS")
+
+
+def b11_clients(dialect: str) -> list[str]:
+    m = {
+        "server_id": _POOL_SRV, "source_collected_at": _HOUR_END,
+        "state": "CASE event_type WHEN 'error' THEN 'waiting' WHEN 'click' THEN 'active' ELSE 'idle' END",
+        "application_name": "CASE WHEN user_id % 17 = 0 THEN '' ELSE 'app' || CAST(user_id % 6 AS STRING) END",
+        "addr": "'10.2.0.' || CAST(user_id % 50 AS STRING)",
+        "database": "'db' || CAST(user_id % 4 AS STRING)", "user": "'app' || CAST(user_id % 4 AS STRING)",
+        "wait": "CASE WHEN event_type = 'error' THEN CAST(floor(value) AS BIGINT) ELSE 0 END",
+        "wait_us": "CASE WHEN event_type = 'error' THEN CAST(round(value * 100) AS BIGINT) % 100 * 10000 ELSE 0 END",
+    }
+    return exprs(m, dialect)
+
+
+def b11_servers(dialect: str) -> list[str]:
+    m = {
+        "server_id": _POOL_SRV, "source_collected_at": _HOUR_END,
+        "state": "CASE event_type WHEN 'view' THEN 'active' WHEN 'purchase' THEN 'idle' WHEN 'signup' THEN 'used' "
+                 "WHEN 'error' THEN 'new' ELSE 'tested' END",
+        "application_name": "'app' || CAST(user_id % 6 AS STRING)",
+        "database": "'db' || CAST(user_id % 3 AS STRING)", "user": "'u' || CAST(user_id % 7 AS STRING)",
+        "remote_pid": "CASE WHEN event_id % 5 = 0 THEN NULL ELSE CAST(event_id AS INT) END",
+        "close_needed": "CASE WHEN value > 90 THEN 1 ELSE 0 END",
+    }
+    return exprs(m, dialect)
+
+
+def b11_lists_sql(dialect: str) -> str:
+    return _dialect(
+        f"SELECT {_POOL_SRV} AS server_id, {_HOUR_END} AS source_collected_at, "
+        "CASE event_type WHEN 'click' THEN 'used_clients' WHEN 'view' THEN 'free_clients' "
+        "WHEN 'purchase' THEN 'used_servers' WHEN 'signup' THEN 'free_servers' ELSE 'login_clients' END AS list, "
+        "CAST(COUNT(*) AS STRING) AS items FROM events GROUP BY 1, 2, 3", dialect)
+
+
+def pool_snapshot(spark: SparkSession, events: DataFrame) -> DataFrame:
+    return _over(spark, events, "events", b11_pools_sql("spark"))
+
+
+def pool_clients(events: DataFrame) -> DataFrame:
+    return events.selectExpr(*b11_clients("spark"))
+
+
+def pool_servers(events: DataFrame) -> DataFrame:
+    return events.selectExpr(*b11_servers("spark"))
+
+
+def pool_lists(spark: SparkSession, events: DataFrame) -> DataFrame:
+    return _over(spark, events, "events", b11_lists_sql("spark"))
