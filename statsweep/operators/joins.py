@@ -54,9 +54,9 @@ def range_join(df: DataFrame, intervals: DataFrame, ts_col: str, start_col: str,
             cond = cond & c
         out = df.join(small, cond, how)
     else:
-        hi = df.agg(F.max(ts_col).alias("_hi"))
+        hi = df.agg(F.max(ts_col).alias("_hi")).withColumn("_one", F.lit(1))
         step = F.expr(f"INTERVAL 1 {bucket.upper()}")
-        ivb = iv.crossJoin(F.broadcast(hi)).withColumn(
+        ivb = iv.withColumn("_one", F.lit(1)).join(F.broadcast(hi), "_one").drop("_one").withColumn(
             "_b", F.explode(F.sequence(F.date_trunc(bucket, F.col(start_col)),
                                        F.date_trunc(bucket, F.coalesce(F.col(end_col), F.col("_hi"))), step))
         ).drop("_hi")

@@ -619,3 +619,76 @@ def q_reconcile_pool_backends(spark, sf):
     """JN-18: pooler server connections against client backends by pid."""
     ev = _t(spark, sf, "events")
     return PL.reconcile_pool_backends(B.pool_servers(ev), B.sessions(ev))
+
+
+# ------------------------------------------------------------- comparison (B13, B14 + B1, B2, B11)
+from statsweep.operators import compare as CP  # noqa: E402
+
+SPLIT_AT = "2024-01-16 00:00:00"
+
+
+@query("writer_share")
+def q_writer_share(spark, sf):
+    """AG-22: client-backend share of backend writes per server and hour (IV-04 deltas)."""
+    io = IV.interval_metrics(B.b1_dataset(_t(spark, sf, "events"), "io"), "io", tiebreak=["event_id"])
+    io = io.withColumn("hour", B.trunc("hour", "source_collected_at"))
+    return CP.writer_share(io, ["server_id", "hour"])
+
+
+def _demand(spark, sf):
+    s, settings = _sessions(spark, sf)
+    act = A.activity_summary(s, settings)
+    cap = B.capacity_history(spark, _t(spark, sf, "events"))
+    return CP.running_demand(J.assign_capacity(act, cap, "source_collected_at"))
+
+
+@query("assign_capacity")
+def q_assign_capacity(spark, sf):
+    """JN-15: vCores in force at each activity sample and running demand per vCore."""
+    return _demand(spark, sf).select("server_id", "source_collected_at", "active_cpu_or_running_sessions",
+                                     "provisioned_vcores", "sku", "running_demand_per_vcore")
+
+
+@query("phase_summary")
+def q_phase_summary(spark, sf):
+    """AG-24: per server and phase: demand per vCore and worker-pool utilisation."""
+    d = SE.assign_phase(_demand(spark, sf).drop("effective_from", "effective_to"),
+                        _phases(spark, sf).drop("test_run_id"), "source_collected_at")
+    return CP.phase_summary(d, ["server_id", "phase_name"])
+
+
+@query("load_summary")
+def q_load_summary(spark, sf):
+    """AG-19 on load results: per run, min/max/avg/P50..P99 latency of each day's requests."""
+    r = B.load_requests(_t(spark, sf, "events")).withColumn("day", B.trunc("day", "ts"))
+    return SE.summarize_series(r, ["test_run_id", "day"], value="latency_ms")
+
+
+def _compared(spark, sf):
+    daily = B.load_daily(spark, _t(spark, sf, "events"))
+    metrics = ["successful_rps", "error_rate", "p99_ms"]
+    return J.compare_runs(daily.where("test_run_id = 'baseline'"), daily.where("test_run_id = 'after'"),
+                          ["phase_name", "day_index"], metrics)
+
+
+@query("compare_runs")
+def q_compare_runs(spark, sf):
+    """JN-17: baseline vs after per phase and day of run, with % change."""
+    return _compared(spark, sf)
+
+
+@query("parallelism_benefit")
+def q_parallelism_benefit(spark, sf):
+    """AG-25: positive/neutral/negative label per matched day."""
+    return CP.parallelism_benefit(_compared(spark, sf)).select("phase_name", "day_index", "parallelism_benefit")
+
+
+@query("pool_effectiveness")
+def q_pool_effectiveness(spark, sf):
+    """AG-23: pooler before/after effectiveness per server."""
+    ev = _t(spark, sf, "events")
+    s, settings = _sessions(spark, sf)
+    act = A.activity_summary(s, settings)
+    pools = PL.pool_derived(B.pool_snapshot(spark, ev))
+    split = F.lit(SPLIT_AT).cast("timestamp_ntz")
+    return CP.pool_effectiveness(act, pools, B.load_requests(ev), split)

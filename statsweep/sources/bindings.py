@@ -713,3 +713,50 @@ def pool_servers(events: DataFrame) -> DataFrame:
 
 def pool_lists(spark: SparkSession, events: DataFrame) -> DataFrame:
     return _over(spark, events, "events", b11_lists_sql("spark"))
+
+
+# ------------------------------------------------------- B13 load results, B14 capacity
+_SPLIT = {"spark": "TIMESTAMP_NTZ '2024-01-16 00:00:00'", "duckdb": "TIMESTAMP '2024-01-16 00:00:00'"}
+
+
+def b13_requests(dialect: str) -> list[str]:
+    """B13 per-request load-test rows: baseline run before 2024-01-16, 'after' from then on."""
+    s = _SPLIT[dialect]
+    m = {"test_run_id": f"CASE WHEN ts < {s} THEN 'baseline' ELSE 'after' END", "phase_name": "'steady'",
+         "ts": "ts", "day_index": f"day(ts) - CASE WHEN ts < {s} THEN 0 ELSE 15 END",
+         "ok": "(event_type <> 'error')", "latency_ms": "value"}
+    return exprs(m, dialect)
+
+
+def b13_daily_sql(dialect: str) -> str:
+    """B13 per-day results: successful RPS, error rate, P90/P99 latency (the load tool's summary)."""
+    pct = ("percentile(latency_ms, {q})" if dialect == "spark" else "quantile_cont(latency_ms, {q})")
+    return _dialect(
+        "SELECT test_run_id, phase_name, {day:ts} AS ts, day_index, "
+        "CAST(SUM(CASE WHEN ok THEN 1 ELSE 0 END) AS DOUBLE) / 86400 AS successful_rps, "
+        "CAST(SUM(CASE WHEN ok THEN 0 ELSE 1 END) AS DOUBLE) / COUNT(*) AS error_rate, "
+        f"round({pct.format(q=0.9)}, 6) AS p90_ms, round({pct.format(q=0.99)}, 6) AS p99_ms "
+        f"FROM (SELECT {', '.join(b13_requests(dialect))} FROM events) r GROUP BY 1, 2, 3, 4", dialect)
+
+
+def b14_capacity_sql(dialect: str) -> str:
+    """Per server, one capacity row per distinct week; vCores = 16 x week number; last row open."""
+    return _dialect(
+        "SELECT server_id, week_start AS effective_from, "
+        "LEAD(week_start) OVER (PARTITION BY server_id ORDER BY week_start) AS effective_to, "
+        "CAST(16 * rn AS INT) AS provisioned_vcores, 'GP_Standard_D' || CAST(16 * rn AS STRING) AS sku FROM ("
+        "SELECT server_id, week_start, ROW_NUMBER() OVER (PARTITION BY server_id ORDER BY week_start) AS rn FROM ("
+        "SELECT DISTINCT 'srv-' || CAST(user_id % 2 AS STRING) AS server_id, {week:ts} AS week_start "
+        "FROM events) w) r", dialect)
+
+
+def load_requests(events: DataFrame) -> DataFrame:
+    return events.selectExpr(*b13_requests("spark"))
+
+
+def load_daily(spark: SparkSession, events: DataFrame) -> DataFrame:
+    return _over(spark, events, "events", b13_daily_sql("spark"))
+
+
+def capacity_history(spark: SparkSession, events: DataFrame) -> DataFrame:
+    return _over(spark, events, "events", b14_capacity_sql("spark"))
