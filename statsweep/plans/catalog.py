@@ -692,3 +692,69 @@ def q_pool_effectiveness(spark, sf):
     pools = PL.pool_derived(B.pool_snapshot(spark, ev))
     split = F.lit(SPLIT_AT).cast("timestamp_ntz")
     return CP.pool_effectiveness(act, pools, B.load_requests(ev), split)
+
+
+# ------------------------------------------------------------- payloads, projections, progress
+from statsweep.operators import views as V  # noqa: E402
+
+
+@query("payload_fields")
+def q_payload_fields(spark, sf):
+    """SRC-05: typed field ``k`` out of each event's JSON props, summarised per event type."""
+    p = R.unpack_payload(B.payload_rows(_t(spark, sf, "events")), "props", {"k": "long"})
+    return p.groupBy("event_type").agg(F.count(F.lit(1)).alias("rows"), F.sum("k").alias("sum_k"),
+                                       F.count("k").alias("rows_with_k"))
+
+
+@query("versioned_fields")
+def q_versioned_fields(spark, sf):
+    """PRJ-09: version-tolerant fields (first non-empty candidate, typed, default 0)."""
+    p = V.versioned_fields(B.payload_rows(_t(spark, sf, "events")))
+    return p.select("event_id", *[f[0] for f in V.VERSIONED_FIELDS])
+
+
+@query("total_jit_time")
+def q_total_jit_time(spark, sf):
+    """PRJ-10: sum of the five JIT timing columns per statement sample."""
+    q = V.with_total_jit_time(B.b1_dataset(_t(spark, sf, "events"), "query"))
+    return q.select("server_id", "dbid", "userid", "queryid", "toplevel", "event_id", "jit_total_time")
+
+
+@query("database_counters")
+def q_database_counters(spark, sf):
+    """PRJ-17: database counter rows without template databases."""
+    d = B.b1_dataset(_t(spark, sf, "events"), "database").withColumn(
+        "datname", F.when(F.col("datistemplate"), F.lit("template1")).otherwise(F.col("datname")))
+    return V.database_counters(d, ["server_id", "source_collected_at", "datid", "datname", "xact_commit",
+                                   "xact_rollback", "blks_read", "blks_hit", "stats_reset"])
+
+
+@query("maintenance_progress")
+def q_maintenance_progress(spark, sf):
+    """JN-11: vacuum/analyze progress stacked and joined to sessions."""
+    ev = _t(spark, sf, "events")
+    prog = {"vacuum": B.progress_rows(ev, "purchase"), "analyze": B.progress_rows(ev, "signup")}
+    out = V.maintenance_progress(prog, B.sessions(ev), {"k": "long"})
+    return out.select("server_id", "source_collected_at", "operation_type", "pid", F.col("k").alias("heap_blks"),
+                      "datname", "usename", "application_name", "wait_event_type", "wait_event",
+                      "operation_age_seconds")
+
+
+@query("union_databases")
+def q_union_databases(spark, sf):
+    """SRC-02: per-database scans stacked with database_name; names trimmed and de-duplicated ignoring case."""
+    t = B.b1_dataset(_t(spark, sf, "events"), "table").drop("database_name")
+    frames = {"db0": t.where("relid % 3 = 0"), " DB0 ": t.where("relid % 3 = 0"),
+              "db1": t.where("relid % 3 = 1"), "db2 ": t.where("relid % 3 = 2")}
+    u = R.union_databases(frames)
+    return u.select("database_name", "relid", "event_id", "seq_scan", "n_dead_tup")
+
+
+@query("union_tagged")
+def q_union_tagged(spark, sf):
+    """SRC-03: differently shaped pooler outputs stacked with a ``pb_command`` discriminator."""
+    ev = _t(spark, sf, "events")
+    pools = B.pool_snapshot(spark, ev).select("server_id", "source_collected_at", "database", "cl_active",
+                                              "cl_waiting")
+    lists = B.pool_lists(spark, ev)
+    return R.union_tagged({"SHOW POOLS": pools, "SHOW LISTS": lists}, "pb_command")

@@ -84,6 +84,7 @@ B1_DATASETS: dict[str, dict[str, str]] = {
         "blks_read": "n_clicks * 5000", "temp_bytes": "counter * 1024", "deadlocks": "n_errors",
         "blk_read_time": "CAST(counter AS DOUBLE) / 100", "blk_write_time": "CAST(n_clicks AS DOUBLE) * 1.5",
         "stats_reset": "stats_reset",
+        "datistemplate": "(user_id % 50 = 0)",
     },
     "query": {
         "server_id": "server_id", "dbid": "user_id % 3", "userid": "user_id % 5", "queryid": "user_id",
@@ -760,3 +761,33 @@ def load_daily(spark: SparkSession, events: DataFrame) -> DataFrame:
 
 def capacity_history(spark: SparkSession, events: DataFrame) -> DataFrame:
     return _over(spark, events, "events", b14_capacity_sql("spark"))
+
+
+# ------------------------------------------------------------- B8 payloads
+def b8_payload(dialect: str) -> list[str]:
+    """``events.props`` as the JSON payload, plus a statement-statistics payload whose field
+    names change with the server version (every third row legacy, every fifth with an empty value)."""
+    cents = "CAST(CAST(round(value * 100) AS BIGINT) AS STRING)"
+    m = {
+        "event_id": "event_id", "event_type": "event_type", "props": "props",
+        "payload": (f"CASE WHEN event_id % 5 = 0 THEN '{{\"blk_read_time\": \"\", \"shared_blk_read_time\": ' || "
+                    f"{cents} || '}}' WHEN event_id % 3 = 0 THEN '{{\"blk_read_time\": ' || {cents} || "
+                    f"', \"wal_buffers_full\": 7}}' ELSE '{{\"shared_blk_read_time\": ' || {cents} || "
+                    f"', \"blk_write_time\": ' || CAST(user_id AS STRING) || ', \"jit_deform_time\": 1.5}}' END"),
+    }
+    return exprs(m, dialect)
+
+
+def payload_rows(events: DataFrame) -> DataFrame:
+    return events.selectExpr(*b8_payload("spark"))
+
+
+def b8_progress(dialect: str) -> list[str]:
+    """JN-11 progress rows: purchases as vacuum, signups as analyze; pid = event id, progress = props."""
+    m = {"server_id": "'srv-' || CAST(user_id % 2 AS STRING)", "source_collected_at": _HOUR_END,
+         "pid": "CAST(event_id AS INT)", "progress": "props"}
+    return exprs(m, dialect)
+
+
+def progress_rows(events: DataFrame, event_type: str) -> DataFrame:
+    return events.where(F.col("event_type") == event_type).selectExpr(*b8_progress("spark"))
