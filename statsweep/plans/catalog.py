@@ -758,3 +758,112 @@ def q_union_tagged(spark, sf):
                                               "cl_waiting")
     lists = B.pool_lists(spark, ev)
     return R.union_tagged({"SHOW POOLS": pools, "SHOW LISTS": lists}, "pb_command")
+
+
+# ------------------------------------------------------------- landing, sinks, ledger
+from statsweep.operators import ledger as LG  # noqa: E402
+from statsweep.session import scratch_path  # noqa: E402
+from statsweep.sinks import tables as SK  # noqa: E402
+
+QUERY_CADENCE = {"Q00": 15, "Q01": 30, "Q02": 60, "Q03": 300, "Q04": 900}
+
+
+@query("run_ledger")
+def q_run_ledger(spark, sf):
+    """SNK-02: one ledger row per run from its landed rows."""
+    return LG.run_ledger(B.landed_rows(_t(spark, sf, "events")))
+
+
+@query("overlapping_runs")
+def q_overlapping_runs(spark, sf):
+    """JN-20: runs of the same query and server that start before an earlier one completed."""
+    return LG.overlapping_runs(B.runs(_t(spark, sf, "events"))).select(
+        "server_id", "query_id", "run_id", "started_at", "completed_at", "previous_completed_at")
+
+
+@query("collector_health")
+def q_collector_health(spark, sf):
+    """AG-27: run duration percentiles, slow-run shares and missed ticks per server and query."""
+    return LG.collector_health(B.runs(_t(spark, sf, "events")), QUERY_CADENCE)
+
+
+@query("dedupe_natural_key")
+def q_dedupe_natural_key(spark, sf):
+    """SNK-05: re-delivered runs collapse to the latest delivery per run id."""
+    r = B.runs(_t(spark, sf, "events"))
+    again = r.where("event_id % 4 = 0").withColumn("completed_at", F.col("completed_at") + F.expr("INTERVAL 1 MINUTE")
+                                                     ).withColumn("status", F.lit("replayed"))
+    d = SK.dedupe_natural_key(r.unionByName(again), ["run_id"], [F.col("completed_at").desc()])
+    return d.select("run_id", "query_id", "server_id", "started_at", "completed_at", "status")
+
+
+@query("upsert_dictionary")
+def q_upsert_dictionary(spark, sf):
+    """SNK-06: query dictionary from a first-half snapshot merged with second-half sightings."""
+    r = B.runs(_t(spark, sf, "events"))
+    split = F.lit(SPLIT_AT).cast("timestamp_ntz")
+    seen = r.where(F.col("started_at") < split).groupBy("query_id").agg(
+        F.max_by("query_text", "started_at").alias("query_text"), F.min("started_at").alias("first_seen"),
+        F.max("started_at").alias("last_seen"))
+    cur = r.where(F.col("started_at") >= split).select("query_id", "query_text", "started_at")
+    return SK.upsert_dictionary(seen, cur, ["query_id"], "query_text", "started_at")
+
+
+@query("normalize_columns")
+def q_normalize_columns(spark, sf):
+    """SNK-03: dataset column names made safe; clashes and envelope names suffixed."""
+    ev = _t(spark, sf, "events")
+    raw = ev.select(F.col("event_id").alias("Event ID"), F.col("value").alias("1st value"),
+                    F.col("user_id").alias("User-Id"), (F.col("user_id") * 2).alias("user_id"),
+                    F.lit("x").alias("SERVER_ID"), F.col("ts").alias("Source_Collected_At"))
+    return SK.normalize_columns(raw)
+
+
+@query("flatten_to_text")
+def q_flatten_to_text(spark, sf):
+    """SNK-03 export: typed columns rendered as text (ISO timestamps)."""
+    ev = _t(spark, sf, "events")
+    return SK.flatten_to_text(ev.select("event_id", "ts", "value", (F.col("event_type") == "click").alias("is_click")))
+
+
+@query("append_and_read")
+def q_append_and_read(spark, sf):
+    """SNK-01 + SRC-01: two appends (the second adds a column), re-read with merged schema and a date range."""
+    path = scratch_path(spark, "runs")
+    r = B.runs(_t(spark, sf, "events")).withColumn("source_collected_at", F.col("started_at"))
+    base = ["run_id", "event_id", "query_id", "server_id", "source_collected_at", "status"]
+    SK.append_dataset(r.where("event_id % 2 = 0").select(*base), path)
+    SK.append_dataset(r.where("event_id % 2 = 1").select(*base, "row_count"), path)
+    back = R.read_samples(spark, path, dates=("2024-01-05", "2024-01-20"))
+    return back.select(*base, "row_count", "date")
+
+
+@query("replay_buffer")
+def q_replay_buffer(spark, sf):
+    """SNK-04 + SRC-04: samples spilled as JSON lines, replayed to rows, already-stored samples dropped."""
+    rows = B.landed_rows(_t(spark, sf, "events")).withColumn(
+        "received_at", F.col("sample_at") + F.expr("INTERVAL 1 MINUTE"))
+    samples = SK.nest_samples(rows, {"QueryId": "query_id", "ServerId": "server_id", "SourceCollectedAt": "sample_at",
+                                     "CollectorReceivedAt": "received_at"}, "event_id",
+                              ["event_id", "event_type", "value"])
+    root = scratch_path(spark, "buffer")
+    SK.spill_jsonl(samples, root)
+    stored = rows.where("query_id = 'Q00' AND server_id = 'srv-0'").select(
+        "query_id", "server_id", F.col("sample_at").cast("timestamp").alias("source_collected_at"))
+    back = R.replay_buffer(spark, root, stored)
+    return back.select("query_id", "server_id", F.col("source_collected_at").cast("timestamp_ntz")
+                       .alias("source_collected_at"), "row_ordinal",
+                       F.col("row")["event_id"].cast("long").alias("event_id"),
+                       F.col("row")["event_type"].alias("event_type"))
+
+
+@query("read_minute_metrics")
+def q_read_minute_metrics(spark, sf):
+    """SRC-07: a series landed twice (re-delivered hours) reads back one row per key, latest delivery."""
+    s = _series(spark, sf)
+    path = scratch_path(spark, "minute")
+    first = s.withColumn("ingested_at", F.col("time_utc") + F.expr("INTERVAL 5 MINUTES"))
+    again = s.where("hour(time_utc) % 3 = 0").withColumn("value", F.col("value") + 1).withColumn(
+        "ingested_at", F.col("time_utc") + F.expr("INTERVAL 2 HOURS"))
+    first.unionByName(again).write.mode("append").parquet(path)
+    return R.read_minute_metrics(spark, path).drop("ingested_at")

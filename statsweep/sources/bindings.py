@@ -791,3 +791,43 @@ def b8_progress(dialect: str) -> list[str]:
 
 def progress_rows(events: DataFrame, event_type: str) -> DataFrame:
     return events.where(F.col("event_type") == event_type).selectExpr(*b8_progress("spark"))
+
+
+# ------------------------------------------------------------- B12 runs and landed rows
+def b12_runs(dialect: str) -> list[str]:
+    """One collector run per event: query = user_id % 5, start = ts, end = start + floor(value * 20) s."""
+    m = {
+        "run_id": "'run-' || CAST(event_id AS STRING)", "event_id": "event_id",
+        "query_id": "'Q0' || CAST(user_id % 5 AS STRING)",
+        "server_id": "'srv-' || CAST(user_id % 2 AS STRING)",
+        "scheduled_at": "ts", "started_at": "ts", "completed_at": "ts + {secs:floor(value * 20)}",
+        "status": "CASE WHEN event_type = 'error' THEN 'error' ELSE 'ok' END",
+        "row_count": "CAST(user_id % 50 AS INT)",
+        "duration_ms": "CAST(floor(value * 20) AS BIGINT) * 1000",
+        "query_text": "'select ' || event_type || ' from t' || CAST(user_id % 5 AS STRING)",
+    }
+    return exprs(m, dialect)
+
+
+def b12_rows(dialect: str) -> list[str]:
+    """B12 landed rows: the rows of hourly runs (query, server, hour); receive clock = end of the event's run."""
+    m = {
+        "run_id": "'Q0' || CAST(user_id % 5 AS STRING) || ':' || CAST(user_id % 2 AS STRING) || ':' "
+                  "|| CAST(day(ts) AS STRING) || ':' || CAST(hour(ts) AS STRING)",
+        "query_id": "'Q0' || CAST(user_id % 5 AS STRING)",
+        "server_id": "'srv-' || CAST(user_id % 2 AS STRING)",
+        "sample_at": "{hour:ts}",
+        "source_collected_at": "ts", "collector_received_at": "ts + {secs:floor(value * 20)}",
+        "status": "CASE WHEN event_type = 'error' THEN 'error' ELSE 'ok' END",
+        "note": "CASE WHEN event_type = 'error' THEN 'failed' END",
+        "event_id": "event_id", "event_type": "event_type", "value": "value",
+    }
+    return exprs(m, dialect)
+
+
+def runs(events: DataFrame) -> DataFrame:
+    return events.selectExpr(*b12_runs("spark"))
+
+
+def landed_rows(events: DataFrame) -> DataFrame:
+    return events.selectExpr(*b12_rows("spark"))
