@@ -867,3 +867,35 @@ def q_read_minute_metrics(spark, sf):
         "ingested_at", F.col("time_utc") + F.expr("INTERVAL 2 HOURS"))
     first.unionByName(again).write.mode("append").parquet(path)
     return R.read_minute_metrics(spark, path).drop("ingested_at")
+
+
+# ------------------------------------------------------------- rule packs (RL-01..RL-27)
+from statsweep.plans import rules as RL  # noqa: E402
+from statsweep.plans.registry import QUERIES as _Q  # noqa: E402
+
+
+@query("io_eviction_baseline")
+def q_io_eviction_baseline(spark, sf):
+    """WN-08 input for RL-07: eviction rate over the key's week-1 average eviction rate."""
+    io = IV.interval_metrics(B.b1_dataset(_t(spark, sf, "events"), "io"), "io", tiebreak=["event_id"])
+    keys = list(IV.PRESETS["io"].keys)
+    base = io.where(F.col("source_collected_at") < F.lit("2024-01-08").cast("timestamp_ntz")).groupBy(*keys).agg(
+        F.avg("evictions_per_second").alias("baseline_evictions_per_second"))
+    j = io.join(base, keys, "left")
+    return j.select(*keys, "event_id", "source_collected_at", "evictions_per_second", "baseline_evictions_per_second",
+                    F.when(F.col("baseline_evictions_per_second") > 0,
+                           F.col("evictions_per_second") / F.col("baseline_evictions_per_second"))
+                    .alias("eviction_vs_baseline"))
+
+
+def _rules_query(pack: RL.Pack):
+    def build(spark, sf):
+        return RL.run_pack(_Q[pack.source](spark, sf), pack)
+
+    build.__name__ = f"q_rules_{pack.source}"
+    build.__doc__ = f"{pack.pack_id}: rule pack over '{pack.source}' ({', '.join(r.rule_id for r in pack.rules)})."
+    query(f"rules_{pack.source}")(build)
+
+
+for _p in RL.PACKS:
+    _rules_query(_p)
