@@ -899,3 +899,47 @@ def _rules_query(pack: RL.Pack):
 
 for _p in RL.PACKS:
     _rules_query(_p)
+
+
+# ------------------------------------------------------------- streaming (SM-01..SM-09)
+from statsweep.streaming import state as ST  # noqa: E402
+from statsweep.streaming.runner import StreamJob  # noqa: E402
+
+
+def _two_landings(job: StreamJob, df: DataFrame, time_col: str, split: str = SPLIT_AT):
+    cut = F.col(time_col) < F.lit(split).cast("timestamp_ntz")
+    return df.where(cut), df.where(~cut)
+
+
+@query("stream_counter_delta")
+def q_stream_counter_delta(spark, sf):
+    """SM-01: counter deltas on a stream; landed in two slices, the second run resumes from checkpointed state."""
+    s = B.counter_samples(_t(spark, sf, "events"))
+    job = StreamJob(spark, "counter-delta")
+    first, second = _two_landings(job, s, "source_collected_at")
+    for part in (first, second):
+        job.land(part)
+        stream = job.source(s.schema)
+        job.run(ST.stream_counter_delta(stream, ["server_id", "user_id"], "counter"))
+    return job.result().select(
+        "server_id", "user_id", "event_id", "source_collected_at", "stats_reset", "counter",
+        "counter_kind", "counter_delta", "counter_rate", "elapsed_seconds")
+
+
+@query("fire_triggers")
+def q_fire_triggers(spark, sf):
+    """SM-02 batch form: conditional follow-up events with per-target cooldown from the last fired event."""
+    cand = ST.trigger_candidates(B.trigger_samples(spark, _t(spark, sf, "events")))
+    return ST.fire_triggers(cand)
+
+
+@query("stream_fire_triggers")
+def q_stream_fire_triggers(spark, sf):
+    """SM-02 stream form: same events from two landed slices, last fired time kept in state."""
+    samples = B.trigger_samples(spark, _t(spark, sf, "events"))
+    job = StreamJob(spark, "triggers")
+    first, second = _two_landings(job, samples, "ts")
+    for part in (first, second):
+        job.land(part)
+        job.run(ST.stream_fire_triggers(ST.trigger_candidates(job.source(samples.schema))))
+    return job.result(ST.FIRED_SCHEMA)

@@ -831,3 +831,22 @@ def runs(events: DataFrame) -> DataFrame:
 
 def landed_rows(events: DataFrame) -> DataFrame:
     return events.selectExpr(*b12_rows("spark"))
+
+
+# ------------------------------------------------------------- SM-02 trigger samples
+def trigger_samples_sql(dialect: str) -> str:
+    """Stand-in collector samples (one per event): the condition columns the trigger rules read."""
+    return ("SELECT 'srv-' || CAST(user_id % 2 AS STRING) AS server_id, ts, event_id AS seq, "
+            "CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS lock_waiters, "
+            "CASE WHEN event_type = 'view' AND value > 60 THEN 1 ELSE 0 END AS autovacuum_workers, "
+            "CASE WHEN event_type = 'signup' AND value > 50 THEN 2 ELSE 0 END AS parallel_workers, "
+            "CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS cl_waiting, "
+            "CASE WHEN event_type = 'error' AND value > 50 THEN CAST(floor(value) AS BIGINT) ELSE 0 END AS maxwait, "
+            "CASE WHEN event_type = 'error' AND value > 80 THEN 0 ELSE 1 END AS sv_idle, "
+            "CASE WHEN event_type = 'view' AND value > 90 THEN 1 ELSE 0 END AS sv_tested, 0 AS sv_login, "
+            "CASE WHEN event_type = 'click' AND value > 70 THEN 1 ELSE 0 END AS checkpoint_delta FROM events"
+            ).replace("AS STRING", "AS STRING" if dialect == "spark" else "AS VARCHAR")
+
+
+def trigger_samples(spark: SparkSession, events: DataFrame) -> DataFrame:
+    return _over(spark, events, "events", trigger_samples_sql("spark"))
