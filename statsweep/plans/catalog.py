@@ -7,6 +7,8 @@ oracle for the same name is in ``statsweep.plans.oracle``.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -943,3 +945,127 @@ def q_stream_fire_triggers(spark, sf):
         job.land(part)
         job.run(ST.stream_fire_triggers(ST.trigger_candidates(job.source(samples.schema))))
     return job.result(ST.FIRED_SCHEMA)
+
+
+from statsweep.streaming import windows as SW  # noqa: E402
+
+
+def _hourly_aggs():
+    return [F.count(F.lit(1)).alias("events"), F.sum(F.round(F.col("value") * 100).cast("long")).alias("cents"),
+            F.max("value").alias("max_value")]
+
+
+def _stream_hourly(spark, sf, name):
+    ev = _t(spark, sf, "events").withColumn("server_id", F.concat(F.lit("srv-"), (F.col("user_id") % 2).cast("string")))
+    return ev, StreamJob(spark, name)
+
+
+@query("stream_incremental")
+def q_stream_incremental(spark, sf):
+    """SM-03: window wait rows read exactly once across two runs (checkpointed progress), joined to runtime."""
+    w, rt = _waits(spark, sf)
+    job = StreamJob(spark, "incremental")
+    ragg = QS.runtime_by_window(rt).select(*QS.RUNTIME_KEYS, "runtime_calls")
+    first, second = _two_landings(job, w, "end_time")
+    for part in (first, second):
+        job.land(part)
+        job.run(job.source(w.schema).join(ragg, list(QS.RUNTIME_KEYS), "left"))
+    return job.result()
+
+
+@query("tumbling_summary")
+def q_tumbling_summary(spark, sf):
+    """SM-04: hourly tumbling summaries per server over the event stream (two landed slices)."""
+    ev, job = _stream_hourly(spark, sf, "tumbling")
+    first, second = _two_landings(job, ev, "ts")
+    sink = os.path.join(job.sink, "summary")
+    for part in (first, second):
+        job.land(part)
+        job.run(SW.tumbling_summary(job.source(ev.schema), "ts", ["server_id"], "1 hour", _hourly_aggs()),
+                "update", SW.batch_appender(sink))
+    return SW.latest_per_key(spark, sink, ["server_id", "window_start"])
+
+
+@query("sliding_threshold")
+def q_sliding_threshold(spark, sf):
+    """SM-05: 3-hour windows sliding by 1 hour over the metric series; average at or above 80."""
+    s = _series(spark, sf)
+    job = StreamJob(spark, "sliding")
+    sink = os.path.join(job.sink, "sliding")
+    first, second = _two_landings(job, s, "time_utc")
+    for part in (first, second):
+        job.land(part)
+        job.run(SW.sliding_threshold(job.source(s.schema), "time_utc", list(SE.SERIES), "value", "3 hours",
+                                     "1 hour", 80.0), "update", SW.batch_appender(sink))
+    out = SW.latest_per_key(spark, sink, [*SE.SERIES, "window_start"])
+    return out.withColumn("avg_value", F.round("avg_value", 6))
+
+
+@query("blocking_episodes")
+def q_blocking_episodes(spark, sf):
+    """SM-06: lock-wait episodes per session (purchases as lock waits), ending after a 12-hour gap."""
+    ev = _t(spark, sf, "events").where(F.col("event_type") == "purchase").select(
+        F.concat(F.lit("srv-"), (F.col("user_id") % 2).cast("string")).alias("server_id"),
+        F.col("user_id").alias("pid"), "ts", F.col("value").alias("wait_seconds"))
+    job = StreamJob(spark, "episodes")
+    first, second = _two_landings(job, ev, "ts")
+    # later samples with nothing blocked: the sampling goes on and moves event time forward
+    quiet = ev.groupBy("server_id").agg((F.max("ts") + F.expr("INTERVAL 2 DAYS")).alias("ts")).select(
+        "server_id", F.lit(None).cast("long").alias("pid"), "ts", F.lit(None).cast("double").alias("wait_seconds"))
+    for part in (first, second, quiet, quiet.withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 DAY"))):
+        job.land(part)
+        job.run(SW.blocking_episodes(job.source(ev.schema), "ts", ["server_id", "pid"], "wait_seconds", "12 hours"))
+    return job.result()
+
+
+@query("stream_dedupe")
+def q_stream_dedupe(spark, sf):
+    """SM-07: runs landed with re-delivered copies come out once per run id."""
+    r = B.runs(_t(spark, sf, "events"))
+    job = StreamJob(spark, "dedupe")
+    first, second = _two_landings(job, r, "started_at")
+    job.land(first.unionByName(first.where("event_id % 4 = 0")))
+    job.run(SW.stream_dedupe(job.source(r.schema), ["run_id"], "started_at"))
+    job.land(second.unionByName(second.where("event_id % 3 = 0")))
+    job.run(SW.stream_dedupe(job.source(r.schema), ["run_id"], "started_at"))
+    return job.result().select("run_id", "query_id", "server_id", "started_at", "completed_at", "status")
+
+
+@query("late_backfill")
+def q_late_backfill(spark, sf):
+    """SM-08: hourly summaries; rows landed after the 2-hour watermark are dropped by the stream and
+    their windows are recomputed in batch, giving the complete summary."""
+    ev, job = _stream_hourly(spark, sf, "backfill")
+    split = F.lit(SPLIT_AT).cast("timestamp_ntz")
+    held = (F.col("event_id") % 10 == 0) & (F.col("ts") < split)
+    landed = ev.withColumn("arrived_at", F.when(held, F.lit("2024-02-01 00:00:00").cast("timestamp_ntz"))
+                           .otherwise(F.col("ts")))
+    sink = os.path.join(job.sink, "summary")
+    for part in (landed.where(~held & (F.col("ts") < split)), landed.where(F.col("ts") >= split),
+                 landed.where(held)):
+        job.land(part)
+        job.run(SW.tumbling_summary(job.source(landed.schema), "ts", ["server_id"], "1 hour", _hourly_aggs(),
+                                    watermark="2 hours"), "update", SW.batch_appender(sink))
+    summary = SW.latest_per_key(spark, sink, ["server_id", "window_start"])
+    all_landed = spark.read.schema(landed.schema).option("recursiveFileLookup", "true").parquet(job.landing)
+    late = SW.late_rows(all_landed, "ts", "arrived_at", 2 * 3600)
+
+    def recompute(rows):
+        return rows.groupBy("server_id", "window_start").agg(*_hourly_aggs()).withColumn(
+            "window_end", F.col("window_start") + F.expr("INTERVAL 1 HOUR"))
+
+    return SW.late_backfill(summary, all_landed, late, "ts", lambda c: B.trunc("hour", c), ["server_id"], recompute)
+
+
+@query("write_multi")
+def q_write_multi(spark, sf):
+    """SM-09: each micro-batch of landed rows written to a rows dataset and a run ledger, idempotent by batch id."""
+    rows = B.landed_rows(_t(spark, sf, "events"))
+    job = StreamJob(spark, "multi")
+    targets = {"rows": lambda df: df, "ledger": LG.run_ledger}
+    writer = SW.write_multi(targets, job.sink, fallback=os.path.join(job.sink, "_fallback"))
+    early = F.col("query_id").isin("Q00", "Q01", "Q02")
+    for part in (rows.where(early), rows.where(~early)):
+        job.land(part)
+        job.run(job.source(rows.schema), foreach_batch=writer)
+    return spark.read.parquet(os.path.join(job.sink, "ledger")).drop("batch_id")
