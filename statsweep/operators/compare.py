@@ -86,14 +86,14 @@ def pool_effectiveness(activity: DataFrame, pools: DataFrame, load: DataFrame, s
     q = pools.where(~before).groupBy(*k).agg(
         (F.lit(100.0) * F.count_if(F.col("cl_waiting") == 0) / F.count(F.lit(1))).alias("queue_free_sample_percent"),
         _p("oldest_client_wait_seconds", 0.99).alias("pool_wait_p99_seconds"))
-    lat = load.agg(_p_when("latency_ms", F.col("test_run_id") == "baseline", 0.99).alias("baseline_k6_p99"),
-                   _p_when("latency_ms", F.col("test_run_id") == "after", 0.99).alias("after_k6_p99"))
+    lat = load.agg(_p_when("latency_ms", F.col("test_run_id") == "baseline", 0.99).alias("baseline_latency_p99"),
+                   _p_when("latency_ms", F.col("test_run_id") == "after", 0.99).alias("after_latency_p99"))
     j = (conn.join(mux, k, "left").join(q, k, "left").withColumn("_one", F.lit(1))
          .join(F.broadcast(lat.withColumn("_one", F.lit(1))), "_one", "left").drop("_one"))
     red = F.when(F.col("baseline_p95") != 0,
                  F.lit(100.0) * (F.col("baseline_p95") - F.col("after_p95")) / F.col("baseline_p95"))
-    reg = F.when(F.col("baseline_k6_p99") != 0,
-                 F.lit(100.0) * (F.col("after_k6_p99") - F.col("baseline_k6_p99")) / F.col("baseline_k6_p99"))
+    reg = F.when(F.col("baseline_latency_p99") != 0,
+                 F.lit(100.0) * (F.col("after_latency_p99") - F.col("baseline_latency_p99")) / F.col("baseline_latency_p99"))
     j = j.select(*k, red.alias("reduction"), reg.alias("regression"),
                  F.when(F.col("pgb_server_p95") != 0, F.col("pgb_client_p95") / F.col("pgb_server_p95"))
                  .alias("mux"), "queue_free_sample_percent", "pool_wait_p99_seconds")

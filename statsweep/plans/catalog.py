@@ -24,6 +24,7 @@ def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
 # ----------------------------------------------------------------- WN-01
 @query("counter_delta")
 def q_counter_delta(spark, sf):
+    """WN-01: per-user counter deltas and rates with reset detection (first / reset / delta)."""
     s = B.counter_samples(_t(spark, sf, "events"))
     d = deltas.counter_delta(
         s, ["server_id", "user_id"], ["counter"], tiebreak=["event_id"]
@@ -134,12 +135,14 @@ def q_sessions_by_backend_type(spark, sf):
 
 @query("wait_type_counts")
 def q_wait_type_counts(spark, sf):
+    """AG-03: active client sessions per wait type (null type as CPU_or_not_waiting)."""
     s, _ = _sessions(spark, sf)
     return A.wait_type_counts(s)
 
 
 @query("wait_event_counts")
 def q_wait_event_counts(spark, sf):
+    """AG-04: active waiting client sessions per wait type and event with the longest query age."""
     s, _ = _sessions(spark, sf)
     return A.wait_event_counts(s)
 
@@ -153,6 +156,7 @@ def q_waits_by_query(spark, sf):
 
 @query("system_backend_waits")
 def q_system_backend_waits(spark, sf):
+    """AG-06: waits of non-client processes per backend type and event."""
     s, _ = _sessions(spark, sf)
     return A.system_backend_waits(s)
 
@@ -1069,3 +1073,20 @@ def q_write_multi(spark, sf):
         job.land(part)
         job.run(job.source(rows.schema), foreach_batch=writer)
     return spark.read.parquet(os.path.join(job.sink, "ledger")).drop("batch_id")
+
+
+@query("cpu_efficiency")
+def q_cpu_efficiency(spark, sf):
+    """AG-24 efficiency: successful requests per second per CPU percent, per run day."""
+    ev = _t(spark, sf, "events")
+    daily = B.load_daily(spark, ev).select("test_run_id", "ts", "successful_rps")
+    cpu = B.metric_series(spark, ev).groupBy(B.trunc("day", "time_utc").alias("ts")).agg(
+        F.round(F.avg("value"), 6).alias("cpu_percent"))
+    out = CP.efficiency(daily, cpu, ["ts"])
+    return out.withColumn("successful_rps_per_cpu_percent", F.round("successful_rps_per_cpu_percent", 9))
+
+
+@query("wait_dictionary")
+def q_wait_dictionary(spark, sf):
+    """PRJ-17: wait event dictionary rows, one per version, type and event."""
+    return V.wait_dictionary_rows(B.wait_dictionary(spark, _t(spark, sf, "events")))

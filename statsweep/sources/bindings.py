@@ -745,7 +745,7 @@ def b14_capacity_sql(dialect: str) -> str:
     return _dialect(
         "SELECT server_id, week_start AS effective_from, "
         "LEAD(week_start) OVER (PARTITION BY server_id ORDER BY week_start) AS effective_to, "
-        "CAST(16 * rn AS INT) AS provisioned_vcores, 'GP_Standard_D' || CAST(16 * rn AS STRING) AS sku FROM ("
+        "CAST(16 * rn AS INT) AS provisioned_vcores, 'vcores-' || CAST(16 * rn AS STRING) AS sku FROM ("
         "SELECT server_id, week_start, ROW_NUMBER() OVER (PARTITION BY server_id ORDER BY week_start) AS rn FROM ("
         "SELECT DISTINCT 'srv-' || CAST(user_id % 2 AS STRING) AS server_id, {week:ts} AS week_start "
         "FROM events) w) r", dialect)
