@@ -5,8 +5,8 @@ window ``partitionBy(key).orderBy(time)``; it puts the whole history of a key in
 one task, so a key that holds a third of all rows becomes a third of the job in
 one task. ``with_previous`` instead partitions by ``(key, time bucket)`` and gives
 the first row of each bucket the last row of the key's latest earlier bucket,
-taken from a small carry table (one row per key and bucket) that is joined back
-on (key, bucket), so the big input is shuffled exactly once.
+taken from a small carry table (one row per key and bucket) whose rows are
+unioned in front of their bucket, so the big input is shuffled exactly once.
 """
 
 from __future__ import annotations
@@ -36,22 +36,6 @@ def _cols(xs: Sequence[str | Column]) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
-def _surrogate_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    """Non-null stand-ins for possibly-null keys: ``coalesce(k, default)`` plus ``isnull(k)``.
-
-    Equality on the pair equals null-safe equality on ``k``, and plain equi-joins and
-    hash partitioning on non-null columns line up, so a join on them can reuse the
-    window's partitioning instead of shuffling the data again.
-    """
-    types = {f.name: f.dataType for f in df.schema.fields}
-    cols, names = [], []
-    for i, k in enumerate(keys):
-        default = F.lit("") if types[k].simpleString() == "string" else F.lit(0).cast(types[k])
-        cols += [F.coalesce(F.col(k), default).alias(f"_k{i}"), F.col(k).isNull().alias(f"_n{i}")]
-        names += [f"_k{i}", f"_n{i}"]
-    return df.select("*", *cols), names
-
-
 def with_previous(
     df: DataFrame,
     keys: Sequence[str],
@@ -67,14 +51,13 @@ def with_previous(
     the first row of a key gets ``out = null``. With ``bucket_seconds=None`` this
     is a plain ``lag`` over ``partitionBy(keys)``.
 
-    Bucketed plan (default): the data is hash-partitioned once by (key, bucket) and a
-    ``lag`` runs inside each bucket. The last row of every bucket comes from a grouped
-    ``max_by`` over the input with map-side partial aggregation (a small shuffle); a
-    ``lag`` over this per-bucket table (partitioned by key, one row per bucket) gives
-    each bucket the last row of the key's previous bucket with data, and that carry
-    is joined back on (key, bucket). The big input is shuffled once (the carry side
-    reads only the key, time and field columns), and a hot key is spread over its
-    buckets.
+    Bucketed plan (default): the last row of every (key, bucket) comes from a grouped
+    ``max_by`` with map-side partial aggregation (a small shuffle); a ``lag`` over that
+    per-bucket table (one row per bucket, partitioned by key) gives each bucket the
+    last row of the key's previous bucket with data. These carry rows are unioned in
+    front of their bucket and a single ``lag`` runs over ``partitionBy(key, bucket)``:
+    the big input is shuffled once, and a hot key is spread over its buckets. Null
+    keys group together, as in a plain window.
     """
     keys = list(keys)
     order = list(order)
@@ -84,18 +67,18 @@ def with_previous(
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn(out, F.lag(payload).over(w))
 
-    data, sk = _surrogate_keys(df, keys)
-    data = data.withColumn("_bkt", F.floor(epoch_micros(time_col) / F.lit(bucket_seconds * 1_000_000)))
-    part = [*sk, "_bkt"]
-    # per-bucket last rows straight from the input: partial aggregation before the shuffle,
-    # so only one row per (key, bucket, input split) moves
+    data = df.withColumn("_bkt", F.floor(epoch_micros(time_col) / F.lit(bucket_seconds * 1_000_000)))
     order_struct = F.struct(*[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)])
-    last = data.groupBy(*part).agg(F.max_by(payload, order_struct).alias("_last"))
-    w = Window.partitionBy(*part).orderBy(*order)
-    lagged = data.repartition(*[F.col(c) for c in part]).withColumn("_in", F.lag(payload).over(w))
-    carry = last.select(*part, F.lag("_last").over(Window.partitionBy(*sk).orderBy("_bkt")).alias("_carry"))
-    j = lagged.join(carry, part, "left")
-    return j.withColumn(out, F.coalesce(F.col("_in"), F.col("_carry"))).drop("_in", "_carry", "_bkt", *sk)
+    last = data.groupBy(*keys, "_bkt").agg(F.max_by(payload, order_struct).alias("_last"))
+    wk = Window.partitionBy(*keys).orderBy("_bkt")
+    carry = last.select(*keys, "_bkt", F.lag("_last").over(wk).alias("_carry")).where(F.col("_carry").isNotNull())
+    data_side = data.select("*", F.lit(1).alias("_src"), F.lit(None).cast(payload_type(df, fields)).alias("_carry"))
+    carry_side = carry.select(*keys, "_bkt", F.lit(0).alias("_src"), "_carry")
+    merged = data_side.unionByName(carry_side, allowMissingColumns=True)
+    w = Window.partitionBy(*keys, "_bkt").orderBy(F.col("_src"), *order)
+    prev_payload = F.when(F.col("_src") == 0, F.col("_carry")).otherwise(payload)
+    merged = merged.withColumn(out, F.lag(prev_payload).over(w))
+    return merged.where(F.col("_src") == 1).drop("_src", "_carry", "_bkt")
 
 
 def payload_type(df: DataFrame, fields: Sequence[str]) -> str:
