@@ -79,9 +79,10 @@ def align_asof(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time
     """JN-16: for each left row, the latest right row of the same key at or before it.
 
     Both sides are unioned and tagged; within each (key, time bucket) a running
-    ``last(ignorenulls)`` picks the latest right row, and a small per-bucket carry
-    table supplies the latest right row of earlier buckets. One shuffle of the data
-    by (key, bucket); no inequality join, and a hot key is split across buckets.
+    ``last(ignorenulls)`` picks the latest right row. A small per-bucket carry table
+    (latest right row of the key's earlier buckets) is unioned in front of each
+    bucket, so one shuffle of the data by (key, bucket) and one window do the work:
+    no inequality join, no join back, and a hot key is split across buckets.
     With ``tolerance_s``, a match older than that is dropped (null).
     """
     keys = list(keys)
@@ -99,11 +100,14 @@ def align_asof(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time
     carry = all_b.join(last_r, [*keys, "_bkt"], "left").select(
         *keys, "_bkt",
         F.last("_last", ignorenulls=True).over(
-            Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"))
-    u = l2.unionByName(r2, allowMissingColumns=True)
-    w = Window.partitionBy(*keys, "_bkt").orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    u = u.withColumn("_in", F.last("_r", ignorenulls=True).over(w)).where(F.col("_side") == 1)
-    u = u.join(carry, [*keys, "_bkt"], "left").withColumn("_m", F.coalesce("_in", "_carry"))
+            Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)).alias("_r"))
+    # carry rows go first in their bucket (null time, side -1), so one running last() sees them
+    carry_rows = carry.where(F.col("_r").isNotNull()).select(
+        *keys, "_bkt", F.lit(None).cast(l2.schema["_t"].dataType).alias("_t"), F.lit(-1).alias("_side"), "_r")
+    u = l2.unionByName(r2, allowMissingColumns=True).unionByName(carry_rows, allowMissingColumns=True)
+    w = (Window.partitionBy(*keys, "_bkt").orderBy(F.col("_t").asc_nulls_first(), "_side")
+         .rowsBetween(Window.unboundedPreceding, 0))
+    u = u.withColumn("_m", F.last("_r", ignorenulls=True).over(w)).where(F.col("_side") == 1)
     if tolerance_s is not None:
         age = (epoch_micros("_t") - epoch_micros(F.col("_m._rt"))) / F.lit(1e6)
         u = u.withColumn("_m", F.when(age <= F.lit(float(tolerance_s)), F.col("_m")))
