@@ -51,3 +51,25 @@ def test_hot_key_is_split_across_buckets(spark):
     assert out.where(F.col("c_kind") == "delta").count() == 199
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "_bkt" in plan
+
+
+def test_hot_key_spreads_over_partitions(spark):
+    """One key with ~95% of the rows: the bucketed window spreads it; a plain key window cannot."""
+    hot = [("s", 1, T0 + dt.timedelta(minutes=m), T0, m, m) for m in range(6000)]
+    cold = [("s", k, T0 + dt.timedelta(minutes=m), T0, m, 100000 * k + m) for k in range(2, 12) for m in range(30)]
+    df = _rows(spark, hot + cold)
+    prev = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        def max_share(bucket):
+            out = with_previous(df, ["server_id", "k"], ["source_collected_at", "seq"], ["c"],
+                                "source_collected_at", "p", bucket)
+            used = out.where(F.col("p").isNotNull() | F.col("p").isNull())  # keep the window in the plan
+            sizes = [r["n"] for r in used.groupBy(F.spark_partition_id().alias("pid"))
+                     .agg(F.count("p").alias("n")).collect()]
+            return max(sizes) / sum(sizes)
+
+        assert max_share(None) > 0.9
+        assert max_share(3600) < 0.35
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", prev)
