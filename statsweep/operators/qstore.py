@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statsweep.functions.scalars import PLAN_FLAGS, classify_wait, plan_features
@@ -60,8 +60,12 @@ def window_waits(waits: DataFrame, runtime: DataFrame, period_ms: float) -> Data
     w = waits.select(*RUNTIME_KEYS, "event_type", "event", F.col("calls").alias("wait_sample_count"),
                      (F.col("calls") * F.lit(period_ms)).alias("estimated_sampled_wait_ms"))
     j = attach_runtime(w, runtime_by_window(runtime))
+    # The join leaves the rows hash-partitioned by the query-window keys, so this total is a
+    # window with no exchange (its group is one query's wait events in one window, bounded).
+    j = j.withColumn("query_window_wait_samples",
+                     F.sum("wait_sample_count").over(Window.partitionBy(*RUNTIME_KEYS)))
+    # A whole window of a server can be large: grouped total joined back (skew-splittable).
     j = share_over(j, "wait_sample_count", WINDOW, "all_window_wait_samples")
-    j = share_over(j, "wait_sample_count", RUNTIME_KEYS, "query_window_wait_samples")
     n = F.col("wait_sample_count")
     calls = F.col("runtime_calls")
     return j.select(
