@@ -44,7 +44,7 @@ def overlapping_runs(ledger: DataFrame, keys: Sequence[str] = ("server_id", "que
 
 def collector_health(ledger: DataFrame, cadence: Mapping[str, int], keys: Sequence[str] = ("server_id", "query_id"),
                      scale: int = 6) -> DataFrame:
-    """AG-27: run duration P50/P95, share of runs over 2 s and 5 s, and missed ticks against cadence.
+    """AG-27: run duration P50/P95 (exact, distributed), share of runs over 2 s and 5 s, missed ticks.
 
     Missed ticks between consecutive runs = ``max(0, round(gap / cadence) - 1)``.
     """
@@ -57,10 +57,15 @@ def collector_health(ledger: DataFrame, cadence: Mapping[str, int], keys: Sequen
     d = F.col("duration_ms") / 1000.0
     g = x.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("runs"),
-        F.round(F.percentile("duration_ms", F.lit(0.5)), scale).alias("duration_ms_p50"),
-        F.round(F.percentile("duration_ms", F.lit(0.95)), scale).alias("duration_ms_p95"),
         F.count_if(d > SLOW_RUN_S).alias("runs_over_2s"),
         F.count_if(d > VERY_SLOW_RUN_S).alias("runs_over_5s"),
         F.sum("_missed").alias("missed_ticks"))
-    return g.select("*", F.round(F.lit(100.0) * F.col("runs_over_2s") / F.col("runs"), 2).alias("over_2s_percent"),
+    from statsweep.functions.quantiles import exact_percentiles
+
+    pct = exact_percentiles(ledger, keys, "duration_ms", [0.5, 0.95], ["duration_ms_p50", "duration_ms_p95"])
+    g = g.join(pct, list(keys), "left")
+    return g.select(*keys, "runs", F.round("duration_ms_p50", scale).alias("duration_ms_p50"),
+                    F.round("duration_ms_p95", scale).alias("duration_ms_p95"), "runs_over_2s", "runs_over_5s",
+                    "missed_ticks",
+                    F.round(F.lit(100.0) * F.col("runs_over_2s") / F.col("runs"), 2).alias("over_2s_percent"),
                     F.round(F.lit(100.0) * F.col("runs_over_5s") / F.col("runs"), 2).alias("over_5s_percent"))

@@ -136,21 +136,28 @@ def summarize_series(series: DataFrame, keys: Sequence[str], value: str = "value
                      accuracy: int = 10_000, scale: int = 6) -> DataFrame:
     """AG-19: min, max, avg, P50/P90/P95/P99 and sample count per key (e.g. series and phase).
 
-    ``exact=True`` uses ``percentile`` (continuous, like ``percentile_cont``), which
-    buffers a group's values; ``exact=False`` uses ``percentile_approx`` with bounded
-    memory per group (relative rank error about 1/accuracy).
+    ``exact=True``: continuous percentiles (``percentile_cont``) by a distributed sort
+    (``functions.quantiles.exact_percentiles``), so no group is buffered in one task.
+    ``exact=False``: ``percentile_approx`` in the same aggregation pass, bounded memory per
+    group (relative rank error about 1/accuracy).
     """
     qs = [0.5, 0.9, 0.95, 0.99]
+    names = [f"p{int(q * 100)}" for q in qs]
+    base = [F.min(value).alias("min_value"), F.max(value).alias("max_value"), F.avg(value).alias("_avg"),
+            F.count(value).alias("sample_count")]
     if exact:
-        pct = F.percentile(value, F.array(*[F.lit(q) for q in qs]))
+        from statsweep.functions.quantiles import exact_percentiles
+
+        g = series.groupBy(F.struct(*[F.col(k) for k in keys]).alias("_g")).agg(*base)
+        p = exact_percentiles(series, keys, value, qs, names).select(
+            F.struct(*[F.col(k) for k in keys]).alias("_g"), *names)
+        g = g.join(p, "_g", "left").select(*[F.col("_g")[k].alias(k) for k in keys], "*")
     else:
         pct = F.percentile_approx(value, [*qs], accuracy).cast("array<double>")
-    g = series.groupBy(*keys).agg(
-        F.min(value).alias("min_value"), F.max(value).alias("max_value"),
-        F.avg(value).alias("_avg"), pct.alias("_p"), F.count(value).alias("sample_count"))
+        g = series.groupBy(*keys).agg(*base, pct.alias("_p")).select(
+            "*", *[F.col("_p")[i].alias(n) for i, n in enumerate(names)])
     return g.select(*keys, "min_value", "max_value", F.round("_avg", scale).alias("avg_value"),
-                    *[F.round(F.col("_p")[i], scale).alias(f"p{int(q * 100)}") for i, q in enumerate(qs)],
-                    "sample_count")
+                    *[F.round(n, scale).alias(n) for n in names], "sample_count")
 
 
 def breach_summary(series: DataFrame, keys: Sequence[str], cadence_s: int, thresholds: Sequence[float] = (70, 80, 90),
