@@ -919,14 +919,16 @@ def _two_landings(job: StreamJob, df: DataFrame, time_col: str, split: str = SPL
 
 @query("stream_counter_delta")
 def q_stream_counter_delta(spark, sf):
-    """SM-01: counter deltas on a stream; landed in two slices, the second run resumes from checkpointed state."""
+    """SM-01: counter deltas on a stream; landed in two slices, the second run resumes from checkpointed state.
+
+    The idle-key TTL (30 days) is longer than any gap in this history, so the result equals batch WN-01."""
     s = B.counter_samples(_t(spark, sf, "events"))
     job = StreamJob(spark, "counter-delta")
     first, second = _two_landings(job, s, "source_collected_at")
     for part in (first, second):
         job.land(part)
         stream = job.source(s.schema)
-        job.run(ST.stream_counter_delta(stream, ["server_id", "user_id"], "counter"))
+        job.run(ST.stream_counter_delta(stream, ["server_id", "user_id"], "counter", idle_ttl="30 days"))
     return job.result().select(
         "server_id", "user_id", "event_id", "source_collected_at", "stats_reset", "counter",
         "counter_kind", "counter_delta", "counter_rate", "elapsed_seconds")

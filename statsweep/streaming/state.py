@@ -59,14 +59,20 @@ def _delta_frame(pdf: pd.DataFrame, prev: tuple | None, time_col: str, tb_col: s
 
 
 def stream_counter_delta(stream: DataFrame, keys: Sequence[str], counter: str, time_col: str = "source_collected_at",
-                         reset_col: str = "stats_reset", tiebreak: str = "event_id") -> DataFrame:
+                         reset_col: str = "stats_reset", tiebreak: str = "event_id", idle_ttl: str = "1 day",
+                         watermark: str = "1 hour") -> DataFrame:
     """SM-01: WN-01 on a stream, the last sample kept per key in state.
 
     Rows of a key are ordered by ``(time, tiebreak)`` within the micro-batch; rows
-    not newer than the state (late or replayed samples) are dropped.
+    not newer than the state (late or replayed samples) are dropped. A key's state
+    expires by event time once the watermark passes its last sample plus
+    ``idle_ttl``, so state holds the active series only; a series that comes back
+    after that starts again with a 'first' sample (like a collector restart).
     """
     keys = list(keys)
-    in_schema = stream.schema
+    ttl_ms = _interval_ms(idle_ttl)
+    stream = stream.withColumn("_et", F.col(time_col).cast("timestamp")).withWatermark("_et", watermark)
+    in_schema = StructType([f for f in stream.schema.fields if f.name != "_et"])
     out_schema = StructType(list(in_schema.fields))
     out_schema = (out_schema.add(f"{counter}_kind", "string").add(f"{counter}_delta", "long")
                   .add(f"{counter}_rate", "double").add("elapsed_seconds", "double"))
@@ -74,7 +80,10 @@ def stream_counter_delta(stream: DataFrame, keys: Sequence[str], counter: str, t
     cols = [f.name for f in in_schema.fields]
 
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(pdfs), ignore_index=True)
+        if state.hasTimedOut:
+            state.remove()
+            return
+        pdf = pd.concat(list(pdfs), ignore_index=True).drop(columns=["_et"])
         pdf = pdf.sort_values([time_col, tiebreak], kind="stable").reset_index(drop=True)
         prev = state.get if state.exists else None
         if prev is not None:
@@ -86,10 +95,18 @@ def stream_counter_delta(stream: DataFrame, keys: Sequence[str], counter: str, t
             return
         out, last = _delta_frame(pdf, prev, time_col, tiebreak, counter, reset_col)
         state.update(last)
+        state.setTimeoutTimestamp(int(last[0] // 1000) + ttl_ms)
         yield out[[*cols, f"{counter}_kind", f"{counter}_delta", f"{counter}_rate", "elapsed_seconds"]]
 
     return stream.groupBy(*keys).applyInPandasWithState(fn, out_schema, state_schema, "append",
-                                                        GroupStateTimeout.NoTimeout)
+                                                        GroupStateTimeout.EventTimeTimeout)
+
+
+def _interval_ms(text: str) -> int:
+    """'30 seconds' / '15 minutes' / '1 day' as milliseconds."""
+    n, unit = text.split()
+    mult = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
+    return int(float(n) * mult * 1000)
 
 
 # ------------------------------------------------------------------ SM-02 triggers
@@ -175,16 +192,27 @@ def fire_triggers(candidates: DataFrame) -> DataFrame:
     return seg.groupBy(*keys, day).applyInPandas(fn, FIRED_SCHEMA)
 
 
-def stream_fire_triggers(candidates: DataFrame) -> DataFrame:
-    """SM-02 stream form: the last fired time per (server, target) kept in state."""
+def stream_fire_triggers(candidates: DataFrame, watermark: str = "1 minute") -> DataFrame:
+    """SM-02 stream form: the last fired time per (server, target) kept in state.
+
+    The state matters only until the cooldown has passed (the next candidate fires
+    anyway), so it expires by event time at ``last fired + cooldown``: state holds
+    only targets inside a cooldown.
+    """
+    c = candidates.withColumn("_et", F.col("ts").cast("timestamp")).withWatermark("_et", watermark)
+
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(pdfs), ignore_index=True)
+        if state.hasTimedOut:
+            state.remove()
+            return
+        pdf = pd.concat(list(pdfs), ignore_index=True).drop(columns=["_et"])
         last = state.get[0] if state.exists else None
         res, last = _fold(pdf, last)
         if last is not None:
             state.update((last,))
+            state.setTimeoutTimestamp(int(last // 1000) + int(pdf["cooldown_s"].iloc[0]) * 1000)
         if len(res):
             yield res
 
-    return candidates.groupBy("server_id", "target").applyInPandasWithState(
-        fn, FIRED_SCHEMA, "last_fired_us long", "append", GroupStateTimeout.NoTimeout)
+    return c.groupBy("server_id", "target").applyInPandasWithState(
+        fn, FIRED_SCHEMA, "last_fired_us long", "append", GroupStateTimeout.EventTimeTimeout)
