@@ -1092,3 +1092,51 @@ def q_cpu_efficiency(spark, sf):
 def q_wait_dictionary(spark, sf):
     """PRJ-17: wait event dictionary rows, one per version, type and event."""
     return V.wait_dictionary_rows(B.wait_dictionary(spark, _t(spark, sf, "events")))
+
+
+@query("parallel_group_share")
+def q_parallel_group_share(spark, sf):
+    """RL-02 input: each parallel query's share of the sample's active parallel workers (JN-06 + JN-08)."""
+    s, settings = _sessions(spark, sf)
+    totals = A.activity_summary(s, settings).select(*A.SAMPLE, "active_parallel_workers")
+    g = A.attach_scalars(A.parallel_groups(s).drop("workers"), totals)
+    return g.select(*A.SAMPLE, "leader_pid", "query_id", "launched_worker_count", "active_parallel_workers",
+                    S.safe_percent("launched_worker_count", "active_parallel_workers").alias("worker_pool_share_percent"))
+
+
+@query("allocation_changes")
+def q_allocation_changes(spark, sf):
+    """WN-10 input for RL-15: each allocation's total size against its previous sample."""
+    a = CA.allocation_shares(B.allocations(_t(spark, sf, "orders")))
+    keys = ["server_id", "allocation_name"]
+    tot = a.groupBy(*keys, "source_collected_at").agg(F.sum("allocated_size").alias("allocated_size"))
+    out = SE.changes(tot, "allocated_size", keys, "source_collected_at", min_pct=0.0)
+    return out.where(F.col("previous_value").isNotNull()).select(
+        *keys, "source_collected_at", "allocated_size", "previous_value",
+        F.round("change_percent", 6).alias("change_percent"))
+
+
+@query("maintenance_stalled")
+def q_maintenance_stalled(spark, sf):
+    """WN-09 input for RL-12: maintenance progress unchanged for 5 minutes while running."""
+    m = q_maintenance_progress(spark, sf)
+    out = SE.stalled(m, "heap_blks", 300, ["server_id", "operation_type", "pid"], "source_collected_at")
+    return out.select("server_id", "operation_type", "pid", "source_collected_at", "heap_blks", "unchanged_seconds",
+                      "stalled")
+
+
+for _p in (
+    RL.Pack("RL-01p", "unified_configuration", ("server_id", "setting_scope", "database_name", "role_name",
+                                                "parameter_name"), None, (
+        RL.Rule("pending_restart", "CASE WHEN pending_restart THEN 1 ELSE 0 END", (("warning", 1.0),), ">="),)),
+    RL.Pack("RL-02g", "parallel_group_share", ("server_id", "leader_pid"), "source_collected_at", (
+        RL.Rule("one_query_worker_share", "worker_pool_share_percent", (("warning", 50.0), ("high", 75.0)), ">="),)),
+    RL.Pack("RL-12s", "maintenance_stalled", ("server_id", "operation_type", "pid"), "source_collected_at", (
+        RL.Rule("maintenance_stalled", "CASE WHEN stalled THEN 1 ELSE 0 END", (("warning", 1.0),), ">="),)),
+    RL.Pack("RL-15c", "allocation_changes", ("server_id", "allocation_name"), "source_collected_at", (
+        RL.Rule("allocation_change", "abs(change_percent)", (("warning", 5.0), ("high", 10.0))),)),
+    RL.Pack("RL-19v", "plan_variability", ("server_id", "db_id", "query_id"), None, (
+        RL.Rule("several_plans", "plan_count", (("warning", 1.0),)),)),
+):
+    RL.EXTRA_PACKS.append(_p)
+    _rules_query(_p)

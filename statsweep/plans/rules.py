@@ -97,6 +97,9 @@ def _pct(n: str, d: str) -> str:
     return f"CASE WHEN {d} > 0 THEN CAST(100 AS DOUBLE) * {n} / {d} END"
 
 
+# Packs registered by the query catalog over its derived inputs (appended there).
+EXTRA_PACKS: list[Pack] = []
+
 MB = 1024 * 1024
 GB = 1024 * MB
 
