@@ -32,10 +32,6 @@ def seconds_between(later: Column | str, earlier: Column | str) -> Column:
     return F.timestamp_diff("MICROSECOND", earlier, later) / F.lit(1e6)
 
 
-def _cols(xs: Sequence[str | Column]) -> list[Column]:
-    return [F.col(x) if isinstance(x, str) else x for x in xs]
-
-
 def with_previous(
     df: DataFrame,
     keys: Sequence[str],

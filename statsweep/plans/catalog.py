@@ -1140,3 +1140,21 @@ for _p in (
 ):
     RL.EXTRA_PACKS.append(_p)
     _rules_query(_p)
+
+
+@query("io_rows")
+def q_io_rows(spark, sf):
+    """PRJ-17: typed cluster I/O rows."""
+    return V.io_rows(B.b1_dataset(_t(spark, sf, "events"), "io"))
+
+
+@query("slru_rows")
+def q_slru_rows(spark, sf):
+    """PRJ-17: SLRU cache rows."""
+    return V.slru_rows(B.b1_dataset(_t(spark, sf, "events"), "slru"))
+
+
+@query("pgss_health")
+def q_pgss_health(spark, sf):
+    """PRJ-17: statement-store health rows (deallocations, reset time)."""
+    return V.pgss_health(B.b1_dataset(_t(spark, sf, "events"), "statement_store"))

@@ -29,11 +29,6 @@ def trunc(unit: str, c: str | Column) -> Column:
     return ntz(F.date_trunc(unit, F.col(c) if isinstance(c, str) else c))
 
 
-def secs(c: Column) -> Column:
-    """Day-time interval of ``c`` seconds (double with at most 6 decimals)."""
-    return F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), c.cast("decimal(18,6)"))
-
-
 def srv(mod_col: str, n: int) -> Column:
     return F.concat(F.lit("srv-"), (F.col(mod_col) % n).cast("string"))
 

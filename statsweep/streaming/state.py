@@ -133,7 +133,6 @@ TRIGGERS: tuple[Trigger, ...] = (
     Trigger("checkpoint_delta", "Q14", "checkpoint_delta > 0", 900),
 )
 
-CANDIDATE_SCHEMA = "server_id string, target string, rule string, cooldown_s int, ts timestamp_ntz, seq long"
 FIRED_SCHEMA = "server_id string, target string, rule string, fired_at timestamp_ntz, reason string"
 
 
