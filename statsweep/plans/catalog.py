@@ -1158,3 +1158,19 @@ def q_slru_rows(spark, sf):
 def q_pgss_health(spark, sf):
     """PRJ-17: statement-store health rows (deallocations, reset time)."""
     return V.pgss_health(B.b1_dataset(_t(spark, sf, "events"), "statement_store"))
+
+
+@query("stream_database_interval")
+def q_stream_database_interval(spark, sf):
+    """SM-01 over IV-01: all database counters' deltas on a stream (two landed slices), then the IV-01 metrics."""
+    src = B.b1_dataset(_t(spark, sf, "events"), "database")
+    p = IV.PRESETS["database"]
+    job = StreamJob(spark, "database-interval")
+    first, second = _two_landings(job, src, "source_collected_at")
+    for part in (first, second):
+        job.land(part)
+        job.run(ST.stream_counter_delta(job.source(src.schema), p.keys, p.counters, idle_ttl="30 days"))
+    d = job.result()
+    metrics = p.metrics(lambda c: F.col(f"{c}_delta"), F.col("elapsed_seconds"))
+    return d.select(*p.keys, "event_id", "source_collected_at", "elapsed_seconds",
+                    *[v.alias(k) for k, v in metrics.items()])

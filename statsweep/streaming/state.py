@@ -23,61 +23,81 @@ def _micros(s: pd.Series) -> np.ndarray:
     return s.values.astype("datetime64[us]").astype(np.int64)
 
 
-def _delta_frame(pdf: pd.DataFrame, prev: tuple | None, time_col: str, tb_col: str, counter: str,
-                 reset_col: str) -> tuple[pd.DataFrame, tuple]:
-    """Vectorised WN-01 over one key's rows in order, seeded by the previous sample ``prev``."""
+def _delta_frame(pdf: pd.DataFrame, prev: tuple | None, time_col: str, tb_col: str, counters: Sequence[str],
+                 reset_col: str | None) -> tuple[pd.DataFrame, tuple]:
+    """Vectorised WN-01 over one key's rows in order, seeded by the previous sample ``prev``.
+
+    ``prev`` / the returned state: (time us, tiebreak, reset us, reset is null, [long values],
+    [double values]); each counter's last value sits in the array of its type.
+    """
     t = _micros(pdf[time_col])
     tb = pdf[tb_col].to_numpy(dtype=np.int64)
-    v = pdf[counter].to_numpy(dtype=np.int64)
-    r_null = pdf[reset_col].isna().to_numpy()
-    r = np.where(r_null, 0, _micros(pdf[reset_col].fillna(pd.Timestamp(0))))
-    pt = np.roll(t, 1)
-    pv = np.roll(v, 1)
-    pr = np.roll(r, 1)
-    prn = np.roll(r_null, 1)
+    if reset_col:
+        r_null = pdf[reset_col].isna().to_numpy()
+        r = np.where(r_null, 0, _micros(pdf[reset_col].fillna(pd.Timestamp(0))))
+    else:
+        r_null = np.ones(len(pdf), dtype=bool)
+        r = np.zeros(len(pdf), dtype=np.int64)
+    pt, pr, prn = np.roll(t, 1), np.roll(r, 1), np.roll(r_null, 1)
     has_prev = np.ones(len(pdf), dtype=bool)
     if prev is None:
         has_prev[0] = False
     else:
-        pt[0], _, pv[0], pr[0], prn[0] = prev
+        pt[0], _, pr[0], prn[0], _, _ = prev
     reset_changed = (prn != r_null) | (~r_null & (pr != r))
-    is_reset = has_prev & (reset_changed | (v < pv))
-    is_delta = has_prev & ~is_reset
     elapsed = (t - pt) / 1e6
-    kind = np.where(~has_prev, "first", np.where(is_reset, "reset", "delta"))
-    delta = pd.array(np.where(is_delta, v - pv, 0), dtype="Int64")
-    delta[~is_delta] = pd.NA
-    rate = np.where(elapsed > 0, (v - pv) / np.where(elapsed > 0, elapsed, 1.0), 0.0)
-    rate_arr = pd.array(rate, dtype="Float64")
-    rate_arr[~is_delta] = pd.NA
     el = pd.array(elapsed, dtype="Float64")
     el[~has_prev] = pd.NA
-    out = pdf.assign(**{f"{counter}_kind": kind, f"{counter}_delta": delta, f"{counter}_rate": rate_arr,
-                        "elapsed_seconds": el})
-    last = (int(t[-1]), int(tb[-1]), int(v[-1]), int(r[-1]), bool(r_null[-1]))
+    cols: dict[str, object] = {}
+    last_l, last_d = [], []
+    for i, c in enumerate(counters):
+        is_float = pdf[c].dtype.kind == "f"
+        v = pdf[c].to_numpy(dtype=np.float64 if is_float else np.int64)
+        pv = np.roll(v, 1)
+        if prev is not None:
+            pv[0] = prev[5][i] if is_float else prev[4][i]
+        is_reset = has_prev & (reset_changed | (v < pv))
+        is_delta = has_prev & ~is_reset
+        kind = np.where(~has_prev, "first", np.where(is_reset, "reset", "delta"))
+        d = v - pv
+        delta = pd.array(np.where(is_delta, d, 0), dtype="Int64" if v.dtype.kind == "i" else "Float64")
+        delta[~is_delta] = pd.NA
+        rate = pd.array(np.where(elapsed > 0, d / np.where(elapsed > 0, elapsed, 1.0), 0.0), dtype="Float64")
+        rate[~is_delta] = pd.NA
+        cols.update({f"{c}_kind": kind, f"{c}_delta": delta, f"{c}_rate": rate})
+        last_l.append(0 if is_float else int(v[-1]))
+        last_d.append(float(v[-1]) if is_float else 0.0)
+    out = pdf.assign(elapsed_seconds=el, **cols)
+    last = (int(t[-1]), int(tb[-1]), int(r[-1]), bool(r_null[-1]), last_l, last_d)
     return out, last
 
 
-def stream_counter_delta(stream: DataFrame, keys: Sequence[str], counter: str, time_col: str = "source_collected_at",
-                         reset_col: str = "stats_reset", tiebreak: str = "event_id", idle_ttl: str = "1 day",
-                         watermark: str = "1 hour") -> DataFrame:
-    """SM-01: WN-01 on a stream, the last sample kept per key in state.
+def stream_counter_delta(stream: DataFrame, keys: Sequence[str], counters: Sequence[str] | str,
+                         time_col: str = "source_collected_at", reset_col: str | None = "stats_reset",
+                         tiebreak: str = "event_id", idle_ttl: str = "1 day", watermark: str = "1 hour") -> DataFrame:
+    """SM-01: WN-01 on a stream for one or more counters, the last sample kept per key in state.
 
     Rows of a key are ordered by ``(time, tiebreak)`` within the micro-batch; rows
     not newer than the state (late or replayed samples) are dropped. A key's state
     expires by event time once the watermark passes its last sample plus
     ``idle_ttl``, so state holds the active series only; a series that comes back
     after that starts again with a 'first' sample (like a collector restart).
+    Output: the input columns, ``elapsed_seconds`` and per counter ``c_kind``,
+    ``c_delta``, ``c_rate``, as in the batch ``counter_delta``.
     """
     keys = list(keys)
+    counters = [counters] if isinstance(counters, str) else list(counters)
     ttl_ms = _interval_ms(idle_ttl)
     stream = stream.withColumn("_et", F.col(time_col).cast("timestamp")).withWatermark("_et", watermark)
     in_schema = StructType([f for f in stream.schema.fields if f.name != "_et"])
-    out_schema = StructType(list(in_schema.fields))
-    out_schema = (out_schema.add(f"{counter}_kind", "string").add(f"{counter}_delta", "long")
-                  .add(f"{counter}_rate", "double").add("elapsed_seconds", "double"))
-    state_schema = "t long, tb long, v long, r long, rnull boolean"
+    types = {f.name: f.dataType.simpleString() for f in in_schema.fields}
+    out_schema = StructType(list(in_schema.fields)).add("elapsed_seconds", "double")
+    for c in counters:
+        dt = "double" if types[c] in ("double", "float") else "long"
+        out_schema = out_schema.add(f"{c}_kind", "string").add(f"{c}_delta", dt).add(f"{c}_rate", "double")
+    state_schema = "t long, tb long, r long, rnull boolean, vl array<long>, vd array<double>"
     cols = [f.name for f in in_schema.fields]
+    out_cols = [*cols, "elapsed_seconds", *[f"{c}_{x}" for c in counters for x in ("kind", "delta", "rate")]]
 
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -93,10 +113,10 @@ def stream_counter_delta(stream: DataFrame, keys: Sequence[str], counter: str, t
             pdf = pdf[newer].reset_index(drop=True)
         if len(pdf) == 0:
             return
-        out, last = _delta_frame(pdf, prev, time_col, tiebreak, counter, reset_col)
+        out, last = _delta_frame(pdf, prev, time_col, tiebreak, counters, reset_col)
         state.update(last)
         state.setTimeoutTimestamp(int(last[0] // 1000) + ttl_ms)
-        yield out[[*cols, f"{counter}_kind", f"{counter}_delta", f"{counter}_rate", "elapsed_seconds"]]
+        yield out[out_cols]
 
     return stream.groupBy(*keys).applyInPandasWithState(fn, out_schema, state_schema, "append",
                                                         GroupStateTimeout.EventTimeTimeout)
