@@ -20,6 +20,23 @@ LOCAL_CONF = {
 }
 
 
+# Recommended settings for a cluster session (the library reads, never forces, them).
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.shuffle.partitions": "8000",  # about input bytes / 256 MB at the ~100 TB scale; AQE coalesces
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+    # spark.checkpoint.dir: a shared file system folder (HDFS, object store), set by the deployment
+}
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "statsweep") -> SparkSession:
     """Session for tests and the local bench; on a cluster use the cluster's own builder."""
     b = SparkSession.builder.master(f"local[{cpus}]").appName(app)
