@@ -1174,3 +1174,50 @@ def q_stream_database_interval(spark, sf):
     metrics = p.metrics(lambda c: F.col(f"{c}_delta"), F.col("elapsed_seconds"))
     return d.select(*p.keys, "event_id", "source_collected_at", "elapsed_seconds",
                     *[v.alias(k) for k, v in metrics.items()])
+
+
+@query("efficiency_change")
+def q_efficiency_change(spark, sf):
+    """RL-26 input: successful RPS per CPU % per run day, after vs baseline on the same day of the run (JN-17)."""
+    ev = _t(spark, sf, "events")
+    daily = B.load_daily(spark, ev).select("test_run_id", "phase_name", "ts", "day_index", "successful_rps")
+    cpu = B.metric_series(spark, ev).groupBy(B.trunc("day", "time_utc").alias("ts")).agg(
+        F.round(F.avg("value"), 6).alias("cpu_percent"))
+    eff = CP.efficiency(daily, cpu, ["ts"]).withColumn(
+        "rps_per_cpu", F.round("successful_rps_per_cpu_percent", 9))
+    return J.compare_runs(eff.where("test_run_id = 'baseline'"), eff.where("test_run_id = 'after'"),
+                          ["phase_name", "day_index"], ["rps_per_cpu"])
+
+
+@query("worker_limits")
+def q_worker_limits(spark, sf):
+    """RL-01 input: per server, the three worker limits side by side (pivot of effective settings)."""
+    _, st, _ = _cfg(spark, sf)
+    names = ["max_worker_processes", "max_parallel_workers", "max_parallel_workers_per_gather"]
+    return (CF.select_parameters(st, names).groupBy("server_id").pivot("name", names)
+            .agg(F.first(F.col("setting").try_cast("long"))))
+
+
+@query("new_server_age")
+def q_new_server_age(spark, sf):
+    """RL-23 input: pooler server connections in state 'new' and their age at the sample."""
+    s = B.pool_servers(_t(spark, sf, "events"))
+    from statsweep.operators.deltas import seconds_between
+
+    return s.where(F.col("state") == "new").select(
+        "server_id", "source_collected_at", "database", "user", "remote_pid",
+        seconds_between("source_collected_at", "connect_time").alias("new_state_seconds"))
+
+
+for _p in (
+    RL.Pack("RL-26e", "efficiency_change", ("phase_name", "day_index"), None, (
+        RL.Rule("efficiency_decline", "rps_per_cpu_change_percent", (("warning", -10.0), ("high", -20.0)), "<"),)),
+    RL.Pack("RL-01w", "worker_limits", ("server_id",), None, (
+        RL.Rule("worker_limits_inconsistent", "CASE WHEN max_parallel_workers > max_worker_processes OR "
+                "max_parallel_workers_per_gather > max_parallel_workers THEN 1 ELSE 0 END", (("warning", 1.0),),
+                ">="),)),
+    RL.Pack("RL-23n", "new_server_age", ("server_id", "database", "user", "remote_pid"), "source_collected_at", (
+        RL.Rule("server_stuck_new", "new_state_seconds", (("warning", 30.0), ("high", 300.0))),)),
+):
+    RL.EXTRA_PACKS.append(_p)
+    _rules_query(_p)

@@ -683,6 +683,7 @@ def b11_servers(dialect: str) -> list[str]:
         "database": "'db' || CAST(user_id % 3 AS STRING)", "user": "'u' || CAST(user_id % 7 AS STRING)",
         "remote_pid": "CASE WHEN event_id % 5 = 0 THEN NULL ELSE CAST(event_id AS INT) END",
         "close_needed": "CASE WHEN value > 90 THEN 1 ELSE 0 END",
+        "connect_time": "ts - {secs:value * 4}",
     }
     return exprs(m, dialect)
 
