@@ -49,7 +49,12 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, qs: Sequen
         (F.col("_rank") >= F.col("_off")) & (F.col("_rank") < F.col("_off") + F.col("_cnt")))
     t = t.select("_pid", (F.col("_first") + F.col("_rank") - F.col("_off")).alias("_pos"), "_g",
                  F.col("_q.qi").alias("_qi"), "_at", "_rank")
-    picked = s.join(t, ["_pid", "_pos", "_g"], "inner")
+    # t has at most two rows per group and quantile: broadcast it when its size allows, so the
+    # sorted values are not shuffled a second time
+    from statsweep.operators.joins import broadcast_if_small
+
+    t_side, _ = broadcast_if_small(t)
+    picked = s.join(t_side, ["_pid", "_pos", "_g"], "inner")
     per_q = picked.groupBy("_g", "_qi").agg(
         F.first("_at").alias("_at"), F.min_by("_v", "_rank").alias("_lo"), F.max_by("_v", "_rank").alias("_hi"))
     per_q = per_q.select("_g", "_qi", (F.col("_lo") + (F.col("_at") - F.floor("_at"))
