@@ -21,30 +21,39 @@ from pyspark.sql import functions as F
 _POS_MASK = (1 << 33) - 1  # monotonically_increasing_id: partition id in the upper 31 bits
 
 
-def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, qs: Sequence[float],
-                      names: Sequence[str] | None = None) -> DataFrame:
-    """One row per group: ``keys`` plus one column per quantile (nulls in ``value`` ignored).
+def exact_summary(df: DataFrame, keys: Sequence[str], value: str, qs: Sequence[float],
+                  names: Sequence[str] | None = None) -> DataFrame:
+    """Per group: ``sample_count``, ``min_value``, ``max_value``, ``sum_value`` and one column per quantile.
 
-    Groups are handled as a struct of ``keys``, so null key values form groups.
+    One range-partitioned sort by (group, value) feeds both the per-(partition, group)
+    blocks (counts, positions, min, max, sum) and the fetch of the rows around each
+    requested rank. Null values sort first in their group and are left out of every
+    statistic; a group whose values are all null still gets a row (count 0, nulls).
+    Groups are handled as a struct of ``keys``, so null key values form groups too.
     """
     keys = list(keys)
     names = list(names) if names else [f"p{int(round(q * 100))}" for q in qs]
-    v = df.select(F.struct(*[F.col(k) for k in keys]).alias("_g"), F.col(value).cast("double").alias("_v")) \
-        .where(F.col("_v").isNotNull())
-    s = (v.repartitionByRange(F.col("_g"), F.col("_v"))
-         .sortWithinPartitions("_g", "_v")
+    v = df.select(F.struct(*[F.col(k) for k in keys]).alias("_g"), F.col(value).cast("double").alias("_v"))
+    s = (v.repartitionByRange(F.col("_g"), F.col("_v").asc_nulls_first())
+         .sortWithinPartitions(F.col("_g"), F.col("_v").asc_nulls_first())
          .select("*", F.spark_partition_id().alias("_pid"),
                  (F.monotonically_increasing_id().bitwiseAND(F.lit(_POS_MASK))).alias("_pos")))
-    # per (partition, group): row count and first position; rows of the group in earlier partitions
-    blocks = s.groupBy("_pid", "_g").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_pos").alias("_first"))
+    nn = F.col("_v").isNotNull()
+    # per (partition, group): non-null rows are consecutive positions after the group's nulls
+    blocks = s.groupBy("_pid", "_g").agg(
+        F.count("_v").alias("_cnt"), F.min(F.when(nn, F.col("_pos"))).alias("_first"),
+        F.min("_v").alias("_min"), F.max("_v").alias("_max"), F.sum("_v").alias("_sum"))
     wk = Window.partitionBy("_g").orderBy("_pid")
     blocks = blocks.select("*", F.coalesce(F.sum("_cnt").over(wk.rowsBetween(Window.unboundedPreceding, -1)),
                                            F.lit(0)).alias("_off"),
                            F.sum("_cnt").over(Window.partitionBy("_g")).alias("_n"))
+    stats = blocks.groupBy("_g").agg(F.sum("_cnt").alias("sample_count"), F.min("_min").alias("min_value"),
+                                     F.max("_max").alias("max_value"), F.sum("_sum").alias("sum_value"))
     # the two ranks around each requested quantile, located in the block that holds them
     q_rows = F.explode(F.array(*[F.struct(F.lit(i).alias("qi"), F.lit(float(q)).alias("q"))
                                  for i, q in enumerate(qs)]))
-    t = blocks.select("*", q_rows.alias("_q")).select("*", (F.col("_q.q") * (F.col("_n") - 1)).alias("_at"))
+    t = blocks.where(F.col("_cnt") > 0).select("*", q_rows.alias("_q")).select(
+        "*", (F.col("_q.q") * (F.col("_n") - 1)).alias("_at"))
     t = t.select("*", F.explode(F.array(F.floor("_at"), F.ceil("_at"))).alias("_rank")).where(
         (F.col("_rank") >= F.col("_off")) & (F.col("_rank") < F.col("_off") + F.col("_cnt")))
     t = t.select("_pid", (F.col("_first") + F.col("_rank") - F.col("_off")).alias("_pos"), "_g",
@@ -60,5 +69,14 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, qs: Sequen
     per_q = per_q.select("_g", "_qi", (F.col("_lo") + (F.col("_at") - F.floor("_at"))
                                        * (F.col("_hi") - F.col("_lo"))).alias("_val"))
     wide = per_q.groupBy("_g").pivot("_qi", list(range(len(qs)))).agg(F.first("_val"))
-    return wide.select(*[F.col("_g")[k].alias(k) for k in keys],
-                       *[F.col(str(i)).alias(n) for i, n in enumerate(names)])
+    out = stats.join(wide, "_g", "left")
+    return out.select(*[F.col("_g")[k].alias(k) for k in keys], "sample_count", "min_value", "max_value",
+                      "sum_value", *[F.col(str(i)).alias(n) for i, n in enumerate(names)])
+
+
+def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, qs: Sequence[float],
+                      names: Sequence[str] | None = None) -> DataFrame:
+    """One row per group with a non-null value: ``keys`` plus one column per quantile."""
+    names = list(names) if names else [f"p{int(round(q * 100))}" for q in qs]
+    out = exact_summary(df, keys, value, qs, names)
+    return out.where(F.col("sample_count") > 0).select(*keys, *names)

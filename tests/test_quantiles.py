@@ -23,3 +23,15 @@ def test_exact_percentiles_match_numpy(spark):
     for g, vals in groups.items():
         want = np.quantile(np.array(vals), qs, method="linear")
         assert np.allclose(got[g], want, rtol=0, atol=1e-9), g
+
+
+def test_exact_summary_all_null_group_and_stats(spark):
+    from statsweep.operators.series import summarize_series
+
+    rows = [("a", float(v)) for v in (3, 1, 2, 10)] + [("b", None), ("b", None), (None, 4.0)]
+    df = spark.createDataFrame(rows, "g string, value double")
+    got = {r.g: r for r in summarize_series(df, ["g"]).collect()}
+    assert got["a"].sample_count == 4 and got["a"].min_value == 1.0 and got["a"].max_value == 10.0
+    assert got["a"].avg_value == 4.0 and got["a"].p50 == 2.5
+    assert got["b"].sample_count == 0 and got["b"].min_value is None and got["b"].p50 is None
+    assert got[None].sample_count == 1 and got[None].p99 == 4.0
