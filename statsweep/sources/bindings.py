@@ -529,8 +529,8 @@ def b9_buffers(dialect: str) -> list[str]:
     m = {
         "server_id": "'srv-0'",
         "source_collected_at": "{year:l_shipdate}",
-        "reldatabase": "CASE WHEN l_orderkey % 10 = 0 THEN 2 ELSE 1 END",
-        "reltablespace": "CASE WHEN l_suppkey % 2 = 0 THEN 1663 ELSE 1700 END",
+        "reldatabase": "CAST(CASE WHEN l_orderkey % 10 = 0 THEN 2 ELSE 1 END AS BIGINT)",
+        "reltablespace": "CAST(CASE WHEN l_suppkey % 2 = 0 THEN 1663 ELSE 1700 END AS BIGINT)",
         "relfilenode": "CASE WHEN l_orderkey % 50 = 0 THEN NULL ELSE l_partkey END",
         "relforknumber": "CASE WHEN l_linenumber = 7 THEN 1 ELSE 0 END",
         "isdirty": "(l_returnflag = 'R')",
