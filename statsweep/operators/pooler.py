@@ -2,7 +2,7 @@
 
 Inputs are the pooler's SHOW POOLS / CLIENTS / SERVERS / LISTS rows per sample
 ``(server_id, source_collected_at)``. Several groupings of one input are one
-``groupingSets`` aggregation (one scan, one shuffle), with ``grouping_id`` telling
+``groupingSets`` aggregation (one scan, one shuffle), with a ``grouping`` bit level telling
 the levels apart.
 """
 
@@ -60,7 +60,7 @@ def pool_derived(pools: DataFrame) -> DataFrame:
 
 
 def pool_totals(pools: DataFrame) -> DataFrame:
-    """AG-15: per-pool rows and the all-pool aggregate per sample (grouping sets, ``grouping_id``)."""
+    """AG-15: per-pool rows and the all-pool aggregate per sample (grouping sets, ``grouping_level``)."""
     d = pool_derived(pools)
     keys = [*SAMPLE, "database", "user", "pool_mode"]
     sums = [F.sum(c).alias(c) for c in (*CLIENT_COLS, *SERVER_COLS, "pgbouncer_client_connections",
