@@ -128,3 +128,25 @@ def efficiency(load_per_phase: DataFrame, cpu_per_phase: DataFrame, keys: Sequen
 
 __all__ = ["writer_share", "running_demand", "phase_summary", "parallelism_benefit", "pool_effectiveness",
            "efficiency", "safe_percent"]
+
+
+def query_phase_shares(query_deltas: DataFrame, keys: Sequence[str], scale: int = 6) -> DataFrame:
+    """AG-24: per phase, JIT share of execution time and planning share of plan + execution time.
+
+    ``query_deltas`` is IV-02 output (``*_delta`` columns) with a phase attached; only
+    intervals with deltas count (first and reset samples contribute nothing).
+    """
+    jit = (F.col("jit_generation_time_delta") + F.col("jit_inlining_time_delta")
+           + F.col("jit_optimization_time_delta") + F.col("jit_emission_time_delta")
+           + F.col("jit_deform_time_delta"))
+    g = query_deltas.groupBy(*keys).agg(
+        F.sum("total_exec_time_delta").alias("exec_ms"), F.sum("total_plan_time_delta").alias("plan_ms"),
+        F.sum(jit).alias("jit_ms"), F.sum("calls_delta").alias("calls"))
+    return g.select(
+        *keys, "calls", F.round("exec_ms", scale).alias("exec_ms"), F.round("plan_ms", scale).alias("plan_ms"),
+        F.round("jit_ms", scale).alias("jit_ms"),
+        F.round(F.when(F.col("exec_ms") > 0, F.lit(100.0) * F.col("jit_ms") / F.col("exec_ms")), 2)
+        .alias("jit_share_percent"),
+        F.round(F.when(F.col("plan_ms") + F.col("exec_ms") > 0,
+                       F.lit(100.0) * F.col("plan_ms") / (F.col("plan_ms") + F.col("exec_ms"))), 2)
+        .alias("planning_share_percent"))

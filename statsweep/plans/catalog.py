@@ -1221,3 +1221,11 @@ for _p in (
 ):
     RL.EXTRA_PACKS.append(_p)
     _rules_query(_p)
+
+
+@query("query_phase_shares")
+def q_query_phase_shares(spark, sf):
+    """AG-24: JIT and planning shares per phase from IV-02 statement deltas (JN-14 phases)."""
+    q = IV.interval_metrics(B.b1_dataset(_t(spark, sf, "events"), "query"), "query", tiebreak=["event_id"])
+    d = SE.assign_phase(q, _phases(spark, sf).drop("test_run_id"), "source_collected_at")
+    return CP.query_phase_shares(d, ["phase_name"])
