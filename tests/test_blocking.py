@@ -51,3 +51,39 @@ def test_blocking_pairs_null_waitstart(spark):
     assert out[(1, 2)].actual_lock_wait_seconds == 40.0
     assert out[(7, 4)].direct_blocker_count == 2 and list(out[(7, 4)].direct_blocker_pids) == [4, 6]
     assert out[(1, 2)].locked_relation_name == 'public."Accounts"'
+
+
+def test_chain_depth_random_graphs_vs_dfs(spark):
+    import random
+
+    rnd = random.Random(9)
+    locks, adj = [], {}
+    for sample in range(3):
+        n = 25
+        for pid in range(1, n + 1):
+            if rnd.random() < 0.8:
+                blockers = sorted(rnd.sample(range(1, n + 1), rnd.choice([1, 1, 1, 2, 3])))
+                blockers = [b for b in blockers if b != pid] or [pid % n + 1]
+                adj[(sample, pid)] = blockers
+                locks.append((sample, pid, blockers))
+
+    def longest(sample, root):
+        best = 0
+        stack = [(root, 0, {root})]
+        while stack:
+            node, d, seen = stack.pop()
+            best = max(best, d)
+            if d >= 32:
+                continue
+            for b in adj.get((sample, node), []):
+                if b not in seen:
+                    stack.append((b, d + 1, seen | {b}))
+        return best
+
+    df = spark.createDataFrame(
+        [("s", T0 + dt.timedelta(minutes=s), p, False, b) for s, p, b in locks],
+        "server_id string, source_collected_at timestamp_ntz, pid int, granted boolean, blocking_pids array<int>")
+    got = {(r.source_collected_at.minute, r.root_blocked_pid): r.maximum_chain_depth
+           for r in chain_depth(wait_edges(df)).collect()}
+    want = {(s, p): longest(s, p) for s, p, _ in locks}
+    assert got == want
