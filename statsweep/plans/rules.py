@@ -1,7 +1,10 @@
 """Rule evaluation (RL-01 to RL-27).
 
 A rule is a value expression plus severity thresholds, an optional guard and an
-optional "n samples in a row" requirement; the highest severity that holds wins.
+optional "n samples in a row" (``consecutive``) or "held for D seconds" (``sustain_s``)
+requirement; the highest severity that holds wins. A level is held for D seconds
+at a sample when every sample since the first one of the current run at or above
+that level qualifies and that first sample is at least D seconds old.
 ``evaluate`` computes every rule of a pack in one pass over the input: each row
 gets an array of ``(rule_id, value, level, limits)`` structs that is exploded and
 filtered, so N rules cost one scan, not N. Rules that need consecutive samples
@@ -29,6 +32,7 @@ class Rule:
     op: str = ">"
     guard: str | None = None
     consecutive: int = 1
+    sustain_s: float | None = None  # level must have held this long (time-based, needs a time column)
 
 
 @dataclass(frozen=True)
@@ -69,19 +73,32 @@ def evaluate(df: DataFrame, rules: Sequence[Rule], keys: Sequence[str], time_col
     """Rule hits ``(keys, time, rule_id, severity, value, threshold)``, one row per row and rule that fires."""
     keys = list(keys)
     base_cols = [*keys, *([time_col] if time_col else []), *tiebreak]
-    groups: dict[int, list[Rule]] = {}
+    groups: dict[tuple, list[Rule]] = {}
     for r in rules:
-        groups.setdefault(r.consecutive, []).append(r)
+        groups.setdefault((r.consecutive, r.sustain_s), []).append(r)
     out = None
-    for n, rs in groups.items():
+    for (n, sustain), rs in groups.items():
         structs = [F.struct(F.lit(r.rule_id).alias("rule_id"), F.expr(r.value).cast("double").alias("value"),
                             level_expr(r).alias("lvl"), _limits(r).alias("limits")) for r in rs]
         x = df.select(*base_cols, F.inline(F.array(*structs)))
-        if n > 1:
+        if n > 1 or sustain is not None:
             if time_col is None:
-                raise ValueError("consecutive rules need a time column")
-            w = Window.partitionBy(*keys, "rule_id").orderBy(time_col, *tiebreak).rowsBetween(-(n - 1), 0)
+                raise ValueError("consecutive or sustained rules need a time column")
+            wo = Window.partitionBy(*keys, "rule_id").orderBy(time_col, *tiebreak)
+        if n > 1:
+            w = wo.rowsBetween(-(n - 1), 0)
             x = x.withColumn("lvl", F.when(F.count(F.lit(1)).over(w) == n, F.min("lvl").over(w)).otherwise(0))
+        if sustain is not None:
+            # run start per level: the sample after the latest sample below that level (or the first sample)
+            run = wo.rowsBetween(Window.unboundedPreceding, 0)
+            x = x.withColumn("_next_t", F.lead(time_col).over(wo)).withColumn("_first_t", F.min(time_col).over(run))
+            held = F.lit(0)
+            for L in range(1, len(SEVERITIES) + 1):
+                start = F.coalesce(F.max(F.when(F.col("lvl") < L, F.col("_next_t"))).over(run), F.col("_first_t"))
+                ok = (F.col("lvl") >= L) & (F.timestamp_diff("MICROSECOND", start, F.col(time_col))
+                                            >= F.lit(int(sustain * 1_000_000)))
+                held = F.when(ok, F.lit(L)).otherwise(held)
+            x = x.withColumn("lvl", held).drop("_next_t", "_first_t")
         out = x if out is None else out.unionByName(x)
     sev = F.element_at(F.array(*[F.lit(s) for s in SEVERITIES]), F.col("lvl"))
     return out.where(F.col("lvl") > 0).select(
@@ -114,9 +131,9 @@ PACKS: tuple[Pack, ...] = (
         Rule("io_wait_share", _pct("active_io_waiting_sessions", "active_client_connections"),
              (("warning", 20.0), ("high", 40.0))),
         Rule("connection_utilization", "connection_utilization_percent",
-             (("warning", 70.0), ("high", 85.0), ("critical", 95.0)), ">=", consecutive=2),
+             (("warning", 70.0), ("high", 85.0), ("critical", 95.0)), ">=", sustain_s=300),
         Rule("worker_pool_utilization", "parallel_worker_pool_utilization_percent",
-             (("warning", 70.0), ("high", 85.0)), ">=", consecutive=2),
+             (("warning", 70.0), ("high", 85.0)), ">=", sustain_s=300),
         Rule("worker_pool_saturated", "parallel_worker_pool_utilization_percent", (("critical", 95.0),), ">=",
              consecutive=2),
         Rule("wait_group_volume", "wait_query_group_count", (("warning", 500.0),)),
@@ -143,11 +160,11 @@ PACKS: tuple[Pack, ...] = (
         Rule("dealloc_repeated", "deallocations", (("high", 0.0),), consecutive=2),
     ), ("event_id",)),
     Pack("RL-07", "io_eviction_baseline", ("server_id", "backend_type", "object", "context"), "source_collected_at", (
-        Rule("eviction_vs_baseline", "eviction_vs_baseline", (("warning", 2.0),), consecutive=2),
+        Rule("eviction_vs_baseline", "eviction_vs_baseline", (("warning", 2.0),), sustain_s=900),
     ), ("event_id",)),
     Pack("RL-08", "checkpoint_interval", ("server_id", "source_view"), "source_collected_at", (
         Rule("requested_checkpoints", "requested_checkpoint_percent", (("warning", 20.0), ("high", 50.0)),
-             consecutive=2),
+             sustain_s=900),
     ), ("event_id",)),
     Pack("RL-09", "table_interval", ("server_id", "database_name", "relid"), "source_collected_at", (
         Rule("dead_tuples", "dead_tuple_percent", (("warning", 10.0), ("high", 20.0))),
@@ -200,7 +217,7 @@ PACKS: tuple[Pack, ...] = (
         Rule("clients_waiting", "cl_waiting", (("warning", 0.0),), consecutive=2),
         Rule("max_wait", "oldest_client_wait_seconds", (("warning", 1.0), ("high", 5.0), ("critical", 30.0))),
         Rule("pool_busy", "server_pool_not_immediately_idle_percent", (("warning", 80.0), ("high", 90.0)), ">=",
-             consecutive=2),
+             sustain_s=300),
         Rule("pool_exhausted", "CASE WHEN cl_waiting > 0 THEN server_pool_not_immediately_idle_percent END",
              (("critical", 95.0),), ">="),
     )),

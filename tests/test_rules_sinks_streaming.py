@@ -61,3 +61,15 @@ def test_write_multi_idempotent_and_fallback(spark, tmp_path):
     fb = str(tmp_path / "fallback")
     write_multi({"bad": boom}, root, fallback=fb)(df, 8)
     assert spark.read.json(fb).count() == 2
+
+
+def test_sustained_level_held_for_duration(spark):
+    vals = [(0, 75.0), (1, 80.0), (2, 80.0), (3, 80.0), (4, 80.0), (5, 80.0), (6, 90.0), (7, 50.0), (8, 90.0)]
+    df = spark.createDataFrame([("s", T0 + dt.timedelta(minutes=m), v) for m, v in vals],
+                               "server_id string, t timestamp_ntz, v double")
+    hits = evaluate(df, [Rule("u", "v", (("warning", 70.0), ("high", 85.0)), ">=", sustain_s=300)],
+                    ["server_id"], "t")
+    got = sorted((r.t.minute, r.severity) for r in hits.collect())
+    # warning run starts at minute 0 and is 5 minutes old at minute 5; the high run at minute 6 is new;
+    # minute 7 breaks the run, so minute 8 starts over
+    assert got == [(5, "warning"), (6, "warning")]
