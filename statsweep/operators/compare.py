@@ -73,7 +73,10 @@ def pool_effectiveness(activity: DataFrame, pools: DataFrame, load: DataFrame, s
 
     ``activity`` (AG-01 rows) and ``pools`` (PRJ-18 rows) are split at ``split_at``:
     earlier samples are the direct baseline, later ones the pooled run. ``load`` has
-    per-request latency ``latency_ms`` and ``test_run_id`` in ('baseline', 'after').
+    per-request latency ``latency_ms`` and ``test_run_id`` in ('baseline', 'after'); its
+    P99 per run is the distributed exact percentile. The per-server P95/P99 over samples
+    are plain aggregates: a server has one sample per tick, so those groups are bounded
+    by cadence and history.
     """
     k = list(keys)
     before = F.col("source_collected_at") < F.lit(split_at)
@@ -86,8 +89,12 @@ def pool_effectiveness(activity: DataFrame, pools: DataFrame, load: DataFrame, s
     q = pools.where(~before).groupBy(*k).agg(
         (F.lit(100.0) * F.count_if(F.col("cl_waiting") == 0) / F.count(F.lit(1))).alias("queue_free_sample_percent"),
         _p("oldest_client_wait_seconds", 0.99).alias("pool_wait_p99_seconds"))
-    lat = load.agg(_p_when("latency_ms", F.col("test_run_id") == "baseline", 0.99).alias("baseline_latency_p99"),
-                   _p_when("latency_ms", F.col("test_run_id") == "after", 0.99).alias("after_latency_p99"))
+    # request latencies are unbounded per run: distributed exact P99, then the two runs side by side
+    from statsweep.functions.quantiles import exact_percentiles
+
+    p99 = exact_percentiles(load, ["test_run_id"], "latency_ms", [0.99], ["p99"])
+    lat = p99.agg(F.max(F.when(F.col("test_run_id") == "baseline", F.col("p99"))).alias("baseline_latency_p99"),
+                  F.max(F.when(F.col("test_run_id") == "after", F.col("p99"))).alias("after_latency_p99"))
     j = (conn.join(mux, k, "left").join(q, k, "left").withColumn("_one", F.lit(1))
          .join(F.broadcast(lat.withColumn("_one", F.lit(1))), "_one", "left").drop("_one"))
     red = F.when(F.col("baseline_p95") != 0,
