@@ -507,7 +507,7 @@ def q_unified_configuration(spark, sf):
 @query("capability_flags")
 def q_capability_flags(spark, sf):
     """PRJ-05: per-server object presence flags and the version gate."""
-    return CF.capability_flags(B.catalog_objects(_t(spark, sf, "nation")))
+    return CF.capability_flags(B.catalog_objects(_t(spark, sf, "supplier")))
 
 
 @query("missing_parameters")

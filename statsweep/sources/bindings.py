@@ -494,13 +494,14 @@ def b7_routines(dialect: str) -> list[str]:
 
 
 def b7_objects(dialect: str) -> list[str]:
+    """Catalog objects per server from ``supplier`` (one object row per supplier)."""
     m = {
-        "server_id": "'srv-' || CAST(n_nationkey % 4 AS STRING)",
-        "kind": "CASE WHEN n_nationkey % 6 = 5 THEN 'extension' ELSE 'view' END",
-        "name": "CASE n_nationkey % 6 WHEN 0 THEN 'pg_stat_statements' WHEN 1 THEN 'pg_stat_statements_info' "
+        "server_id": "'srv-' || CAST(s_suppkey % 4 AS STRING)",
+        "kind": "CASE WHEN s_suppkey % 6 = 5 THEN 'extension' ELSE 'view' END",
+        "name": "CASE s_suppkey % 6 WHEN 0 THEN 'pg_stat_statements' WHEN 1 THEN 'pg_stat_statements_info' "
                 "WHEN 2 THEN 'pg_stat_io' WHEN 3 THEN 'pg_stat_checkpointer' WHEN 4 THEN 'other_view' "
                 "ELSE 'pg_stat_statements' END",
-        "server_version_num": "160000 + (n_nationkey % 3) * 10000",
+        "server_version_num": "160000 + (s_nationkey % 3) * 10000",
     }
     return exprs(m, dialect)
 
@@ -519,8 +520,8 @@ def routine_settings(part: DataFrame) -> DataFrame:
     return part.selectExpr(*b7_routines("spark"))
 
 
-def catalog_objects(nation: DataFrame) -> DataFrame:
-    return nation.selectExpr(*b7_objects("spark"))
+def catalog_objects(supplier: DataFrame) -> DataFrame:
+    return supplier.selectExpr(*b7_objects("spark"))
 
 
 # ------------------------------------------------------------- B9 buffers and catalog
