@@ -24,7 +24,7 @@ def _micros(s: pd.Series) -> np.ndarray:
 
 
 def _delta_frame(pdf: pd.DataFrame, prev: tuple | None, time_col: str, tb_col: str, counters: Sequence[str],
-                 reset_col: str | None) -> tuple[pd.DataFrame, tuple]:
+                 reset_col: str | None, max_gap_us: int | None = None) -> tuple[pd.DataFrame, tuple]:
     """Vectorised WN-01 over one key's rows in order, seeded by the previous sample ``prev``.
 
     ``prev`` / the returned state: (time us, tiebreak, reset us, reset is null, [long values],
@@ -44,6 +44,8 @@ def _delta_frame(pdf: pd.DataFrame, prev: tuple | None, time_col: str, tb_col: s
         has_prev[0] = False
     else:
         pt[0], _, pr[0], prn[0], _, _ = prev
+    if max_gap_us is not None:
+        has_prev &= (t - pt) <= max_gap_us  # a longer gap starts the series again
     reset_changed = (prn != r_null) | (~r_null & (pr != r))
     elapsed = (t - pt) / 1e6
     el = pd.array(elapsed, dtype="Float64")
@@ -78,10 +80,11 @@ def stream_counter_delta(stream: DataFrame, keys: Sequence[str], counters: Seque
     """SM-01: WN-01 on a stream for one or more counters, the last sample kept per key in state.
 
     Rows of a key are ordered by ``(time, tiebreak)`` within the micro-batch; rows
-    not newer than the state (late or replayed samples) are dropped. A key's state
-    expires by event time once the watermark passes its last sample plus
-    ``idle_ttl``, so state holds the active series only; a series that comes back
-    after that starts again with a 'first' sample (like a collector restart).
+    not newer than the state (late or replayed samples) are dropped. A gap longer
+    than ``idle_ttl`` starts the series again (kind 'first', no delta), so results do
+    not depend on micro-batch timing; and the key's state expires by event time once
+    the watermark passes its last sample plus ``idle_ttl``, so state holds only the
+    active series. With no gap that long this equals the batch ``counter_delta``.
     Output: the input columns, ``elapsed_seconds`` and per counter ``c_kind``,
     ``c_delta``, ``c_rate``, as in the batch ``counter_delta``.
     """
@@ -113,7 +116,7 @@ def stream_counter_delta(stream: DataFrame, keys: Sequence[str], counters: Seque
             pdf = pdf[newer].reset_index(drop=True)
         if len(pdf) == 0:
             return
-        out, last = _delta_frame(pdf, prev, time_col, tiebreak, counters, reset_col)
+        out, last = _delta_frame(pdf, prev, time_col, tiebreak, counters, reset_col, ttl_ms * 1000)
         state.update(last)
         state.setTimeoutTimestamp(int(last[0] // 1000) + ttl_ms)
         yield out[out_cols]

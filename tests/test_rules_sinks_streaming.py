@@ -73,3 +73,22 @@ def test_sustained_level_held_for_duration(spark):
     # warning run starts at minute 0 and is 5 minutes old at minute 5; the high run at minute 6 is new;
     # minute 7 breaks the run, so minute 8 starts over
     assert got == [(5, "warning"), (6, "warning")]
+
+
+def test_stream_counter_delta_idle_gap_restarts(spark):
+    from pyspark.sql import functions as F
+
+    from statsweep.streaming.runner import StreamJob
+    from statsweep.streaming.state import stream_counter_delta
+
+    m = dt.timedelta(minutes=1)
+    rows = [("s", 1, T0, T0, 10, 1), ("s", 1, T0 + 10 * m, T0, 20, 2), ("s", 1, T0 + 200 * m, T0, 30, 3),
+            ("s", 1, T0 + 205 * m, T0, 45, 4), ("s", 2, T0 + 300 * m, T0, 5, 5)]
+    df = spark.createDataFrame(rows, "server_id string, k long, source_collected_at timestamp_ntz, "
+                                     "stats_reset timestamp_ntz, c long, event_id long")
+    job = StreamJob(spark, "ttl-test")
+    for part in (df.where(F.col("event_id") <= 2), df.where(F.col("event_id") > 2)):
+        job.land(part)
+        job.run(stream_counter_delta(job.source(df.schema), ["server_id", "k"], "c", idle_ttl="1 hour"))
+    got = sorted((r.event_id, r.c_kind, r.c_delta) for r in job.result().collect())
+    assert got == [(1, "first", None), (2, "delta", 10), (3, "first", None), (4, "delta", 15), (5, "first", None)]
