@@ -338,7 +338,7 @@ def b4_runtime_sql(dialect: str) -> str:
         "user_id * 10 + event_id % 3 AS plan_id, 'select * from t' || CAST(user_id AS STRING) AS query_sql_text, "
         "(user_id % 17 = 0) AS is_system_query, COUNT(*) AS calls, "
         "CAST(SUM(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) AS total_time, MAX(value) AS max_time, "
-        "SUM(CAST(round(value * 100) AS BIGINT)) AS shared_blks_hit, COUNT(*) * 2 AS shared_blks_read, "
+        "CAST(SUM(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS shared_blks_hit, COUNT(*) * 2 AS shared_blks_read, "
         "CAST(SUM(event_id % 100) AS DOUBLE) AS blk_read_time, CAST(COUNT(*) AS DOUBLE) AS blk_write_time "
         "FROM events WHERE user_id % 10 <> 0 GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9", dialect)
 
@@ -721,7 +721,7 @@ def b13_requests(dialect: str) -> list[str]:
     """B13 per-request load-test rows: baseline run before 2024-01-16, 'after' from then on."""
     s = _SPLIT[dialect]
     m = {"test_run_id": f"CASE WHEN ts < {s} THEN 'baseline' ELSE 'after' END", "phase_name": "'steady'",
-         "ts": "ts", "day_index": f"day(ts) - CASE WHEN ts < {s} THEN 0 ELSE 15 END",
+         "ts": "ts", "day_index": f"CAST(day(ts) - CASE WHEN ts < {s} THEN 0 ELSE 15 END AS INT)",
          "ok": "(event_type <> 'error')", "latency_ms": "value"}
     return exprs(m, dialect)
 
