@@ -912,7 +912,8 @@ from statsweep.streaming import state as ST  # noqa: E402
 from statsweep.streaming.runner import StreamJob  # noqa: E402
 
 
-def _two_landings(job: StreamJob, df: DataFrame, time_col: str, split: str = SPLIT_AT):
+def _two_landings(df: DataFrame, time_col: str, split: str = SPLIT_AT):
+    """Two landed slices of a stand-in stream: rows before ``split`` and rows from it on."""
     cut = F.col(time_col) < F.lit(split).cast("timestamp_ntz")
     return df.where(cut), df.where(~cut)
 
@@ -924,7 +925,7 @@ def q_stream_counter_delta(spark, sf):
     The idle-key TTL (30 days) is longer than any gap in this history, so the result equals batch WN-01."""
     s = B.counter_samples(_t(spark, sf, "events"))
     job = StreamJob(spark, "counter-delta")
-    first, second = _two_landings(job, s, "source_collected_at")
+    first, second = _two_landings(s, "source_collected_at")
     for part in (first, second):
         job.land(part)
         stream = job.source(s.schema)
@@ -946,7 +947,7 @@ def q_stream_fire_triggers(spark, sf):
     """SM-02 stream form: same events from two landed slices, last fired time kept in state."""
     samples = B.trigger_samples(spark, _t(spark, sf, "events"))
     job = StreamJob(spark, "triggers")
-    first, second = _two_landings(job, samples, "ts")
+    first, second = _two_landings(samples, "ts")
     for part in (first, second):
         job.land(part)
         job.run(ST.stream_fire_triggers(ST.trigger_candidates(job.source(samples.schema))))
@@ -972,7 +973,7 @@ def q_stream_incremental(spark, sf):
     w, rt = _waits(spark, sf)
     job = StreamJob(spark, "incremental")
     ragg = QS.runtime_by_window(rt).select(*QS.RUNTIME_KEYS, "runtime_calls")
-    first, second = _two_landings(job, w, "end_time")
+    first, second = _two_landings(w, "end_time")
     for part in (first, second):
         job.land(part)
         job.run(job.source(w.schema).join(ragg, list(QS.RUNTIME_KEYS), "left"))
@@ -983,7 +984,7 @@ def q_stream_incremental(spark, sf):
 def q_tumbling_summary(spark, sf):
     """SM-04: hourly tumbling summaries per server over the event stream (two landed slices)."""
     ev, job = _stream_hourly(spark, sf, "tumbling")
-    first, second = _two_landings(job, ev, "ts")
+    first, second = _two_landings(ev, "ts")
     sink = os.path.join(job.sink, "summary")
     for part in (first, second):
         job.land(part)
@@ -998,7 +999,7 @@ def q_sliding_threshold(spark, sf):
     s = _series(spark, sf)
     job = StreamJob(spark, "sliding")
     sink = os.path.join(job.sink, "sliding")
-    first, second = _two_landings(job, s, "time_utc")
+    first, second = _two_landings(s, "time_utc")
     for part in (first, second):
         job.land(part)
         job.run(SW.sliding_threshold(job.source(s.schema), "time_utc", list(SE.SERIES), "value", "3 hours",
@@ -1014,7 +1015,7 @@ def q_blocking_episodes(spark, sf):
         F.concat(F.lit("srv-"), (F.col("user_id") % 2).cast("string")).alias("server_id"),
         F.col("user_id").alias("pid"), "ts", F.col("value").alias("wait_seconds"))
     job = StreamJob(spark, "episodes")
-    first, second = _two_landings(job, ev, "ts")
+    first, second = _two_landings(ev, "ts")
     # later samples with nothing blocked: the sampling goes on and moves event time forward
     quiet = ev.groupBy("server_id").agg((F.max("ts") + F.expr("INTERVAL 2 DAYS")).alias("ts")).select(
         "server_id", F.lit(None).cast("long").alias("pid"), "ts", F.lit(None).cast("double").alias("wait_seconds"))
@@ -1029,7 +1030,7 @@ def q_stream_dedupe(spark, sf):
     """SM-07: runs landed with re-delivered copies come out once per run id."""
     r = B.runs(_t(spark, sf, "events"))
     job = StreamJob(spark, "dedupe")
-    first, second = _two_landings(job, r, "started_at")
+    first, second = _two_landings(r, "started_at")
     job.land(first.unionByName(first.where("event_id % 4 = 0")))
     job.run(SW.stream_dedupe(job.source(r.schema), ["run_id"], "started_at"))
     job.land(second.unionByName(second.where("event_id % 3 = 0")))
@@ -1166,7 +1167,7 @@ def q_stream_database_interval(spark, sf):
     src = B.b1_dataset(_t(spark, sf, "events"), "database")
     p = IV.PRESETS["database"]
     job = StreamJob(spark, "database-interval")
-    first, second = _two_landings(job, src, "source_collected_at")
+    first, second = _two_landings(src, "source_collected_at")
     for part in (first, second):
         job.land(part)
         job.run(ST.stream_counter_delta(job.source(src.schema), p.keys, p.counters, idle_ttl="30 days"))

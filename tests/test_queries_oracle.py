@@ -16,7 +16,7 @@ def _norm(v):
     if v is None:
         return ""
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else f"{v:.9g}"
+        return "nan" if math.isnan(v) else repr(v)
     if hasattr(v, "isoformat"):
         return v.isoformat(sep=" ") if hasattr(v, "hour") else v.isoformat()
     if isinstance(v, bool):
