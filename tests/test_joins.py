@@ -36,3 +36,26 @@ def test_range_join_broadcast_and_bucketed_agree(spark):
                                               max_broadcast_rows=0).collect()}
     assert small == big
     assert small == {(i, "a" if i < 4 else "b") for i in range(10)}
+
+
+def test_range_join_random_with_keys_both_plans(spark):
+    rnd = random.Random(21)
+    ivs = []
+    for k in range(3):
+        t = T0
+        for i in range(6):
+            start = t + dt.timedelta(hours=rnd.randrange(0, 30))
+            end = None if i == 5 else start + dt.timedelta(hours=rnd.randrange(1, 60))
+            ivs.append((k, f"p{k}-{i}", start, end))
+            t = start
+    pts = [(i, rnd.randrange(3), T0 + dt.timedelta(minutes=rnd.randrange(0, 60 * 24 * 12))) for i in range(300)]
+    iv = spark.createDataFrame(ivs, "k long, phase string, start_time timestamp_ntz, end_time timestamp_ntz")
+    pt = spark.createDataFrame(pts, "i long, k long, ts timestamp_ntz")
+    want = set()
+    for i, k, ts in pts:
+        hit = [ph for kk, ph, s, e in ivs if kk == k and s <= ts and (e is None or ts < e)]
+        want |= {(i, ph) for ph in hit} if hit else {(i, None)}
+    for limit in (100_000, 0):
+        got = {(r.i, r.phase) for r in range_join(pt, iv, "ts", "start_time", "end_time", ["k"],
+                                                    max_broadcast_rows=limit).collect()}
+        assert got == want, limit
