@@ -1078,15 +1078,20 @@ def q_write_multi(spark, sf):
     return spark.read.parquet(os.path.join(job.sink, "ledger")).drop("batch_id")
 
 
+def _daily_cpu(spark, ev):
+    """Daily mean CPU % of the metric series, summed in integer hundredths (order-independent)."""
+    cents = F.round(F.col("value") * 100).cast("long")
+    return B.metric_series(spark, ev).groupBy(B.trunc("day", "time_utc").alias("ts")).agg(
+        (F.sum(cents) / F.count("value") / 100).alias("cpu_percent"))
+
+
 @query("cpu_efficiency")
 def q_cpu_efficiency(spark, sf):
     """AG-24 efficiency: successful requests per second per CPU percent, per run day."""
     ev = _t(spark, sf, "events")
     daily = B.load_daily(spark, ev).select("test_run_id", "ts", "successful_rps")
-    cpu = B.metric_series(spark, ev).groupBy(B.trunc("day", "time_utc").alias("ts")).agg(
-        F.round(F.avg("value"), 6).alias("cpu_percent"))
-    out = CP.efficiency(daily, cpu, ["ts"])
-    return out.withColumn("successful_rps_per_cpu_percent", F.round("successful_rps_per_cpu_percent", 9))
+    cpu = _daily_cpu(spark, ev)
+    return CP.efficiency(daily, cpu, ["ts"])
 
 
 @query("wait_dictionary")
@@ -1182,10 +1187,8 @@ def q_efficiency_change(spark, sf):
     """RL-26 input: successful RPS per CPU % per run day, after vs baseline on the same day of the run (JN-17)."""
     ev = _t(spark, sf, "events")
     daily = B.load_daily(spark, ev).select("test_run_id", "phase_name", "ts", "day_index", "successful_rps")
-    cpu = B.metric_series(spark, ev).groupBy(B.trunc("day", "time_utc").alias("ts")).agg(
-        F.round(F.avg("value"), 6).alias("cpu_percent"))
-    eff = CP.efficiency(daily, cpu, ["ts"]).withColumn(
-        "rps_per_cpu", F.round("successful_rps_per_cpu_percent", 9))
+    cpu = _daily_cpu(spark, ev)
+    eff = CP.efficiency(daily, cpu, ["ts"]).withColumnRenamed("successful_rps_per_cpu_percent", "rps_per_cpu")
     return J.compare_runs(eff.where("test_run_id = 'baseline'"), eff.where("test_run_id = 'after'"),
                           ["phase_name", "day_index"], ["rps_per_cpu"])
 
