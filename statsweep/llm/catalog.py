@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import block_dedup, license_scan, quality, sentencepiece_bpe, toxicity, url_filter
+from . import block_dedup, decontaminate, license_scan, ngram_join, quality, sentencepiece_bpe, toxicity, url_filter
 from .common import read_table
 
 MODEL = "piece_bpe_32k.model"
@@ -19,6 +19,11 @@ def fold(n: int):
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under the 4-word shingle Jaccard join."""
+    return ngram_join.jaccard_components(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document; labels of the rows with fold(5) = 0 are held out of the training."""
     labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality").where(fold(5) != 0)
@@ -49,12 +54,18 @@ def op8_block_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_dedup.block_dedup(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found inside documents, and how much of each."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.find_leaks(docs, read_table(spark, sf_dir, "benchmark"))
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and template matches of every document."""
     return license_scan.scan_licenses(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_quality, op4_url_filter, op5_sentencepiece, op7_toxicity, op8_block_dedup, op10_license_scan)}
+    f.__name__: f for f in (op1_ngram_join, op2_quality, op4_url_filter, op5_sentencepiece, op7_toxicity, op8_block_dedup, op9_decontaminate, op10_license_scan)}
 
-ORACLE: dict[str, str] = {"op8_block_dedup": block_dedup.ORACLE}
+ORACLE: dict[str, str] = {"op8_block_dedup": block_dedup.ORACLE, "op9_decontaminate": decontaminate.ORACLE}
