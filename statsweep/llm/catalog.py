@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import block_dedup, decontaminate, license_scan, ngram_join, quality, sentencepiece_bpe, toxicity, url_filter
+from . import block_dedup, decontaminate, html_text, license_scan, ngram_join, quality, sentencepiece_bpe, toxicity, url_filter, warc
 from .common import read_table
 
 MODEL = "piece_bpe_32k.model"
@@ -31,6 +31,11 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold(5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rendered text of every page."""
+    return html_text.extract_text(read_table(spark, sf_dir, "pages").select("page_id", "html"))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page URL, by rule or by boosted trees."""
     return url_filter.judge_urls(read_table(spark, sf_dir, "pages").select("page_id", "url"))
@@ -41,6 +46,20 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.tokenize(read_table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path(MODEL))
 
 
+def responses(pages: DataFrame) -> DataFrame:
+    """Pages as WARC response records: an id, the URI, a date and the HTTP response with the page as payload."""
+    md5 = F.md5(F.concat_ws(" ", F.col("page_id").cast("string"), "url"))
+    uuid = F.concat_ws("-", *[F.substring(md5, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
+    head = F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nServer: archive\r\n\r\n")
+    return pages.select("page_id", F.concat(F.lit("<urn:uuid:"), uuid, F.lit(">")).alias("record_id"), F.col("url").alias("target_uri"),
+                        F.lit("2024-01-01T00:00:00Z").alias("date"), F.concat(head, F.coalesce("html", F.lit(""))).cast("binary").alias("block"))
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the metadata and conversion records of every page's response."""
+    return warc.build_derivatives(responses(read_table(spark, sf_dir, "pages")), content=False)
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document; labels of the rows with fold(4) = 2 are held out of the training."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -66,6 +85,6 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_join, op2_quality, op4_url_filter, op5_sentencepiece, op7_toxicity, op8_block_dedup, op9_decontaminate, op10_license_scan)}
+    f.__name__: f for f in (op1_ngram_join, op2_quality, op3_html_text, op4_url_filter, op5_sentencepiece, op6_warc, op7_toxicity, op8_block_dedup, op9_decontaminate, op10_license_scan)}
 
 ORACLE: dict[str, str] = {"op8_block_dedup": block_dedup.ORACLE, "op9_decontaminate": decontaminate.ORACLE}

@@ -218,14 +218,15 @@ def train(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLASS
     return fit(texts[1], texts[0])
 
 
-def score_toxicity(docs: DataFrame, model: dict, keep: list[str] | None = None, spans: bool = True, threshold: float = THRESHOLD) -> DataFrame:
+def score_toxicity(docs: DataFrame, model: dict, keep: list[str] | None = None, spans: bool = True, threshold: float = THRESHOLD,
+                   prefix: str = "") -> DataFrame:
     """Per row of ``docs``: the columns in ``keep`` (default ``doc_id``), ``score`` (0 to 1), ``predicted`` (1 from
     ``threshold`` on) and, with ``spans``, the offending ``spans`` (start, end in characters, marginal). Null and blank
-    texts score 0."""
+    texts score 0. ``prefix`` goes before the new names, where ``keep`` has columns of those names."""
     keep = ["doc_id"] if keep is None else keep
     src = docs.select(*keep, F.col("text").alias("__text"))
-    schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema[:-1]] + ["score double", "predicted int"]
-    schema += ["spans array<struct<start:int,stop:int,marginal:double>>"] * spans
+    schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema[:-1]] + [f"{prefix}score double", f"{prefix}predicted int"]
+    schema += [f"{prefix}spans array<struct<start:int,stop:int,marginal:double>>"] * spans
     key = f"toxicity-{zlib.crc32(model['w'].tobytes() + model['a'].tobytes())}-{model['bias']}"
     shared = src.sparkSession.sparkContext.broadcast(model)  # DIM doubles: a fixed size
 
@@ -242,6 +243,6 @@ def score_toxicity(docs: DataFrame, model: dict, keep: list[str] | None = None,
             if spans:
                 cols.append(pa.array([[{"start": a, "stop": b, "marginal": p} for a, b, p in sp] for _, sp in out],
                                      pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("marginal", pa.float64())]))))
-            yield pa.RecordBatch.from_arrays(cols, names=[*keep, "score", "predicted", *["spans"] * spans])
+            yield pa.RecordBatch.from_arrays(cols, names=[*keep, f"{prefix}score", f"{prefix}predicted", *[f"{prefix}spans"] * spans])
 
     return src.mapInArrow(run, ", ".join(schema))
