@@ -1,14 +1,14 @@
 """Exact continuous percentiles without holding a group in one task.
 
 ``percentile`` buffers all of a group's values in one aggregation buffer, so a
-group holding a third of a huge table cannot be summarised exactly. Here the
-values are sorted globally by (group, value) with range partitioning, which
-splits a large group over many partitions; each row's rank inside its group is
-its position in its partition plus the count of the group's rows in earlier
-partitions (a small per-(partition, group) table). Only the two rows around each
-requested rank are then fetched and interpolated, the same definition as
-``percentile`` / ``percentile_cont``: ``v[lo] + (pos - lo) * (v[hi] - v[lo])``
-with ``pos = q * (n - 1)``.
+group holding a third of a huge table cannot be summarised exactly. Here equal
+values collapse into counts map-side, and each group's range is cut into buckets
+by bounds that follow from the values alone (no partition ids, no sampled
+ranges: every evaluation of the plan gives the same buckets). Running counts per
+bucket find the bucket that holds each requested rank; that bucket is cut once
+more, and only the values of the small bucket around a rank are ordered. The
+definition is ``percentile`` / ``percentile_cont``:
+``v[lo] + (pos - lo) * (v[hi] - v[lo])`` with ``pos = q * (n - 1)``.
 """
 
 from __future__ import annotations
@@ -18,54 +18,56 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_POS_MASK = (1 << 33) - 1  # monotonically_increasing_id: partition id in the upper 31 bits
+BUCKETS = 2048
+
+
+def _bucket(lo: str, hi: str):
+    """Bucket of ``_v`` between the bounds; never falls as ``_v`` rises (infinities and NaN included)."""
+    share = (F.col("_v") - F.col(lo)) / (F.col(hi) - F.col(lo))
+    return (F.when(F.col("_v") >= F.col(hi), F.lit(BUCKETS - 1)).when(share.isNull() | F.isnan(share), F.lit(0))
+            .otherwise(F.least(F.lit(BUCKETS - 1), F.floor(share * BUCKETS).cast("int"))))
+
+
+def _locate(ranks: DataFrame, values: DataFrame, at: list[str], by: str) -> DataFrame:
+    """``ranks`` (``at`` columns and ``_rank`` inside them) with the bucket ``by`` that holds each rank, the bounds of
+    the bucket's values, and ``_rank`` counted from the bucket's first value."""
+    sums = values.groupBy(*at, by).agg(F.sum("_n").alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    before = Window.partitionBy(*at).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumn("_off", F.coalesce(F.sum("_c").over(before), F.lit(0)))
+    found = ranks.join(sums, at).where((F.col("_rank") >= F.col("_off")) & (F.col("_rank") < F.col("_off") + F.col("_c")))
+    return found.withColumn("_rank", F.col("_rank") - F.col("_off")).drop("_c", "_off")
 
 
 def exact_summary(df: DataFrame, keys: Sequence[str], value: str, qs: Sequence[float],
                   names: Sequence[str] | None = None) -> DataFrame:
     """Per group: ``sample_count``, ``min_value``, ``max_value``, ``sum_value`` and one column per quantile.
 
-    One range-partitioned sort by (group, value) feeds both the per-(partition, group)
-    blocks (counts, positions, min, max, sum) and the fetch of the rows around each
-    requested rank. Null values sort first in their group and are left out of every
-    statistic; a group whose values are all null still gets a row (count 0, nulls).
-    Groups are handled as a struct of ``keys``, so null key values form groups too.
+    Null values are left out of every statistic; a group whose values are all null still gets a row (count 0,
+    nulls). Groups are handled as a struct of ``keys``, so null key values form groups too.
     """
     keys = list(keys)
     names = list(names) if names else [f"p{int(round(q * 100))}" for q in qs]
     v = df.select(F.struct(*[F.col(k) for k in keys]).alias("_g"), F.col(value).cast("double").alias("_v"))
-    s = (v.repartitionByRange(F.col("_g"), F.col("_v").asc_nulls_first())
-         .sortWithinPartitions(F.col("_g"), F.col("_v").asc_nulls_first())
-         .select("*", F.spark_partition_id().alias("_pid"),
-                 (F.monotonically_increasing_id().bitwiseAND(F.lit(_POS_MASK))).alias("_pos")))
-    nn = F.col("_v").isNotNull()
-    # per (partition, group): non-null rows are consecutive positions after the group's nulls
-    blocks = s.groupBy("_pid", "_g").agg(
-        F.count("_v").alias("_cnt"), F.min(F.when(nn, F.col("_pos"))).alias("_first"),
-        F.min("_v").alias("_min"), F.max("_v").alias("_max"), F.sum("_v").alias("_sum"))
-    wk = Window.partitionBy("_g").orderBy("_pid")
-    blocks = blocks.select("*", F.coalesce(F.sum("_cnt").over(wk.rowsBetween(Window.unboundedPreceding, -1)),
-                                           F.lit(0)).alias("_off"),
-                           F.sum("_cnt").over(Window.partitionBy("_g")).alias("_n"))
-    stats = blocks.groupBy("_g").agg(F.sum("_cnt").alias("sample_count"), F.min("_min").alias("min_value"),
-                                     F.max("_max").alias("max_value"), F.sum("_sum").alias("sum_value"))
-    # the two ranks around each requested quantile, located in the block that holds them
+    stats = v.groupBy("_g").agg(F.count("_v").alias("sample_count"), F.min("_v").alias("min_value"),
+                                F.max("_v").alias("max_value"), F.sum("_v").alias("sum_value"))
     q_rows = F.explode(F.array(*[F.struct(F.lit(i).alias("qi"), F.lit(float(q)).alias("q"))
                                  for i, q in enumerate(qs)]))
-    t = blocks.where(F.col("_cnt") > 0).select("*", q_rows.alias("_q")).select(
-        "*", (F.col("_q.q") * (F.col("_n") - 1)).alias("_at"))
-    t = t.select("*", F.explode(F.array(F.floor("_at"), F.ceil("_at"))).alias("_rank")).where(
-        (F.col("_rank") >= F.col("_off")) & (F.col("_rank") < F.col("_off") + F.col("_cnt")))
-    t = t.select("_pid", (F.col("_first") + F.col("_rank") - F.col("_off")).alias("_pos"), "_g",
-                 F.col("_q.qi").alias("_qi"), "_at", "_rank")
-    # t has at most two rows per group and quantile: broadcast it when its size allows, so the
-    # sorted values are not shuffled a second time
-    from statsweep.operators.joins import broadcast_if_small
-
-    t_side, _ = broadcast_if_small(t)
-    picked = s.join(t_side, ["_pid", "_pos", "_g"], "inner")
+    t = stats.where("sample_count > 0").select("_g", "sample_count", q_rows.alias("_q")).select(
+        "_g", F.col("_q.qi").alias("_qi"), (F.col("_q.q") * (F.col("sample_count") - 1)).alias("_at"))
+    # at most two ranks per group and quantile
+    t = t.select("*", F.explode(F.array(F.floor("_at"), F.ceil("_at"))).alias("_rank")).select(
+        "*", F.col("_rank").alias("_whole"))
+    counts = v.where(F.col("_v").isNotNull()).groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    x = counts.join(stats.select("_g", "min_value", "max_value"), "_g").withColumn("_b", _bucket("min_value", "max_value"))
+    t = _locate(t, x, ["_g"], "_b")
+    x = x.select("_g", "_b", "_v", "_n").join(t.select("_g", "_b", "_lo", "_hi").distinct(), ["_g", "_b"]).withColumn("_s", _bucket("_lo", "_hi"))
+    t = _locate(t.drop("_lo", "_hi"), x, ["_g", "_b"], "_s").drop("_lo", "_hi")
+    small = x.join(t.select("_g", "_b", "_s").distinct(), ["_g", "_b", "_s"], "left_semi")
+    upto = Window.partitionBy("_g", "_b", "_s").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    small = small.select("_g", "_b", "_s", "_v", "_n", F.sum("_n").over(upto).alias("_end"))
+    picked = t.join(small, ["_g", "_b", "_s"]).where((F.col("_rank") < F.col("_end")) & (F.col("_rank") >= F.col("_end") - F.col("_n")))
     per_q = picked.groupBy("_g", "_qi").agg(
-        F.first("_at").alias("_at"), F.min_by("_v", "_rank").alias("_lo"), F.max_by("_v", "_rank").alias("_hi"))
+        F.first("_at").alias("_at"), F.min_by("_v", "_whole").alias("_lo"), F.max_by("_v", "_whole").alias("_hi"))
     per_q = per_q.select("_g", "_qi", (F.col("_lo") + (F.col("_at") - F.floor("_at"))
                                        * (F.col("_hi") - F.col("_lo"))).alias("_val"))
     wide = per_q.groupBy("_g").pivot("_qi", list(range(len(qs)))).agg(F.first("_val"))

@@ -3,8 +3,10 @@
 import random
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
-from statsweep.functions.quantiles import exact_percentiles
+from statsweep.functions.quantiles import exact_percentiles, exact_summary
 
 
 def test_exact_percentiles_match_numpy(spark):
@@ -35,3 +37,24 @@ def test_exact_summary_all_null_group_and_stats(spark):
     assert got["a"].avg_value == 4.0 and got["a"].p50 == 2.5
     assert got["b"].sample_count == 0 and got["b"].min_value is None and got["b"].p50 is None
     assert got[None].sample_count == 1 and got[None].p99 == 4.0
+
+
+@pytest.mark.parametrize("reuse,aqe", [("true", "true"), ("false", "true"), ("false", "false")])
+def test_percentiles_do_not_depend_on_the_plan(spark, reuse, aqe):
+    """Equal to ``percentile`` with exchange reuse and adaptive execution off; a hot group and a dominant tied value."""
+    rows = [("hot", float(i % 7919) if i % 3 else 42.0) for i in range(30_000)] + [("cold", float(i) ** 3) for i in range(50)]
+    rows += [("one", 5.0), ("nulls", None), (None, 1.5), (None, 2.5), ("tied", 7.0), ("tied", 7.0)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(7)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.exchange.reuse", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    spark.conf.set("spark.sql.adaptive.enabled", aqe)
+    try:
+        got = {r.g: (r.sample_count, r.p50, r.p95, r.p99) for r in exact_summary(df, ["g"], "v", [0.5, 0.95, 0.99]).collect()}
+        want = {r.g: (r.n, *(r.p or [None] * 3)) for r in df.groupBy("g").agg(
+            F.count("v").alias("n"), F.percentile("v", [0.5, 0.95, 0.99]).alias("p")).collect()}
+    finally:
+        for k, x in old.items():
+            spark.conf.set(k, x)
+    assert got.keys() == want.keys()
+    for g, row in want.items():
+        assert got[g] == pytest.approx(row, rel=1e-12), g
