@@ -32,12 +32,12 @@ from .common import components, discard, save, worker_cache
 
 WORDS = 4
 LINK = 85  # percent of the union that two linked sets share
-BUCKET_TOKENS = 4_000_000  # shingles in a bucket of step 2, on average
+BUCKET_TOKENS = 2_000_000  # shingles in a bucket of step 2, on average
 FRAGMENTS = 4
 TILE = 128  # members of a tile, on average
-BATCH = 2_000  # documents whose shingles are sent together
+BATCH = 1_000  # documents whose shingles are sent together
 HOT = 1_000  # shingles of more than 1 / HOT of the documents need no bucket: they are shared anyway
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 200_000
 LOW48 = np.uint64((1 << 48) - 1)
 
 
