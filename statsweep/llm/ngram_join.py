@@ -104,8 +104,10 @@ def _sets(docs: DataFrame, n: int, seed: int) -> DataFrame:
 
 
 def _shared(docs: DataFrame, n: int, seed: int, buckets: int, hot: np.ndarray) -> DataFrame:
-    """Step 2: ``c, n, tok, df`` per class and bucket: the shingles that at least two classes hold, and their counts
-    (binary: int64 and uint16, 65535 at most). The hot shingles are dealt by class, all others by shingle."""
+    """Step 2: ``part, data`` per bucket: the shingles that at least two classes hold, and their counts (int64 and
+    uint16, 65535 at most), packed by the part that the class belongs to. The hot shingles are dealt by class, all
+    others by shingle."""
+    parts = 4 * buckets
     hot_list = docs.sparkSession.sparkContext.broadcast(np.sort(hot))  # at most HOT times the mean set size
 
     def send(batches):
@@ -175,15 +177,22 @@ def _shared(docs: DataFrame, n: int, seed: int, buckets: int, hot: np.ndarray) -
         if bucket >= buckets and len(row):
             fresh = np.r_[True, (row[1:] != row[:-1]) | (tok[1:] != tok[:-1])]
             row, tok, df = row[fresh], tok[fresh], df[fresh]
-        ends = np.flatnonzero(np.r_[row[1:] != row[:-1], True]) + 1 if len(row) else np.zeros(0, int)
-        begins = np.r_[0, ends[:-1]] if len(ends) else ends
-        who = row[begins] if len(ends) else np.zeros(0, int)
-        pack = lambda v, w: pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer((np.r_[0, ends] * w).astype(np.int32).tobytes()), pa.py_buffer(v.tobytes())])
-        return pa.table({"c": kinds[who], "n": n_of[first][who].astype(np.int64), "tok": pack(tok, 8), "df": pack(df, 2)},
-                        schema=pa.schema([("c", pa.int64()), ("n", pa.int64()), ("tok", pa.binary()), ("df", pa.binary())]))
+        # one row per destination: classes meet again by the remainder of their name
+        num = np.bincount(row, minlength=len(kinds))
+        who = np.flatnonzero(num)
+        part = (kinds[who].view(np.uint64) % np.uint64(parts)).astype(np.int64)
+        starts = np.r_[0, np.cumsum(num)]
+        dest, data = [], []
+        for d in np.unique(part):
+            mine = who[part == d]
+            at = np.concatenate([np.arange(starts[w], starts[w + 1]) for w in mine])
+            dest.append(int(d))
+            data.append(b"".join([np.uint32(len(mine)).tobytes(), kinds[mine].tobytes(), n_of[first][mine].astype(np.int64).tobytes(),
+                                  num[mine].astype(np.int64).tobytes(), tok[at].tobytes(), df[at].tobytes()]))
+        return pa.table({"part": dest, "data": data}, schema=pa.schema([("part", pa.int32()), ("data", pa.binary())]))
 
     sent = docs.select("text").mapInArrow(send, "bucket int, data binary")
-    return sent.groupBy("bucket").applyInArrow(count, "c bigint, n bigint, tok binary, df binary")
+    return sent.groupBy("bucket").applyInArrow(count, "part int, data binary")
 
 
 def need(n, link: int = LINK):
@@ -194,23 +203,35 @@ def need(n, link: int = LINK):
 def _survivors(shared: DataFrame, link: int) -> DataFrame:
     """``c, n, tok, df, prefix``: the shared shingles of every class that may have a link, in the global order, and
     how many of them belong to the prefix."""
-    whole = shared.groupBy("c").agg(F.first("n").alias("n"), F.collect_list(F.struct("tok", "df")).alias("parts"),
-                                    F.sum(F.length("tok") / 8).cast("bigint").alias("s"))
-    whole = whole.where(F.col("s") * 100 >= F.col("n") * link)
 
-    def run(batches):
-        for batch in batches:
-            out = []
-            for c, n, parts, s in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                tok, df = np.frombuffer(b"".join(p["tok"] for p in parts), np.int64), np.frombuffer(b"".join(p["df"] for p in parts), np.uint16)
-                order = np.lexsort((tok, df))
-                prefix = n - need(n, link) + 1 - (n - s)  # shingles of one class alone come before all shared ones
-                out.append((c, n, tok[order].tolist(), df[order].tolist(), int(prefix)))
-            cols = list(zip(*out)) or [()] * 5
-            kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int32()]
-            yield pa.RecordBatch.from_arrays([pa.array(list(v), k) for v, k in zip(cols, kinds)], names=["c", "n", "tok", "df", "prefix"])
-
-    return whole.select("c", "n", "parts", "s").mapInArrow(run, "c bigint, n bigint, tok array<bigint>, df array<int>, prefix int")
+    def merge(table: pa.Table) -> pa.Table:
+        cs, ns, rows, toks, dfs = [], [], [], [], []
+        for data in table.column("data"):
+            raw = data.as_buffer()
+            k = int(np.frombuffer(raw, np.uint32, 1)[0])
+            c, n, num = np.frombuffer(raw, np.int64, 3 * k, 4).reshape(3, k)
+            m = int(num.sum())
+            cs.append(c)
+            ns.append(n)
+            rows.append(np.repeat(c, num))
+            toks.append(np.frombuffer(raw, np.int64, m, 4 + 24 * k))
+            dfs.append(np.frombuffer(raw, np.uint16, m, 4 + 24 * k + 8 * m))
+        kinds, first = np.unique(np.concatenate(cs), return_index=True)
+        size = np.concatenate(ns)[first]
+        row, tok, df = np.searchsorted(kinds, np.concatenate(rows)), np.concatenate(toks), np.concatenate(dfs)
+        s = np.bincount(row, minlength=len(kinds))
+        keep = s * 100 >= size * link
+        # shingles of one class alone come before all shared ones
+        prefix = size - np.array([need(int(n), link) for n in size]) + 1 - (size - s)
+        mine = keep[row]
+        row, tok, df = row[mine], tok[mine], df[mine]
+        order = np.lexsort((tok, df, row))
+        offsets = pa.array(np.r_[0, np.cumsum(s[keep])].astype(np.int32))
+        return pa.table([pa.array(kinds[keep]), pa.array(size[keep]), pa.ListArray.from_arrays(offsets, pa.array(tok[order])),
+                         pa.ListArray.from_arrays(offsets, pa.array(df[order].astype(np.int32))), pa.array(prefix[keep].astype(np.int32))],
+                        names=["c", "n", "tok", "df", "prefix"])
+
+    return shared.groupBy("part").applyInArrow(merge, "c bigint, n bigint, tok array<bigint>, df array<int>, prefix int")
 
 
 def _pivots(kept: DataFrame, fragments: int) -> list[tuple[int, int]]:
