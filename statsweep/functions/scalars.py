@@ -134,10 +134,27 @@ def plan_features(df: DataFrame, text_col: str = "plan_text") -> DataFrame:
     return df.select("*", *flags, workers.alias("workers_planned_from_plan"))
 
 
+# SQL key words that an identifier can't be without quotes (reserved, type or function, column name).
+QUOTED_WORDS = """
+    all analyse analyze and any array as asc asymmetric both case cast check collate column constraint
+    create current_catalog current_date current_role current_time current_timestamp current_user default
+    deferrable desc distinct do else end except false fetch for foreign from grant group having in initially
+    intersect into lateral leading limit localtime localtimestamp not null offset on only or order placing
+    primary references returning select session_user some symmetric system_user table then to trailing true
+    union unique user using variadic when where window with authorization binary collation concurrently
+    cross current_schema freeze full ilike inner is isnull join left like natural notnull outer overlaps
+    right similar tablesample verbose between bigint bit boolean char character coalesce dec decimal exists
+    extract float greatest grouping inout int integer interval least national nchar none normalize nullif
+    numeric out overlay position precision real row setof smallint substring time timestamp treat trim
+    values varchar xmlattributes xmlconcat xmlelement xmlexists xmlforest xmlnamespaces xmlparse xmlpi
+    xmlroot xmlserialize xmltable
+""".split()
+
+
 def quote_ident(c: str | Column) -> Column:
-    """Double-quote an identifier only when needed (not lower-case simple), doubling inner quotes."""
+    """Double-quote an identifier only when needed (a key word, or not lower-case simple), doubling inner quotes."""
     x = _c(c)
-    return F.when(x.rlike(r"^[a-z_][a-z0-9_$]*$"), x).otherwise(
+    return F.when(x.rlike(r"^[a-z_][a-z0-9_]*$") & ~x.isin(*QUOTED_WORDS), x).otherwise(
         F.concat(F.lit('"'), F.replace(x, F.lit('"'), F.lit('""')), F.lit('"')))
 
 

@@ -80,11 +80,32 @@ def chain_depth(edges: DataFrame, max_depth: int = MAX_DEPTH, sample: Sequence[s
     return r.groupBy(*sample, "root_blocked_pid").agg(F.max("depth").alias("maximum_chain_depth"))
 
 
-def root_blockers(edges: DataFrame, max_depth: int = MAX_DEPTH, sample: Sequence[str] = SAMPLE,
-                  reach: DataFrame | None = None) -> DataFrame:
+def waits_on(edges: DataFrame, sample: Sequence[str] = SAMPLE) -> DataFrame:
+    """Every distinct (root blocked pid, blocker pid) that a chain of any length connects, a pid itself left out.
+
+    Breadth first: a level holds only the pairs not met before, so cycles end, fan-in does not multiply
+    rows, and the pairs are bounded by the squared size of a sample's lock graph. Each level is written
+    with a reliable ``checkpoint()``.
+    """
+    sample = list(sample)
+    ensure_checkpoint_dir(edges.sparkSession)
+    pair = [*sample, "root_blocked_pid", "blocker_pid"]
+    e = edges.where(F.col("blocked_pid") != F.col("blocker_pid")).select(*sample, "blocked_pid", "blocker_pid").distinct().checkpoint()
+    hop = e.select(*sample, F.col("blocked_pid").alias("_at"), F.col("blocker_pid").alias("_next"))
+    seen = level = e.select(*sample, F.col("blocked_pid").alias("root_blocked_pid"), "blocker_pid")
+    while True:
+        step = level.withColumnRenamed("blocker_pid", "_at").join(hop, [*sample, "_at"]).where(
+            F.col("_next") != F.col("root_blocked_pid")).select(*sample, "root_blocked_pid", F.col("_next").alias("blocker_pid"))
+        level = step.distinct().join(seen, pair, "left_anti").checkpoint()
+        if level.isEmpty():
+            return seen
+        seen = seen.unionByName(level)
+
+
+def root_blockers(edges: DataFrame, sample: Sequence[str] = SAMPLE) -> DataFrame:
     """RC-03: blockers that are not blocked themselves, with direct and total (transitive) waiters."""
     sample = list(sample)
-    r = reach if reach is not None else chain_reach(edges, max_depth, sample)
+    r = waits_on(edges, sample)
     blocked = edges.select(*sample, F.col("blocked_pid").alias("blocker_pid")).distinct()
     roots = edges.select(*sample, "blocker_pid").distinct().join(blocked, [*sample, "blocker_pid"], "left_anti")
     direct = edges.groupBy(*sample, "blocker_pid").agg(F.count_distinct("blocked_pid").alias("direct_waiters"))

@@ -20,16 +20,23 @@ DEFAULT_BUCKET_SECONDS = 86_400
 
 
 def epoch_micros(c: Column | str) -> Column:
-    """Microseconds since the epoch of a TIMESTAMP or TIMESTAMP_NTZ column."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.unix_micros(c.cast("timestamp"))
+    """Microseconds from 1970-01-01 00:00 to a TIMESTAMP_NTZ, whatever the session zone is.
+
+    A TIMESTAMP is read as its local time.
+    """
+    origin = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
+    return F.round(seconds_between(c, origin) * F.lit(1e6)).cast("bigint")
 
 
 def seconds_between(later: Column | str, earlier: Column | str) -> Column:
-    """``later - earlier`` in seconds as double (time-zone independent)."""
-    later = F.col(later) if isinstance(later, str) else later
-    earlier = F.col(earlier) if isinstance(earlier, str) else earlier
-    return F.timestamp_diff("MICROSECOND", earlier, later) / F.lit(1e6)
+    """``later - earlier`` in seconds as double, whatever the session zone is.
+
+    The subtraction stays in TIMESTAMP_NTZ: a cast to TIMESTAMP would shift the hour
+    that a clock change skips.
+    """
+    later, earlier = (F.col(x) if isinstance(x, str) else x for x in (later, earlier))
+    gap = later.cast("timestamp_ntz") - earlier.cast("timestamp_ntz")
+    return gap.cast("interval second").cast("decimal(18,6)").cast("double")
 
 
 def with_previous(

@@ -1,7 +1,7 @@
 """Join operators: labels, range and as-of joins, before/after pairing (JN-01, JN-14 to JN-17).
 
-Broadcasts happen only behind a row-count check of the small side; above the
-limit each operator has an equi-join plan that shuffles both sides by key.
+Every join here is an equi join, so Spark broadcasts a side only under its own byte
+threshold and shuffles by key (with AQE's skew handling) otherwise.
 """
 
 from __future__ import annotations
@@ -13,57 +13,40 @@ from pyspark.sql import functions as F
 
 from statsweep.operators.deltas import DEFAULT_BUCKET_SECONDS, epoch_micros
 
-DEFAULT_MAX_BROADCAST_ROWS = 100_000
+def label(df: DataFrame, dim: DataFrame, on: str | Sequence[str]) -> DataFrame:
+    """JN-01: left equi join to a name table (database, role, nation ...).
 
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Return ``(broadcast(df), True)`` when ``df`` has at most ``max_rows`` rows, else ``(df, False)``.
-
-    The count runs on the small side only (one job); a dimension that outgrows the
-    limit silently gets a shuffle join instead of an executor OOM.
+    Spark broadcasts the name table when its size in bytes is under
+    ``spark.sql.autoBroadcastJoinThreshold`` and shuffles both sides otherwise.
     """
-    n = df.limit(max_rows + 1).count()
-    return (F.broadcast(df), True) if n <= max_rows else (df, False)
-
-
-def label(df: DataFrame, dim: DataFrame, on: str | Sequence[str], max_rows: int = DEFAULT_MAX_BROADCAST_ROWS
-          ) -> DataFrame:
-    """JN-01: left equi join to a name table (database, role, nation ...), broadcast when small."""
-    d, _ = broadcast_if_small(dim, max_rows)
-    return df.join(d, on, "left")
+    return df.join(dim, on, "left")
 
 
 def range_join(df: DataFrame, intervals: DataFrame, ts_col: str, start_col: str, end_col: str,
-               keys: Sequence[str] = (), how: str = "left", max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-               bucket: str = "day") -> DataFrame:
+               keys: Sequence[str] = (), how: str = "left",
+               bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """Half-open containment join ``start <= ts < end`` (null end = open) on optional equal ``keys``.
 
-    Small interval tables (checked count) are broadcast and joined with the range as
-    the condition. Large ones are exploded to ``bucket`` units they overlap and
-    equi-joined on ``(keys, bucket)``, with the range as a residual filter.
+    One plan for all sizes: each interval is exploded to the time buckets that it shares
+    with the data's span, and joined on ``(keys, bucket)`` with the range as a residual
+    filter. Intervals outside the span, empty ones (``end <= start``) and ones without a
+    start match nothing; rows with a null time match nothing. Overlapping intervals give
+    one row each. Spark picks broadcast or shuffle by the interval side's size in bytes.
     """
     keys = list(keys)
+    bkt = lambda c: F.floor(epoch_micros(c) / F.lit(bucket_seconds * 1_000_000))
     iv = intervals.select(*[F.col(c).alias(f"_iv_{c}") if c in keys else F.col(c) for c in intervals.columns])
-    ts = F.col(ts_col)
-    in_range = (ts >= F.col(start_col)) & (F.col(end_col).isNull() | (ts < F.col(end_col)))
-    key_eq = [F.col(k).eqNullSafe(F.col(f"_iv_{k}")) for k in keys]
-    small, is_small = broadcast_if_small(iv, max_broadcast_rows)
-    if is_small:
-        cond = in_range
-        for c in key_eq:
-            cond = cond & c
-        out = df.join(small, cond, how)
-    else:
-        hi = df.agg(F.max(ts_col).alias("_hi")).withColumn("_one", F.lit(1))
-        step = F.expr(f"INTERVAL 1 {bucket.upper()}")
-        ivb = iv.withColumn("_one", F.lit(1)).join(F.broadcast(hi), "_one").drop("_one").withColumn(
-            "_b", F.explode(F.sequence(F.date_trunc(bucket, F.col(start_col)),
-                                       F.date_trunc(bucket, F.coalesce(F.col(end_col), F.col("_hi"))), step))
-        ).drop("_hi")
-        d = df.withColumn("_b", F.date_trunc(bucket, ts))
-        cond = (F.col("_b") == F.col("_ivb")) & in_range & _and(key_eq)
-        out = d.join(ivb.withColumnRenamed("_b", "_ivb"), cond, how).drop("_b", "_ivb")
-    return out.drop(*[f"_iv_{k}" for k in keys])
+    ts, start, end = F.col(ts_col), F.col(start_col), F.col(end_col)
+    span = df.agg(F.min(ts_col).alias("_lo"), F.max(ts_col).alias("_hi")).withColumn("_one", F.lit(1))
+    live = iv.withColumn("_one", F.lit(1)).join(F.broadcast(span), "_one").where(
+        (start <= F.col("_hi")) & (end.isNull() | ((end > start) & (end > F.col("_lo")))))
+    first = F.greatest(bkt(start_col), bkt("_lo"))
+    last = F.least(bkt(F.coalesce(end, F.col("_hi"))), bkt("_hi"))
+    ivb = live.withColumn("_ivb", F.explode(F.sequence(first, last))).drop("_one", "_lo", "_hi")
+    d = df.withColumn("_b", bkt(ts_col))
+    cond = (F.col("_b") == F.col("_ivb")) & (ts >= start) & (end.isNull() | (ts < end)) & _and(
+        [F.col(k).eqNullSafe(F.col(f"_iv_{k}")) for k in keys])
+    return d.join(ivb, cond, how).drop("_b", "_ivb", *[f"_iv_{k}" for k in keys])
 
 
 def _and(conds: Sequence[Column]) -> Column:
@@ -83,6 +66,7 @@ def align_asof(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time
     (latest right row of the key's earlier buckets) is unioned in front of each
     bucket, so one shuffle of the data by (key, bucket) and one window do the work:
     no inequality join, no join back, and a hot key is split across buckets.
+    Of right rows with equal times the one with the greatest ``right_fields`` matches.
     With ``tolerance_s``, a match older than that is dropped (null).
     """
     keys = list(keys)
@@ -95,7 +79,7 @@ def align_asof(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time
     r2 = right.select(*keys, F.col(right_time).alias("_t"), F.lit(0).alias("_side"), rstruct.alias("_r"),
                       bkt(right_time).alias("_bkt"))
     # carry: latest right row of each (key, bucket), then the latest from strictly earlier buckets
-    last_r = r2.groupBy(*keys, "_bkt").agg(F.max_by("_r", F.struct("_t", "_r._rt")).alias("_last"))
+    last_r = r2.groupBy(*keys, "_bkt").agg(F.max_by("_r", F.struct("_t", "_r")).alias("_last"))
     all_b = l2.select(*keys, "_bkt").distinct().unionByName(last_r.select(*keys, "_bkt")).distinct()
     carry = all_b.join(last_r, [*keys, "_bkt"], "left").select(
         *keys, "_bkt",
@@ -105,7 +89,7 @@ def align_asof(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time
     carry_rows = carry.where(F.col("_r").isNotNull()).select(
         *keys, "_bkt", F.lit(None).cast(l2.schema["_t"].dataType).alias("_t"), F.lit(-1).alias("_side"), "_r")
     u = l2.unionByName(r2, allowMissingColumns=True).unionByName(carry_rows, allowMissingColumns=True)
-    w = (Window.partitionBy(*keys, "_bkt").orderBy(F.col("_t").asc_nulls_first(), "_side")
+    w = (Window.partitionBy(*keys, "_bkt").orderBy(F.col("_t").asc_nulls_first(), "_side", "_r")
          .rowsBetween(Window.unboundedPreceding, 0))
     u = u.withColumn("_m", F.last("_r", ignorenulls=True).over(w)).where(F.col("_side") == 1)
     if tolerance_s is not None:
@@ -115,10 +99,10 @@ def align_asof(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time
     return u.select(*left.columns, *out_cols)
 
 
-def assign_capacity(df: DataFrame, history: DataFrame, ts_col: str, keys: Sequence[str] = ("server_id",),
-                    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def assign_capacity(df: DataFrame, history: DataFrame, ts_col: str, keys: Sequence[str] = ("server_id",)
+                    ) -> DataFrame:
     """JN-15: capacity in force at sample time: ``effective_from <= ts < effective_to`` (open end)."""
-    return range_join(df, history, ts_col, "effective_from", "effective_to", keys, "left", max_broadcast_rows)
+    return range_join(df, history, ts_col, "effective_from", "effective_to", keys, "left")
 
 
 def compare_runs(baseline: DataFrame, after: DataFrame, keys: Sequence[str], metrics: Sequence[str],

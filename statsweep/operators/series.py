@@ -118,18 +118,14 @@ def changes(df: DataFrame, col: str, keys: Sequence[str], time_col: str, min_pct
     return tmp.withColumn(out, F.coalesce(cond, F.lit(False)))
 
 
-def assign_phase(df: DataFrame, phases: DataFrame, ts_col: str, run_cols: Sequence[str] = (),
-                 max_broadcast_rows: int = 100_000, bucket: str = "day") -> DataFrame:
+def assign_phase(df: DataFrame, phases: DataFrame, ts_col: str, run_cols: Sequence[str] = ()) -> DataFrame:
     """JN-14: attach the phase containing each timestamp, ``start <= ts < end`` (open end = infinity).
 
-    The phase table of a test plan is small; its row count is checked and it is
-    broadcast only under ``max_broadcast_rows``. Above that, phases are exploded to
-    ``bucket`` buckets and equi-joined on (run keys, bucket) with the range as a filter.
+    Phases are cut into day buckets and equi-joined on (run keys, bucket), with the range as a filter.
     """
     from statsweep.operators.joins import range_join
 
-    return range_join(df, phases, ts_col, "start_time", "end_time", list(run_cols),
-                      max_broadcast_rows=max_broadcast_rows, bucket=bucket)
+    return range_join(df, phases, ts_col, "start_time", "end_time", list(run_cols))
 
 
 def summarize_series(series: DataFrame, keys: Sequence[str], value: str = "value", exact: bool = True,

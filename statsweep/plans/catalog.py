@@ -1134,11 +1134,11 @@ def q_maintenance_stalled(spark, sf):
 for _p in (
     RL.Pack("RL-01p", "unified_configuration", ("server_id", "setting_scope", "database_name", "role_name",
                                                 "parameter_name"), None, (
-        RL.Rule("pending_restart", "CASE WHEN pending_restart THEN 1 ELSE 0 END", (("warning", 1.0),), ">="),)),
+        RL.Rule("pending_restart", "CASE WHEN pending_restart THEN 1 ELSE 0 END", (("high", 1.0),), ">="),)),
     RL.Pack("RL-02g", "parallel_group_share", ("server_id", "leader_pid"), "source_collected_at", (
         RL.Rule("one_query_worker_share", "worker_pool_share_percent", (("warning", 50.0), ("high", 75.0)), ">="),)),
     RL.Pack("RL-12s", "maintenance_stalled", ("server_id", "operation_type", "pid"), "source_collected_at", (
-        RL.Rule("maintenance_stalled", "CASE WHEN stalled THEN 1 ELSE 0 END", (("warning", 1.0),), ">="),)),
+        RL.Rule("maintenance_stalled", "CASE WHEN stalled THEN 1 ELSE 0 END", (("high", 1.0),), ">="),)),
     RL.Pack("RL-15c", "allocation_changes", ("server_id", "allocation_name"), "source_collected_at", (
         RL.Rule("allocation_change", "abs(change_percent)", (("warning", 5.0), ("high", 10.0))),)),
     RL.Pack("RL-19v", "plan_variability", ("server_id", "db_id", "query_id"), None, (
@@ -1217,9 +1217,9 @@ for _p in (
     RL.Pack("RL-26e", "efficiency_change", ("phase_name", "day_index"), None, (
         RL.Rule("efficiency_decline", "rps_per_cpu_change_percent", (("warning", -10.0), ("high", -20.0)), "<"),)),
     RL.Pack("RL-01w", "worker_limits", ("server_id",), None, (
-        RL.Rule("worker_limits_inconsistent", "CASE WHEN max_parallel_workers > max_worker_processes OR "
-                "max_parallel_workers_per_gather > max_parallel_workers THEN 1 ELSE 0 END", (("warning", 1.0),),
-                ">="),)),
+        RL.Rule("worker_limits_inconsistent", "CASE WHEN max_parallel_workers > max_worker_processes THEN 2 "
+                "WHEN max_parallel_workers_per_gather > max_parallel_workers THEN 1 ELSE 0 END",
+                (("warning", 1.0), ("high", 2.0)), ">="),)),
     RL.Pack("RL-23n", "new_server_age", ("server_id", "database", "user", "remote_pid"), "source_collected_at", (
         RL.Rule("server_stuck_new", "new_state_seconds", (("warning", 30.0), ("high", 300.0))),)),
 ):

@@ -19,6 +19,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from statsweep.operators.deltas import seconds_between
+
 # Severity ranks (highest wins).
 SEVERITIES = ("warning", "high", "critical")
 RANK = {s: i + 1 for i, s in enumerate(SEVERITIES)}
@@ -95,8 +97,7 @@ def evaluate(df: DataFrame, rules: Sequence[Rule], keys: Sequence[str], time_col
             held = F.lit(0)
             for L in range(1, len(SEVERITIES) + 1):
                 start = F.coalesce(F.max(F.when(F.col("lvl") < L, F.col("_next_t"))).over(run), F.col("_first_t"))
-                ok = (F.col("lvl") >= L) & (F.timestamp_diff("MICROSECOND", start, F.col(time_col))
-                                            >= F.lit(int(sustain * 1_000_000)))
+                ok = (F.col("lvl") >= L) & (seconds_between(time_col, start) >= F.lit(float(sustain)))
                 held = F.when(ok, F.lit(L)).otherwise(held)
             x = x.withColumn("lvl", held).drop("_next_t", "_first_t")
         out = x if out is None else out.unionByName(x)
@@ -141,11 +142,12 @@ PACKS: tuple[Pack, ...] = (
     Pack("RL-03", "blocking_pairs", ("server_id", "blocked_pid", "blocking_pid"), "source_collected_at", (
         Rule("lock_wait", "actual_lock_wait_seconds", (("warning", 5.0), ("high", 30.0), ("critical", 60.0)),
              guard="waitstart IS NOT NULL"),
-        Rule("chain_depth", "maximum_chain_depth", (("warning", 3.0), ("high", 5.0)), ">="),
+        Rule("chain_depth", "maximum_chain_depth", (("high", 3.0), ("critical", 5.0)), ">="),
     )),
     Pack("RL-04", "database_interval", ("server_id", "datid"), "source_collected_at", (
         Rule("deadlock", "deadlock_count", (("critical", 0.0),)),
-        Rule("cache_hit", "cache_hit_percent", (("warning", 99.0), ("high", 97.0), ("critical", 95.0)), "<"),
+        Rule("cache_hit", "cache_hit_percent", (("warning", 99.0), ("high", 97.0), ("critical", 95.0)), "<",
+             sustain_s=900),
         Rule("temp_spill_per_minute", "temp_bytes_per_second * 60", (("warning", 100.0 * MB), ("high", 1.0 * GB))),
         Rule("rollback", "rollback_percent", (("warning", 1.0), ("high", 5.0))),
     ), ("event_id",)),
@@ -163,8 +165,8 @@ PACKS: tuple[Pack, ...] = (
         Rule("eviction_vs_baseline", "eviction_vs_baseline", (("warning", 2.0),), sustain_s=900),
     ), ("event_id",)),
     Pack("RL-08", "checkpoint_interval", ("server_id", "source_view"), "source_collected_at", (
-        Rule("requested_checkpoints", "requested_checkpoint_percent", (("warning", 20.0), ("high", 50.0)),
-             sustain_s=900),
+        Rule("requested_checkpoints", "requested_checkpoint_percent", (("warning", 20.0),), sustain_s=900),
+        Rule("mostly_requested_checkpoints", "requested_checkpoint_percent", (("high", 50.0),)),
     ), ("event_id",)),
     Pack("RL-09", "table_interval", ("server_id", "database_name", "relid"), "source_collected_at", (
         Rule("dead_tuples", "dead_tuple_percent", (("warning", 10.0), ("high", 20.0))),
@@ -179,7 +181,7 @@ PACKS: tuple[Pack, ...] = (
                                    "event"), None, (
         Rule("wait_concentration", "event_share_of_all_window_wait_percent", (("warning", 20.0), ("high", 40.0))),)),
     Pack("RL-11u", "unmatched_share", ("server_id", "start_time", "end_time"), None, (
-        Rule("unmatched_waits", "unmatched_percent", (("warning", 5.0),)),)),
+        Rule("unmatched_waits", "unmatched_percent", (("high", 5.0),)),)),
     Pack("RL-12", "maintenance_progress", ("server_id", "operation_type", "pid"), "source_collected_at", (
         Rule("long_maintenance", "operation_age_seconds", (("warning", 1800.0),)),)),
     Pack("RL-13", "buffer_summary", ("server_id",), "source_collected_at", (
@@ -204,10 +206,11 @@ PACKS: tuple[Pack, ...] = (
         Rule("settings_pending_restart", "CASE WHEN pending_restart THEN 1 ELSE 0 END", (("warning", 1.0),), ">="),
     )),
     Pack("RL-18", "unmapped_waits", ("server_id", "event_type", "event"), None, (
+        Rule("unmapped_wait_event", "1", (("warning", 1.0),), ">="),
         Rule("unmapped_wait_events", "share_percent", (("high", 1.0),)),)),
     Pack("RL-19", "plan_inventory", ("server_id", "db_id", "query_id", "plan_id"), None, (
         Rule("many_planned_workers", "workers_planned_from_plan", (("warning", 4.0),), ">="),
-        Rule("short_frequent_parallel", "CASE WHEN mean_time_ms < 10 AND query_store_calls > 1000 THEN 1 ELSE 0 END",
+        Rule("short_frequent_parallel", "CASE WHEN mean_time_ms < 50 AND query_store_calls > 1000 THEN 1 ELSE 0 END",
              (("warning", 1.0),), ">="),
     )),
     Pack("RL-20", "pool_totals", ("server_id",), "source_collected_at", (

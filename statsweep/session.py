@@ -53,7 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared file system folder and is used as is.
-    Only when it is unset (tests, a laptop) do we create a private one.
+    Only when it is unset and the master is local (tests, a laptop) do we create a private
+    one; on a cluster an unset folder is an error, since executors share no local disk.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
@@ -64,6 +65,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="statsweep-ckpt-")
     sc.setCheckpointDir(path)
     spark.conf.set("spark.checkpoint.dir", path)

@@ -1,4 +1,4 @@
-"""As-of and range joins against brute force, both plans of the size-checked range join."""
+"""As-of and range joins against brute force, with broadcast and with shuffled interval sides."""
 
 import datetime as dt
 import random
@@ -27,13 +27,22 @@ def test_asof_tolerance(spark):
     assert align_asof(l, r, ["k"], "t", "rt", ["rid"], tolerance_s=120).first().rid == 9
 
 
-def test_range_join_broadcast_and_bucketed_agree(spark):
+def _both_plans(spark, run):
+    """``run()`` with Spark's broadcast threshold as it is, and with broadcasts off."""
+    out = [run()]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        return [*out, run()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_range_join_broadcast_and_shuffled_agree(spark):
     iv = spark.createDataFrame([("a", T0, T0 + dt.timedelta(days=2)), ("b", T0 + dt.timedelta(days=2), None)],
                                "phase string, start_time timestamp_ntz, end_time timestamp_ntz")
     pts = spark.createDataFrame([(i, T0 + dt.timedelta(hours=12 * i)) for i in range(10)], "i long, ts timestamp_ntz")
-    small = {(r.i, r.phase) for r in range_join(pts, iv, "ts", "start_time", "end_time").collect()}
-    big = {(r.i, r.phase) for r in range_join(pts, iv, "ts", "start_time", "end_time",
-                                              max_broadcast_rows=0).collect()}
+    small, big = _both_plans(spark, lambda: {(r.i, r.phase) for r in range_join(
+        pts, iv, "ts", "start_time", "end_time").collect()})
     assert small == big
     assert small == {(i, "a" if i < 4 else "b") for i in range(10)}
 
@@ -55,7 +64,24 @@ def test_range_join_random_with_keys_both_plans(spark):
     for i, k, ts in pts:
         hit = [ph for kk, ph, s, e in ivs if kk == k and s <= ts and (e is None or ts < e)]
         want |= {(i, ph) for ph in hit} if hit else {(i, None)}
-    for limit in (100_000, 0):
-        got = {(r.i, r.phase) for r in range_join(pt, iv, "ts", "start_time", "end_time", ["k"],
-                                                    max_broadcast_rows=limit).collect()}
-        assert got == want, limit
+    for got in _both_plans(spark, lambda: {(r.i, r.phase) for r in range_join(
+            pt, iv, "ts", "start_time", "end_time", ["k"]).collect()}):
+        assert got == want
+
+
+def test_range_join_odd_intervals(spark):
+    """Intervals after the last row, before the first, empty, reversed, without a start; rows without a time."""
+    h = lambda n: T0 + dt.timedelta(hours=n)
+    iv = spark.createDataFrame([("late", h(5000), None), ("early", h(-90), h(-50)), ("empty", h(3), h(3)), ("reversed", h(9), h(1)),
+                                ("unknown", None, h(9)), ("all", h(-999), None)],
+                               "phase string, start_time timestamp_ntz, end_time timestamp_ntz")
+    pts = spark.createDataFrame([(0, h(0)), (1, h(3)), (2, h(80)), (3, None)], "i long, ts timestamp_ntz")
+    for got in _both_plans(spark, lambda: {(r.i, r.phase) for r in range_join(pts, iv, "ts", "start_time", "end_time").collect()}):
+        assert got == {(0, "all"), (1, "all"), (2, "all"), (3, None)}
+    assert range_join(pts.limit(0), iv, "ts", "start_time", "end_time").count() == 0
+
+
+def test_asof_equal_right_times(spark):
+    l = spark.createDataFrame([(1, 1, T0)], "k long, id long, t timestamp_ntz")
+    r = spark.createDataFrame([(1, 7, T0), (1, 9, T0), (1, 8, T0)], "k long, rid long, rt timestamp_ntz")
+    assert align_asof(l, r, ["k"], "t", "rt", ["rid"]).first().rid == 9
