@@ -42,9 +42,14 @@ def discard(*saved: DataFrame) -> None:
 
 
 def worker_cache(name: str) -> dict:
-    """A dict that lives as long as the Python worker process, shared by the tasks it runs."""
-    store = sys.modules.setdefault("_statsweep_worker", types.ModuleType("_statsweep_worker"))
-    return store.__dict__.setdefault(name, {})
+    """A dict shared by the tasks that a Python worker process runs. A worker keeps the dict of the operator that it
+    served last; another operator's is dropped, so that their sizes don't add up over a pipeline."""
+    held = sys.modules.setdefault("_statsweep_worker", types.ModuleType("_statsweep_worker")).__dict__
+    if name not in held:
+        for other in [k for k in held if not k.startswith("__")]:
+            del held[other]
+        held[name] = {}
+    return held[name]
 
 
 def ascii_lower(col):

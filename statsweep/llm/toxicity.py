@@ -25,7 +25,8 @@ MAX_PER_CLASS = 2500  # labelled documents of each class that the field is fitte
 MAX_CHARS = 24_000_000  # and their characters in all, so that the driver's share stays bounded
 DIM = 1 << 20
 THRESHOLD = 0.3
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 200_000
+BATCH = 500  # documents whose texts are Python strings at one time
 EDGE = re.compile(r"^\W+|\W+$")
 
 
@@ -224,8 +225,9 @@ def score_toxicity(docs: DataFrame, model: dict, keep: list[str] | None = None,
     ``threshold`` on) and, with ``spans``, the offending ``spans`` (start, end in characters, marginal). Null and blank
     texts score 0. ``prefix`` goes before the new names, where ``keep`` has columns of those names."""
     keep = ["doc_id"] if keep is None else keep
-    src = docs.select(*keep, F.col("text").alias("__text"))
-    schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema[:-1]] + [f"{prefix}score double", f"{prefix}predicted int"]
+    src = docs.select(*keep) if "text" in keep else docs.select(*keep, "text")
+    text_at = src.columns.index("text")
+    schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema[:len(keep)]] + [f"{prefix}score double", f"{prefix}predicted int"]
     schema += [f"{prefix}spans array<struct<start:int,stop:int,marginal:double>>"] * spans
     key = f"toxicity-{zlib.crc32(model['w'].tobytes() + model['a'].tobytes())}-{model['bias']}"
     shared = src.sparkSession.sparkContext.broadcast(model)  # DIM doubles: a fixed size
@@ -237,12 +239,14 @@ def score_toxicity(docs: DataFrame, model: dict, keep: list[str] | None = None,
             held[key] = Tagger(shared.value)
         tagger = held[key]
         for batch in batches:
-            out = [tagger.score(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
-            cols = [batch.column(i) for i in range(batch.num_columns - 1)]
-            cols += [pa.array([s for s, _ in out], pa.float64()), pa.array([int(s >= threshold) for s, _ in out], pa.int32())]
-            if spans:
-                cols.append(pa.array([[{"start": a, "stop": b, "marginal": p} for a, b, p in sp] for _, sp in out],
-                                     pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("marginal", pa.float64())]))))
-            yield pa.RecordBatch.from_arrays(cols, names=[*keep, f"{prefix}score", f"{prefix}predicted", *[f"{prefix}spans"] * spans])
+            for at in range(0, batch.num_rows, BATCH):
+                part = batch.slice(at, BATCH)
+                out = [tagger.score(t) for t in part.column(text_at).to_pylist()]
+                cols = [part.column(i) for i in range(len(keep))]
+                cols += [pa.array([s for s, _ in out], pa.float64()), pa.array([int(s >= threshold) for s, _ in out], pa.int32())]
+                if spans:
+                    cols.append(pa.array([[{"start": a, "stop": b, "marginal": p} for a, b, p in sp] for _, sp in out],
+                                         pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("marginal", pa.float64())]))))
+                yield pa.RecordBatch.from_arrays(cols, names=[*keep, f"{prefix}score", f"{prefix}predicted", *[f"{prefix}spans"] * spans])
 
     return src.mapInArrow(run, ", ".join(schema))
