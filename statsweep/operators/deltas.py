@@ -84,6 +84,54 @@ def with_previous(
     return merged.where(F.col("_src") == 1).drop("_src", "_carry", "_bkt")
 
 
+def running(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    time_col: str,
+    runs: dict[str, Column] | None = None,
+    maxima: dict[str, Column] | None = None,
+    position: str | None = None,
+    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+) -> DataFrame:
+    """Running values over a key's whole history, with no more than one time bucket of a key in a window.
+
+    ``runs`` adds, per name, how many rows in a row up to this one meet the condition (null counts as false);
+    ``maxima`` the largest value up to this row; ``position`` the row's number within its key, from 1. ``order`` is
+    the order within a key, time first.
+
+    Windows run over (key, bucket). What earlier buckets contribute comes from a table of one row per key and bucket,
+    joined on that same partitioning. Null keys and null times form groups of their own.
+    """
+    runs, maxima = runs or {}, maxima or {}
+    bucket = F.floor(epoch_micros(time_col) / F.lit(bucket_seconds * 1_000_000))
+    # one struct: its equality holds for null fields too
+    data = df.withColumn("_kb", F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], bucket.alias("bkt")))
+    w = Window.partitionBy("_kb").orderBy(*order)
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    data = data.withColumn("_rn", F.row_number().over(w))
+    data = data.withColumns({
+        **{f"_z{i}": F.max(F.when(~F.coalesce(c, F.lit(False)), F.col("_rn"))).over(upto)
+           for i, c in enumerate(runs.values())},
+        **{f"_m{i}": F.max(c).over(upto) for i, c in enumerate(maxima.values())}})
+    before = (Window.partitionBy(*[F.col("_kb")[f"k{i}"] for i in range(len(keys))]).orderBy(F.col("_kb")["bkt"])
+              .rowsBetween(Window.unboundedPreceding, -1))
+    ends = data.groupBy("_kb").agg(
+        F.max("_rn").alias("_n"), *[F.max(f"_z{i}").alias(f"_z{i}") for i in range(len(runs))],
+        *[F.max(f"_m{i}").alias(f"_m{i}") for i in range(len(maxima))])
+    ends = ends.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    ends = ends.select("_kb", "_before",
+                       *[F.max(F.col("_before") + F.col(f"_z{i}")).over(before).alias(f"_cz{i}") for i in range(len(runs))],
+                       *[F.max(f"_m{i}").over(before).alias(f"_cm{i}") for i in range(len(maxima))])
+    pos = F.col("_before") + F.col("_rn")
+    return data.join(ends, "_kb").select(
+        *df.columns,
+        *[(pos - F.coalesce(F.col("_before") + F.col(f"_z{i}"), F.col(f"_cz{i}"), F.lit(0))).alias(name)
+          for i, name in enumerate(runs)],
+        *[F.greatest(f"_m{i}", f"_cm{i}").alias(name) for i, name in enumerate(maxima)],
+        *([pos.alias(position)] if position else []))
+
+
 def payload_type(df: DataFrame, fields: Sequence[str]) -> str:
     """DDL of ``struct<fields>`` with the fields' types in ``df``."""
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}

@@ -1,9 +1,7 @@
 """Time series, phases and sustained rules (WN-04 to WN-10, AG-19 to AG-21, JN-14).
 
-A series is ``keys + time``; windows below are partitioned by the series key and
-ordered by time. A series grows with cadence x history (one row per minute is
-525,600 rows a year), not with the number of servers, so a series partition is
-bounded even on a fleet-wide table.
+A series is ``keys + time``. Windows hold one time bucket of a series (``deltas.running``,
+``deltas.with_previous``), so neither a long history nor a hot series lands in one task.
 """
 
 from __future__ import annotations
@@ -13,15 +11,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from statsweep.operators.deltas import epoch_micros, seconds_between
+from statsweep.operators.deltas import DEFAULT_BUCKET_SECONDS, epoch_micros, running, seconds_between, with_previous
 
 SERIES = ("resource_id", "metric_id", "dimension_key")
 
 
-def _w(keys: Sequence[str], time_col: str) -> Window:
-    return Window.partitionBy(*keys).orderBy(time_col)
-
-
 def epoch_seconds(c: str | Column) -> Column:
     return epoch_micros(c) / F.lit(1e6)
 
@@ -29,9 +23,8 @@ def epoch_seconds(c: str | Column) -> Column:
 def consecutive(df: DataFrame, cond: Column, n: int, keys: Sequence[str] = SERIES, time_col: str = "time_utc",
                 out: str = "consecutive") -> DataFrame:
     """WN-04: ``cond`` true on ``n`` samples in a row ending at this one."""
-    w = _w(keys, time_col).rowsBetween(-(n - 1), 0)
-    c = F.coalesce(cond, F.lit(False)).cast("int")
-    return df.withColumn(out, (F.min(c).over(w) == 1) & (F.count(F.lit(1)).over(w) == n))
+    x = running(df, keys, [time_col], time_col, runs={"_run": cond})
+    return x.withColumn(out, F.col("_run") >= n).drop("_run")
 
 
 def sustained(df: DataFrame, value: str, duration_s: int, cadence_s: int, limit: float,
@@ -41,12 +34,18 @@ def sustained(df: DataFrame, value: str, duration_s: int, cadence_s: int, limit:
 
     The range is the ``duration_s / cadence_s`` samples ending here; it passes only with
     full coverage (all of them present), so a series younger than the range never fires.
+    Windows hold one time bucket of a series and the rows before it that its ranges reach.
     """
-    w = (Window.partitionBy(*keys).orderBy(epoch_seconds(time_col))
-         .rangeBetween(-(duration_s - cadence_s), 0))
+    span = duration_s - cadence_s
+    size = max(DEFAULT_BUCKET_SECONDS, 4 * span)
+    own = F.floor(F.col("_t") / F.lit(size))
+    x = df.withColumn("_t", epoch_seconds(time_col)).withColumn(
+        "_bkt", F.explode_outer(F.sequence(own, F.floor((F.col("_t") + F.lit(span)) / F.lit(size)))))
+    w = Window.partitionBy(*keys, "_bkt").orderBy("_t").rangeBetween(-span, 0)
     need = duration_s // cadence_s
     stat = F.min(value).over(w) if every else F.avg(value).over(w)
-    return df.select("*", stat.alias(f"{out}_value"), F.count(value).over(w).alias(f"{out}_samples")) \
+    return x.select("*", stat.alias(f"{out}_value"), F.count(value).over(w).alias(f"{out}_samples")) \
+        .where(F.col("_bkt").eqNullSafe(own)).drop("_t", "_bkt") \
         .withColumn(out, (F.col(f"{out}_samples") >= need) & (F.col(f"{out}_value") >= F.lit(limit)))
 
 
@@ -59,7 +58,7 @@ def breach_runs(df: DataFrame, cond: Column, cadence_s: int, keys: Sequence[str]
     """
     slot = F.floor(epoch_seconds(time_col) / F.lit(cadence_s))
     b = df.where(cond).select(*keys, time_col, slot.alias("_slot"))
-    b = b.withColumn("_grp", F.col("_slot") - F.row_number().over(_w(keys, time_col)))
+    b = running(b, keys, [time_col], time_col, position="_pos").withColumn("_grp", F.col("_slot") - F.col("_pos"))
     return b.groupBy(*keys, "_grp").agg(
         F.min(time_col).alias("run_start"), F.max(time_col).alias("run_end"),
         F.count(F.lit(1)).alias("run_samples")).drop("_grp")
@@ -68,8 +67,8 @@ def breach_runs(df: DataFrame, cond: Column, cadence_s: int, keys: Sequence[str]
 def increasing(df: DataFrame, col: str, n: int, keys: Sequence[str] = SERIES, time_col: str = "time_utc",
                out: str = "increasing") -> DataFrame:
     """WN-07: strictly rising over the last ``n`` samples (n - 1 rises in a row)."""
-    rise = F.col(col) > F.lag(col).over(_w(keys, time_col))
-    tmp = df.withColumn("_rise", rise)
+    tmp = with_previous(df, keys, [time_col], [col], time_col, "_prev")
+    tmp = tmp.withColumn("_rise", F.col(col) > F.col("_prev")[col]).drop("_prev")
     return consecutive(tmp, F.col("_rise"), n - 1, keys, time_col, out).drop("_rise")
 
 
@@ -91,10 +90,10 @@ def stalled(df: DataFrame, progress: str, duration_s: float, keys: Sequence[str]
     The time of the last change is a running max over ``time where changed``; the
     first sample of a key counts as a change.
     """
-    w = _w(keys, time_col)
-    changed = ~F.col(progress).eqNullSafe(F.lag(progress).over(w)) | F.lag(time_col).over(w).isNull()
-    tmp = df.withColumn("_chg", F.when(changed, F.col(time_col)))
-    tmp = tmp.withColumn("last_change_at", F.max("_chg").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    tmp = with_previous(df, keys, [time_col], [progress], time_col, "_prev")
+    changed = F.col("_prev").isNull() | ~F.col(progress).eqNullSafe(F.col("_prev")[progress])
+    tmp = tmp.withColumn("_chg", F.when(changed, F.col(time_col))).drop("_prev")
+    tmp = running(tmp, keys, [time_col], time_col, maxima={"last_change_at": F.col("_chg")})
     tmp = tmp.withColumn("unchanged_seconds", seconds_between(time_col, "last_change_at"))
     cond = F.col("unchanged_seconds") >= F.lit(duration_s)
     if active is not None:
@@ -105,9 +104,9 @@ def stalled(df: DataFrame, progress: str, duration_s: float, keys: Sequence[str]
 def changes(df: DataFrame, col: str, keys: Sequence[str], time_col: str, min_pct: float | None = None,
             out: str = "changed") -> DataFrame:
     """WN-10: value changed against the previous sample (null-safe); numeric form needs ``min_pct`` change."""
-    prev = F.lag(col).over(_w(keys, time_col))
-    tmp = df.withColumn("previous_value", prev)
-    has_prev = F.lag(time_col).over(_w(keys, time_col)).isNotNull()
+    tmp = with_previous(df, keys, [time_col], [col], time_col, "_prev")
+    tmp = tmp.select(*df.columns, F.col("_prev")[col].alias("previous_value"), F.col("_prev").isNotNull().alias("_has"))
+    has_prev = F.col("_has")
     if min_pct is None:
         cond = has_prev & ~F.col(col).eqNullSafe(F.col("previous_value"))
     else:
@@ -115,7 +114,7 @@ def changes(df: DataFrame, col: str, keys: Sequence[str], time_col: str, min_pct
                     F.lit(100.0) * (F.col(col) - F.col("previous_value")) / F.abs(F.col("previous_value")))
         tmp = tmp.withColumn("change_percent", pc)
         cond = has_prev & (F.abs(F.col("change_percent")) >= F.lit(min_pct))
-    return tmp.withColumn(out, F.coalesce(cond, F.lit(False)))
+    return tmp.withColumn(out, F.coalesce(cond, F.lit(False))).drop("_has")
 
 
 def assign_phase(df: DataFrame, phases: DataFrame, ts_col: str, run_cols: Sequence[str] = ()) -> DataFrame:

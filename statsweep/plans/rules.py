@@ -7,8 +7,8 @@ at a sample when every sample since the first one of the current run at or above
 that level qualifies and that first sample is at least D seconds old.
 ``evaluate`` computes every rule of a pack in one pass over the input: each row
 gets an array of ``(rule_id, value, level, limits)`` structs that is exploded and
-filtered, so N rules cost one scan, not N. Rules that need consecutive samples
-add one window per distinct run length, partitioned by entity and rule.
+filtered, so N rules cost one scan, not N. Rules that need consecutive samples or a
+duration add a pass per distinct need, over time buckets of an entity and rule.
 """
 
 from __future__ import annotations
@@ -16,10 +16,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statsweep.operators.deltas import seconds_between
+from statsweep.operators.deltas import running, seconds_between
 
 # Severity ranks (highest wins).
 SEVERITIES = ("warning", "high", "critical")
@@ -70,6 +70,14 @@ def _limits(rule: Rule) -> Column:
     return F.array(*[F.lit(thr.get(s)).cast("double") for s in SEVERITIES])
 
 
+def _highest(x: DataFrame, holds) -> DataFrame:
+    """Sets ``lvl`` to the highest level that ``holds``, else 0."""
+    lvl = F.lit(0)
+    for L in range(1, len(SEVERITIES) + 1):
+        lvl = F.when(holds(L), F.lit(L)).otherwise(lvl)
+    return x.withColumn("lvl", lvl)
+
+
 def evaluate(df: DataFrame, rules: Sequence[Rule], keys: Sequence[str], time_col: str | None = None,
              tiebreak: Sequence[str] = ()) -> DataFrame:
     """Rule hits ``(keys, time, rule_id, severity, value, threshold)``, one row per row and rule that fires."""
@@ -86,20 +94,18 @@ def evaluate(df: DataFrame, rules: Sequence[Rule], keys: Sequence[str], time_col
         if n > 1 or sustain is not None:
             if time_col is None:
                 raise ValueError("consecutive or sustained rules need a time column")
-            wo = Window.partitionBy(*keys, "rule_id").orderBy(time_col, *tiebreak)
+            series = ([*keys, "rule_id"], [time_col, *tiebreak], time_col)
+            # per level, the samples in a row at or above it
+            at_least = {f"_run{L}": F.col("lvl") >= L for L in range(1, len(SEVERITIES) + 1)}
         if n > 1:
-            w = wo.rowsBetween(-(n - 1), 0)
-            x = x.withColumn("lvl", F.when(F.count(F.lit(1)).over(w) == n, F.min("lvl").over(w)).otherwise(0))
+            x = _highest(running(x, *series, runs=at_least), lambda L: F.col(f"_run{L}") >= n).drop(*at_least)
         if sustain is not None:
-            # run start per level: the sample after the latest sample below that level (or the first sample)
-            run = wo.rowsBetween(Window.unboundedPreceding, 0)
-            x = x.withColumn("_next_t", F.lead(time_col).over(wo)).withColumn("_first_t", F.min(time_col).over(run))
-            held = F.lit(0)
-            for L in range(1, len(SEVERITIES) + 1):
-                start = F.coalesce(F.max(F.when(F.col("lvl") < L, F.col("_next_t"))).over(run), F.col("_first_t"))
-                ok = (F.col("lvl") >= L) & (seconds_between(time_col, start) >= F.lit(float(sustain)))
-                held = F.when(ok, F.lit(L)).otherwise(held)
-            x = x.withColumn("lvl", held).drop("_next_t", "_first_t")
+            x = running(x, *series, runs=at_least)
+            x = running(x, *series, maxima={f"_start{L}": F.when(F.col(f"_run{L}") == 1, F.col(time_col))
+                                            for L in range(1, len(SEVERITIES) + 1)})
+            held = lambda L: ((F.col(f"_run{L}") > 0)
+                              & (seconds_between(time_col, f"_start{L}") >= F.lit(float(sustain))))
+            x = _highest(x, held).select(*base_cols, "rule_id", "value", "lvl", "limits")
         out = x if out is None else out.unionByName(x)
     sev = F.element_at(F.array(*[F.lit(s) for s in SEVERITIES]), F.col("lvl"))
     return out.where(F.col("lvl") > 0).select(
