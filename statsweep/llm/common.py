@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import inspect
 import sys
 import types
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,6 +56,33 @@ def worker_cache(name: str) -> dict:
     return held[name]
 
 
+def _give_back() -> None:
+    """Return freed memory to the system. An idle worker would keep it beside the executor's next stage."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+
+def lean(fn):
+    """``fn`` (over record batches, or over the table of a group) that gives its freed memory back at its end."""
+    if inspect.isgeneratorfunction(fn):
+        @functools.wraps(fn)
+        def over_batches(batches):
+            yield from fn(batches)
+            _give_back()
+
+        return over_batches
+
+    def over_table(table: pa.Table) -> pa.Table:
+        out = fn(table)
+        _give_back()
+        return out
+
+    return over_table
+
+
 def ascii_lower(col):
     """Lower-case A-Z only."""
     return F.translate(col, UPPER, UPPER.lower())

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, discard, save, worker_cache
+from .common import components, discard, lean, save, worker_cache
 
 WORDS = 4
 LINK = 85  # percent of the union that two linked sets share
@@ -37,7 +37,7 @@ FRAGMENTS = 4
 TILE = 128  # members of a tile, on average
 BATCH = 1_000  # documents whose shingles are sent together
 HOT = 1_000  # shingles of more than 1 / HOT of the documents need no bucket: they are shared anyway
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 100_000
 LOW48 = np.uint64((1 << 48) - 1)
 
 
@@ -84,6 +84,7 @@ def _sets(docs: DataFrame, n: int, seed: int) -> DataFrame:
     """Per row: ``doc_id, n_shingles, c, c2`` (128-bit name of the set), and on the first row of a batch the shingles
     that are frequent in that batch, with their counts (``hot``, ``hot_n``)."""
 
+    @lean
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, BATCH):
@@ -110,6 +111,7 @@ def _shared(docs: DataFrame, n: int, seed: int, buckets: int, hot: np.ndarray) -
     parts = 4 * buckets
     hot_list = docs.sparkSession.sparkContext.broadcast(np.sort(hot))  # at most HOT times the mean set size
 
+    @lean
     def send(batches):
         hots = hot_list.value
         for batch in batches:
@@ -138,6 +140,7 @@ def _shared(docs: DataFrame, n: int, seed: int, buckets: int, hot: np.ndarray) -
                                           (tok[a:b].tobytes() if dest[a] >= buckets else six.tobytes())]))
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(data, pa.binary())], names=["bucket", "data"])
 
+    @lean
     def count(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
         cs, ns, nums, toks = [], [], [], []
@@ -204,6 +207,7 @@ def _survivors(shared: DataFrame, link: int) -> DataFrame:
     """``c, n, tok, df, prefix``: the shared shingles of every class that may have a link, in the global order, and
     how many of them belong to the prefix."""
 
+    @lean
     def merge(table: pa.Table) -> pa.Table:
         cs, ns, rows, toks, dfs = [], [], [], [], []
         for data in table.column("data"):
@@ -250,6 +254,7 @@ def _pivots(kept: DataFrame, fragments: int) -> list[tuple[int, int]]:
 def _segments(kept: DataFrame, cuts: list[tuple[int, int]]) -> DataFrame:
     """``c, n, f, seg``: the shingles of each class in each fragment (empty segments too)."""
 
+    @lean
     def run(batches):
         for batch in batches:
             c, n, f, seg = [], [], [], []
@@ -275,6 +280,7 @@ def _verify(pairs: DataFrame, segments: DataFrame, link: int) -> DataFrame:
     right = segments.select(F.col("c").alias("b"), F.col("n").alias("nb"), "f", F.col("seg").alias("sb"))
     both = pairs.join(left, "a").join(right, ["b", "f"])
 
+    @lean
     def run(batches):
         for batch in batches:
             sa, sb = batch.column(4), batch.column(5)
@@ -310,6 +316,7 @@ def _tile_links(tiles: DataFrame, segments: DataFrame, link: int) -> DataFrame:
         pairs.where("i <> j").select("cluster", "i", "j", F.col("j").alias("tile"), F.lit(1).alias("side")))
     rows = sides.join(tiles.drop("single"), ["cluster", "tile"]).join(segments, "c").select("cluster", "i", "j", "f", "side", "c", "n", "comp", "seg")
 
+    @lean
     def overlap(table: pa.Table) -> pa.Table:
         sides = []
         for s in (0, 1):
@@ -336,6 +343,7 @@ def _tile_links(tiles: DataFrame, segments: DataFrame, link: int) -> DataFrame:
         return pa.table({"cluster": first.column("cluster"), "i": first.column("i"), "j": first.column("j"),
                          "meta": pa.array([meta.tobytes()], pa.binary()), "part": pa.array([out.astype(np.int32).tobytes()], pa.binary())})
 
+    @lean
     def total(table: pa.Table) -> pa.Table:
         meta = np.frombuffer(table.column("meta")[0].as_buffer(), np.int64)
         na, nb = meta[:2]

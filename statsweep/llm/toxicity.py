@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import worker_cache
+from .common import lean, worker_cache
 
 MAX_PER_CLASS = 2500  # labelled documents of each class that the field is fitted on, the first by a hash of the id
 MAX_CHARS = 24_000_000  # and their characters in all, so that the driver's share stays bounded
@@ -232,6 +232,7 @@ def score_toxicity(docs: DataFrame, model: dict, keep: list[str] | None = None,
     key = f"toxicity-{zlib.crc32(model['w'].tobytes() + model['a'].tobytes())}-{model['bias']}"
     shared = src.sparkSession.sparkContext.broadcast(model)  # DIM doubles: a fixed size
 
+    @lean
     def run(batches):
         held = worker_cache("toxicity")
         if key not in held:
