@@ -894,9 +894,17 @@ def q_io_eviction_baseline(spark, sf):
                     .alias("eviction_vs_baseline"))
 
 
+# inputs whose own query is a top-k report: rules see every row
+UNCUT = {
+    "relation_cache": lambda spark, sf: CA.relation_cache_report(_relcache(spark, sf), k=None),
+    "plan_inventory": lambda spark, sf: QS.plan_inventory(_plan_runtime(spark, sf), B.plans(_t(spark, sf, "part")),
+                                                          k=None),
+}
+
+
 def _rules_query(pack: RL.Pack):
     def build(spark, sf):
-        return RL.run_pack(_Q[pack.source](spark, sf), pack)
+        return RL.run_pack(UNCUT.get(pack.source, _Q[pack.source])(spark, sf), pack)
 
     build.__name__ = f"q_rules_{pack.source}"
     build.__doc__ = f"{pack.pack_id}: rule pack over '{pack.source}' ({', '.join(r.rule_id for r in pack.rules)})."
