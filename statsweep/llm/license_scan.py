@@ -1,15 +1,17 @@
-"""License scan: base phrases, and an exact set-similarity join of text blocks with license templates.
-
-A block is a line of a document; a template's label belongs to a document if some block holds at least ``threshold``
-of the template's distinct tokens. Template tokens are ordered by their count over all documents, rarest first. A
-block that meets the threshold must hold one of a template's first ``|T| - need + 1`` tokens (prefix filter), must have
-``need`` tokens itself (length filter), and enough template tokens must be left after the first hit (positional filter).
+"""License scan: base phrases, and an exact set-similarity join of word windows with license templates.
+
+A block is a window of consecutive words, whatever line breaks and comment marks stand between them; for a template of
+n words it has 2n words, and every placement counts. A template's label belongs to a document if some window holds at
+least ``threshold`` of the template's distinct tokens. Template tokens are ordered by their count over all documents,
+rarest first. A window that meets the threshold must hold one of a template's first ``|T| - need + 1`` tokens (prefix
+filter), the document must have ``need`` words (length filter), and enough template tokens must be left after the first
+hit (positional filter). Only words within a window's reach of a hit are looked at, each once per template.
 """
 
 from __future__ import annotations
 
 import math
-import re
+from collections import deque
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,6 +35,7 @@ TEMPLATES = (
     ("mpl-2", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
 )
 THRESHOLD = 0.9
+SPAN = 2  # words of a window for each word of the template
 
 
 def words(text: str | None) -> list[bytes]:
@@ -60,9 +63,10 @@ class Index:
     """Prefix index over the templates, in the global token order."""
 
     def __init__(self, templates, counts: dict[bytes, int], threshold: float):
-        self.sets, self.need, self.label, self.prefix = [], [], [], {}
+        self.sets, self.need, self.label, self.span, self.prefix = [], [], [], [], {}
         for label, text in templates:
-            tokens = sorted(set(words(text)), key=lambda w: (counts[w], w))
+            ws = words(text)
+            tokens = sorted(set(ws), key=lambda w: (counts[w], w))
             if not tokens:
                 continue
             need = max(1, math.ceil(threshold * len(tokens) - 1e-9))
@@ -71,24 +75,54 @@ class Index:
             self.sets.append(tokens)
             self.need.append(need)
             self.label.append(label)
+            self.span.append(SPAN * len(ws))
         self.keys = frozenset(self.prefix)
 
-    def match(self, block: set[bytes]):
-        """(label, containment) of every template that the block meets."""
-        seen = set()
-        for w in block & self.keys:
-            for t, pos in self.prefix[w]:
-                if t in seen or len(block) < self.need[t]:
-                    continue
-                tokens = self.sets[t]
-                # the first prefix token of this template that the block holds decides
-                first = next(i for i in range(pos + 1) if tokens[i] in block)
-                seen.add(t)
-                if len(tokens) - first < self.need[t]:
+    def _reaches(self, t: int, hits):
+        """(first word, end, smallest position in the global order) of the words within a window's reach of prefix hits."""
+        start = end = first = None
+        for i, pos in hits:
+            lo, hi = i - self.span[t] + 1, i + self.span[t]
+            if start is not None and lo <= end:
+                end, first = hi, min(first, pos)
+                continue
+            if start is not None:
+                yield start, end, first
+            start, end, first = max(lo, 0), hi, pos
+        yield start, end, first
+
+    def match(self, ws: list[bytes]):
+        """(label, containment) of every template that some window of the words meets; the largest containment."""
+        hits: dict[int, list] = {}
+        for i, w in enumerate(ws):
+            if w in self.keys:
+                for t, pos in self.prefix[w]:
+                    hits.setdefault(t, []).append((i, pos))
+        for t, places in hits.items():
+            tokens, need, span, best = self.sets[t], self.need[t], self.span[t], 0
+            if len(ws) < need:
+                continue
+            for start, end, first in self._reaches(t, places):
+                if len(tokens) - first < need:
                     continue
-                shared = sum(x in block for x in tokens[first:])
-                if shared >= self.need[t]:
-                    yield self.label[t], shared / len(tokens)
+                # a token is held by the window that ends here while its last place is inside
+                last = dict.fromkeys(tokens[first:], -1)
+                recent: deque[tuple[int, bytes]] = deque()
+                held = 0
+                for i in range(start, min(end, len(ws))):
+                    while recent and recent[0][0] <= i - span:
+                        at, w = recent.popleft()
+                        held -= last[w] == at
+                    w = ws[i]
+                    if w in last:
+                        held += last[w] < max(start, i - span + 1)
+                        last[w] = i
+                        recent.append((i, w))
+                        best = max(best, held)
+                if best == len(tokens):
+                    break
+            if best >= need:
+                yield self.label[t], best / len(tokens)
 
 
 def scan_licenses(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
@@ -118,10 +152,9 @@ def scan_licenses(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, thresho
                         base.add(label)
                         at = joined.find(needle, at + 1)
                 if not index.keys.isdisjoint(ws):
-                    for line in re.split("[\r\n]+", text):
-                        for label, share in index.match(set(words(line))):
-                            labels.add(label)
-                            score = max(score, share)
+                    for label, share in index.match(ws):
+                        labels.add(label)
+                        score = max(score, share)
                 out.append((len(ws), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)),
                             ",".join(sorted(base | labels)), 1.0 if base else score))
             n = list(zip(*out)) if out else [()] * 7

@@ -4,6 +4,7 @@ import hashlib
 import os
 import re
 import struct
+import textwrap
 import zlib
 from collections import defaultdict
 from html import unescape
@@ -189,6 +190,51 @@ def test_license_scan(spark):
     assert license_scan.scan_licenses(empty(spark)).count() == 0
 
 
+def brute_windows(text):
+    """Labels and best containment over every window of every template, without any filter."""
+    ws, labels, best = license_scan.words(text), set(), 0.0
+    for label, t in license_scan.TEMPLATES:
+        tokens, n = set(license_scan.words(t)), license_scan.SPAN * len(license_scan.words(t))
+        for i in range(max(1, len(ws) - n + 1)):
+            share = len(tokens & set(ws[i:i + n])) / len(tokens)
+            if share >= license_scan.THRESHOLD - 1e-9:
+                labels.add(label)
+                best = max(best, share)
+    return labels, best
+
+
+def test_license_windows(spark):
+    import random
+
+    rng = random.Random(3)
+    fill = lambda n: " ".join(f"w{rng.randrange(500)}" for _ in range(n))
+    texts, want = [], []
+    for label, t in license_scan.TEMPLATES:  # wrapped notices: bare lines, and with comment marks
+        for mark, eol in (("", "\n"), (" * ", "\r\n"), ("# ", "\n"), ("dnl ", "\n")):
+            lines = textwrap.wrap(t, 28)
+            texts.append(fill(300) + eol + eol.join(mark + x for x in lines) + eol + fill(300))
+            want.append({label})
+        # one long line with the template's words scattered over it
+        scattered = [w for x in t.split() for w in (x, fill(400))]
+        texts.append(" ".join(scattered))
+        want.append(set())
+    # near misses, repeated words and dense mixtures of template words
+    vocab = sorted({w.decode() for _, t in license_scan.TEMPLATES for w in license_scan.words(t)})
+    for _ in range(300):
+        ws = [w for _ in range(rng.randrange(1, 5)) for w in rng.choice(license_scan.TEMPLATES)[1].split() if rng.random() < 0.93]
+        for _ in range(rng.randrange(40)):
+            ws.insert(rng.randrange(len(ws) + 1), rng.choice(vocab) if rng.random() < 0.6 else "x")
+        texts.append(rng.choice([" ", "\n"]).join(ws))
+        want.append(None)
+    got = {r.doc_id: r for r in license_scan.scan_licenses(table(spark, list(enumerate(texts)))).collect()}
+    for i, (text, labels) in enumerate(zip(texts, want)):
+        found, best = brute_windows(text)
+        base = set(filter(None, got[i].base_labels.split(",")))
+        assert set(filter(None, got[i].labels.split(","))) == found | base, text
+        assert got[i].score == (1.0 if base else best), text
+        assert labels is None or labels - base <= found and (labels or not found), text
+
+
 def held_out(name, mod, rest):
     rows = duckdb.sql(f"SELECT doc_id, text, {name} FROM '/root/testdata/sf0.01/documents.parquet' JOIN '/root/testdata/sf0.01/labels.parquet' USING (doc_id)").fetchall()
     out = lambda d: zlib.crc32(str(d).encode()) % mod == rest
