@@ -1,6 +1,8 @@
 """URL filter: allow and block rules by host and path, and gradient-boosted trees on lexical features for the rest.
 
-The rules label the URLs that they decide; the trees learn from those labels and judge every URL without a rule.
+The rules label the URLs that they decide; the trees learn from those labels and judge every URL without a rule. Block
+rates by host, suffix, top domain, first path step and pair count all labelled URLs; only the fitting is on a sample,
+drawn per label and weighted back to the labels' shares.
 """
 
 from __future__ import annotations
@@ -11,14 +13,15 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower
+from .common import ascii_lower, discard, save
 
 # (host, path prefix, verdict)
 RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block"))
 FEATURES = ("url_len", "host_len", "path_len", "host_depth", "path_depth", "digits", "symbols", "hyphens", "entropy", "params", "fragment", "https",
             "host_rate", "suffix_rate", "top_rate", "first_rate", "pair_rate")
-MAX_TRAIN = 20_000  # labelled URLs that the trees are fitted on, the first by a hash of the URL
-MAX_RATES = 5_000  # hosts and suffixes whose block rate is kept, the most frequent among the labelled URLs
+RATES = ("host", "suffix", "top", "first", "pair")
+MAX_TRAIN = 20_000  # labelled URLs that the trees are fitted on, of each label the first by a hash of the URL
+MIN_RATE = 5  # labelled URLs that a key must have in the whole table for a block rate of its own; else the rate is -1
 
 
 def url_parts(pages: DataFrame) -> DataFrame:
@@ -41,8 +44,13 @@ def rule_column(rules, what: str):
     return out
 
 
+def first_step(path: str = "path"):
+    """The first step of the path; empty without one."""
+    return F.coalesce(F.get(F.split(path, "/"), F.lit(1)), F.lit(""))
+
+
 def lexical(urls: DataFrame) -> DataFrame:
-    """Adds the lexical features that need nothing but the URL, and the keys whose block rates are features."""
+    """Adds the lexical features that need nothing but the URL."""
     url = F.coalesce("url", F.lit(""))
     n = F.greatest(F.length(url), F.lit(1))
     dropped = lambda chars: (F.length(url) - F.length(F.regexp_replace(url, chars, ""))) / n
@@ -52,32 +60,31 @@ def lexical(urls: DataFrame) -> DataFrame:
     counts = F.transform(F.array_distinct(chars), lambda c: F.size(F.filter(chars, lambda x: x == c)) / F.size(chars))
     entropy = -F.aggregate(counts, F.lit(0.0), lambda s, p: s + p * F.log2(p))
     query = F.regexp_extract(url, r"\?([^#]*)", 1)
-    first = F.coalesce(F.get(steps, F.lit(1)), F.lit(""))
-    top = F.coalesce(F.element_at(labels, -1), F.lit(""))
     return urls.withColumns({
         "url_len": F.length(url).cast("double"), "host_len": F.length("host").cast("double"), "path_len": F.length("path").cast("double"),
         "host_depth": F.size(labels).cast("double"), "path_depth": F.size(steps).cast("double"), "digits": dropped("[0-9]"),
         "symbols": dropped("[^A-Za-z0-9]"), "hyphens": dropped("-"), "entropy": entropy,
         "params": F.when(query == "", 0).otherwise(F.size(F.split(query, "&"))).cast("double"), "fragment": url.contains("#").cast("double"),
-        "https": F.lower(url).startswith("https").cast("double"),
-        "k_host": F.col("host"), "k_suffix": F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2), "."), "k_top": top,
-        "k_first": first, "k_pair": F.concat_ws("/", top, first)})
+        "https": F.lower(url).startswith("https").cast("double")})
 
 
-def _rates(labelled: DataFrame, kind: str) -> dict[str, float]:
-    """Smoothed block rate of the most frequent keys of a kind; -1 stands for a key that isn't among them."""
-    rows = (labelled.groupBy(f"k_{kind}").agg(F.sum("label").alias("b"), F.count(F.lit(1)).alias("n"))
-            .orderBy(F.desc("n"), f"k_{kind}").limit(MAX_RATES).collect())
-    return {r[0]: (r.b + 0.5) / (r.n + 1) for r in rows if r.n >= 5}
+def _groups(urls: DataFrame) -> DataFrame:
+    """Per host and first path step, on which all keys depend: the keys ``k_*``, labelled URLs ``n`` and blocked ones ``b``."""
+    labels = F.split("host", r"\.")
+    top = F.coalesce(F.element_at(labels, -1), F.lit(""))
+    return urls.groupBy("host", "k_first").agg(F.coalesce(F.sum("label"), F.lit(0.0)).alias("b"), F.count("label").alias("n")).withColumns({
+        "k_host": F.col("host"), "k_suffix": F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2), "."), "k_top": top,
+        "k_pair": F.concat_ws("/", top, "k_first")})
 
 
-def _with_rates(urls: DataFrame, rates: dict[str, dict[str, float]]) -> DataFrame:
-    spark = urls.sparkSession
-    for kind, table in rates.items():
-        rows = spark.createDataFrame([(k, float(v)) for k, v in table.items()], f"k_{kind} string, {kind}_rate double")
-        # at most MAX_RATES rows
-        urls = urls.join(F.broadcast(rows), f"k_{kind}", "left").withColumn(f"{kind}_rate", F.coalesce(f"{kind}_rate", F.lit(-1.0)))
-    return urls
+def _rates(groups: DataFrame) -> DataFrame:
+    """Smoothed block rates per host and first path step, each key's over all its labelled URLs; -1 below ``MIN_RATE``."""
+    out = groups
+    for kind in RATES:
+        rate = (groups.groupBy(f"k_{kind}").agg(F.sum("b").alias("kb"), F.sum("n").alias("kn")).where(F.col("kn") >= MIN_RATE)
+                .select(f"k_{kind}", ((F.col("kb") + 0.5) / (F.col("kn") + 1)).alias(f"{kind}_rate")))
+        out = out.join(rate, f"k_{kind}", "left").withColumn(f"{kind}_rate", F.coalesce(f"{kind}_rate", F.lit(-1.0)))
+    return out.select("host", "k_first", *[f"{kind}_rate" for kind in RATES])
 
 
 def judge_urls(pages: DataFrame, rules=RULES, max_train: int = MAX_TRAIN, trees: int = 12, depth: int = 3, seed: int = 5) -> DataFrame:
@@ -89,18 +96,32 @@ def judge_urls(pages: DataFrame, rules=RULES, max_train: int = MAX_TRAIN, trees:
     ``page_id`` keep their own row.
     """
     src = pages.select("page_id", F.col("url").cast("string").alias("url"))
-    urls = lexical(url_parts(src).withColumns({"rule": rule_column(rules, "rule"), "by_rule": rule_column(rules, "verdict")}))
-    labelled = urls.where("by_rule IS NOT NULL").withColumn("label", (F.col("by_rule") == "block").cast("double"))
-    kinds = labelled.groupBy("label").count().collect()
-    if len(kinds) < 2:
-        only = "block" if kinds and kinds[0]["label"] == 1 else "allow"
+    urls = url_parts(src).withColumns({"rule": rule_column(rules, "rule"), "by_rule": rule_column(rules, "verdict"), "k_first": first_step()})
+    urls = urls.withColumn("label", (F.col("by_rule") == "block").cast("double"))
+    groups = save(_groups(urls), "url-groups")
+    total = groups.agg(F.sum("n").alias("n"), F.sum("b").alias("b")).first()
+    blocked = int(total.b or 0)
+    allowed = (total.n or 0) - blocked
+    if not (blocked and allowed):
+        discard(groups)
+        only = "block" if blocked else "allow"
         return urls.select("page_id", "host", "path", "rule", F.coalesce("by_rule", F.lit(only)).alias("verdict"), F.lit(float(only == "block")).alias("score"))
-    sample = labelled.orderBy(F.xxhash64("url"), "url", "page_id").limit(max_train)
-    rates = {kind: _rates(sample, kind) for kind in ("host", "suffix", "top", "first", "pair")}
+    rates = save(_rates(groups), "url-rates")
+    discard(groups)
+
+    def draw(label: float, n: int, others: int) -> DataFrame:
+        """At most half of the sample, or what the other label leaves; the weights stand for all of the label's URLs."""
+        take = min(n, max(max_train // 2, max_train - others))
+        return (urls.where(F.col("label") == label).orderBy(F.xxhash64("url"), "url", "page_id").limit(take)
+                .withColumn("weight", F.lit(n / take * min(1.0, max_train / (allowed + blocked)))))
+
+    keys = ["host", "k_first"]
     assemble = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.2, seed=seed, featuresCol="features", labelCol="label").fit(
-        assemble.transform(_with_rates(sample, rates)).select("features", "label"))
-    scored = model.transform(assemble.transform(_with_rates(urls, rates)))
+    sample = save(lexical(draw(0.0, allowed, blocked).union(draw(1.0, blocked, allowed)).join(rates, keys, "left")), "url-sample")
+    model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.2, seed=seed, featuresCol="features", labelCol="label", weightCol="weight").fit(
+        assemble.transform(sample).select("features", "label", "weight"))
+    discard(sample)
+    scored = model.transform(assemble.transform(lexical(urls.join(rates, keys, "left"))))
     score = vector_to_array(F.col("probability"))[1]
     verdict = F.coalesce("by_rule", F.when(score >= 0.5, "block").otherwise("allow"))
     return scored.select("page_id", "host", "path", "rule", verdict.alias("verdict"), score.alias("score"))

@@ -325,6 +325,23 @@ def test_url_trees_learn(spark):
     assert sum((r.score >= 0.5) == (r.verdict == "block") for r in ruled) / len(ruled) > 0.95
 
 
+def test_url_rates_count_all_labelled_urls(spark):
+    """Hosts that the fitting sample holds once or not at all still have their block rate."""
+    rules = tuple((f"h{i}.net", "/p/", ("allow", "block")[i * 7 % 10 > 4]) for i in range(10, 50))
+    urls = [f"http://h{i}.net/{'p' if j else 'q'}/{i * 31 % 97}{j}" for i in range(10, 50) for j in range(9)]
+    got = url_filter.judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string"), rules, max_train=40).collect()
+    verdict = {host: v for host, _, v in rules}
+    free = [r for r in got if r.rule is None]
+    assert len(free) == 40 and all(r.verdict == verdict[r.host] for r in free)
+
+
+def test_url_sample_holds_rare_labels(spark):
+    urls = [f"http://h{i * 37 % 90}.example.net/fr/{1000 + i * 113}" for i in range(8)] + [f"http://h{i % 90}.example.com/de/{1000 + i}" for i in range(2000)]
+    got = url_filter.judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string"), max_train=40).collect()
+    assert {r.verdict for r in got if r.page_id < 8} == {"block"} and len(got) == len(urls)
+    assert min(r.score for r in got if r.page_id < 8) >= 0.5 > max(r.score for r in got if r.page_id >= 8)
+
+
 @pytest.mark.parametrize("html,text", [
     (None, ""), ("", ""), ("plain  text\n here", "plain text here"), ("<p>a<p>b", "a\n\nb"), ("a<br>b<br/>c", "a\nb\nc"),
     ("<ul><li>x<li>y<ul><li>z</ul></ul>w", "- x\n- y\n  - z\n\nw"), ("<ol start=3><li>a<li value=7>b<li>c</ol>", "3. a\n7. b\n8. c"),
