@@ -355,6 +355,27 @@ def test_html_text(html, text):
     assert html_text.render(html) == text
 
 
+@pytest.mark.parametrize("html,text", [
+    # a quote opens a value only after "="
+    ("<img alt=Bob's>Hello, don't go<b>", "Hello, don't go"), ("<p class=x\">a \"b\" c</p>", 'a "b" c'), ("<a href='x' '>l's</a> m", "l's m"),
+    ("<a title = \"a > b\" href=/x/>l</a>", "l"), ("<a b='c'd=\"e>\"f>l</a>", "l"), ("<a b=>l</a>", "l"), ("<i =x \">t</i>", "t"), ("<a b=\"c>t", "t"),
+    ("<p title=it's hidden>no</p>yes", "yes"), ("<p title='hidden'>a</p>", "a"), ("<p title=x'hidden>a</p>", "a"), ("</p \"x>a'b", "a'b"),
+    # svg, math, the fallback of object, and maps
+    ("a<svg width=1><title>t</title><style>s{}</style><defs><text>d</text></defs>x<g><text>one <tspan>two</tspan></text><text>three</text></g></svg>b", "a one two three b"),
+    ("<svg><title/><path d='M0'/><text>in</text></svg><p>out", "in\n\nout"), ("<svg><g><p>left the drawing</p>rest", "left the drawing\n\nrest"),
+    ("<svg><foreignObject><div>html <b>here</b></div></foreignObject><text><![CDATA[a<b]]></text></svg>", "html here\na<b"),
+    ("<p>x<svg><foreignObject><p>y</p></foreignObject></svg>z", "x\n\ny\n\nz"), ("<svg><text display=none>n</text><text visibility=hidden>n</text><text>y</text></svg>", "y"),
+    ("<math><semantics><mrow><mi>a</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></mrow><annotation>n</annotation></semantics></math>", "a = 1 2"),
+    ("<object data=x><param name=a>instead</object> <map><p>m</p></map>", "instead\n\nm"),
+    # visibility can be set anew by a child
+    ("<div style='visibility:hidden'>no<p style='visibility: visible'>yes</p>no</div>", "yes"), ("<p style='backface-visibility:hidden'>a</p>", "a"),
+    ("<ul style='visibility:hidden'><li>no<li style='visibility:visible'>yes</ul>", "- yes"), ("<p style='display:none'><b style='visibility:visible'>no</b></p>a", "a"),
+    ("<table><tr style='visibility:hidden'><td>no<td style='visibility:visible'>yes<tr><td>a<td>b</table>", "   yes\na  b"),
+    ("<div>" * 198 + "<svg><g><g><text>deep</text></g></g></svg>", "deep")])
+def test_html_visible_text(html, text):
+    assert html_text.render(html) == text
+
+
 def test_html_keeps_all_words(spark):
     """Deep and long markup renders, and pages keep every word outside hidden elements, in order."""
     assert html_text.render("<div>" * 5000 + "deep" + "</div>" * 5000) == "deep"
