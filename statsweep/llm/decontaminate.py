@@ -112,9 +112,9 @@ def find_leaks(docs: DataFrame, items: DataFrame, n: int = WORDS, threshold: flo
         F.col("n_shared") >= F.ceil(threshold * F.col("n_shingles") - 1e-9)).select("item_id", "doc_id", "n_shingles", "n_shared", "containment")
 
 
-def drop_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose ``doc_id`` is in ``ids``; rows without an id stay."""
-    return docs.join(_small(ids.select("doc_id").distinct()), "doc_id", "left_anti").select(*docs.columns)
+def drop_ids(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``docs`` without the rows whose ``key`` is a ``doc_id`` of ``ids``; rows without a key stay."""
+    return docs.join(_small(ids.select(F.col("doc_id").alias(key)).distinct()), key, "left_anti").select(*docs.columns)
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, n: int = WORDS, threshold: float = THRESHOLD) -> DataFrame:

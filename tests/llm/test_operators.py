@@ -439,3 +439,22 @@ def test_pipeline_stages(spark):
         assert stage(spark, docs.where("false"), SF).count() == 0, name
     out = p.run(spark, SF)
     assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and 0 < out.count() <= kept.count()
+
+
+def test_pipeline_judges_rows_by_their_own_text(spark):
+    """Repeated and null ids: one row of each group of copies stays, and no row goes for another's text."""
+    import corpus_pipeline as p
+
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    near = c + " tail"
+    rows = [(1, a), (2, a), (2, b), (3, c), (3, c), (None, c), (None, "only here"), (None, "only here"), (4, None), (None, "")]
+    kept = lambda docs: sorted(((r.doc_id, r.text) for r in docs.collect()), key=str)
+    want = [(1, a), (2, b), (3, c), (None, "only here"), (4, None)]
+    assert kept(p.drop_copies(spark, table(spark, rows), SF)) == sorted(want, key=str)
+    rows = [(1, a), (2, c), (2, b), (3, near), (3, a), (3, "other"), (None, near), (None, "only here"), (7, b), (7, b)]
+    want = [(1, a), (2, c), (2, b), (3, "other"), (None, "only here")]
+    assert kept(p.drop_near_copies(spark, table(spark, rows), SF)) == sorted(want, key=str)
+    item = next(r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").collect() if r.text and len(r.text.split()) > 5)
+    rows = [(1, item), (1, b), (None, "lead " + item), (None, c)]
+    out = p.drop_leaks(spark, table(spark, rows), SF)
+    assert kept(out) == sorted([(1, b), (None, c)], key=str) and out.columns == table(spark, rows).columns
