@@ -11,6 +11,7 @@ import base64
 import hashlib
 import re
 import uuid
+import zlib
 from html import unescape
 
 import pyarrow as pa
@@ -22,6 +23,7 @@ UNSEEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|head|template|noscript)(?
 BREAK = re.compile(r"</?(?:p|div|br|li|ul|ol|tr|table|h[1-6]|article|section|nav|header|footer|blockquote|pre|hr|dt|dd|title)(?=[\s/>])[^>]*>", re.I)
 TAG = re.compile(r"<[!/?a-zA-Z][^>]*>")
 BLANKS, LINES = re.compile(r"[ \t\r\f\v\xa0]+"), re.compile(r" ?\n[ \n]*")
+CHUNK = re.compile(rb"[ \t]*([0-9a-fA-F]+)[ \t]*(?:;[^\r\n]*)?\r?\n")
 CHARSET = re.compile(r"charset\s*=\s*[\"']?([\w.:-]+)", re.I)
 
 
@@ -39,6 +41,58 @@ def split_http(block: bytes) -> tuple[str, list[tuple[str, str]], bytes]:
     return status, [(k.strip(), v.strip()) for k, _, v in (x.partition(":") for x in lines if ":" in x)], payload
 
 
+def unchunk(payload: bytes) -> bytes:
+    """The data of a chunked payload, a last part that is cut short included; one that isn't chunks throughout, because
+    it was unchunked before, stays as it is."""
+    out, at = [], 0
+    while at < len(payload):
+        m = CHUNK.match(payload, at)
+        if not m:
+            return payload
+        size = int(m[1], 16)
+        end = m.end() + size
+        out.append(payload[m.end():end])
+        if not size:
+            break
+        if end < len(payload) and payload[end:end + 1] not in (b"\r", b"\n"):
+            return payload
+        at = end + (2 if payload[end:end + 2] == b"\r\n" else 1)
+    return b"".join(out)
+
+
+def inflate(payload: bytes, wbits: int) -> bytes | None:
+    """Decompressed data, all members, as far as it goes; null if it isn't such data."""
+    out = []
+    while payload:
+        d = zlib.decompressobj(wbits)
+        try:
+            out.append(d.decompress(payload) + d.flush())
+        except zlib.error:
+            return b"".join(out) if out else None  # what follows the last whole member is no part of it
+        payload = d.unused_data
+    return b"".join(out)
+
+
+def undo_codings(headers: list[tuple[str, str]], payload: bytes) -> bytes | None:
+    """The payload without its transfer and content codings, the last applied first; null if one can't be undone.
+    A payload without gzip's first bytes was decoded before, as some archives store it."""
+    named = lambda name: [c.strip().lower() for k, v in headers if k.lower() == name for c in v.split(",")]
+    data: bytes | None = payload
+    for coding in reversed(named("content-encoding") + named("transfer-encoding")):
+        if not data or coding in ("", "identity"):
+            continue
+        if coding == "chunked":
+            data = unchunk(data)
+        elif coding in ("gzip", "x-gzip"):
+            data = inflate(data, 31) if data[:2] == b"\x1f\x8b" else data
+        elif coding == "deflate":
+            zlibbed = inflate(data, 15)
+            data = zlibbed if zlibbed is not None else inflate(data, -15)
+        else:
+            return None
+    return data
+
+
 def plain_text(payload: bytes, content_type: str) -> str:
     """Text of a payload: markup off for HTML, as it is for other text. Bytes that don't decode become U+FFFD."""
     m = CHARSET.search(content_type)
@@ -65,7 +119,8 @@ def parse_record(data: bytes) -> tuple[dict[str, str], bytes]:
 
 
 def derive(record_id: str, uri: str, date: str, block: bytes) -> list[dict]:
-    """The metadata record and, for a text payload, the conversion record of one response."""
+    """The metadata record and, for a text payload whose codings can be undone, the conversion record of one response.
+    Source digests and lengths are those of the payload as it is stored."""
     status, headers, payload = split_http(block)
     content_type = next((v for k, v in headers if k.lower() == "content-type"), "application/octet-stream" if status else "text/html")
     seed = record_id.strip("<>")
@@ -75,8 +130,10 @@ def derive(record_id: str, uri: str, date: str, block: bytes) -> list[dict]:
     source_digest = digest(payload)
     out = []
     is_text = "html" in content_type.lower() or content_type.lower().startswith("text/")
+    plain = undo_codings(headers, payload) if is_text else None
+    is_text = plain is not None
     if is_text:
-        text = plain_text(payload, content_type).encode()
+        text = plain_text(plain, content_type).encode()
         fields = [*refers, ("Content-Type", "text/plain; charset=utf-8"), ("WARC-Block-Digest", digest(text)), ("WARC-Payload-Digest", digest(text))]
         out.append({"record_type": "conversion", "record_id": new_id("conversion"), "block": text, "fields": fields})
     lines = [("source-status", status), *(("source-header", f"{k}: {v}") for k, v in headers), ("source-payload-digest", source_digest),
@@ -101,7 +158,8 @@ def build_derivatives(responses: DataFrame, content: bool = True) -> DataFrame:
     Returns ``record_type`` (conversion or metadata), ``record_id``, ``refers_to``, ``target_uri``, ``content_length``,
     ``block_digest``, ``source_payload_digest``, ``record_sha256`` and, with ``content``, ``record`` (the WARC record's
     bytes). A null block is an empty one, a null URI or date an empty field. Rows without a record id can't be referred
-    to and give no records. Repeated rows give equal records, once each; payloads that aren't text give metadata only.
+    to and give no records. Repeated rows give equal records, once each; payloads that aren't text, or whose
+    encoding can't be undone (all but chunked, gzip and deflate), give metadata only.
     """
 
     def run(batches):

@@ -412,6 +412,29 @@ def test_warc(spark):
     assert warc.build_derivatives(odd.where("false")).count() == 0
 
 
+def test_warc_undoes_codings(spark):
+    import gzip
+
+    html = "<p>caf\u00e9 one</p><p>two</p>".encode() * 50
+    chunk = lambda b, n=97: b"".join(b"%x;e=1\r\n%s\r\n" % (len(b[i:i + n]), b[i:i + n]) for i in range(0, len(b), n)) + b"0\r\n\r\n"
+    raw = zlib.compressobj(wbits=-15)
+    cases = [("", html), ("Transfer-Encoding: chunked", chunk(html)), ("Content-Encoding: gzip", gzip.compress(html)), ("content-encoding: x-gzip", gzip.compress(html[:600]) + gzip.compress(html[600:])),
+             ("Content-Encoding: deflate", zlib.compress(html)), ("Content-Encoding: deflate", raw.compress(html) + raw.flush()), ("Content-Encoding: identity", html),
+             ("Content-Encoding: deflate, gzip", gzip.compress(zlib.compress(html))), ("Content-Encoding: gzip\r\nTransfer-Encoding: chunked", chunk(gzip.compress(html), 11)),
+             ("Transfer-Encoding: gzip, chunked", chunk(gzip.compress(html), 11)), ("Content-Encoding: gzip", html), ("Transfer-Encoding: chunked", html), ("Transfer-Encoding: chunked", chunk(html, 10**6)), ("Transfer-Encoding: chunked", chunk(html)[:-5])]
+    assert warc.unchunk(b"5\r\nhello\r\nworld") == b"5\r\nhello\r\nworld" and warc.unchunk(b"5\r\nhel") == b"hel"
+    lost = [("Content-Encoding: br", b"\x0b\x02\x80"), ("Content-Encoding: gzip", b"\x1f\x8b\xff\xff\xff"), ("Content-Encoding: deflate", b"\xff\xfe\xfd")]
+    blocks = [f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n{h}\r\n\r\n".replace("\r\n\r\n\r\n", "\r\n\r\n").encode() + b for h, b in cases + lost]
+    src = spark.createDataFrame([(f"<{i}>", "u", "d", bytearray(b)) for i, b in enumerate(blocks)], "record_id string, target_uri string, date string, block binary")
+    got = {(r.refers_to, r.record_type): r for r in warc.build_derivatives(src).collect()}
+    assert len(got) == 2 * len(cases) + len(lost)
+    want = "\n".join(["caf\u00e9 one", "two"] * 50).encode()
+    for i, (h, b) in enumerate(cases + lost):
+        assert got[f"<{i}>", "metadata"].source_payload_digest == warc.digest(b), h
+        assert ((f"<{i}>", "conversion") in got) == (i < len(cases)), h
+        assert i >= len(cases) or warc.parse_record(bytes(got[f"<{i}>", "conversion"].record))[1] == want, (i, h)
+
+
 def test_oracles(spark):
     con = duckdb.connect()
     for t in ("documents", "benchmark"):
