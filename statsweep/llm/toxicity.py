@@ -41,26 +41,41 @@ def hashed(token: str) -> list[int]:
 
 
 def distinct_texts(texts: list[str]) -> list[str]:
-    """The texts without near copies of earlier ones (equal smallest word-trigram hash in one of four classes), so
-    that copies of one document don't make all its words look frequent."""
-    seen, out = set(), []
+    """The texts without near copies of earlier ones (the smallest word-trigram hash is equal in at least three of four
+    classes, or in all that a short text has), so that copies of one document don't make all its words look frequent."""
+    held: dict[tuple[int, int], list[int]] = {}
+    known, out = set(), []
     for text in texts:
         t = text.lower().split()
         low: dict[int, int] = {}
         for h in {zlib.crc32(" ".join(t[i:i + 3]).encode()) for i in range(max(1, len(t) - 2))}:
             low[h % 4] = min(h, low.get(h % 4, h))
-        if seen.isdisjoint(low.values()):
+        mine = tuple(sorted(low.items()))
+        if mine in known:
+            continue
+        agree = Counter(i for k in mine for i in held.get(k, ()))
+        if max(agree.values(), default=0) < min(3, len(mine)):
             out.append(text)
-        seen.update(low.values())
+        for k in mine:
+            held.setdefault(k, []).append(len(known))
+        known.add(mine)
     return out
 
 
-def marks(toxic: list[set[str]], clean: list[set[str]], share: float = 0.02) -> set[str]:
-    """Features that mark toxic tokens: all but absent from clean documents, and in at least ``share`` of the
-    toxic ones."""
+def marks(toxic: list[set[str]], clean: list[set[str]], share: float = 0.02, count: int = 5, false_share: float = 0.01) -> set[str]:
+    """Features that mark toxic tokens: all but absent from clean documents, and either in at least ``share`` of the
+    toxic ones or in at least ``count`` with a significant excess over the clean ones (binomial tail;
+    Benjamini-Hochberg over all features of at least ``count`` documents, ``false_share`` of the found ones false)."""
     nt, nc = Counter(f for d in toxic for f in d), Counter(f for d in clean for f in d)
     scale = len(toxic) / max(1, len(clean))
-    return {f for f, n in nt.items() if n >= max(3, share * len(toxic)) and nc[f] * scale <= 0.02 * n}
+    rare = {f: n for f, n in nt.items() if n >= 3 and nc[f] * scale <= 0.02 * n}
+    found = {f for f, n in rare.items() if n >= share * len(toxic)}
+    p = len(toxic) / max(1, len(toxic) + len(clean))
+    # the chance of at most nc[f] clean documents among those that hold the feature, if it had nothing to do with the label
+    tail = sorted((sum(math.comb(n + nc[f], k) * (1 - p) ** k * p ** (n + nc[f] - k) for k in range(nc[f] + 1)), f) for f, n in rare.items() if n >= count)
+    tests = sum(nt[f] + nc[f] >= count for f in nt.keys() | nc.keys())
+    last = max((i for i, (chance, _) in enumerate(tail, 1) if chance <= false_share * i / tests), default=0)
+    return found | {f for _, f in tail[:last]}
 
 
 def fit(toxic: list[str], clean: list[str], window: int = 5, epochs: int = 30, windows: int = 16_000, l2: float = 1e-5, seed: int = 7) -> dict:

@@ -263,6 +263,24 @@ def test_toxicity(spark):
     assert all(r.predicted == 0 for r in toxicity.score_toxicity(table(spark), nothing).collect())
 
 
+def test_toxic_tail_is_marked():
+    """Words that are each rarer than 2% of the toxic documents mark them; words as frequent in clean ones don't."""
+    toxic = [{f"=bad{i % 80}", f"=own{i}", f"=any{i % 100}"} for i in range(2000)]
+    clean = [{f"=fine{i}", f"=any{i % 100}"} for i in range(2000)]
+    assert toxicity.marks(toxic, clean) == {f"=bad{i}" for i in range(80)}
+    assert toxicity.marks(toxic[:150], []) == {f for f in ["=bad%d" % i for i in range(80)] + ["=any%d" % i for i in range(100)] if sum(f in d for d in toxic[:150]) >= 3}
+
+
+def test_shared_passages_are_no_copies():
+    import random
+
+    rng = random.Random(4)
+    passage = " ".join(f"p{i}" for i in range(12))
+    texts = [" ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(90)) + " " + passage for _ in range(60)]
+    copies = [t + " more" for t in texts[:20]] + texts[:20] + ["short text", "short text", "a", "a"]
+    assert toxicity.distinct_texts(texts + copies) == [*texts, "short text", "a"]
+
+
 def test_marginals_equal_enumeration():
     import itertools
 
