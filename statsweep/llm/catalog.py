@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import block_dedup, decontaminate, html_text, license_scan, ngram_join, quality, sentencepiece_bpe, toxicity, url_filter, warc
+from . import (block_dedup, decontaminate, html_text, license_scan, ngram_join, packing, prefix_trie, quality, run_detection, sentencepiece_bpe, toxicity,
+               url_filter, warc)
 from .common import read_table
 
 MODEL = "piece_bpe_32k.model"
+BYTES = "byte_bpe_50k.json"
 
 
 def fold(n: int):
@@ -84,7 +87,42 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def repeat_words(doc_id, words: list[bytes]) -> list[bytes]:
+    """The words of a document whose id's CRC-32 ends in 0, repeated with a period from some place on; others as they are."""
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if doc_id is None or h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + k % p] for k in range(n - a)]
+
+
+def op11_run_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document's words, the longest one, and the text without the repeats."""
+    found = run_detection.detect_runs(read_table(spark, sf_dir, "documents").select("doc_id", "text"), repeat_words)
+    top = F.array_min(F.transform("runs", lambda r: F.struct((-r.length).alias("back"), r.start.alias("start"), r.period.alias("period"))))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start.cast("string"), r.length.cast("string"), r.period.cast("string")), F.lit("\n")))
+    return found.withColumn("top", top).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), F.col("top.start").alias("start"), (-F.col("top.back")).alias("length"),
+        F.col("top.period").alias("period"), F.expr("-1000 * top.back div top.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"), "n_words")
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 2,048 tokens."""
+    pieces = packing.pack(read_table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path(BYTES))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of the conversations, with their heads taken from their group's first one."""
+    ordered = prefix_trie.order_turns(read_table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(*prefix_trie.graft_heads(ordered))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_join, op2_quality, op3_html_text, op4_url_filter, op5_sentencepiece, op6_warc, op7_toxicity, op8_block_dedup, op9_decontaminate, op10_license_scan)}
+    f.__name__: f for f in (op1_ngram_join, op2_quality, op3_html_text, op4_url_filter, op5_sentencepiece, op6_warc, op7_toxicity, op8_block_dedup, op9_decontaminate, op10_license_scan,
+                              op11_run_detection, op12_packing, op13_prefix_trie)}
 
-ORACLE: dict[str, str] = {"op8_block_dedup": block_dedup.ORACLE, "op9_decontaminate": decontaminate.ORACLE}
+ORACLE: dict[str, str] = {"op8_block_dedup": block_dedup.ORACLE, "op9_decontaminate": decontaminate.ORACLE, "op13_prefix_trie": prefix_trie.ORACLE}

@@ -56,6 +56,26 @@ def worker_cache(name: str) -> dict:
     return held[name]
 
 
+class Parts(dict):
+    """Encoded ids (little-endian 32 bit) of a text part, by the part; computed when missing. When it is full, what
+    was used longest ago goes: a part stays as long as each of two halves sees it."""
+
+    def __init__(self, fill, entries: int = 350_000):
+        super().__init__()
+        self.fill, self.entries, self.older = fill, entries, {}
+
+    def __missing__(self, part):
+        out = self.older.get(part)
+        if out is None:
+            out = self.fill(part)
+        if len(part) <= 64:
+            if len(self) >= self.entries:
+                self.older = dict(self)
+                self.clear()
+            self[part] = out
+        return out
+
+
 def _give_back() -> None:
     """Return freed memory to the system. An idle worker would keep it beside the executor's next stage."""
     pa.default_memory_pool().release_unused()
