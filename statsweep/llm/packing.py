@@ -14,23 +14,26 @@ from __future__ import annotations
 import json
 import re
 from array import array
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right, insort
+from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Parts, lean, worker_cache
+from .common import lean, worker_cache
 
 POOL = 4096  # remainders of documents that are packed together
 KEEP = 512  # of those the ones kept for the next pool, so that it has many lengths to choose from
+CACHE_ENTRIES = 300_000  # parts of texts whose ids a worker keeps
 EMIT = 2048  # pieces in a batch of results
 GAP = re.compile(r"\s \s|\s $")  # a space inside or at the end of white space: the parts are then not independent
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"  # fixed value: the byte-level pre-tokeniser's
 
 
-def fill(lengths: list[tuple[int, int]], room: int) -> dict[int, int]:
+def fill(lengths: Iterable[tuple[int, int]], room: int) -> dict[int, int]:
     """The multiset (length: copies) out of ``lengths`` (length, count) with the greatest sum of at most ``room``.
 
     Bit s of ``reach`` says that some multiset of the lengths seen so far sums to s. A length's copies enter in powers of
@@ -57,36 +60,48 @@ def fill(lengths: list[tuple[int, int]], room: int) -> dict[int, int]:
 
 
 class Pool:
-    """Remainders ``(ids, *tags)`` by their length in ids; ids are packed bytes of 4 each and a tag is (row, start)."""
+    """Remainders ``(ids, row, start)`` by their length in ids; ``ids`` are packed bytes of 4 each."""
 
     def __init__(self, length: int):
-        self.length, self.items, self.n = length, {}, 0
+        self.length, self.items, self.order, self.n = length, {}, [], 0  # order: the lengths at hand, rising
 
     def add(self, ids: bytes, row: tuple, start: int) -> None:
-        self.items.setdefault(len(ids) // 4, []).append((ids, row, start))
+        n = len(ids) // 4
+        if n not in self.items:
+            self.items[n] = []
+            insort(self.order, n)
+        self.items[n].append((ids, row, start))
         self.n += 1
 
     def _take(self, n: int) -> tuple:
         held = self.items[n]
         item = held.pop()
         if not held:
-            del self.items[n]
+            del self.items[n], self.order[bisect_left(self.order, n)]
         self.n -= 1
         return item
 
+    def _choice(self, longest: int) -> Iterator[tuple[int, int]]:
+        """Lengths and counts beside one remainder of the longest length. Those of which three fit come first, from the
+        longest down: their sums soon cover the room, and the short ones are left for later windows."""
+        room = self.length - longest
+        some, last = bisect_right(self.order, room // 3), bisect_right(self.order, room)
+        for n in (*reversed(self.order[:some]), *reversed(self.order[some:last])):
+            count = len(self.items[n]) - (n == longest)
+            if count:
+                yield n, count
+
     def windows(self, keep: int) -> Iterator[list[tuple]]:
         """Windows filled to the brim, until at most ``keep`` remainders are left; for ``keep`` 0 then the rest."""
         while self.n > keep:
-            lengths = sorted(((n, len(held)) for n, held in self.items.items()), reverse=True)
-            longest = lengths[0][0]
-            lengths[0] = (longest, lengths[0][1] - 1)
-            need = fill(lengths, self.length - longest)
+            longest = self.order[-1]
+            need = fill(self._choice(longest), self.length - longest)
             need[longest] = need.get(longest, 0) + 1
             slack = self.length - sum(n * k for n, k in need.items())
             cut = 0
             if slack:
                 # every remainder not taken is longer than the slack
-                cut = max((n for n, held in self.items.items() if len(held) > need.get(n, 0)), default=0)
+                cut = next((n for n in reversed(self.order) if len(self.items[n]) > need.get(n, 0)), 0)
                 if not cut:
                     if not keep:
                         yield from self._powers()
@@ -143,18 +158,37 @@ class Encoder:
             raise ValueError("the merges don't stand in the order of their ids")
         self.bpe = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.end = b"" if end_id is None else array("I", [end_id]).tobytes()
-        self.parts = Parts(lambda part: self.plain(" " + part), 200_000)
+        self.parts: dict[str, bytes] = {}
+        tab = self.plain("\t")
+        self.tab = array("I", tab)[0] if len(tab) == 4 else None
 
     def plain(self, text: str) -> bytes:
         return array("I", self.bpe.encode_ordinary(text)).tobytes()
 
-    def encode(self, text: str) -> bytes:
-        """All ids and the end id, as little-endian unsigned 32-bit integers."""
-        if GAP.search(text):
-            return self.plain(text) + self.end
+    def _learn(self, parts: set[str]) -> None:
+        """Ids of each part after a space. They are encoded together, a tab after each: no pre-token joins a character
+        and the white space after it, and a tab before a space is a pre-token of its own."""
+        new = parts.difference(self.parts)
+        if len(self.parts) + len(new) > CACHE_ENTRIES:
+            self.parts.clear()
+            new = parts
+        clean = [p for p in new if p and p.strip() == p and "\t" not in p] if self.tab is not None else []
+        for p in new.difference(clean):
+            self.parts[p] = self.plain(" " + p)
+        if clean:
+            ids = np.array(self.bpe.encode_ordinary(" " + "\t ".join(clean) + "\t"), np.uint32)
+            raw, at = ids.tobytes(), 0
+            for p, tab in zip(clean, (np.flatnonzero(ids == self.tab) * 4).tolist(), strict=True):
+                self.parts[p] = raw[at:tab]
+                at = tab + 4
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """All ids and the end id of each text, as little-endian unsigned 32-bit integers."""
         # no pre-token goes from a character into the white space after it
-        first, *rest = text.split(" ")
-        return self.plain(first) + b"".join(map(self.parts.__getitem__, rest)) + self.end
+        split = [None if GAP.search(t) else t.split(" ") for t in texts]
+        self._learn({p for parts in split if parts for p in parts[1:]})
+        return [(self.plain(text) if parts is None else self.plain(parts[0]) + b"".join(map(self.parts.__getitem__, parts[1:]))) + self.end
+                for text, parts in zip(texts, split)]
 
 
 def _encoder(tokenizer_file: str, end_id: int | None) -> Encoder:
@@ -208,8 +242,7 @@ def pack(docs: DataFrame, tokenizer_file: str, length: int = 2048, end_id: int |
             kind = rows.schema.field(0).type
             for at in range(0, rows.num_rows, 200):
                 part = rows.slice(at, 200)
-                for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    ids = encoder.encode(text)
+                for doc_id, ids in zip(part.column(0).to_pylist(), encoder.encode(part.column(1).to_pylist())):
                     n = len(ids) // 4
                     whole = n - n % length
                     for start in range(0, whole, length):

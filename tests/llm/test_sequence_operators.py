@@ -198,7 +198,7 @@ def test_fill_is_the_closest_multiset(seed):
 def test_long_texts_pack_in_linear_memory():
     encoder = packing.Encoder(TOKENIZER, 1)
     for text in ("x" * 200_000, " " * 200_000, "word " * 200_000, LONG):
-        assert encoder.encode(text) == encoder.plain(text) + encoder.end
+        assert encoder.encode([text]) == [encoder.plain(text) + encoder.end]
 
 
 # --- prefix trie ----------------------------------------------------------------------------------------------------
