@@ -12,6 +12,7 @@ import math
 import re
 import zlib
 from collections import Counter
+from collections.abc import Iterable
 from itertools import accumulate
 
 import numpy as np
@@ -62,18 +63,32 @@ def distinct_texts(texts: list[str]) -> list[str]:
     return out
 
 
-def marks(toxic: list[set[str]], clean: list[set[str]], share: float = 0.02, count: int = 5, false_share: float = 0.01) -> set[str]:
+def kinds(token: str) -> list[str]:
+    """The features of a token that may mark it: its word and its prefixes."""
+    return [f for f in features(token) if f[0] in "=^" and len(f) > 4]
+
+
+def document_counts(documents: Iterable[set[str]]) -> tuple[Counter, int]:
+    """In how many documents each feature occurs, and the number of documents. One document's features are held at a time."""
+    counts, n = Counter(), 0
+    for found in documents:
+        counts.update(found)
+        n += 1
+    return counts, n
+
+
+def marks(toxic: Iterable[set[str]], clean: Iterable[set[str]], share: float = 0.02, count: int = 5, false_share: float = 0.01) -> set[str]:
     """Features that mark toxic tokens: all but absent from clean documents, and either in at least ``share`` of the
     toxic ones or in at least ``count`` with a significant excess over the clean ones (binomial tail;
     Benjamini-Hochberg over all features of at least ``count`` documents, ``false_share`` of the found ones false)."""
-    nt, nc = Counter(f for d in toxic for f in d), Counter(f for d in clean for f in d)
-    scale = len(toxic) / max(1, len(clean))
+    (nt, n_toxic), (nc, n_clean) = document_counts(toxic), document_counts(clean)
+    scale = n_toxic / max(1, n_clean)
     rare = {f: n for f, n in nt.items() if n >= 3 and nc[f] * scale <= 0.02 * n}
-    found = {f for f, n in rare.items() if n >= share * len(toxic)}
-    p = len(toxic) / max(1, len(toxic) + len(clean))
+    found = {f for f, n in rare.items() if n >= share * n_toxic}
+    p = n_toxic / max(1, n_toxic + n_clean)
     # the chance of at most nc[f] clean documents among those that hold the feature, if it had nothing to do with the label
     tail = sorted((sum(math.comb(n + nc[f], k) * (1 - p) ** k * p ** (n + nc[f] - k) for k in range(nc[f] + 1)), f) for f, n in rare.items() if n >= count)
-    tests = sum(nt[f] + nc[f] >= count for f in nt.keys() | nc.keys())
+    tests = sum(n + nc[f] >= count for f, n in nt.items()) + sum(n >= count for f, n in nc.items() if f not in nt)
     last = max((i for i, (chance, _) in enumerate(tail, 1) if chance <= false_share * i / tests), default=0)
     return found | {f for _, f in tail[:last]}
 
@@ -82,17 +97,10 @@ def fit(toxic: list[str], clean: list[str], window: int = 5, epochs: int = 30, w
     """Weights of the field: ``w`` (feature weights of the toxic state), ``a`` (log-potentials of the transitions)."""
     rng = np.random.default_rng(seed)
     toxic, clean = distinct_texts(toxic), distinct_texts(clean)
-    seen: dict[str, tuple[str, ...]] = {}
-
-    def kinds(token):
-        if token not in seen:
-            seen[token] = tuple(f for f in features(token) if f[0] in "=^" and len(f) > 4)
-        return seen[token]
-
-    found = marks([{f for t in set(d.split()) for f in kinds(t)} for d in toxic], [{f for t in set(d.split()) for f in kinds(t)} for d in clean])
+    found = marks(*(({f for t in set(d.split()) for f in kinds(t)} for d in texts) for texts in (toxic, clean)))
     if not found:
         return {"w": np.zeros(DIM), "bias": -12.0, "a": np.zeros((2, 2))}
-    hit = {t for t, fs in seen.items() if not found.isdisjoint(fs)}
+    hit = {t for texts in (toxic, clean) for d in texts for t in set(d.split()) if not found.isdisjoint(kinds(t))}
     length, x, y = 2 * window + 1, [], []
 
     def take(tokens, at):
