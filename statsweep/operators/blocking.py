@@ -4,17 +4,19 @@ A lock sample is ``(server_id, source_collected_at)``; wait-for edges live insid
 one sample and every join below is keyed by the sample plus a pid, so many
 servers and a long history spread over the cluster by sample.
 
-Chain depth follows the reference's recursion: start from each blocked pid, follow
-blocker edges, never revisit a pid already on the path, stop at depth 32. It runs
-as a frontier loop of at most ``max_depth`` equi joins; each level's frontier is
-written with a reliable ``checkpoint()`` (the session's ``spark.checkpoint.dir``),
-so lineage stays one level deep and a lost executor recomputes one level only.
+Chain depth is the longest chain of distinct pids that a blocked pid waits on, at most
+32. No paths are kept: a level is the set of pids that start a chain of that length, and only
+pids on a cycle are searched. Every few levels are written with a reliable ``checkpoint()``
+(the session's ``spark.checkpoint.dir``), so lineage stays short and a lost executor
+recomputes a few levels only.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections import defaultdict
+from collections.abc import Callable, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +26,7 @@ from statsweep.session import ensure_checkpoint_dir
 
 SAMPLE = ("server_id", "source_collected_at")
 MAX_DEPTH = 32
+STRIDE = 4  # levels in one job
 
 
 def wait_edges(locks: DataFrame, sample: Sequence[str] = SAMPLE) -> DataFrame:
@@ -39,45 +42,121 @@ def blocker_summary(edges: DataFrame, sample: Sequence[str] = SAMPLE) -> DataFra
         F.sort_array(F.collect_list("blocker_pid")).alias("direct_blocker_pids"))
 
 
-def chain_reach(edges: DataFrame, max_depth: int = MAX_DEPTH, sample: Sequence[str] = SAMPLE,
-                checkpoint: bool = True) -> DataFrame:
-    """Every (root blocked pid, reached blocker, depth) along simple blocker paths up to ``max_depth``."""
-    sample = list(sample)
-    e = edges.select(*sample, "blocked_pid", "blocker_pid").distinct()
-    if checkpoint:
-        ensure_checkpoint_dir(edges.sparkSession)
-        e = e.checkpoint()
-    frontier = e.select(*sample, F.col("blocked_pid").alias("root_blocked_pid"),
-                        F.col("blocker_pid").alias("cur"),
-                        F.array("blocked_pid", "blocker_pid").alias("path"))
-    if checkpoint:
-        frontier = frontier.checkpoint()
-    levels = [frontier.select(*sample, "root_blocked_pid", F.col("cur").alias("blocker_pid"),
-                              F.lit(1).alias("depth")).distinct()]
-    nxt_e = e.withColumnRenamed("blocked_pid", "cur").withColumnRenamed("blocker_pid", "_next")
-    for depth in range(2, max_depth + 1):
-        step = (frontier.join(nxt_e, [*sample, "cur"], "inner")
-                .where(~F.array_contains(F.col("path"), F.col("_next")))
-                .select(*sample, "root_blocked_pid", F.col("_next").alias("cur"),
-                        F.concat(F.col("path"), F.array("_next")).alias("path")))
-        if checkpoint:
-            step = step.checkpoint()
-        if step.isEmpty():
+def _stable(df: DataFrame, step: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``df`` after ``step``, which only takes rows away, has been applied until nothing changes."""
+    n = df.count()
+    while n:
+        for _ in range(STRIDE):
+            df = step(df)
+        df = df.checkpoint()
+        before, n = n, df.count()
+        if n == before:
             break
-        frontier = step
-        levels.append(frontier.select(*sample, "root_blocked_pid", F.col("cur").alias("blocker_pid"),
-                                      F.lit(depth).alias("depth")).distinct())
-    out = levels[0]
-    for lv in levels[1:]:
-        out = out.unionByName(lv)
+    return df
+
+
+def longest_chains(succ: dict[int, list[int]], leave: dict[int, int], most: int) -> dict[int, int]:
+    """Longest chain of distinct nodes from each node of a small cyclic graph, at most ``most``: steps along ``succ`` and, at
+    the end, the ``leave`` steps of the last node that lead out of the graph."""
+    out = {}
+    for root in succ.keys() | leave.keys():
+        best, stack = 0, [(root, 0, frozenset([root]))]
+        while stack and best < most:
+            node, steps, seen = stack.pop()
+            best = max(best, steps + leave.get(node, 0))
+            stack += [(n, steps + 1, seen | {n}) for n in succ.get(node, ()) if n not in seen]
+        out[root] = min(best, most)
     return out
 
 
-def chain_depth(edges: DataFrame, max_depth: int = MAX_DEPTH, sample: Sequence[str] = SAMPLE,
-                reach: DataFrame | None = None) -> DataFrame:
-    """RC-02: maximum chain depth per blocked pid."""
-    r = reach if reach is not None else chain_reach(edges, max_depth, sample)
-    return r.groupBy(*sample, "root_blocked_pid").agg(F.max("depth").alias("maximum_chain_depth"))
+def chain_depth(edges: DataFrame, max_depth: int = MAX_DEPTH, sample: Sequence[str] = SAMPLE) -> DataFrame:
+    """RC-02: greatest chain depth per blocked pid, at most ``max_depth``: the longest chain of distinct pids it waits on.
+
+    Level d holds the pids that start a walk of d edges; each level is one equi join and a distinct, whatever the number of
+    paths. Without cycles walks are chains, and a pid's depth is its last level. The pids with endless walks reach a cycle:
+    those among them that also lie behind one (the core) are searched, each connected part of a sample's core in one
+    group, and the pids that merely wait for the core add their steps to its depths. An edge from a pid to itself
+    counts as one step and isn't followed.
+    """
+    sample = list(sample)
+    node = [*sample, "pid"]
+    ensure_checkpoint_dir(edges.sparkSession)
+    every = edges.select(*sample, F.col("blocked_pid").alias("pid"), F.col("blocker_pid").alias("on")).distinct().checkpoint()
+    e = every.where("pid <> on")
+
+    def waiting(pids: DataFrame) -> DataFrame:
+        """Pids that wait for one of ``pids``."""
+        return e.join(pids.withColumnRenamed("pid", "on"), [*sample, "on"]).select(*node).distinct()
+
+    level = every.select(*node).distinct()
+    steps = [level.withColumn("depth", F.lit(1))]
+    level = e.select(*node).distinct()
+    for depth in range(2, max_depth + 1):
+        level = waiting(level)
+        if depth % STRIDE == 0:
+            level = level.checkpoint()
+            if level.isEmpty():
+                break
+        steps.append(level.withColumn("depth", F.lit(depth)))
+    walks = steps[0]
+    for more in steps[1:]:
+        walks = walks.unionByName(more)
+    walks = walks.groupBy(*node).agg(F.max("depth").alias("depth"))
+    result = lambda d: d.select(*sample, F.col("pid").alias("root_blocked_pid"), F.col("depth").alias("maximum_chain_depth"))
+    if level.isEmpty() or (endless := _stable(level, waiting)).isEmpty():
+        return result(walks)
+    walks = walks.checkpoint()
+
+    # inside: edges between pids with endless walks; leave: the longest way out of each to pids without
+    ends = endless.withColumnRenamed("pid", "on")
+    inside = e.join(endless, node, "left_semi").join(ends, [*sample, "on"], "left_semi").checkpoint()
+    known = walks.join(endless, node, "left_anti")
+    out = (e.join(endless, node, "left_semi").join(ends, [*sample, "on"], "left_anti")
+           .join(known.withColumnRenamed("pid", "on"), [*sample, "on"], "left")
+           .groupBy(*node).agg(F.max(1 + F.coalesce("depth", F.lit(0))).alias("leave")))
+    core = _stable(endless, lambda pids: inside.join(pids, node, "left_semi").select(*sample, F.col("on").alias("pid")).distinct())
+    links = inside.join(core, node, "left_semi")
+    # parts of the core: the smallest pid spreads along its edges
+    both = links.unionByName(links.select(*sample, F.col("on").alias("pid"), F.col("pid").alias("on"))).checkpoint()
+    part, last = core.withColumn("part", F.col("pid")).checkpoint(), None
+    while last is None or not part.exceptAll(last).isEmpty():
+        last = part
+        for _ in range(STRIDE):
+            near = both.join(part.withColumnRenamed("pid", "on"), [*sample, "on"]).select(*node, "part")
+            part = part.unionByName(near).groupBy(*node).agg(F.min("part").alias("part"))
+        part = part.checkpoint()
+    rows = (part.join(out, node, "left").select(*node, "part", "leave", F.lit(None).cast("bigint").alias("on"))
+            .unionByName(links.join(part, node).select(*node, "part", F.lit(None).cast("int").alias("leave"), F.col("on").cast("bigint"))))
+
+    def search(group: pd.DataFrame) -> pd.DataFrame:
+        succ, leave = defaultdict(list), {}
+        for pid, on, gap in zip(group["pid"], group["on"], group["leave"]):
+            if pd.notna(on):
+                succ[pid].append(int(on))
+            else:
+                leave[pid] = 0 if pd.isna(gap) else int(gap)
+        found = longest_chains(succ, leave, max_depth)
+        head = {c: group[c].iloc[0] for c in sample}
+        return pd.DataFrame([{**head, "pid": pid, "depth": d} for pid, d in found.items()], columns=[*node, "depth"])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in core.schema) + ", depth int"
+    searched = rows.groupBy(*sample, "part").applyInPandas(search, schema).checkpoint()
+    # pids that wait for the core or for each other: after k rounds every chain with at most k of them is counted
+    behind = endless.join(core, node, "left_anti").checkpoint()
+    first = inside.join(searched.withColumnRenamed("pid", "on"), [*sample, "on"]).groupBy(*node).agg(F.max(F.col("depth") + 1).alias("reach"))
+    depth = behind.join(out, node, "left").join(first, node, "left").select(
+        *node, F.greatest(F.lit(1), F.coalesce("leave", F.lit(1)), F.coalesce("reach", F.lit(1))).alias("depth"))
+    among, last = inside.join(behind, node, "left_semi").checkpoint(), None
+    for k in range(1, max_depth):
+        longer = among.join(depth.withColumnRenamed("pid", "on"), [*sample, "on"]).select(*node, (F.col("depth") + 1).alias("depth"))
+        depth = depth.unionByName(longer).groupBy(*node).agg(F.max("depth").alias("depth"))
+        if k % STRIDE == 0:
+            depth = depth.checkpoint()
+            if last is not None and depth.exceptAll(last).isEmpty():
+                break
+            last = depth
+    depth = depth.withColumn("depth", F.least("depth", F.lit(max_depth)))
+    return result(known.unionByName(searched).unionByName(depth))
 
 
 def waits_on(edges: DataFrame, sample: Sequence[str] = SAMPLE) -> DataFrame:

@@ -87,3 +87,40 @@ def test_chain_depth_random_graphs_vs_dfs(spark):
            for r in chain_depth(wait_edges(df)).collect()}
     want = {(s, p): longest(s, p) for s, p, _ in locks}
     assert got == want
+
+
+def _edges(spark, rows):
+    return spark.createDataFrame([("s%d" % s, T0 + dt.timedelta(minutes=m), a, b) for s, m, a, b in rows],
+                                 "server_id string, source_collected_at timestamp_ntz, blocked_pid int, blocker_pid int")
+
+
+def test_chain_depth_of_a_queue_has_no_paths(spark):
+    """200 waiters, each blocked by all ahead: 2^199 paths, one row per pid and level."""
+    rows = [(0, 0, a, b) for a in range(2, 202) for b in range(1, a)]
+    rows += [(1, 1, a + 1, a) for a in range(1, 60)]  # a plain queue past the limit
+    got = {(r.server_id, r.root_blocked_pid): r.maximum_chain_depth for r in chain_depth(_edges(spark, rows)).collect()}
+    assert got == {**{("s0", a): min(a - 1, 32) for a in range(2, 202)}, **{("s1", a + 1): min(a, 32) for a in range(1, 60)}}
+
+
+def test_chain_depth_with_cycles_in_many_samples(spark):
+    import random
+
+    rnd = random.Random(3)
+    rows = []
+    for m in range(12):
+        # a cycle that leads on to a chain, waiters behind it (some in long queues), a pid blocked by itself
+        n = rnd.randint(2, 5)
+        rows += [(m % 3, m, 10 + k, 10 + (k + 1) % n) for k in range(n)]
+        rows += [(m % 3, m, 10, 50), (m % 3, m, 50, 51), (m % 3, m, 51, 52), (m % 3, m, 70, 70), (m % 3, m, 71, 70)]
+        rows += [(m % 3, m, 100 + k, 10 + rnd.randrange(n) if k % 4 == 0 else 100 + rnd.randrange(max(0, k - 3), k)) for k in range(1 + 4 * m)]
+        rows += [(m % 3, m, 20, 21), (m % 3, m, 21, 20), (m % 3, m, 21, 10)] * (m % 2)
+    adj = {}
+    for s, m, a, b in rows:
+        adj.setdefault((s, m), {}).setdefault(a, set()).add(b)
+
+    def longest(graph, node, seen):
+        return max((1 + longest(graph, b, seen | {b}) for b in graph.get(node, ()) if b not in seen), default=0)
+
+    got = {(int(r.server_id[1:]), r.source_collected_at.minute, r.root_blocked_pid): r.maximum_chain_depth for r in chain_depth(_edges(spark, rows)).collect()}
+    assert got == {(*k, a): min(32, max(1, longest(g, a, {a}))) for k, g in adj.items() for a in g}
+    assert chain_depth(_edges(spark, rows).where("false")).count() == 0
