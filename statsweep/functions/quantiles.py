@@ -2,36 +2,58 @@
 
 ``percentile`` buffers all of a group's values in one aggregation buffer, so a
 group holding a third of a huge table cannot be summarised exactly. Here equal
-values collapse into counts map-side, and each group's range is cut into buckets
-by bounds that follow from the values alone (no partition ids, no sampled
-ranges: every evaluation of the plan gives the same buckets). Running counts per
-bucket find the bucket that holds each requested rank; that bucket is cut once
-more, and only the values of the small bucket around a rank are ordered. The
-definition is ``percentile`` / ``percentile_cont``:
-``v[lo] + (pos - lo) * (v[hi] - v[lo])`` with ``pos = q * (n - 1)``.
+values collapse into counts, written once, and each rank is found by radix
+selection on the order-preserving 64-bit image of a double: a round cuts the
+images between the bounds of the bucket that holds the rank into 2^16 buckets,
+and running counts per bucket tell which one holds it. Images spread heavy tails
+(a few bits per decade), and after three rounds a bucket spans at most 2^16 images
+whatever the values, so no window has more rows than ``2^16`` and a few. The bounds
+follow from the values alone (no partition ids, no sampled ranges). The definition is
+``percentile`` / ``percentile_cont``: ``v[lo] + (pos - lo) * (v[hi] - v[lo])`` with
+``pos = q * (n - 1)``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 2048
+from statsweep.session import ensure_checkpoint_dir
+
+BUCKETS = 1 << 16
+ROUNDS = 3
+
+
+def ordered_bits(v: Column) -> Column:
+    """A bigint that orders like the double ``v``: for numbers the IEEE bits of the magnitude with the sign of ``v``;
+    infinities lie beyond all numbers and NaN is the greatest. Zeros are equal. Plain arithmetic, exact at every step."""
+    mag = F.abs(v)
+    # the exponent by logarithm may be one off; dividing by powers of two is exact
+    guess = F.greatest(F.lit(-1022.0), F.least(F.lit(1023.0), F.floor(F.log2(mag)).cast("double")))
+    ratio = mag / F.pow(F.lit(2.0), guess)
+    exponent = F.greatest(F.lit(-1022.0), guess + F.when(ratio >= 2, 1.0).when(ratio < 1, -1.0).otherwise(0.0))
+    part = mag / F.pow(F.lit(2.0), exponent)  # 1 to 2; below 1 for the numbers next to zero
+    bits = ((exponent + 1022).cast("bigint") * (1 << 52)) + (part * float(1 << 52)).cast("bigint")
+    bits = F.when(mag == 0, F.lit(0)).when(mag == float("inf"), F.lit(2047 << 52)).otherwise(bits)
+    return F.when(F.isnan(v), F.lit((1 << 63) - 1)).when(v < 0, -bits).otherwise(bits)
 
 
 def _bucket(lo: str, hi: str):
-    """Bucket of ``_v`` between the bounds; never falls as ``_v`` rises (infinities and NaN included)."""
-    share = (F.col("_v") - F.col(lo)) / (F.col(hi) - F.col(lo))
-    return (F.when(F.col("_v") >= F.col(hi), F.lit(BUCKETS - 1)).when(share.isNull() | F.isnan(share), F.lit(0))
-            .otherwise(F.least(F.lit(BUCKETS - 1), F.floor(share * BUCKETS).cast("int"))))
+    """Bucket of the image ``_k`` between the bounds; halved images keep the differences inside 64 bits."""
+    low, width = F.shiftright(lo, 1), F.shiftright(hi, 1) - F.shiftright(lo, 1)
+    return _quotient(F.shiftright("_k", 1) - low, _quotient(width, F.lit(BUCKETS)) + 1)
+
+
+def _quotient(a: Column, b: Column) -> Column:
+    return F.call_function("div", a, b)
 
 
 def _locate(ranks: DataFrame, values: DataFrame, at: list[str], by: str) -> DataFrame:
     """``ranks`` (``at`` columns and ``_rank`` inside them) with the bucket ``by`` that holds each rank, the bounds of
     the bucket's values, and ``_rank`` counted from the bucket's first value."""
-    sums = values.groupBy(*at, by).agg(F.sum("_n").alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    sums = values.groupBy(*at, by).agg(F.sum("_n").alias("_c"), F.min("_k").alias("_lo"), F.max("_k").alias("_hi"))
     before = Window.partitionBy(*at).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("_off", F.coalesce(F.sum("_c").over(before), F.lit(0)))
     found = ranks.join(sums, at).where((F.col("_rank") >= F.col("_off")) & (F.col("_rank") < F.col("_off") + F.col("_c")))
@@ -57,15 +79,21 @@ def exact_summary(df: DataFrame, keys: Sequence[str], value: str, qs: Sequence[f
     # at most two ranks per group and quantile
     t = t.select("*", F.explode(F.array(F.floor("_at"), F.ceil("_at"))).alias("_rank")).select(
         "*", F.col("_rank").alias("_whole"))
-    counts = v.where(F.col("_v").isNotNull()).groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_n"))
-    x = counts.join(stats.select("_g", "min_value", "max_value"), "_g").withColumn("_b", _bucket("min_value", "max_value"))
-    t = _locate(t, x, ["_g"], "_b")
-    x = x.select("_g", "_b", "_v", "_n").join(t.select("_g", "_b", "_lo", "_hi").distinct(), ["_g", "_b"]).withColumn("_s", _bucket("_lo", "_hi"))
-    t = _locate(t.drop("_lo", "_hi"), x, ["_g", "_b"], "_s").drop("_lo", "_hi")
-    small = x.join(t.select("_g", "_b", "_s").distinct(), ["_g", "_b", "_s"], "left_semi")
-    upto = Window.partitionBy("_g", "_b", "_s").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    small = small.select("_g", "_b", "_s", "_v", "_n", F.sum("_n").over(upto).alias("_end"))
-    picked = t.join(small, ["_g", "_b", "_s"]).where((F.col("_rank") < F.col("_end")) & (F.col("_rank") >= F.col("_end") - F.col("_n")))
+    ensure_checkpoint_dir(df.sparkSession)
+    counts = v.where(F.col("_v").isNotNull()).groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_n")).select(
+        "*", ordered_bits(F.col("_v")).alias("_k")).checkpoint()
+    at, x = ["_g"], counts.join(counts.groupBy("_g").agg(F.min("_k").alias("_lo"), F.max("_k").alias("_hi")), "_g")
+    for i in range(ROUNDS):
+        bucket = f"_b{i}"
+        x = x.withColumn(bucket, _bucket("_lo", "_hi")).drop("_lo", "_hi")
+        t = _locate(t, x, at, bucket)
+        at = [*at, bucket]
+        # only the buckets that hold a rank go on, with the bounds of their images
+        x = x.join(t.select(*at, "_lo", "_hi").distinct(), at)
+        t = t.drop("_lo", "_hi")
+    upto = Window.partitionBy(*at).orderBy("_k").rowsBetween(Window.unboundedPreceding, 0)
+    small = x.select(*at, "_v", "_n", F.sum("_n").over(upto).alias("_end"))
+    picked = t.join(small, at).where((F.col("_rank") < F.col("_end")) & (F.col("_rank") >= F.col("_end") - F.col("_n")))
     per_q = picked.groupBy("_g", "_qi").agg(
         F.first("_at").alias("_at"), F.min_by("_v", "_whole").alias("_lo"), F.max_by("_v", "_whole").alias("_hi"))
     per_q = per_q.select("_g", "_qi", (F.col("_lo") + (F.col("_at") - F.floor("_at"))

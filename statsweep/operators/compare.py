@@ -63,39 +63,41 @@ def parallelism_benefit(compared: DataFrame, rps: str = "successful_rps", p99: s
                                .otherwise("neutral"))
 
 
-def _p(col: str, q: float) -> Column:
-    return F.percentile(F.col(col), F.lit(q))
-
-
 def pool_effectiveness(activity: DataFrame, pools: DataFrame, load: DataFrame, split_at, keys: Sequence[str] = (
         "server_id",), scale: int = 6) -> DataFrame:
     """AG-23: pooler before/after effectiveness per server.
 
     ``activity`` (AG-01 rows) and ``pools`` (PRJ-18 rows) are split at ``split_at``:
     earlier samples are the direct baseline, later ones the pooled run. ``load`` has
-    per-request latency ``latency_ms`` and ``test_run_id`` in ('baseline', 'after'); its
-    P99 per run is the distributed exact percentile. The per-server P95/P99 over samples
-    are plain aggregates: a server has one sample per tick, so those groups are bounded
-    by cadence and history.
+    per-request latency ``latency_ms`` and ``test_run_id`` in ('baseline', 'after'). All
+    percentiles are distributed exact ones: no server's samples are held in one buffer.
     """
+    from statsweep.functions.quantiles import exact_percentiles
+
     k = list(keys)
     before = F.col("source_collected_at") < F.lit(split_at)
-    conn = activity.groupBy(*k).agg(
-        _p_when("client_connections", before, 0.95).alias("baseline_p95"),
-        _p_when("client_connections", ~before, 0.95).alias("after_p95"))
     per_sample = pools.where(~before).groupBy(*k, "source_collected_at").agg(
         F.sum("pgbouncer_client_connections").alias("cl"), F.sum("pgbouncer_server_connections").alias("sv"))
-    mux = per_sample.groupBy(*k).agg(_p("cl", 0.95).alias("pgb_client_p95"), _p("sv", 0.95).alias("pgb_server_p95"))
-    q = pools.where(~before).groupBy(*k).agg(
-        (F.lit(100.0) * F.count_if(F.col("cl_waiting") == 0) / F.count(F.lit(1))).alias("queue_free_sample_percent"),
-        _p("oldest_client_wait_seconds", 0.99).alias("pool_wait_p99_seconds"))
-    # request latencies are unbounded per run: distributed exact P99, then the two runs side by side
-    from statsweep.functions.quantiles import exact_percentiles
 
+    def measured(df: DataFrame, **columns: Column) -> DataFrame:
+        return df.select(*k, F.explode(F.array(*[F.struct(F.lit(name).alias("measure"), c.cast("double").alias("value")) for name, c in columns.items()])).alias("m")
+                         ).select(*k, "m.measure", "m.value")
+
+    values = (measured(activity, before=F.when(before, F.col("client_connections")), after=F.when(~before, F.col("client_connections")))
+              .unionByName(measured(per_sample, cl=F.col("cl"), sv=F.col("sv")))
+              .unionByName(measured(pools.where(~before), wait=F.col("oldest_client_wait_seconds"))))
+    p = exact_percentiles(values, [*k, "measure"], "value", [0.95, 0.99])
+    pick = lambda name, col: F.max(F.when(F.col("measure") == name, F.col(col)))
+    p = p.groupBy(*k).agg(pick("before", "p95").alias("baseline_p95"), pick("after", "p95").alias("after_p95"), pick("cl", "p95").alias("pgb_client_p95"),
+                          pick("sv", "p95").alias("pgb_server_p95"), pick("wait", "p99").alias("pool_wait_p99_seconds"))
+    conn = activity.select(*k).distinct()
+    q = pools.where(~before).groupBy(*k).agg(
+        (F.lit(100.0) * F.count_if(F.col("cl_waiting") == 0) / F.count(F.lit(1))).alias("queue_free_sample_percent"))
+    # the two runs side by side
     p99 = exact_percentiles(load, ["test_run_id"], "latency_ms", [0.99], ["p99"])
     lat = p99.agg(F.max(F.when(F.col("test_run_id") == "baseline", F.col("p99"))).alias("baseline_latency_p99"),
                   F.max(F.when(F.col("test_run_id") == "after", F.col("p99"))).alias("after_latency_p99"))
-    j = (conn.join(mux, k, "left").join(q, k, "left").withColumn("_one", F.lit(1))
+    j = (conn.join(p, k, "left").join(q, k, "left").withColumn("_one", F.lit(1))
          .join(F.broadcast(lat.withColumn("_one", F.lit(1))), "_one", "left").drop("_one"))
     red = F.when(F.col("baseline_p95") != 0,
                  F.lit(100.0) * (F.col("baseline_p95") - F.col("after_p95")) / F.col("baseline_p95"))
@@ -122,10 +124,6 @@ def pool_effectiveness(activity: DataFrame, pools: DataFrame, load: DataFrame, s
         F.when(positive, "positive").when(negative, "negative").otherwise("neutral").alias("outcome"))
 
 
-def _p_when(col: str, cond: Column, q: float) -> Column:
-    return F.percentile(F.when(cond, F.col(col)), F.lit(q))
-
-
 def efficiency(load_per_phase: DataFrame, cpu_per_phase: DataFrame, keys: Sequence[str]) -> DataFrame:
     """AG-24 efficiency: successful requests per second per CPU percent."""
     j = load_per_phase.join(cpu_per_phase, list(keys), "inner")

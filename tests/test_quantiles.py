@@ -59,3 +59,50 @@ def test_percentiles_do_not_depend_on_the_plan(spark, reuse, aqe):
     for g, row in want.items():
         assert [x is None for x in got[g]] == [x is None for x in row], g
         assert [x for x in got[g] if x is not None] == pytest.approx([x for x in row if x is not None], rel=1e-12), g
+
+
+def _image(v):
+    import struct
+
+    if v != v:
+        return (1 << 63) - 1
+    bits = struct.unpack("<q", struct.pack("<d", abs(v)))[0]
+    return -bits if v < 0 else bits
+
+
+def test_ordered_bits_are_the_ieee_order(spark):
+    import struct
+
+    from statsweep.functions.quantiles import ordered_bits
+
+    rnd = random.Random(1)
+    vals = [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 1.7976931348623157e308, float("inf"), -float("inf"), float("nan")]
+    vals += [s * f(2.0 ** k) for k in range(-1074, 1024) for s in (1, -1) for f in (float, lambda x: float(np.nextafter(x, 0)))]
+    vals += [struct.unpack("<d", struct.pack("<Q", rnd.getrandbits(64)))[0] for _ in range(5000)]
+    for r in spark.createDataFrame([(v,) for v in vals], "v double").select("v", ordered_bits(F.col("v")).alias("k")).collect():
+        assert r.k == _image(r.v), r.v
+
+
+def test_heavy_tails_leave_no_large_window(spark):
+    """Durations below 1,000 with one outlier of 1e18 and one of 1e12, and values that differ in their last bits only:
+    equal to ``percentile``, and no bucket of the last round is larger than the bound."""
+    from statsweep.functions import quantiles
+
+    rows = [("tail", i / 200) for i in range(20_000)] + [("tail", 1e18), ("tail", 1e12)]
+    rows += [("near", 1.0 + i * 2.0 ** -52) for i in range(3000)] + [("near", 1e300), ("near", -1e300)]
+    rows += [("spread", s * 10.0 ** (i % 31 - 15)) for i in range(2000) for s in (1, -1)] + [("spread", 0.0), ("inf", float("inf")), ("inf", 1.0)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    qs = [0.0, 0.25, 0.5, 0.95, 0.99]
+    got = {r.g: [r[f"p{int(q * 100)}"] for q in qs] for r in exact_summary(df, ["g"], "v", qs).collect()}
+    want = {r.g: list(r.p) for r in df.groupBy("g").agg(F.percentile("v", qs).alias("p")).collect()}
+    assert got["tail"] == pytest.approx(want["tail"], rel=1e-12) and got["spread"] == pytest.approx(want["spread"], rel=1e-15)
+    assert got["near"] == pytest.approx(want["near"], rel=4e-16)  # a step of the last bit: the two interpolate in another order
+    assert got["inf"][0] == 1.0
+    k = df.where("g IN ('tail', 'near')").groupBy("g", "v").count().withColumn("_k", quantiles.ordered_bits(F.col("v")))
+    at = ["g"]
+    for i in range(quantiles.ROUNDS):
+        ends = k.groupBy(*at).agg(F.min("_k").alias("_lo"), F.max("_k").alias("_hi"))
+        k = k.join(ends, at).withColumn(f"b{i}", quantiles._bucket("_lo", "_hi")).drop("_lo", "_hi")
+        assert k.agg(F.min(f"b{i}"), F.max(f"b{i}")).first()[1] <= quantiles.BUCKETS
+        at.append(f"b{i}")
+    assert k.groupBy(*at).agg((F.max("_k") - F.min("_k")).alias("w")).agg(F.max("w")).first()[0] <= quantiles.BUCKETS
