@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statsweep.functions.scalars import safe_percent
-from statsweep.operators.deltas import seconds_between
+from statsweep.operators.deltas import seconds_between, with_previous
 
 SAMPLE = ("server_id", "source_collected_at")
 
@@ -209,6 +209,28 @@ def interesting_sessions(sessions: DataFrame, k: int | None = TOP_SESSIONS) -> D
     return topk(sessions.where(cond), SAMPLE, [age.desc(), F.col("pid").asc()], k)
 
 
+def _with_interval(summary: DataFrame, nominal_interval_ms: float) -> DataFrame:
+    """``actual_sampling_interval_ms``: the time since the server's previous sample, the nominal cadence for its first."""
+    x = with_previous(summary, ["server_id"], ["source_collected_at"], ["source_collected_at"], "source_collected_at", "_before")
+    gap = F.timestamp_diff("MILLISECOND", F.col("_before.source_collected_at"), F.col("source_collected_at")).cast("double")
+    return x.withColumn("actual_sampling_interval_ms", F.coalesce(gap, F.lit(nominal_interval_ms))).drop("_before")
+
+
+def wait_event_shares(summary: DataFrame, by_event: DataFrame, nominal_interval_ms: float = 15000.0) -> DataFrame:
+    """AG-29: share of each wait event among the sample's waiting active client sessions, its share among those of the same
+    type and its sampled occupancy. ``by_event`` is AG-04's result; a sample's and a type's totals are grouped sums."""
+    kind = [*SAMPLE, "wait_event_type"]
+    s = _with_interval(summary, nominal_interval_ms).select(*SAMPLE, "active_client_connections", "actual_sampling_interval_ms")
+    of_type = by_event.groupBy(*kind).agg(F.sum("session_count").alias("_type"))
+    of_all = by_event.groupBy(*SAMPLE).agg(F.sum("session_count").alias("_all"))
+    return by_event.join(s, list(SAMPLE)).join(of_type, kind).join(of_all, list(SAMPLE)).select(
+        *kind, "wait_event", "session_count",
+        safe_percent("session_count", "active_client_connections").alias("wait_event_share_percent"),
+        safe_percent("session_count", "_type").alias("share_of_type_percent"),
+        safe_percent("session_count", "_all").alias("share_of_waits_percent"),
+        (F.col("session_count") * F.col("actual_sampling_interval_ms")).alias("sampled_wait_occupancy_ms"))
+
+
 def wait_shares(summary: DataFrame, by_type: DataFrame, interval_col: str | None = None,
                 nominal_interval_ms: float = 15000.0) -> DataFrame:
     """AG-29: wait-type share of active client sessions and sampled occupancy per sample.
@@ -216,12 +238,9 @@ def wait_shares(summary: DataFrame, by_type: DataFrame, interval_col: str | None
     The actual sampling interval is the time since the server's previous sample
     (``lag``), falling back to the nominal cadence for a server's first sample.
     """
-    w = Window.partitionBy("server_id").orderBy("source_collected_at")
-    s = summary.select(
-        *SAMPLE, "active_client_connections", "active_parallel_workers", "parallel_workers_waiting",
-        F.coalesce(
-            F.timestamp_diff("MILLISECOND", F.lag("source_collected_at").over(w), F.col("source_collected_at"))
-            .cast("double"), F.lit(nominal_interval_ms)).alias("actual_sampling_interval_ms"),
+    timed = _with_interval(summary, nominal_interval_ms)
+    s = timed.select(
+        *SAMPLE, "active_client_connections", "active_parallel_workers", "parallel_workers_waiting", "actual_sampling_interval_ms",
         safe_percent("parallel_workers_waiting", "active_parallel_workers").alias(
             "parallel_worker_wait_share_percent"))
     return by_type.join(s, list(SAMPLE), "inner").select(

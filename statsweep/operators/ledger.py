@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statsweep.operators.deltas import seconds_between
+from statsweep.operators.deltas import running, seconds_between, with_previous
 
-# Cadence in seconds of each collection tier.
-TIER_SECONDS = {"15s": 15, "30s": 30, "60s": 60, "5min": 300, "15min": 900, "6h": 21600}
 # Run duration limits (warning, high), seconds.
 SLOW_RUN_S = 2.0
 VERY_SLOW_RUN_S = 5.0
@@ -35,10 +33,12 @@ def overlapping_runs(ledger: DataFrame, keys: Sequence[str] = ("server_id", "que
                      start: str = "started_at", end: str = "completed_at", tiebreak: str = "run_id") -> DataFrame:
     """JN-20: runs that start before an earlier run of the same query and target has completed.
 
-    The latest completion among all earlier runs is a running max over the preceding rows.
+    The latest completion among all earlier runs is the running maximum at the run before; both are taken over
+    (key, day), so a query's history is spread over tasks.
     """
-    w = Window.partitionBy(*keys).orderBy(start, tiebreak).rowsBetween(Window.unboundedPreceding, -1)
-    x = ledger.withColumn("previous_completed_at", F.max(end).over(w))
+    x = running(ledger, keys, [start, tiebreak], start, maxima={"_latest": F.col(end)})
+    x = with_previous(x, keys, [start, tiebreak], ["_latest"], start, "_before")
+    x = x.withColumn("previous_completed_at", F.col("_before._latest")).drop("_before", "_latest")
     return x.where(F.col("previous_completed_at") > F.col(start))
 
 
@@ -49,9 +49,8 @@ def collector_health(ledger: DataFrame, cadence: Mapping[str, int], keys: Sequen
     Missed ticks between consecutive runs = ``max(0, round(gap / cadence) - 1)``.
     """
     cad = F.create_map(*[x for k, v in cadence.items() for x in (F.lit(k), F.lit(v))])
-    w = Window.partitionBy(*keys).orderBy("started_at", "run_id")
-    x = ledger.withColumn("_cad", cad[F.col("query_id")]).withColumn(
-        "_gap", seconds_between("started_at", F.lag("started_at").over(w)))
+    x = with_previous(ledger, keys, ["started_at", "run_id"], ["started_at"], "started_at", "_before")
+    x = x.withColumn("_cad", cad[F.col("query_id")]).withColumn("_gap", seconds_between(F.col("started_at"), F.col("_before.started_at")))
     missed = F.greatest(F.lit(0), F.round(F.col("_gap") / F.col("_cad")).cast("long") - 1)
     x = x.withColumn("_missed", missed)
     d = F.col("duration_ms") / 1000.0

@@ -56,6 +56,7 @@ def q_counter_rate_daily(spark, sf):
 # ----------------------------------------------------------------- IV-01..IV-09
 from statsweep.operators import interval as IV  # noqa: E402
 from statsweep.sources import readers as R  # noqa: E402
+from statsweep.sources.marks import MarkStore  # noqa: E402
 
 CHECKPOINT_FIELDS = {"num_timed": "long", "num_requested": "long", "write_time": "double",
                      "sync_time": "double", "wal_bytes": "long"}
@@ -200,6 +201,13 @@ def q_wait_shares(spark, sf):
     return A.wait_shares(summary, A.wait_type_counts(s))
 
 
+@query("wait_event_shares")
+def q_wait_event_shares(spark, sf):
+    """AG-29: wait-event shares of active sessions, of their type and of all waits, and sampled occupancy per sample."""
+    s, settings = _sessions(spark, sf)
+    return A.wait_event_shares(A.activity_summary(s, settings), A.wait_event_counts(s))
+
+
 @query("waiting_with_totals")
 def q_waiting_with_totals(spark, sf):
     """JN-06: waiting client sessions with their sample's totals attached."""
@@ -298,6 +306,20 @@ def q_incremental_read(spark, sf):
                               F.lit("2024-01-25 00:01:00").cast("timestamp_ntz"))
 
 
+READ_TIMES = ("2024-01-02 00:10:00", "2024-01-12 00:30:00", "2024-02-02 00:00:00")
+
+
+@query("high_water_reads")
+def q_high_water_reads(spark, sf):
+    """SRC-06, SM-03: three reads with stored marks, the first 17 minutes back, the second tried twice."""
+    w, _ = _waits(spark, sf)
+    store = MarkStore(spark, scratch_path(spark, "marks"), w)
+    for n, now in enumerate(READ_TIMES, 1):
+        for _ in range(1 + (n == 2)):
+            store.read(n, w, now)
+    return store.rows()
+
+
 @query("plan_features")
 def q_plan_features(spark, sf):
     """PRJ-12: plan flags and planned workers from plan text."""
@@ -1074,16 +1096,26 @@ def q_late_backfill(spark, sf):
 
 @query("write_multi")
 def q_write_multi(spark, sf):
-    """SM-09: each micro-batch of landed rows written to a rows dataset and a run ledger, idempotent by batch id."""
+    """SM-09: each micro-batch of landed rows to a rows dataset and a run ledger, all or nothing: the first batch fails
+    between the two and is replayed."""
     rows = B.landed_rows(_t(spark, sf, "events"))
     job = StreamJob(spark, "multi")
     targets = {"rows": lambda df: df, "ledger": LG.run_ledger}
-    writer = SW.write_multi(targets, job.sink, fallback=os.path.join(job.sink, "_fallback"))
+    fallback = os.path.join(job.sink, "kept")
+    down = iter([True])
+
+    def failing(df):  # the second dataset is down for the first batch
+        if next(down, False):
+            raise RuntimeError("dataset down")
+        return LG.run_ledger(df)
+
+    writer = SW.write_multi({**targets, "ledger": failing}, job.sink, fallback=fallback)
     early = F.col("query_id").isin("Q00", "Q01", "Q02")
     for part in (rows.where(early), rows.where(~early)):
         job.land(part)
         job.run(job.source(rows.schema), foreach_batch=writer)
-    return spark.read.parquet(os.path.join(job.sink, "ledger")).drop("batch_id")
+    SW.replay_fallback(spark, targets, job.sink, fallback, rows.schema)
+    return SW.read_committed(spark, job.sink, "ledger", LG.run_ledger(rows).schema).drop("batch_id")
 
 
 def _daily_cpu(spark, ev):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -95,8 +95,13 @@ def unpack_payload(df: DataFrame, col: str, fields: Mapping[str, str]) -> DataFr
     return df.select("*", *[json_field(p, f, t).alias(f) for f, t in fields.items()])
 
 
+# Minutes until a closed window is stored, and how far back the first read starts.
+LAG_MINUTES = 2
+FIRST_LOOKBACK_MINUTES = 17
+
+
 def read_incremental(df: DataFrame, high_water, now, time_col: str = "end_time",
-                     lag_minutes: int = 2, first_lookback_minutes: int = 17) -> DataFrame:
+                     lag_minutes: int = LAG_MINUTES, first_lookback_minutes: int = FIRST_LOOKBACK_MINUTES) -> DataFrame:
     """SRC-06: rows with ``high_water < end_time <= now - lag``; the first read starts 17 min back."""
     now_c = F.lit(now) if not isinstance(now, Column) else now
     upper = now_c - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(lag_minutes))
@@ -108,9 +113,9 @@ def read_incremental(df: DataFrame, high_water, now, time_col: str = "end_time",
     return df.where((t > lower) & (t <= upper))
 
 
-def next_high_water(df: DataFrame, time_col: str = "end_time") -> DataFrame:
-    """SRC-06: the new mark is the greatest ``end_time`` read (one-row frame)."""
-    return df.agg(F.max(time_col).alias("high_water"))
+def next_high_water(df: DataFrame, time_col: str = "end_time", keys: Sequence[str] = ()) -> DataFrame:
+    """SRC-06: the new mark is the greatest ``end_time`` read, per key (one row without keys)."""
+    return df.groupBy(*keys).agg(F.max(time_col).alias("high_water"))
 
 
 def read_minute_metrics(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

@@ -87,27 +87,69 @@ def latest_per_key(spark: SparkSession, path: str, keys: Sequence[str]) -> DataF
     return dedupe_natural_key(df, keys, [F.col("batch_id").desc()]).drop("batch_id")
 
 
+COMMITS = "commit_log"
+# JSON lines keep whole microseconds and null fields
+JSON = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "ignoreNullFields": "false"}
+
+
+def _commit(df: DataFrame, targets: dict[str, Callable[[DataFrame], DataFrame]], root: str, batch_id: int) -> None:
+    """Write one batch to every dataset, then note it as committed."""
+    for name, build in targets.items():
+        build(df).write.mode("overwrite").parquet(os.path.join(root, name, f"batch_id={batch_id}"))
+    df.sparkSession.range(1).select(F.lit(batch_id).cast("bigint").alias("batch")).write.mode("overwrite").parquet(
+        os.path.join(root, COMMITS, f"batch_id={batch_id}"))
+
+
 def write_multi(targets: dict[str, Callable[[DataFrame], DataFrame]], root: str,
                 fallback: str | None = None) -> Callable[[DataFrame, int], None]:
-    """SM-09: one micro-batch to several datasets, each under ``batch_id=N`` (idempotent on replay).
+    """SM-09: one micro-batch to several datasets, all or nothing, each under ``batch_id=N`` (idempotent on replay).
 
-    When writing the datasets fails, the raw batch goes to JSON lines under ``fallback``.
+    A batch counts once its note in the commit log stands, which is written after all datasets; :func:`read_committed`
+    reads only such batches. When writing a dataset fails, the raw batch goes to JSON lines under ``fallback``, the
+    stream goes on, and :func:`replay_fallback` writes the batch again later. Without ``fallback`` the failure stops it.
     """
     def write(df: DataFrame, batch_id: int) -> None:
         df.persist()
         try:
-            for name, build in targets.items():
-                build(df).write.mode("overwrite").parquet(os.path.join(root, name, f"batch_id={batch_id}"))
+            _commit(df, targets, root, batch_id)
         except Exception:
             if fallback is None:
                 raise
-            df.write.mode("overwrite").json(os.path.join(fallback, f"batch_id={batch_id}"))
+            df.write.mode("overwrite").options(**JSON).json(os.path.join(fallback, f"batch_id={batch_id}"))
         finally:
             df.unpersist()
 
     return write
 
 
+def _batches(spark: SparkSession, folder: str) -> set[int]:
+    """Numbers of the batches wholly written under ``folder``: one small entry per micro-batch, no rows."""
+    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(os.path.join(folder, "batch_id=*", "_SUCCESS"))
+    found = marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(marker)
+    return {int(f.getPath().getParent().getName().split("=")[1]) for f in found or []}
+
+
+def read_committed(spark: SparkSession, root: str, name: str, schema) -> DataFrame:
+    """SM-09: the rows of dataset ``name`` of committed batches, with their ``batch_id``."""
+    done = sorted(_batches(spark, os.path.join(root, COMMITS)))
+    base = os.path.join(root, name)
+    if not done:
+        return spark.createDataFrame([], schema).withColumn("batch_id", F.lit(None).cast("int"))
+    return spark.read.schema(schema).option("basePath", base).parquet(*[os.path.join(base, f"batch_id={n}") for n in done]).select(
+        *spark.createDataFrame([], schema).columns, F.col("batch_id").cast("int").alias("batch_id"))
+
+
+def replay_fallback(spark: SparkSession, targets: dict[str, Callable[[DataFrame], DataFrame]], root: str, fallback: str, schema) -> list[int]:
+    """SM-09: write the batches that went to ``fallback`` and aren't committed to every dataset; returns their numbers.
+
+    Running it again does nothing; a batch that fails again stays where it is and its failure is raised.
+    """
+    todo = sorted(_batches(spark, fallback) - _batches(spark, os.path.join(root, COMMITS)))
+    for batch_id in todo:
+        _commit(spark.read.schema(schema).options(**JSON).json(os.path.join(fallback, f"batch_id={batch_id}")), targets, root, batch_id)
+    return todo
+
+
 def late_rows(landed: DataFrame, time_col: str, arrived_col: str, delay_s: float) -> DataFrame:
     """SM-08: rows that arrived later than the watermark delay allows (the stream dropped them)."""
     lag = F.timestamp_diff("MICROSECOND", F.col(time_col), F.col(arrived_col)) / F.lit(1e6)
