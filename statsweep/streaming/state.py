@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
@@ -179,7 +179,7 @@ def trigger_candidates(samples: DataFrame, triggers: Sequence[Trigger] = TRIGGER
 
 def _fold(pdf: pd.DataFrame, last_fired_us: int | None) -> tuple[pd.DataFrame, int | None]:
     """Sequential cooldown fold over one (server, target): fire when the cooldown since the last fire passed."""
-    pdf = pdf.sort_values(["ts", "seq"], kind="stable")
+    pdf = pdf.sort_values(["ts", "seq", "rule"], kind="stable")
     t = _micros(pdf["ts"])
     cd = pdf["cooldown_s"].to_numpy(dtype=np.int64) * 1_000_000
     hits, last, i = [], last_fired_us, 0
@@ -202,33 +202,79 @@ def _fold(pdf: pd.DataFrame, last_fired_us: int | None) -> tuple[pd.DataFrame, i
     return res, last
 
 
+DAY_US = 86_400_000_000
+
+
+def _day_entries(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Of one (server, target) and day: the candidates that can be the day's first to fire, whatever fired before the day,
+    each with the time of the day's last fire if it is the first.
+
+    Those within the longest cooldown of midnight may be held back by an earlier day's fire, the first one after that never.
+    """
+    pdf = pdf.sort_values(["_us", "seq", "rule"], kind="stable")
+    t, cd = pdf["_us"].to_numpy(np.int64), pdf["cooldown_s"].to_numpy(np.int64) * 1_000_000
+    n = len(t)
+    if (cd == cd[0]).all():
+        after = np.maximum(np.searchsorted(t, t + cd[0]), np.arange(1, n + 1))
+    else:
+        after = np.array([i + 1 + next(iter(np.flatnonzero(t[i + 1:] - t[i] >= cd[i + 1:])), n) for i in range(n)])
+    last = np.arange(n)
+    for i in range(n - 1, -1, -1):
+        if after[i] < n:
+            last[i] = last[after[i]]
+    free = int(np.searchsorted(t, t[0] // DAY_US * DAY_US + cd.max()))
+    out = pdf.iloc[:min(n, free + 1)]
+    return out.assign(exit_us=t[last[:len(out)]])[["server_id", "target", "_us", "seq", "rule", "cooldown_s", "exit_us"]]
+
+
+def _mirrored(us: Column) -> Column:
+    """A time that falls as ``us`` rises: the first row at or after a time is the last one at or before its mirror."""
+    return F.expr("TIMESTAMP_NTZ'2000-01-01 00:00:00'") - F.make_dt_interval(secs=(us.cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)"))
+
+
 def fire_triggers(candidates: DataFrame) -> DataFrame:
-    """SM-02 batch form: per (server, target) cooldown fold with ``applyInPandas``, split into bursts.
-
-    A candidate at least one cooldown after the previous candidate of its key always
-    fires, so the fold can restart there. Each candidate finds its burst start with the
-    skew-safe as-of join, and the fold runs per (key, week of burst start): every group
-    begins at a burst start, so an empty starting state is exact, and a key with a
-    long history is spread over one group per week of burst starts instead of one task.
-    A burst that never pauses for a cooldown is one group however long it lasts: it holds
-    one row per sample tick (5,760 a day at a 15 s cadence).
+    """SM-02 batch form: per (server, target), a candidate fires when its cooldown since the last fire has passed.
+
+    The sequence of fires is followed by pointer doubling over days. In each (key, day) only the few candidates that
+    can be the day's first fire matter (61 at a 15 s cadence and a cooldown of 15 minutes), with the time of the last fire that each
+    leads to; an as-of lookup gives the first candidate of a later day that may fire after it. These jumps are composed
+    with themselves, and from a key's first candidate all days' first fires are reached in a logarithmic number of joins.
+    Then each (key, day) is folded from its first fire on. A group is one day of a key, however long a burst lasts.
+    Candidates of one time are taken by ``seq``, then ``rule``.
     """
-    from statsweep.operators.deltas import seconds_between, with_previous
+    from statsweep.operators.deltas import epoch_micros
     from statsweep.operators.joins import align_asof
+    from statsweep.session import ensure_checkpoint_dir
 
+    ensure_checkpoint_dir(candidates.sparkSession)
     keys = ["server_id", "target"]
-    p = with_previous(candidates, keys, ["ts", "seq"], ["ts"], "ts", "_prev")
-    starts = p.where(F.col("_prev").isNull()
-                     | (seconds_between("ts", F.col("_prev.ts")) >= F.col("cooldown_s"))).select(
-        *keys, F.col("ts").alias("burst_ts"), F.col("seq").alias("burst_seq"))
-    seg = align_asof(candidates, starts, keys, "ts", "burst_ts", ["burst_seq"])
-
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        res, _ = _fold(pdf, None)
-        return res
-
-    week = F.date_trunc("week", F.col("matched_burst_ts")).alias("_burst_week")
-    return seg.groupBy(*keys, week).applyInPandas(fn, FIRED_SCHEMA)
+    node = lambda name: F.struct(F.col("_us"), F.col("seq"), F.col("rule")).alias(name)
+    c = candidates.withColumn("_us", epoch_micros("ts")).withColumn("_day", F.floor(F.col("_us") / DAY_US))
+    types = {f.name: f.dataType.simpleString() for f in c.schema.fields}
+    schema = f"server_id {types['server_id']}, target {types['target']}, _us bigint, seq {types['seq']}, rule {types['rule']}, cooldown_s {types['cooldown_s']}, exit_us bigint"
+    nodes = (c.select(*keys, "_us", "seq", "rule", "cooldown_s", "_day").groupBy(*keys, "_day").applyInPandas(_day_entries, schema)
+             .dropDuplicates([*keys, "_us", "seq", "rule"]).checkpoint())
+    # a key's cooldowns are few: one for each rule of its target
+    asked = nodes.select(*keys, node("at"), "exit_us").join(nodes.select(*keys, "cooldown_s").distinct(), keys).withColumn(
+        "_due", _mirrored(F.col("exit_us") + F.col("cooldown_s").cast("bigint") * 1_000_000))
+    first = nodes.groupBy(*keys, "cooldown_s", "_us").agg(F.min(node("x")).alias("to")).withColumn("_when", _mirrored(F.col("_us")))
+    jump = (align_asof(asked, first, [*keys, "cooldown_s"], "_due", "_when", ["to"]).where("to IS NOT NULL")
+            .groupBy(*keys, "at").agg(F.min("to").alias("to")).checkpoint())
+    jumps = []
+    while not jump.isEmpty():
+        jumps.append(jump)
+        on = jump.select(*keys, F.col("at").alias("to"), F.col("to").alias("further"))
+        jump = jump.join(on, [*keys, "to"]).select(*keys, "at", F.col("further").alias("to")).checkpoint()
+    reached = nodes.groupBy(*keys).agg(F.min(node("x")).alias("at"))
+    for jump in reversed(jumps):
+        reached = reached.unionByName(reached.join(jump, [*keys, "at"]).select(*keys, F.col("to").alias("at"))).checkpoint()
+    entry = reached.select(*keys, F.floor(F.col("at._us") / DAY_US).alias("_day"), "at")
+
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        return _fold(pdf, None)[0]
+
+    due = c.join(entry, [*keys, "_day"]).where(node("x") >= F.col("at")).drop("at", "_us")
+    return due.groupBy(*keys, "_day").applyInPandas(fold, FIRED_SCHEMA)
 
 
 def stream_fire_triggers(candidates: DataFrame, watermark: str = "1 minute") -> DataFrame:

@@ -92,3 +92,30 @@ def test_stream_counter_delta_idle_gap_restarts(spark):
         job.run(stream_counter_delta(job.source(df.schema), ["server_id", "k"], "c", idle_ttl="1 hour"))
     got = sorted((r.event_id, r.c_kind, r.c_delta) for r in job.result().collect())
     assert got == [(1, "first", None), (2, "delta", 10), (3, "first", None), (4, "delta", 15), (5, "first", None)]
+
+
+def test_unbroken_burst_of_three_weeks_is_folded_day_by_day(spark, monkeypatch):
+    """Candidates every minute for three weeks, with random gaps, two rules of one target and repeated rows: equal to the
+    sequential fold, and no group holds more than a day."""
+    import random
+
+    from statsweep.streaming import state
+
+    rnd, rows = random.Random(12), []
+    for key, cooldowns, step in (("a", (900,), 60), ("b", (15, 7000), 300), ("c", (90_000,), 1800), ("d", (3600,), 200_000)):
+        t, i = 0, 0
+        while t < 21 * 86_400:
+            t += step + (rnd.randrange(30) if key != "c" else 0)
+            i += 1
+            rows += [("s", key, f"r{r}", cd, T0 + dt.timedelta(seconds=t, microseconds=i), i) for r, cd in enumerate(cooldowns) if rnd.random() < 0.8]
+    rows += rows[:50]
+    df = spark.createDataFrame(rows, "server_id string, target string, rule string, cooldown_s int, ts timestamp_ntz, seq long")
+    want, last = [], {}
+    for s, target, rule, cd, t, _ in sorted(rows, key=lambda r: (r[1], r[4], r[5], r[2])):
+        if target not in last or (t - last[target]).total_seconds() >= cd:
+            want.append((target, rule, t))
+            last[target] = t
+    got = sorted((r.target, r.rule, r.fired_at) for r in fire_triggers(df).collect())
+    assert got == sorted(want)
+    assert df.groupBy("server_id", "target", df.ts.cast("date")).count().agg({"count": "max"}).first()[0] < 1600  # the groups' bound
+    assert state.fire_triggers(df.where("false")).count() == 0
