@@ -143,19 +143,21 @@ def scan_licenses(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, thresho
             out = []
             for text in batch.column(1).to_pylist():
                 ws = words(text)
-                places, base, labels, score = [], set(), set(), 0.0
+                n_places, first, last, base, labels, score = 0, None, None, set(), set(), 0.0
                 joined = b" " + b" ".join(ws) + b" "
                 for needle, label in needles:
-                    at = joined.find(needle)
+                    at, seen, word = joined.find(needle), 0, 0
                     while at >= 0:
-                        places.append(joined.count(b" ", 0, at + 1) - 1)
+                        word += joined.count(b" ", seen, at)  # the words between this place and the one before
+                        n_places, seen = n_places + 1, at
+                        first, last = min(word, first if first is not None else word), max(word, last or 0)
                         base.add(label)
                         at = joined.find(needle, at + 1)
                 if not index.keys.isdisjoint(ws):
                     for label, share in index.match(ws):
                         labels.add(label)
                         score = max(score, share)
-                out.append((len(ws), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)),
+                out.append((len(ws), n_places, first, last, ",".join(sorted(base)),
                             ",".join(sorted(base | labels)), 1.0 if base else score))
             n = list(zip(*out)) if out else [()] * 7
             types = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64()]

@@ -203,6 +203,19 @@ def brute_windows(text):
     return labels, best
 
 
+def test_license_places_of_a_long_text(spark):
+    """Ten million characters of phrases take seconds: the words before a place are counted once."""
+    import time
+
+    n = 1_100_000
+    rows = [(1, "cc by nc " * n), (2, "x " + "under the mit license cc by nc " * 30 + "y"), (3, "cc by nc")]
+    start = time.monotonic()
+    got = {r.doc_id: r for r in license_scan.scan_licenses(table(spark, rows)).collect()}
+    assert time.monotonic() - start < 60
+    assert (got[1].n_words, got[1].n_base, got[1].first_word, got[1].last_word) == (3 * n, n, 0, 3 * (n - 1))
+    assert tuple(got[2])[1:5] == brute_license(rows[1][1])[:4] and tuple(got[3])[1:5] == (3, 1, 0, 0)
+
+
 def test_license_windows(spark):
     import random
 
