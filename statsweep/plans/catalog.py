@@ -938,6 +938,7 @@ for _p in RL.PACKS:
 
 
 # ------------------------------------------------------------- streaming (SM-01..SM-09)
+from statsweep.streaming import reorder as SO  # noqa: E402
 from statsweep.streaming import state as ST  # noqa: E402
 from statsweep.streaming.runner import StreamJob  # noqa: E402
 
@@ -965,6 +966,27 @@ def q_stream_counter_delta(spark, sf):
         "counter_kind", "counter_delta", "counter_rate", "elapsed_seconds")
 
 
+@query("stream_counter_delta_reordered")
+def q_stream_counter_delta_reordered(spark, sf):
+    """SM-01, samples out of order: every fifth sample of the 8 days before the split lands after it; the reorder buffer puts them
+    back, so the deltas equal batch WN-01. A last sample of no server far ahead moves event time past all of them."""
+    s = B.counter_samples(_t(spark, sf, "events"))
+    job = StreamJob(spark, "counter-reorder")
+    split = F.lit(SPLIT_AT).cast("timestamp_ntz")
+    late = (F.col("source_collected_at") >= split - F.expr("INTERVAL 8 DAYS")) & (F.col("event_id") % 5 == 0)
+    first = (F.col("source_collected_at") < split) & ~late
+    end = s.agg((F.max("source_collected_at") + F.expr("INTERVAL 60 DAYS")).alias("source_collected_at"))
+    writer = SW.write_multi(SO.late_and_deltas(), job.sink)
+    for part in (s.where(first), s.where(~first).unionByName(end, allowMissingColumns=True)):
+        job.land(part)
+        job.run(SO.stream_counter_delta_reordered(job.source(s.schema, max_files=64), ["server_id", "user_id"], "counter", hold="9 days",
+                                                  idle_ttl="400 days", watermark="30 days"), foreach_batch=writer, rocksdb=True)
+    deltas = SW.read_committed(spark, job.sink, "deltas", SO.delta_schema(s.schema, ["counter"]))
+    return deltas.select(
+        "server_id", "user_id", "event_id", "source_collected_at", "stats_reset", "counter",
+        "counter_kind", "counter_delta", "counter_rate", "elapsed_seconds")
+
+
 @query("fire_triggers")
 def q_fire_triggers(spark, sf):
     """SM-02 batch form: conditional follow-up events with per-target cooldown from the last fired event."""

@@ -17,6 +17,9 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from statsweep.session import scratch_path
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 class StreamJob:
     """A landing folder, a checkpoint and a sink folder for one stream."""
@@ -41,14 +44,27 @@ class StreamJob:
         return r.load(self.landing)
 
     def run(self, stream: DataFrame, output_mode: str = "append",
-            foreach_batch: Callable[[DataFrame, int], None] | None = None) -> None:
-        """Process everything landed so far, then stop (trigger ``availableNow``)."""
+            foreach_batch: Callable[[DataFrame, int], None] | None = None, rocksdb: bool = False) -> None:
+        """Process everything landed so far, then stop (trigger ``availableNow``).
+
+        ``rocksdb`` keeps this query's state in the RocksDB store, which ``transformWithState`` needs; the session's
+        own setting is left as it was.
+        """
         w: DataStreamWriter = stream.writeStream.option("checkpointLocation", self.checkpoint).outputMode(output_mode)
         if foreach_batch is not None:
             w = w.foreachBatch(foreach_batch)
         else:
             w = w.format("parquet").option("path", self.sink)
-        q = w.trigger(availableNow=True).start()
+        before = self.spark.conf.get(STATE_STORE, None)
+        if rocksdb:
+            self.spark.conf.set(STATE_STORE, ROCKSDB)
+        try:
+            q = w.trigger(availableNow=True).start()  # the query keeps the settings of its start
+        finally:
+            if rocksdb and before is None:
+                self.spark.conf.unset(STATE_STORE)
+            elif rocksdb:
+                self.spark.conf.set(STATE_STORE, before)
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
