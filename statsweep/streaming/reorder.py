@@ -14,11 +14,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegralType, StructType
 
 from statsweep.streaming.state import _delta_frame, _interval_ms, _micros
 
 LAST_SCHEMA = "t long, tb long, r long, rnull boolean, vl array<long>, vd array<double>, vn array<boolean>"
+_NULL = "_null_"
 NO_TIEBREAK = np.iinfo(np.int64).min
 
 
@@ -42,11 +43,12 @@ class ReorderedDeltas(StatefulProcessor):
     """
 
     def __init__(self, counters: Sequence[str], time_col: str, tiebreak: str, reset_col: str | None, hold_ms: int,
-                 watermark_ms: int, ttl_ms: int, doubles: frozenset[str], columns: Sequence[str], out_columns: Sequence[str]):
+                 watermark_ms: int, ttl_ms: int, doubles: frozenset[str], integers: Sequence[str], columns: Sequence[str], out_columns: Sequence[str]):
         self.counters, self.time_col, self.tiebreak, self.reset_col = list(counters), time_col, tiebreak, reset_col
         self.hold_ms, self.lead_ms, self.ttl_ms = hold_ms, watermark_ms - hold_ms, ttl_ms
         self.pane_us = max(hold_ms * 1000 // 8, 1_000_000)
-        self.doubles, self.columns, self.out_columns = doubles, list(columns), list(out_columns)
+        self.arriving = ["_key", "_et", *columns, *[_NULL + c for c in integers]]
+        self.doubles, self.integers, self.columns, self.out_columns = doubles, list(integers), list(columns), list(out_columns)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -57,7 +59,8 @@ class ReorderedDeltas(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         prev = self.last.get()
         for pdf in rows:
-            pdf = pdf[self.columns]
+            pdf = pdf.set_axis(self.arriving, axis=1)  # Spark renames those with a leading underscore
+            pdf = pdf.assign(**{c: pdf[c].astype("Int64").mask(pdf[_NULL + c]) for c in self.integers})[self.columns]
             timeless = pdf[self.time_col].isna().to_numpy()
             late = timeless.copy()
             if prev is not None:
@@ -169,8 +172,16 @@ def stream_counter_delta_reordered(stream: DataFrame, keys: Sequence[str], count
     doubles = _doubles(fields, counters)
     out = delta_schema(fields, counters).add("is_late", "boolean")
     timed = stream.withColumn("_et", F.col(time_col).cast("timestamp")).withWatermark("_et", watermark)
-    processor = ReorderedDeltas(counters, time_col, tiebreak, reset_col, hold_ms, watermark_ms, _interval_ms(idle_ttl), doubles, fields.names, out.names)
-    return timed.groupBy(*keys).transformWithStateInPandas(processor, out, "Append", "EventTime")
+    # pandas turns a frame's integers into floats where one row has a null, keys included: integers travel without
+    # nulls, beside a flag, and the key as one text
+    integers = [f.name for f in fields if isinstance(f.dataType, IntegralType)]
+    plain = timed.select(
+        F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}).alias("_key"), "_et",
+        *[F.coalesce(c, F.lit(0).cast(fields[c].dataType)).alias(c) if c in integers else F.col(c) for c in fields.names],
+        *[F.col(c).isNull().alias(_NULL + c) for c in integers])
+    processor = ReorderedDeltas(counters, time_col, tiebreak, reset_col, hold_ms, watermark_ms, _interval_ms(idle_ttl), doubles,
+                                integers, fields.names, out.names)
+    return plain.groupBy("_key").transformWithStateInPandas(processor, out, "Append", "EventTime")
 
 
 def late_and_deltas() -> dict:

@@ -22,8 +22,8 @@ def _run(spark, name, slices, **options):
     writer = write_multi(late_and_deltas(), job.sink)
     schema = spark.createDataFrame([], SCHEMA).schema
     for rows in slices:
-        job.land(spark.createDataFrame(rows, SCHEMA).repartition(3))
-        job.run(stream_counter_delta_reordered(job.source(schema, max_files=3), ["server_id", "k"], COUNTERS, **options),
+        job.land(spark.createDataFrame(rows, SCHEMA).repartition(4))
+        job.run(stream_counter_delta_reordered(job.source(schema, max_files=4), ["server_id", "k"], COUNTERS, **options),
                 foreach_batch=writer, rocksdb=True)
     return (read_committed(spark, job.sink, "deltas", delta_schema(schema, COUNTERS)).drop("batch_id"),
             read_committed(spark, job.sink, "late", delta_schema(schema, COUNTERS)).drop("batch_id"))
@@ -40,20 +40,22 @@ def _values(df):
 
 def test_samples_out_of_order_equal_the_batch_form(spark):
     rnd, rows, eid = random.Random(5), [], 0
-    for key in (("a", 1), ("a", 2), ("b", 1), (None, 3)):
-        c = 0
+    for key in (("a", 1), ("a", 2), ("b", 1), (None, 3), ("b", None)):
+        c = 2**60 if key[0] == "a" else 0
         for m in range(0, 240, 2):
             eid += 1
             c = c + rnd.randrange(50) if rnd.random() > 0.05 else rnd.randrange(5)
             t = T0 + dt.timedelta(minutes=m - m % 4, microseconds=rnd.randrange(3))  # ties in time
             rows.append((*key, t, T0 if m < 150 else T0 + dt.timedelta(hours=2), c, None if rnd.random() < 0.05 else c / 3, eid, "é" if m % 3 else None))
-    slices = [[], [], [], []]
+    rows = [r if rnd.random() > 0.05 else (*r[:4], None, *r[5:]) for r in rows]
+    slices = [[], [], []]
     for r in rows:  # a third comes up to one hour late
         at = int((r[2] - T0).total_seconds() // 3600)
-        slices[min(3, at + (rnd.random() < 0.33))].append(r)
+        slices[min(2, at + (rnd.random() < 0.33))].append(r)
     for part in slices:
         rnd.shuffle(part)
-    deltas, late = _run(spark, "reorder", [*slices, _closing(10_000)], hold="2 hours", watermark="10 hours", idle_ttl="1 day")
+    slices[-1] += _closing(10_000)
+    deltas, late = _run(spark, "reorder", slices, hold="2 hours", watermark="10 hours", idle_ttl="1 day")
     want = counter_delta(spark.createDataFrame(rows, SCHEMA), ["server_id", "k"], COUNTERS, "source_collected_at", "stats_reset", ["event_id"])
     assert late.count() == 0
     assert _values(deltas) == _values(want)
@@ -104,11 +106,11 @@ def test_frames_are_panes(spark, monkeypatch):
         def getCurrentWatermarkInMs(self): return int(pd.Timestamp("2024-02-01").value // 1_000_000)
 
     cols = ["t", "tb", "c"]
-    p = reorder.ReorderedDeltas(["c"], "t", "tb", None, 3_600_000, 3_600_000, 10**10, frozenset(), cols,
+    p = reorder.ReorderedDeltas(["c"], "t", "tb", None, 3_600_000, 3_600_000, 10**10, frozenset(), [], cols,
                                 [*cols, "elapsed_seconds", "c_kind", "c_delta", "c_rate", "is_late"])
     p.init(Handle())
     n = 20_000
-    pdf = pd.DataFrame({"t": pd.Timestamp(T0) + pd.to_timedelta(range(n), unit="s"), "tb": range(n), "c": range(n)}).sample(frac=1, random_state=1)
+    pdf = pd.DataFrame({"_key": "k", "_et": None, "t": pd.Timestamp(T0) + pd.to_timedelta(range(n), unit="s"), "tb": range(n), "c": range(n)}).sample(frac=1, random_state=1)
     frames = list(p.handleInputRows(("k",), iter([pdf[:9000], pdf[9000:]]), Clock()))
     assert max(len(f) for f in frames) <= 450 and sum(len(f) for f in frames) == n  # an eighth of an hour
     assert (pd.concat(frames)["c_delta"].dropna() == 1).all()
