@@ -96,6 +96,16 @@ def _checkpoint(d: D, el: Column) -> dict[str, Column]:
     }
 
 
+def _writer_views(d: D, el: Column) -> dict[str, Column]:
+    return {
+        **_checkpoint(d, el),
+        "cleaned_buffers_per_second": per_second(d("buffers_clean"), el),
+        "backend_buffers_per_second": per_second(d("buffers_backend"), el),
+        "backend_write_percent": pct(d("buffers_backend"), d("buffers_backend") + d("buffers_clean")),
+        "wal_buffers_full_per_second": per_second(d("wal_buffers_full"), el),
+    }
+
+
 def _table(d: D, el: Column) -> dict[str, Column]:
     return {
         "rows_read_per_seq_scan": ratio(d("seq_tup_read"), d("seq_scan")),
@@ -166,6 +176,11 @@ PRESETS: dict[str, Preset] = {
     ]
 }
 
+# IV-05 over the three views apart: a row has the counters of its own view, the others are null and so are their metrics
+WRITER_VIEWS = Preset("writer_views", ("server_id", "source_view"),
+                      ("buffers_clean", "buffers_backend", "num_timed", "num_requested", "write_time", "sync_time", "wal_bytes",
+                       "wal_buffers_full"), "stats_reset", _writer_views)
+
 
 def interval_metrics(
     df: DataFrame,

@@ -25,8 +25,22 @@ VERSIONED_FIELDS = (
     ("shared_or_legacy_blk_read_time", ("blk_read_time", "shared_blk_read_time"), "double", 0.0),
     ("shared_or_legacy_blk_write_time", ("blk_write_time", "shared_blk_write_time"), "double", 0.0),
     ("temp_blk_read_time", ("temp_blk_read_time",), "double", 0.0),
+    ("temp_blk_write_time", ("temp_blk_write_time",), "double", 0.0),
     ("wal_buffers_full", ("wal_buffers_full",), "bigint", 0),
+    ("jit_functions", ("jit_functions",), "bigint", 0),
+    ("jit_generation_time", ("jit_generation_time",), "double", 0.0),
+    ("jit_inlining_count", ("jit_inlining_count",), "bigint", 0),
+    ("jit_inlining_time", ("jit_inlining_time",), "double", 0.0),
+    ("jit_optimization_count", ("jit_optimization_count",), "bigint", 0),
+    ("jit_optimization_time", ("jit_optimization_time",), "double", 0.0),
+    ("jit_emission_count", ("jit_emission_count",), "bigint", 0),
+    ("jit_emission_time", ("jit_emission_time",), "double", 0.0),
+    ("jit_deform_count", ("jit_deform_count",), "bigint", 0),
     ("jit_deform_time", ("jit_deform_time",), "double", 0.0),
+    ("parallel_workers_to_launch", ("parallel_workers_to_launch",), "bigint", None),
+    ("parallel_workers_launched", ("parallel_workers_launched",), "bigint", None),
+    ("stats_since", ("stats_since",), "timestamp_ntz", None),
+    ("minmax_stats_since", ("minmax_stats_since",), "timestamp_ntz", None),
 )
 
 

@@ -87,6 +87,16 @@ for _n in IV.PRESETS:
     _interval_query(_n)
 
 
+@query("writer_views_interval")
+def q_writer_views_interval(spark, sf):
+    """IV-05: all eight counters of the background writer, checkpointer and WAL views, each from its own view's payload."""
+    p = IV.WRITER_VIEWS
+    src = R.unpack_payload(B.writer_view_samples(_t(spark, sf, "events")), "payload", {c: "long" for c in p.counters})
+    out = IV.interval_metrics(src, p, tiebreak=["event_id"])
+    metrics = p.metrics(lambda c: F.col(c), F.col("elapsed_seconds"))
+    return out.select(*p.keys, "event_id", "source_collected_at", "elapsed_seconds", *metrics)
+
+
 # ----------------------------------------------------------------- activity (B2)
 from statsweep.functions import scalars as S  # noqa: E402
 from statsweep.operators import activity as A  # noqa: E402

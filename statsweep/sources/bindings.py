@@ -152,6 +152,23 @@ def checkpoint_samples(events: DataFrame) -> DataFrame:
     )
 
 
+WRITER_VIEWS = {  # counters of each of the three views, as expressions over counter samples
+    "pg_stat_bgwriter": {"buffers_clean": "counter", "buffers_backend": "n_rows"},
+    "pg_stat_checkpointer": {"num_timed": "n_rows", "num_requested": "n_clicks", "write_time": "counter", "sync_time": "n_errors"},
+    "pg_stat_wal": {"wal_bytes": "counter * 16", "wal_buffers_full": "n_clicks"},
+}
+
+
+def writer_view_samples(events: DataFrame) -> DataFrame:
+    """IV-05 input: one row per user's view (the user's remainder by 3 picks it) with that view's counters as JSON."""
+    payload = F.coalesce(*[F.when(F.col("user_id") % 3 == i, F.to_json(F.struct(*[F.expr(e).alias(c) for c, e in m.items()])))
+                           for i, m in enumerate(WRITER_VIEWS.values())])
+    return counter_samples(events).select(
+        "event_id", "source_collected_at", F.concat_ws("-", "server_id", "user_id").alias("server_id"),
+        F.element_at(F.array(*[F.lit(v) for v in WRITER_VIEWS]), (F.col("user_id") % 3 + 1).cast("int")).alias("source_view"),
+        "stats_reset", payload.alias("payload"))
+
+
 # ------------------------------------------------------- dialect-neutral bindings
 def _dialect(expr: str, dialect: str) -> str:
     """Fill ``{secs:x}`` (interval of x seconds) and ``{hour:c}`` / ``{day:c}`` / ``{week:c}``
@@ -765,12 +782,25 @@ def b8_payload(dialect: str) -> list[str]:
     """``events.props`` as the JSON payload, plus a statement-statistics payload whose field
     names change with the server version (every third row legacy, every fifth with an empty value)."""
     cents = "CAST(CAST(round(value * 100) AS BIGINT) AS STRING)"
+    # newer servers' fields: every seventh row has none of them, every sixth no launch counters, every fourth empty ones
+    number = lambda name, e: f"', \"{name}\": ' || CAST({e} AS STRING)"
+    newer = " || ".join([
+        number("temp_blk_write_time", "user_id"), number("jit_functions", "event_id % 50"), number("jit_generation_time", "event_id % 9"),
+        number("jit_inlining_count", "event_id % 3"), number("jit_inlining_time", "event_id % 8"), number("jit_optimization_count", "event_id % 2"),
+        number("jit_optimization_time", "event_id % 10"), number("jit_emission_count", "event_id % 12"), number("jit_emission_time", "event_id % 13"),
+        number("jit_deform_count", "event_id % 15")])
+    launch = number("parallel_workers_to_launch", "user_id % 5") + " || " + number("parallel_workers_launched", "user_id % 4")
+    since = ("', \"stats_since\": \"' || CASE WHEN event_id % 4 = 0 THEN '' ELSE CAST(ts AS STRING) END || "
+             "'\", \"minmax_stats_since\": \"' || CAST(ts AS STRING) || '\"'")
+    more = (f"(CASE WHEN event_id % 7 = 0 THEN '' ELSE {newer} || {since} END || "
+            f"CASE WHEN event_id % 6 = 0 THEN '' ELSE {launch} END)")
     m = {
         "event_id": "event_id", "event_type": "event_type", "props": "props",
         "payload": (f"CASE WHEN event_id % 5 = 0 THEN '{{\"blk_read_time\": \"\", \"shared_blk_read_time\": ' || "
-                    f"{cents} || '}}' WHEN event_id % 3 = 0 THEN '{{\"blk_read_time\": ' || {cents} || "
-                    f"', \"wal_buffers_full\": 7}}' ELSE '{{\"shared_blk_read_time\": ' || {cents} || "
-                    f"', \"blk_write_time\": ' || CAST(user_id AS STRING) || ', \"jit_deform_time\": 1.5}}' END"),
+                    f"{cents} || {more} || '}}' WHEN event_id % 3 = 0 THEN '{{\"blk_read_time\": ' || {cents} || "
+                    f"', \"wal_buffers_full\": 7' || {more} || '}}' ELSE '{{\"shared_blk_read_time\": ' || {cents} || "
+                    f"', \"blk_write_time\": ' || CAST(user_id AS STRING) || ', \"jit_deform_time\": 1.5, \"temp_blk_read_time\": 2' || "
+                    f"{more} || '}}' END"),
     }
     return exprs(m, dialect)
 
