@@ -93,42 +93,56 @@ def running(
     maxima: dict[str, Column] | None = None,
     position: str | None = None,
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    starts: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Running values over a key's whole history, with no more than one time bucket of a key in a window.
 
     ``runs`` adds, per name, how many rows in a row up to this one meet the condition (null counts as false);
-    ``maxima`` the largest value up to this row; ``position`` the row's number within its key, from 1. ``order`` is
-    the order within a key, time first.
+    ``starts`` the time of the first of those rows (null on a row that doesn't meet it); ``maxima`` the largest value
+    up to this row; ``position`` the row's number within its key, from 1. ``order`` is the order within a key, time
+    first.
 
     Windows run over (key, bucket). What earlier buckets contribute comes from a table of one row per key and bucket,
     joined on that same partitioning. Null keys and null times form groups of their own.
     """
-    runs, maxima = runs or {}, maxima or {}
+    runs, maxima, starts = runs or {}, maxima or {}, starts or {}
     bucket = F.floor(epoch_micros(time_col) / F.lit(bucket_seconds * 1_000_000))
     # one struct: its equality holds for null fields too
     data = df.withColumn("_kb", F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], bucket.alias("bkt")))
     w = Window.partitionBy("_kb").orderBy(*order)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    data = data.withColumn("_rn", F.row_number().over(w))
+    met = {f"_c{i}": F.coalesce(c, F.lit(False)) for i, c in enumerate(starts.values())}
+    data = data.withColumns({"_rn": F.row_number().over(w), **met,
+                             **{f"_p{i}": F.lag(c).over(w) for i, c in enumerate(met.values())}})
     data = data.withColumns({
         **{f"_z{i}": F.max(F.when(~F.coalesce(c, F.lit(False)), F.col("_rn"))).over(upto)
            for i, c in enumerate(runs.values())},
-        **{f"_m{i}": F.max(c).over(upto) for i, c in enumerate(maxima.values())}})
+        **{f"_m{i}": F.max(c).over(upto) for i, c in enumerate(maxima.values())},
+        # runs that start inside the bucket; whether one starts with its first row, the bucket before it tells
+        **{f"_s{i}": F.max(F.when(F.col(f"_c{i}") & ~F.col(f"_p{i}"), F.col(time_col))).over(upto) for i in range(len(starts))}})
+    within = Window.partitionBy(*[F.col("_kb")[f"k{i}"] for i in range(len(keys))]).orderBy(F.col("_kb")["bkt"])
     before = (Window.partitionBy(*[F.col("_kb")[f"k{i}"] for i in range(len(keys))]).orderBy(F.col("_kb")["bkt"])
               .rowsBetween(Window.unboundedPreceding, -1))
     ends = data.groupBy("_kb").agg(
         F.max("_rn").alias("_n"), *[F.max(f"_z{i}").alias(f"_z{i}") for i in range(len(runs))],
-        *[F.max(f"_m{i}").alias(f"_m{i}") for i in range(len(maxima))])
-    ends = ends.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        *[F.max(f"_m{i}").alias(f"_m{i}") for i in range(len(maxima))],
+        *[x for i in range(len(starts)) for x in (
+            F.max(f"_s{i}").alias(f"_s{i}"), F.max_by(f"_c{i}", "_rn").alias(f"_l{i}"),
+            F.max(F.when((F.col("_rn") == 1) & F.col(f"_c{i}"), F.col(time_col))).alias(f"_f{i}"))])
+    ends = ends.withColumns({"_before": F.coalesce(F.sum("_n").over(before), F.lit(0)), **{
+        f"_g{i}": F.when(~F.coalesce(F.lag(f"_l{i}").over(within), F.lit(False)), F.col(f"_f{i}")) for i in range(len(starts))}})
     ends = ends.select("_kb", "_before",
                        *[F.max(F.col("_before") + F.col(f"_z{i}")).over(before).alias(f"_cz{i}") for i in range(len(runs))],
-                       *[F.max(f"_m{i}").over(before).alias(f"_cm{i}") for i in range(len(maxima))])
+                       *[F.max(f"_m{i}").over(before).alias(f"_cm{i}") for i in range(len(maxima))],
+                       *[F.greatest(f"_g{i}", F.max(F.greatest(f"_s{i}", f"_g{i}")).over(before)).alias(f"_cs{i}")
+                         for i in range(len(starts))])
     pos = F.col("_before") + F.col("_rn")
     return data.join(ends, "_kb").select(
         *df.columns,
         *[(pos - F.coalesce(F.col("_before") + F.col(f"_z{i}"), F.col(f"_cz{i}"), F.lit(0))).alias(name)
           for i, name in enumerate(runs)],
         *[F.greatest(f"_m{i}", f"_cm{i}").alias(name) for i, name in enumerate(maxima)],
+        *[F.when(F.col(f"_c{i}"), F.greatest(f"_s{i}", f"_cs{i}")).alias(name) for i, name in enumerate(starts)],
         *([pos.alias(position)] if position else []))
 
 

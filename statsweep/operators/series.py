@@ -49,6 +49,34 @@ def sustained(df: DataFrame, value: str, duration_s: int, cadence_s: int, limit:
         .withColumn(out, (F.col(f"{out}_samples") >= need) & (F.col(f"{out}_value") >= F.lit(limit)))
 
 
+def trailing_averages(df: DataFrame, averages: dict[str, tuple[str, int]], cadence_s: int,
+                      keys: Sequence[str] = SERIES, time_col: str = "time_utc") -> DataFrame:
+    """WN-05 for several ranges at once: per name, the average of ``(column, duration_s)`` over the range ending here.
+
+    Time is cut into panes of one cadence. An average is that of all samples in the last ``duration_s / cadence_s``
+    panes, this row's included, and null unless each of those panes holds a value. All ranges share one shuffle and
+    one sort: windows run over (key, time bucket), with the rows that the longest range reaches copied into the next
+    bucket.
+    """
+    panes = {name: d // cadence_s for name, (_, d) in averages.items()}
+    reach = max(panes.values()) - 1
+    size = max(DEFAULT_BUCKET_SECONDS // cadence_s, 4 * reach, 1)
+    own = F.floor(F.col("_pane") / F.lit(size))
+    x = df.withColumn("_pane", F.floor(epoch_micros(time_col) / F.lit(cadence_s * 1_000_000))).withColumn(
+        "_bkt", F.explode_outer(F.sequence(own, F.floor((F.col("_pane") + F.lit(reach)) / F.lit(size)))))
+    w = Window.partitionBy(*keys, "_bkt").orderBy("_pane")
+    earlier = w.rowsBetween(Window.unboundedPreceding, -1)
+    columns = list(dict.fromkeys(c for c, _ in averages.values()))
+    # the first value of each pane counts for its coverage
+    filled = {c: F.max(F.when(F.col(c).isNotNull(), F.col("_pane"))).over(earlier) for c in columns}
+    x = x.withColumns({f"_new{i}": F.when(F.col(c).isNotNull() & (F.coalesce(filled[c], F.col("_pane") - 1) < F.col("_pane")), 1)
+                       for i, c in enumerate(columns)})
+    span = {name: w.rangeBetween(1 - n, 0) for name, n in panes.items()}
+    return x.select("*", *[F.when(F.count(f"_new{columns.index(c)}").over(span[name]) == panes[name],
+                                  F.avg(c).over(span[name])).alias(name) for name, (c, _) in averages.items()]) \
+        .where(F.col("_bkt").eqNullSafe(own)).drop("_pane", "_bkt", *[f"_new{i}" for i in range(len(columns))])
+
+
 def breach_runs(df: DataFrame, cond: Column, cadence_s: int, keys: Sequence[str] = SERIES,
                 time_col: str = "time_utc") -> DataFrame:
     """WN-06: maximal runs of consecutive breaching samples; a missing sample ends a run.

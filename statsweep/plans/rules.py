@@ -5,10 +5,12 @@ optional "n samples in a row" (``consecutive``) or "held for D seconds" (``susta
 requirement; the highest severity that holds wins. A level is held for D seconds
 at a sample when every sample since the first one of the current run at or above
 that level qualifies and that first sample is at least D seconds old.
+A value may also be the average over a trailing range (``average_s``), which counts
+only when every sample of the range is there.
 ``evaluate`` computes every rule of a pack in one pass over the input: each row
-gets an array of ``(rule_id, value, level, limits)`` structs that is exploded and
-filtered, so N rules cost one scan, not N. Rules that need consecutive samples or a
-duration add a pass per distinct need, over time buckets of an entity and rule.
+gets an array of ``(rule_id, value, level, limits)`` structs, of which those that
+fire are exploded, so N rules cost one scan, not N. Runs of all consecutive and
+sustained rules come from one set of windows over time buckets of an entity.
 """
 
 from __future__ import annotations
@@ -20,10 +22,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statsweep.operators.deltas import running, seconds_between
+from statsweep.operators.series import trailing_averages
 
 # Severity ranks (highest wins).
 SEVERITIES = ("warning", "high", "critical")
 RANK = {s: i + 1 for i, s in enumerate(SEVERITIES)}
+AVERAGE_SCALE = 6  # averages are compared and shown at this many places, whatever order they were summed in
 
 
 @dataclass(frozen=True)
@@ -35,6 +39,7 @@ class Rule:
     guard: str | None = None
     consecutive: int = 1
     sustain_s: float | None = None  # level must have held this long (time-based, needs a time column)
+    average_s: float | None = None  # the value is averaged over this range, which must be fully covered (needs a cadence)
 
 
 @dataclass(frozen=True)
@@ -45,6 +50,7 @@ class Pack:
     time_col: str | None
     rules: tuple[Rule, ...]
     tiebreak: tuple[str, ...] = field(default=())
+    cadence_s: int | None = None  # time between samples, for rules on trailing averages
 
 
 def _cmp(v: Column, op: str, t: float) -> Column:
@@ -52,17 +58,14 @@ def _cmp(v: Column, op: str, t: float) -> Column:
     return {">": v > lit, ">=": v >= lit, "<": v < lit, "<=": v <= lit}[op]
 
 
-def level_expr(rule: Rule) -> Column:
+def level_expr(rule: Rule, value: Column, guard: Column | None = None) -> Column:
     """Numeric level (0 none, 1 warning, 2 high, 3 critical) of one rule on one row."""
-    v = F.expr(rule.value).cast("double")
     chain = None
     for sev, thr in sorted(rule.levels, key=lambda x: -RANK[x[0]]):
-        cond = _cmp(v, rule.op, thr)
+        cond = _cmp(value, rule.op, thr)
         chain = F.when(cond, F.lit(RANK[sev])) if chain is None else chain.when(cond, F.lit(RANK[sev]))
     lvl = F.coalesce(chain.otherwise(F.lit(0)), F.lit(0))
-    if rule.guard:
-        lvl = F.when(F.coalesce(F.expr(rule.guard), F.lit(False)), lvl).otherwise(F.lit(0))
-    return lvl
+    return lvl if guard is None else F.when(guard, lvl).otherwise(F.lit(0))
 
 
 def _limits(rule: Rule) -> Column:
@@ -70,51 +73,57 @@ def _limits(rule: Rule) -> Column:
     return F.array(*[F.lit(thr.get(s)).cast("double") for s in SEVERITIES])
 
 
-def _highest(x: DataFrame, holds) -> DataFrame:
-    """Sets ``lvl`` to the highest level that ``holds``, else 0."""
-    lvl = F.lit(0)
-    for L in range(1, len(SEVERITIES) + 1):
-        lvl = F.when(holds(L), F.lit(L)).otherwise(lvl)
-    return x.withColumn("lvl", lvl)
-
-
 def evaluate(df: DataFrame, rules: Sequence[Rule], keys: Sequence[str], time_col: str | None = None,
-             tiebreak: Sequence[str] = ()) -> DataFrame:
-    """Rule hits ``(keys, time, rule_id, severity, value, threshold)``, one row per row and rule that fires."""
+             tiebreak: Sequence[str] = (), cadence_s: int | None = None) -> DataFrame:
+    """Rule hits ``(keys, time, rule_id, severity, value, threshold)``, one row per row and rule that fires.
+
+    The input is read once, whatever kinds of rules the pack has: all trailing averages share one shuffle, and so do
+    all runs that consecutive and sustained rules need.
+    """
     keys = list(keys)
     base_cols = [*keys, *([time_col] if time_col else []), *tiebreak]
-    groups: dict[tuple, list[Rule]] = {}
-    for r in rules:
-        groups.setdefault((r.consecutive, r.sustain_s), []).append(r)
-    out = None
-    for (n, sustain), rs in groups.items():
-        structs = [F.struct(F.lit(r.rule_id).alias("rule_id"), F.expr(r.value).cast("double").alias("value"),
-                            level_expr(r).alias("lvl"), _limits(r).alias("limits")) for r in rs]
-        x = df.select(*base_cols, F.inline(F.array(*structs)))
-        if n > 1 or sustain is not None:
-            if time_col is None:
-                raise ValueError("consecutive or sustained rules need a time column")
-            series = ([*keys, "rule_id"], [time_col, *tiebreak], time_col)
-            # per level, the samples in a row at or above it
-            at_least = {f"_run{L}": F.col("lvl") >= L for L in range(1, len(SEVERITIES) + 1)}
-        if n > 1:
-            x = _highest(running(x, *series, runs=at_least), lambda L: F.col(f"_run{L}") >= n).drop(*at_least)
-        if sustain is not None:
-            x = running(x, *series, runs=at_least)
-            x = running(x, *series, maxima={f"_start{L}": F.when(F.col(f"_run{L}") == 1, F.col(time_col))
-                                            for L in range(1, len(SEVERITIES) + 1)})
-            held = lambda L: ((F.col(f"_run{L}") > 0)
-                              & (seconds_between(time_col, f"_start{L}") >= F.lit(float(sustain))))
-            x = _highest(x, held).select(*base_cols, "rule_id", "value", "lvl", "limits")
-        out = x if out is None else out.unionByName(x)
+    timed = [i for i, r in enumerate(rules) if r.consecutive > 1 or r.sustain_s is not None]
+    averaged = [i for i, r in enumerate(rules) if r.average_s is not None]
+    if (timed or averaged) and time_col is None:
+        raise ValueError("rules over several samples need a time column")
+    if averaged and cadence_s is None:
+        raise ValueError("rules on trailing averages need the cadence of the samples")
+    x = df.select(*base_cols, *[F.expr(r.value).cast("double").alias(f"_v{i}") for i, r in enumerate(rules)],
+                  *[F.coalesce(F.expr(r.guard), F.lit(False)).alias(f"_g{i}") for i, r in enumerate(rules) if r.guard])
+    if averaged:
+        x = trailing_averages(x, {f"_a{i}": (f"_v{i}", int(rules[i].average_s)) for i in averaged}, cadence_s, keys, time_col)
+        x = x.withColumns({f"_v{i}": F.round(f"_a{i}", AVERAGE_SCALE) for i in averaged})
+    x = x.select(*base_cols, *[f"_v{i}" for i in range(len(rules))],
+                 *[level_expr(r, F.col(f"_v{i}"), F.col(f"_g{i}") if r.guard else None).alias(f"_l{i}") for i, r in enumerate(rules)])
+    ranks = {i: sorted(RANK[s] for s, _ in rules[i].levels) for i in timed}
+    if timed:
+        at_least = {(i, L): F.col(f"_l{i}") >= L for i in timed for L in ranks[i]}
+        x = running(x, keys, [time_col, *tiebreak], time_col,
+                    runs={f"_r{i}_{L}": c for (i, L), c in at_least.items() if rules[i].consecutive > 1},
+                    starts={f"_s{i}_{L}": c for (i, L), c in at_least.items() if rules[i].sustain_s is not None})
+
+    def level(i: int, r: Rule) -> Column:
+        out = F.col(f"_l{i}") if i not in ranks else F.lit(0)
+        for L in ranks.get(i, ()):
+            holds = F.lit(True)
+            if r.consecutive > 1:
+                holds &= F.col(f"_r{i}_{L}") >= r.consecutive
+            if r.sustain_s is not None:
+                holds &= seconds_between(time_col, f"_s{i}_{L}") >= F.lit(float(r.sustain_s))
+            out = F.when(holds, F.lit(L)).otherwise(out)
+        return out
+
+    structs = [F.struct(F.lit(r.rule_id).alias("rule_id"), F.col(f"_v{i}").alias("value"), level(i, r).alias("lvl"),
+                        _limits(r).alias("limits")) for i, r in enumerate(rules)]
+    # only the rules that fire are exploded
+    out = x.select(*base_cols, F.inline(F.filter(F.array(*structs), lambda s: s["lvl"] > 0)))
     sev = F.element_at(F.array(*[F.lit(s) for s in SEVERITIES]), F.col("lvl"))
-    return out.where(F.col("lvl") > 0).select(
-        *keys, *([time_col] if time_col else []), "rule_id", sev.alias("severity"), "value",
-        F.element_at("limits", F.col("lvl")).alias("threshold")).drop(*tiebreak)
+    return out.select(*keys, *([time_col] if time_col else []), "rule_id", sev.alias("severity"), "value",
+                      F.element_at("limits", F.col("lvl")).alias("threshold")).drop(*tiebreak)
 
 
 def run_pack(df: DataFrame, pack: Pack) -> DataFrame:
-    return evaluate(df, pack.rules, pack.keys, pack.time_col, pack.tiebreak)
+    return evaluate(df, pack.rules, pack.keys, pack.time_col, pack.tiebreak, pack.cadence_s)
 
 
 def _pct(n: str, d: str) -> str:
