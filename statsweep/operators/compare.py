@@ -16,6 +16,8 @@ from statsweep.functions.scalars import safe_percent
 # Interpretation bands of the parallelism benefit test (percent).
 RPS_GAIN_PCT = 5.0
 P99_GAIN_PCT = 10.0
+SATURATED_PCT = 95.0
+HEADROOM_POINTS = 5.0  # own choice: "not materially worse" names no number
 # Pooler outcome bands.
 MIN_CONNECTION_REDUCTION_PCT = 50.0
 MIN_QUEUE_FREE_PCT = 99.0
@@ -50,15 +52,22 @@ def phase_summary(demand: DataFrame, keys: Sequence[str], scale: int = 6) -> Dat
 
 
 def parallelism_benefit(compared: DataFrame, rps: str = "successful_rps", p99: str = "p99_ms",
-                        errors: str = "error_rate") -> DataFrame:
+                        errors: str = "error_rate", workers: str | None = None, cpu: str | None = None) -> DataFrame:
     """AG-25: positive / neutral / negative label from throughput, P99 and error-rate changes.
 
-    ``compared`` is JN-17 output (``baseline_*``, ``after_*``, ``*_change_percent``).
+    ``compared`` is JN-17 output (``baseline_*``, ``after_*``, ``*_change_percent``). With ``workers`` (peak use of the
+    worker pool in percent) a pool that saturates only afterwards is negative; with ``cpu`` (mean CPU in percent) a
+    result is positive only if the headroom shrinks by no more than ``HEADROOM_POINTS``. Unknown values decide nothing.
     """
     rps_chg, p99_chg = F.col(f"{rps}_change_percent"), F.col(f"{p99}_change_percent")
     err_up = F.col(f"after_{errors}") > F.col(f"baseline_{errors}")
     negative = (p99_chg >= P99_GAIN_PCT) | (rps_chg <= -RPS_GAIN_PCT) | err_up
     positive = ((rps_chg >= RPS_GAIN_PCT) | (p99_chg <= -P99_GAIN_PCT)) & ~err_up
+    if workers is not None:
+        full = lambda side: F.coalesce(F.col(f"{side}_{workers}") >= SATURATED_PCT, F.lit(False))
+        negative |= full("after") & ~full("baseline")
+    if cpu is not None:
+        positive &= F.coalesce(F.col(f"after_{cpu}") - F.col(f"baseline_{cpu}") <= HEADROOM_POINTS, F.lit(True))
     return compared.withColumn("parallelism_benefit", F.when(negative, "negative").when(positive, "positive")
                                .otherwise("neutral"))
 

@@ -71,6 +71,8 @@ def _query(d: D, el: Column) -> dict[str, Column]:
         "jit_overhead_percent": pct(jit, d("total_exec_time")),
         "jit_ms_per_call": ratio(jit, d("calls")),
         "worker_launch_fulfillment_percent": pct(d("parallel_workers_launched"), d("parallel_workers_to_launch")),
+        "plan_time_interval": d("total_plan_time"),
+        "workers_to_launch_interval": d("parallel_workers_to_launch"),
     }
 
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statsweep.operators.deltas import running, seconds_between, with_previous
+from statsweep.operators.deltas import epoch_micros, running, seconds_between, with_previous
 
 # Run duration limits (warning, high), seconds.
 SLOW_RUN_S = 2.0
@@ -68,3 +68,19 @@ def collector_health(ledger: DataFrame, cadence: Mapping[str, int], keys: Sequen
                     "missed_ticks",
                     F.round(F.lit(100.0) * F.col("runs_over_2s") / F.col("runs"), 2).alias("over_2s_percent"),
                     F.round(F.lit(100.0) * F.col("runs_over_5s") / F.col("runs"), 2).alias("over_5s_percent"))
+
+
+def expected_samples(runs: DataFrame, cadence_s: int, keys: Sequence[str] = ("server_id",), time_col: str = "started_at",
+                     out: str = "source_collected_at") -> DataFrame:
+    """JN-07: the samples a collector owes: per key, the end of every tick from that of its first run to that of its last.
+
+    Ticks are made per (key, day), so one key's years are spread over tasks; runs without a time are left out.
+    """
+    per_day = max(1, 86_400 // cadence_s)
+    tick = F.floor(epoch_micros(time_col) / F.lit(cadence_s * 1_000_000))
+    ends = runs.where(F.col(time_col).isNotNull()).groupBy(*keys).agg(F.min(tick).alias("_lo"), F.max(tick).alias("_hi"))
+    days = ends.withColumn("_day", F.explode(F.sequence(F.floor(F.col("_lo") / per_day), F.floor(F.col("_hi") / per_day))))
+    ticks = days.repartition(*keys, "_day").withColumn("_tick", F.explode(F.sequence(
+        F.greatest("_lo", F.col("_day") * per_day), F.least("_hi", (F.col("_day") + 1) * per_day - 1))))
+    seconds = ((F.col("_tick") + 1) * cadence_s).cast("decimal(18,6)")
+    return ticks.select(*keys, (F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'") + F.make_dt_interval(secs=seconds)).alias(out))

@@ -673,10 +673,11 @@ def q_writer_share(spark, sf):
     return CP.writer_share(io, ["server_id", "hour"])
 
 
-def _demand(spark, sf):
+def _demand(spark, sf, divide: int = 1):
     s, settings = _sessions(spark, sf)
     act = A.activity_summary(s, settings)
-    cap = B.capacity_history(spark, _t(spark, sf, "events"))
+    cap = B.capacity_history(spark, _t(spark, sf, "events")).withColumn(
+        "provisioned_vcores", (F.col("provisioned_vcores") / divide).cast("int"))
     return CP.running_demand(J.assign_capacity(act, cap, "source_collected_at"))
 
 
@@ -717,8 +718,17 @@ def q_compare_runs(spark, sf):
 
 @query("parallelism_benefit")
 def q_parallelism_benefit(spark, sf):
-    """AG-25: positive/neutral/negative label per matched day."""
-    return CP.parallelism_benefit(_compared(spark, sf)).select("phase_name", "day_index", "parallelism_benefit")
+    """AG-25: positive/neutral/negative label per matched day, with the worker pool's daily peak and mean CPU."""
+    ev = _t(spark, sf, "events")
+    s, settings = _sessions(spark, sf)
+    peak = A.activity_summary(s, settings).groupBy(B.trunc("day", "source_collected_at").alias("ts")).agg(
+        F.max("parallel_worker_pool_utilization_percent").alias("worker_pool_percent"))
+    daily = B.load_daily(spark, ev).join(peak, "ts", "left").join(_daily_cpu(spark, ev), "ts", "left")
+    c = J.compare_runs(daily.where("test_run_id = 'baseline'"), daily.where("test_run_id = 'after'"), ["phase_name", "day_index"],
+                       ["successful_rps", "error_rate", "p99_ms", "worker_pool_percent", "cpu_percent"])
+    return CP.parallelism_benefit(c, workers="worker_pool_percent", cpu="cpu_percent").select(
+        "phase_name", "day_index", "baseline_worker_pool_percent", "after_worker_pool_percent", "baseline_cpu_percent",
+        "after_cpu_percent", "parallelism_benefit")
 
 
 @query("pool_effectiveness")
@@ -1057,7 +1067,7 @@ def q_tumbling_summary(spark, sf):
 
 @query("sliding_threshold")
 def q_sliding_threshold(spark, sf):
-    """SM-05: 3-hour windows sliding by 1 hour over the metric series; average at or above 80."""
+    """SM-05: 3-hour windows sliding by 1 hour over the metric series; average at or above 80 with all three hours there."""
     s = _series(spark, sf)
     job = StreamJob(spark, "sliding")
     sink = os.path.join(job.sink, "sliding")
@@ -1065,7 +1075,7 @@ def q_sliding_threshold(spark, sf):
     for part in (first, second):
         job.land(part)
         job.run(SW.sliding_threshold(job.source(s.schema), "time_utc", list(SE.SERIES), "value", "3 hours",
-                                     "1 hour", 80.0), "update", SW.batch_appender(sink))
+                                     "1 hour", 80.0, 3, CADENCE_S), "update", SW.batch_appender(sink))
     out = SW.latest_per_key(spark, sink, [*SE.SERIES, "window_start"])
     return out.withColumn("avg_value", F.round("avg_value", 6))
 
@@ -1214,7 +1224,8 @@ for _p in (
     RL.Pack("RL-15c", "allocation_changes", ("server_id", "allocation_name"), "source_collected_at", (
         RL.Rule("allocation_change", "abs(change_percent)", (("warning", 5.0), ("high", 10.0))),)),
     RL.Pack("RL-19v", "plan_variability", ("server_id", "db_id", "query_id"), None, (
-        RL.Rule("several_plans", "plan_count", (("warning", 1.0),)),)),
+        RL.Rule("several_plans", "plan_count", (("warning", 1.0),)),
+        RL.Rule("plan_mean_spread", "slowest_to_fastest_ratio", (("high", 2.0),)),)),
 ):
     RL.EXTRA_PACKS.append(_p)
     _rules_query(_p)
@@ -1305,3 +1316,59 @@ def q_query_phase_shares(spark, sf):
     q = IV.interval_metrics(B.b1_dataset(_t(spark, sf, "events"), "query"), "query", tiebreak=["event_id"])
     d = SE.assign_phase(q, _phases(spark, sf).drop("test_run_id"), "source_collected_at")
     return CP.query_phase_shares(d, ["phase_name"])
+
+
+# ----------------------------------------------------------- expected samples, rules over two aligned sources
+@query("activity_summary_expected")
+def q_activity_summary_expected(spark, sf):
+    """JN-07: activity summary over every sample the run ledger owes; settings are the latest known, samples without sessions are zero rows."""
+    ev = _t(spark, sf, "events")
+    s, settings = _sessions(spark, sf)
+    spine = LG.expected_samples(B.runs(ev), CADENCE_S)
+    names = [c for c in settings.columns if c not in A.SAMPLE]
+    known = J.align_asof(spine, settings, ["server_id"], "source_collected_at", "source_collected_at", names)
+    return A.activity_summary(s, known.select(*A.SAMPLE, *names))
+
+
+@query("demand_with_cpu")
+def q_demand_with_cpu(spark, sf):
+    """RL-26 input: running demand per vCore with the server's CPU of the same hour (JN-16, one hour of tolerance; resource n is server n, a sixteenth of B14's vCores)."""
+    cpu = _series(spark, sf).select(F.concat(F.lit("srv-"), F.substring("resource_id", 4, 9)).alias("server_id"),
+                                    (F.col("time_utc") + F.expr("INTERVAL 1 HOUR")).alias("known_at"), F.col("value").alias("cpu_percent"))
+    demand = _demand(spark, sf, divide=16).select("server_id", "source_collected_at", "running_demand_per_vcore")
+    return J.align_asof(demand, cpu, ["server_id"], "source_collected_at", "known_at", ["cpu_percent"], 3600).select(
+        *demand.columns, "cpu_percent")
+
+
+@query("pool_budget")
+def q_pool_budget(spark, sf):
+    """RL-20 input: a server's pooler connections against the connection limit in force there (JN-16), one connection reserved."""
+    ev = _t(spark, sf, "events")
+    totals = PL.pool_totals(B.pool_snapshot(spark, ev)).where("grouping_level = 7").select(
+        "server_id", "source_collected_at", "pgbouncer_server_connections")
+    j = J.align_asof(totals, B.connection_limits(spark, ev), ["server_id"], "source_collected_at", "effective_at", ["max_connections"])
+    return j.select(*totals.columns, "max_connections", S.safe_percent(
+        "pgbouncer_server_connections", F.col("max_connections") - 1).alias("budget_percent"))
+
+
+@query("cache_hit_with_disk")
+def q_cache_hit_with_disk(spark, sf):
+    """RL-04 input: cache hit ratio of database intervals with the disk use known at the time (JN-16, two hours of tolerance)."""
+    d = _Q["database_interval"](spark, sf).select("server_id", "datid", "event_id", "source_collected_at", "cache_hit_percent")
+    return J.align_asof(d, B.disk_use(spark, _t(spark, sf, "events")), ["server_id"], "source_collected_at", "known_at",
+                        ["disk_percent"], 7200).select(*d.columns, "disk_percent")
+
+
+for _p in (
+    RL.Pack("RL-26c", "demand_with_cpu", ("server_id",), "source_collected_at", (
+        RL.Rule("demand_and_cpu", "running_demand_per_vcore", (("warning", 0.7),), ">=", guard="cpu_percent >= 70", sustain_s=300),
+        RL.Rule("demand_and_cpu_large", "running_demand_per_vcore", (("high", 1.0),), ">=", guard="cpu_percent >= 80", sustain_s=300),
+        RL.Rule("demand_saturated", "running_demand_per_vcore", (("critical", 1.5),), ">=", guard="cpu_percent >= 90"),)),
+    RL.Pack("RL-20b", "pool_budget", ("server_id",), "source_collected_at", (
+        RL.Rule("pool_over_budget", "budget_percent", (("critical", 100.0),)),)),
+    RL.Pack("RL-04d", "cache_hit_with_disk", ("server_id", "datid"), "source_collected_at", (
+        RL.Rule("cache_hit_and_disk", "cache_hit_percent", (("critical", 95.0),), "<", guard="disk_percent >= 80", sustain_s=900),),
+            ("event_id",)),
+):
+    RL.EXTRA_PACKS.append(_p)
+    _rules_query(_p)

@@ -133,6 +133,7 @@ def _pct(n: str, d: str) -> str:
 # Packs registered by the query catalog over its derived inputs (appended there).
 EXTRA_PACKS: list[Pack] = []
 
+TICK_S = 3600  # one hour of the stand-in series stands for a minute of the specified one
 MB = 1024 * 1024
 GB = 1024 * MB
 
@@ -153,24 +154,33 @@ PACKS: tuple[Pack, ...] = (
         Rule("worker_pool_saturated", "parallel_worker_pool_utilization_percent", (("critical", 95.0),), ">=",
              consecutive=2),
         Rule("wait_group_volume", "wait_query_group_count", (("warning", 500.0),)),
+        Rule("lwlock_share", _pct("active_lwlock_waiting_sessions", "active_client_connections"), (("warning", 20.0),)),
+        Rule("bufferpin_repeated", "active_bufferpin_waiting_sessions", (("warning", 0.0),), consecutive=2),
+        Rule("bufferpin_share", _pct("active_bufferpin_waiting_sessions", "active_client_connections"), (("high", 5.0),)),
+        Rule("worker_wait_share", _pct("parallel_workers_waiting", "active_parallel_workers"), (("warning", 20.0),),
+             consecutive=2),
     )),
     Pack("RL-03", "blocking_pairs", ("server_id", "blocked_pid", "blocking_pid"), "source_collected_at", (
         Rule("lock_wait", "actual_lock_wait_seconds", (("warning", 5.0), ("high", 30.0), ("critical", 60.0)),
              guard="waitstart IS NOT NULL"),
         Rule("chain_depth", "maximum_chain_depth", (("high", 3.0), ("critical", 5.0)), ">="),
+        Rule("fan_in", "direct_blocker_count", (("warning", 1.0),)),
     )),
     Pack("RL-04", "database_interval", ("server_id", "datid"), "source_collected_at", (
         Rule("deadlock", "deadlock_count", (("critical", 0.0),)),
-        Rule("cache_hit", "cache_hit_percent", (("warning", 99.0), ("high", 97.0), ("critical", 95.0)), "<",
-             sustain_s=900),
+        Rule("cache_hit", "cache_hit_percent", (("warning", 99.0), ("high", 97.0)), "<", sustain_s=900),
         Rule("temp_spill_per_minute", "temp_bytes_per_second * 60", (("warning", 100.0 * MB), ("high", 1.0 * GB))),
         Rule("rollback", "rollback_percent", (("warning", 1.0), ("high", 5.0))),
     ), ("event_id",)),
     Pack("RL-05", "query_interval", ("server_id", "dbid", "userid", "queryid", "toplevel"), "source_collected_at", (
-        Rule("planning_share", "planning_share_percent", (("warning", 10.0), ("high", 25.0))),
-        Rule("jit_overhead", "jit_overhead_percent", (("warning", 10.0), ("high", 25.0))),
-        Rule("worker_launch_fulfillment", "worker_launch_fulfillment_percent", (("warning", 80.0), ("high", 50.0)),
-             "<"),
+        Rule("planning_share", "planning_share_percent", (("warning", 10.0),), guard="plan_time_interval >= 1000"),
+        Rule("planning_share_large", "planning_share_percent", (("high", 25.0),)),
+        Rule("jit_overhead", "jit_overhead_percent", (("warning", 10.0),), guard="jit_time_interval > 1000"),
+        Rule("jit_overhead_large", "jit_overhead_percent", (("high", 25.0),)),
+        Rule("worker_launch_fulfillment", "worker_launch_fulfillment_percent", (("warning", 80.0),), "<",
+             guard="workers_to_launch_interval >= 20", consecutive=2),
+        Rule("worker_launch_shortage", "worker_launch_fulfillment_percent", (("high", 50.0),), "<",
+             guard="workers_to_launch_interval >= 20"),
     ), ("event_id",)),
     Pack("RL-06", "statement_store_interval", ("server_id",), "source_collected_at", (
         Rule("dealloc", "deallocations", (("warning", 0.0),)),
@@ -200,8 +210,10 @@ PACKS: tuple[Pack, ...] = (
     Pack("RL-12", "maintenance_progress", ("server_id", "operation_type", "pid"), "source_collected_at", (
         Rule("long_maintenance", "operation_age_seconds", (("warning", 1800.0),)),)),
     Pack("RL-13", "buffer_summary", ("server_id",), "source_collected_at", (
-        Rule("dirty_buffers", "dirty_buffer_percent_of_used", (("warning", 10.0), ("high", 20.0))),
-        Rule("pinned_buffers", "pinned_buffer_percent_of_used", (("warning", 1.0), ("high", 5.0))),
+        Rule("dirty_buffers", "dirty_buffer_percent_of_used", (("warning", 10.0),), sustain_s=600),
+        Rule("dirty_buffers_large", "dirty_buffer_percent_of_used", (("high", 20.0),)),
+        Rule("pinned_buffers", "pinned_buffer_percent_of_used", (("warning", 1.0),), consecutive=2),
+        Rule("pinned_buffers_large", "pinned_buffer_percent_of_used", (("high", 5.0),)),
     )),
     Pack("RL-14", "relation_cache", ("server_id", "relation_oid"), "source_collected_at", (
         Rule("cache_concentration", "share_of_current_database_cached_buffers_percent",
@@ -211,13 +223,18 @@ PACKS: tuple[Pack, ...] = (
     Pack("RL-15", "allocation_shares", ("server_id", "allocation_name", "off"), "source_collected_at", (
         Rule("allocation_share", "allocation_share_percent", (("warning", 10.0), ("high", 20.0))),)),
     Pack("RL-16", "slru_interval", ("server_id", "name"), "source_collected_at", (
-        Rule("slru_hit", "slru_hit_percent", (("warning", 95.0), ("high", 90.0)), "<", guard="slru_accesses >= 1000"),
+        Rule("slru_hit", "slru_hit_percent", (("warning", 95.0), ("high", 90.0)), "<", guard="slru_accesses >= 1000",
+             sustain_s=900),
     ), ("event_id",)),
     Pack("RL-17", "lock_logging_config", ("server_id", "name"), None, (
         Rule("lock_waits_not_logged", "CASE WHEN name = 'log_lock_waits' AND setting = 'off' THEN 1 ELSE 0 END",
              (("critical", 1.0),), ">="),
         Rule("deadlock_timeout_ms", "TRY_CAST(setting AS DOUBLE)", (("warning", 1000.0), ("high", 5000.0)),
              guard="name = 'deadlock_timeout'"),
+        Rule("error_statements_not_logged", "CASE WHEN name = 'log_min_error_statement' AND setting IN ('log', 'fatal', "
+             "'panic') THEN 1 ELSE 0 END", (("critical", 1.0),), ">="),
+        Rule("terse_error_logs", "CASE WHEN name = 'log_error_verbosity' AND setting = 'terse' THEN 1 ELSE 0 END",
+             (("warning", 1.0),), ">="),
         Rule("settings_pending_restart", "CASE WHEN pending_restart THEN 1 ELSE 0 END", (("warning", 1.0),), ">="),
     )),
     Pack("RL-18", "unmapped_waits", ("server_id", "event_type", "event"), None, (
@@ -233,6 +250,8 @@ PACKS: tuple[Pack, ...] = (
              guard="grouping_level = 7"),)),
     Pack("RL-21", "pool_derived", ("server_id", "database", "user"), "source_collected_at", (
         Rule("clients_waiting", "cl_waiting", (("warning", 0.0),), consecutive=2),
+        Rule("clients_waiting_long", "cl_waiting", (("high", 0.0),), sustain_s=300),
+        Rule("no_idle_server", "CASE WHEN cl_waiting > 0 AND sv_idle = 0 THEN 1 ELSE 0 END", (("high", 1.0),), ">="),
         Rule("max_wait", "oldest_client_wait_seconds", (("warning", 1.0), ("high", 5.0), ("critical", 30.0))),
         Rule("pool_busy", "server_pool_not_immediately_idle_percent", (("warning", 80.0), ("high", 90.0)), ">=",
              sustain_s=300),
@@ -240,19 +259,23 @@ PACKS: tuple[Pack, ...] = (
              (("critical", 95.0),), ">="),
     )),
     Pack("RL-22", "pooler_interval", ("server_id", "pb_command", "database"), "source_collected_at", (
-        Rule("avg_wait_ms", "wait_ms_per_assigned_client", (("warning", 5.0), ("high", 20.0), ("critical", 100.0))),
+        Rule("avg_wait_ms", "wait_ms_per_assigned_client", (("warning", 5.0), ("high", 20.0)), sustain_s=300),
+        Rule("avg_wait_ms_extreme", "wait_ms_per_assigned_client", (("critical", 100.0),)),
     ), ("event_id",)),
     Pack("RL-23", "client_diagnostics", ("server_id", "application_name", "addr"), "source_collected_at", (
         Rule("empty_application_name", "CASE WHEN grouping_level = 1 AND application_name = '' THEN client_count "
-             "ELSE 0 END", (("warning", 0.0),)),)),
+             "ELSE 0 END", (("warning", 0.0),)),
+        Rule("client_wait", "max_client_wait_seconds", (("warning", 1.0), ("high", 5.0), ("critical", 30.0))),
+    )),
     Pack("RL-24", "pivot_lists", ("server_id",), "source_collected_at", (
         Rule("used_client_objects", "used_client_object_percent", (("warning", 85.0), ("high", 95.0)), ">="),
         Rule("used_server_objects", "used_server_object_percent", (("warning", 85.0), ("high", 95.0)), ">="),
     )),
     Pack("RL-25", "assign_phase", ("resource_id", "metric_id", "dimension_key"), "time_utc", (
-        Rule("cpu_sustained", "value", (("warning", 70.0), ("high", 80.0)), ">=", consecutive=3),
-        Rule("cpu_saturated", "value", (("critical", 90.0),), ">=", consecutive=2),
-    )),
+        Rule("cpu_average_15", "value", (("warning", 70.0), ("high", 80.0)), ">=", average_s=15 * TICK_S),
+        Rule("cpu_average_5", "value", (("critical", 90.0),), ">=", average_s=5 * TICK_S),
+        Rule("cpu_continuous_15", "value", (("critical", 90.0),), ">=", consecutive=15),
+    ), cadence_s=TICK_S),
     Pack("RL-25s", "trend_slope", ("resource_id", "metric_id", "dimension_key", "phase_name"), None, (
         Rule("growth_slope", "slope_per_hour", (("warning", 2.0), ("high", 5.0))),)),
     Pack("RL-26", "assign_capacity", ("server_id",), "source_collected_at", (

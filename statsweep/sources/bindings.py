@@ -765,6 +765,27 @@ def b14_capacity_sql(dialect: str) -> str:
         "FROM events) w) r", dialect)
 
 
+def b16_limits_sql(dialect: str) -> str:
+    """Per server and day, the connection limit in force from that day on: 3 + day % 5."""
+    return _dialect(f"SELECT DISTINCT {_POOL_SRV} AS server_id, {{day:ts}} AS effective_at, "
+                    "CAST(3 + day(ts) % 5 AS INT) AS max_connections FROM events", dialect)
+
+
+def b17_disks_sql(dialect: str) -> str:
+    """Hourly disk use of two servers: the series of resources 2 and 3, known at the end of their hour."""
+    return _dialect("SELECT CASE resource_id WHEN 'res2' THEN 'srv-0' ELSE 'srv-1' END AS server_id, "
+                    "time_utc + INTERVAL 1 HOUR AS known_at, value AS disk_percent FROM series "
+                    "WHERE resource_id IN ('res2', 'res3')", dialect)
+
+
+def connection_limits(spark: SparkSession, events: DataFrame) -> DataFrame:
+    return _over(spark, events, "events", b16_limits_sql("spark"))
+
+
+def disk_use(spark: SparkSession, events: DataFrame) -> DataFrame:
+    return _over(spark, metric_series(spark, events), "series", b17_disks_sql("spark"))
+
+
 def load_requests(events: DataFrame) -> DataFrame:
     return events.selectExpr(*b13_requests("spark"))
 

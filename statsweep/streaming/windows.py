@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 from statsweep.sinks.tables import dedupe_natural_key
 
 
+WORD_BITS = 62  # panes to a bitmap
+
+
 def event_time(df: DataFrame, time_col: str, watermark: str | None, out: str = "_et") -> DataFrame:
     d = df.withColumn(out, F.col(time_col).cast("timestamp"))
     return d.withWatermark(out, watermark) if watermark else d
@@ -35,14 +38,25 @@ def tumbling_summary(stream: DataFrame, time_col: str, keys: Sequence[str], widt
 
 
 def sliding_threshold(stream: DataFrame, time_col: str, keys: Sequence[str], value: str, width: str, slide: str,
-                      limit: float, watermark: str = "1 hour") -> DataFrame:
-    """SM-05: sliding-window average per key and whether it reaches ``limit``."""
+                      limit: float, panes: int, cadence_s: int, watermark: str = "1 hour") -> DataFrame:
+    """SM-05: sliding-window average per key and whether it reaches ``limit``.
+
+    A window of ``width`` holds ``panes`` panes of ``cadence_s`` seconds, and ``slide`` is a whole number of them. The
+    flag is raised only when every pane holds a value, as in the batch form (WN-05). Coverage is kept in the state as
+    bitmaps: pane numbers of one window differ modulo ``panes``, so a pane's bit needs no look at the window's start.
+    """
     s = event_time(stream, time_col, watermark)
-    g = s.groupBy(F.window("_et", width, slide).alias("w"), *keys).agg(
-        F.avg(value).alias("avg_value"), F.count(value).alias("samples"))
+    bit = F.pmod(F.floor(F.unix_micros("_et") / F.lit(cadence_s * 1_000_000)), F.lit(panes)).cast("int")
+    words = [F.bit_or(F.when(F.col(value).isNotNull() & (F.floor(bit / WORD_BITS) == k),
+                             F.expr("shiftleft(1L, _bit)") if panes <= WORD_BITS else F.expr(f"shiftleft(1L, _bit % {WORD_BITS})")))
+             for k in range(-(-panes // WORD_BITS))]
+    g = s.withColumn("_bit", bit).groupBy(F.window("_et", width, slide).alias("w"), *keys).agg(
+        F.avg(value).alias("avg_value"), F.count(value).alias("samples"), *[w.alias(f"_w{k}") for k, w in enumerate(words)])
+    covered = sum((F.coalesce(F.bit_count(f"_w{k}"), F.lit(0)) for k in range(len(words))), F.lit(0))
     return g.select(*keys, F.col("w.start").cast("timestamp_ntz").alias("window_start"),
                     F.col("w.end").cast("timestamp_ntz").alias("window_end"), "avg_value", "samples",
-                    (F.col("avg_value") >= F.lit(limit)).alias("above_limit"))
+                    covered.alias("covered_panes"),
+                    ((covered == F.lit(panes)) & F.coalesce(F.col("avg_value") >= F.lit(limit), F.lit(False))).alias("above_limit"))
 
 
 def blocking_episodes(stream: DataFrame, time_col: str, keys: Sequence[str], wait_col: str, gap: str,
