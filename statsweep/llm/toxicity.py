@@ -10,10 +10,10 @@ from __future__ import annotations
 
 import math
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterable
-from itertools import accumulate
+from itertools import chain
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -25,10 +25,15 @@ from .common import lean, worker_cache
 MAX_PER_CLASS = 2500  # labelled documents of each class that the field is fitted on, the first by a hash of the id
 MAX_CHARS = 24_000_000  # and their characters in all, so that the driver's share stays bounded
 DIM = 1 << 20
+MASK = DIM - 1
 THRESHOLD = 0.3
 CACHE_ENTRIES = 200_000
 BATCH = 500  # documents whose texts are Python strings at one time
+TOGETHER = 2_000_000  # characters of texts whose marginals are computed side by side
 EDGE = re.compile(r"^\W+|\W+$")
+PLAIN_EDGE = ".,;:!?\"'()[]"  # characters that EDGE takes away too
+WORD_MARK, PREFIX_MARK, SUFFIX_MARK = (crc32(x) for x in (b"=", b"^", b"$"))
+SHAPES = {(upper, n): crc32(f"#{'u' if upper else 'l'}{n}".encode()) % DIM for upper in (False, True) for n in range(10)}
 
 
 def features(token: str) -> list[str]:
@@ -38,7 +43,20 @@ def features(token: str) -> list[str]:
 
 
 def hashed(token: str) -> list[int]:
-    return [zlib.crc32(f.encode()) % DIM for f in features(token)]
+    """The places of ``features(token)``, their CRC-32 modulo ``DIM``. It goes on from the CRC of each kind's mark, and
+    only tokens with other than letters and digits inside or unusual ones at an edge meet the pattern."""
+    w = token.lower().strip(PLAIN_EDGE)
+    if not w.isalnum():
+        w = EDGE.sub("", w)
+    shape = SHAPES[token.isupper(), min(len(w), 9)]
+    if w.isascii():
+        b = w.encode()
+        four, five, six, end = b[:4], b[4:5], b[5:6], b[-3:]
+    else:
+        b, four, five, six, end = (x.encode() for x in (w, w[:4], w[4:5], w[5:6], w[-3:]))
+    p4 = crc32(four, PREFIX_MARK)
+    p5 = crc32(five, p4)
+    return [crc32(b, WORD_MARK) & MASK, p4 & MASK, p5 & MASK, crc32(six, p5) & MASK, crc32(end, SUFFIX_MARK) & MASK, shape]
 
 
 def distinct_texts(texts: list[str]) -> list[str]:
@@ -49,7 +67,7 @@ def distinct_texts(texts: list[str]) -> list[str]:
     for text in texts:
         t = text.lower().split()
         low: dict[int, int] = {}
-        for h in {zlib.crc32(" ".join(t[i:i + 3]).encode()) for i in range(max(1, len(t) - 2))}:
+        for h in {crc32(" ".join(t[i:i + 3]).encode()) for i in range(max(1, len(t) - 2))}:
             low[h % 4] = min(h, low.get(h % 4, h))
         mine = tuple(sorted(low.items()))
         if mine in known:
@@ -170,41 +188,93 @@ def posterior(score: np.ndarray, a: np.ndarray):
 
 
 class Tagger:
-    """The fitted field over whole texts; the odds of each distinct token are kept per worker."""
+    """The fitted field over whole texts; the odds of distinct tokens are kept per worker."""
 
     def __init__(self, model: dict):
-        w, bias = model["w"], model["bias"]
-        (t00, t01), (t10, t11) = np.exp(model["a"]).tolist()
-        self.step = lambda r, e: e * (t01 + t11 * r) / (t00 + t10 * r)  # odds of the toxic state, going right
-        self.back = lambda b, e: (t10 + t11 * e * b) / (t00 + t01 * e * b)  # its odds from what stands to the right
-
-        class Odds(dict):
-            def __missing__(self, token):
-                value = math.exp(max(-30.0, min(30.0, float(w[hashed(token)].sum()) + bias)))
-                if len(self) >= CACHE_ENTRIES:
-                    self.clear()
-                self[token] = value
-                return value
-
-        self.odds = Odds()
+        self.weights, self.bias = model["w"], model["bias"]
+        self.t = np.exp(model["a"])
+        # how far a state shifts the odds of later ones shrinks by at least this factor a token
+        (a00, a01), (a10, a11) = model["a"]
+        shrink = min(max(1e-9, math.tanh(abs(a00 + a11 - a01 - a10) / 4)), 1 - 1e-9)
+        self.warm_up = 2 + math.ceil(math.log(1e-17) / math.log(shrink))
+        self.odds: dict[str, float] = {}
+
+    def look_up(self, texts: Iterable[list[str]]) -> None:
+        """Take the odds of all tokens of the texts into the cache, the new ones together."""
+        wanted = set().union(*texts)
+        new = [t for t in wanted if t not in self.odds]
+        if len(self.odds) + len(new) > CACHE_ENTRIES:
+            self.odds.clear()
+            new = list(wanted)
+        for at in range(0, len(new), CACHE_ENTRIES):
+            part = new[at:at + CACHE_ENTRIES]
+            places = np.fromiter(chain.from_iterable(map(hashed, part)), np.int64).reshape(len(part), -1)
+            score = self.weights[places].sum(1) + self.bias
+            self.odds.update(zip(part, np.exp(np.clip(score, -30.0, 30.0)).tolist()))
+
+    def lanes(self, values: np.ndarray, breaks: np.ndarray, step) -> np.ndarray:
+        """``x[i] = step(values[i - 1], values[i], x[i - 1])``, and ``step`` without an ``x`` at breaks. The row is cut
+        into pieces that advance side by side, each from ``warm_up`` tokens before it, by when its start has no say."""
+        n = len(values)
+        length = min(n, max(64, 4 * self.warm_up, math.isqrt(n)))
+        pieces = -(-n // length)
+        before = self.warm_up if pieces > 1 else 0
+        pad = (before, pieces * length - n)
+        v, cut = (np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(np.pad(x, pad, constant_values=1), before + length)[::length].T)
+                  for x in (values, breaks))
+        x, out = None, np.empty((length, pieces))
+        for i in range(before + length):
+            alone = step(None, v[i], None)
+            x = alone if x is None else np.where(cut[i], alone, step(v[i - 1], v[i], x))
+            if i >= before:
+                out[i - before] = x
+        return out.T.ravel()[:n]
+
+    def all_marginals(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Marginals of the toxic state of all tokens of the texts, none of them empty, one after the other, and where each starts."""
+        ends = np.cumsum([len(t) for t in texts])
+        starts = np.r_[0, ends[:-1]]
+        e = np.fromiter(map(self.odds.__getitem__, chain.from_iterable(texts)), float, int(ends[-1]))
+        first, last = np.zeros(len(e), bool), np.zeros(len(e), bool)
+        first[starts] = last[ends - 1] = True
+        (t00, t01), (t10, t11) = self.t
+        # odds of the toxic state from what stands to the left, own token included; and from what stands to the right
+        left = self.lanes(e, first, lambda _, e, x: e if x is None else e * (t01 + t11 * x) / (t00 + t10 * x))
+
+        def back(later, e, x):
+            return np.ones_like(e) if x is None else (t10 + t11 * later * x) / (t00 + t01 * later * x)
+
+        o = left * self.lanes(e[::-1], last[::-1], back)[::-1]
+        return o / (1 + o), starts
 
     def marginals(self, tokens: list[str]) -> np.ndarray:
-        e = list(map(self.odds.__getitem__, tokens))
-        fwd = np.fromiter(accumulate(e[1:], self.step, initial=e[0]), float, len(e))
-        bwd = np.fromiter(accumulate(e[:0:-1], self.back, initial=1.0), float, len(e))[::-1]
-        o = fwd * bwd
-        return o / (1 + o)
-
-    def score(self, text: str | None, floor: float = 0.1):
-        """Document score and the toxic spans ``(start, end, marginal)`` in characters: adjacent tokens of at least
+        return self.all_marginals([tokens])[0]
+
+    def scores(self, texts: list[str | None], floor: float = 0.1) -> list[tuple[float, list]]:
+        """Per text its score and the toxic spans ``(start, end, marginal)`` in characters: adjacent tokens of at least
         ``floor``. The score is the chance that one of the spans is toxic; without a span, the largest marginal."""
-        tokens = (text or "").split()
-        if not tokens:
-            return 0.0, []
-        p = self.marginals(tokens)
-        top = float(p.max())
-        if top < floor:
-            return top, []
+        out, at, held = [], 0, 0
+        for i, t in enumerate(texts):  # texts of bounded length together; a longer one by itself
+            if held and held + len(t or "") > TOGETHER:
+                out += self._scores(texts[at:i], floor)
+                at, held = i, 0
+            held += len(t or "")
+        return out + self._scores(texts[at:], floor)
+
+    def _scores(self, texts: list[str | None], floor: float) -> list[tuple[float, list]]:
+        tokens = [(t or "").split() for t in texts]
+        self.look_up(tokens)
+        out: list[tuple[float, list]] = [(0.0, [])] * len(texts)
+        filled = [i for i, t in enumerate(tokens) if t]
+        if filled:
+            p, starts = self.all_marginals([tokens[i] for i in filled])
+            for i, at, top in zip(filled, starts.tolist(), np.maximum.reduceat(p, starts).tolist()):
+                spans = self.spans(texts[i], tokens[i], p[at:at + len(tokens[i])], floor) if top >= floor else []
+                out[i] = (1 - math.prod(1 - s[2] for s in spans) if spans else top), spans
+        return out
+
+    @staticmethod
+    def spans(text: str, tokens: list[str], p: np.ndarray, floor: float) -> list[tuple[int, int, float]]:
         spans, ends = [], [m.span() for m in re.finditer(r"\S+", text)]
         if len(ends) != len(tokens):  # control characters that split() counts as space
             ends, at = [], 0
@@ -218,7 +288,7 @@ class Tagger:
                 spans[-1] = (s[0], ends[i][1], max(s[2], float(p[i])), i)
             else:
                 spans.append((*ends[i], float(p[i]), i))
-        return 1 - math.prod(1 - s[2] for s in spans), [s[:3] for s in spans]
+        return [s[:3] for s in spans]
 
 
 def train(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLASS, max_chars: int = MAX_CHARS) -> dict:
@@ -252,7 +322,7 @@ def score_toxicity(docs: DataFrame, model: dict, keep: list[str] | None = None,
     text_at = src.columns.index("text")
     schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema[:len(keep)]] + [f"{prefix}score double", f"{prefix}predicted int"]
     schema += [f"{prefix}spans array<struct<start:int,stop:int,marginal:double>>"] * spans
-    key = f"toxicity-{zlib.crc32(model['w'].tobytes() + model['a'].tobytes())}-{model['bias']}"
+    key = f"toxicity-{crc32(model['w'].tobytes() + model['a'].tobytes())}-{model['bias']}"
     shared = src.sparkSession.sparkContext.broadcast(model)  # DIM doubles: a fixed size
 
     @lean
@@ -265,7 +335,7 @@ def score_toxicity(docs: DataFrame, model: dict, keep: list[str] | None = None,
         for batch in batches:
             for at in range(0, batch.num_rows, BATCH):
                 part = batch.slice(at, BATCH)
-                out = [tagger.score(t) for t in part.column(text_at).to_pylist()]
+                out = tagger.scores(part.column(text_at).to_pylist())
                 cols = [part.column(i) for i in range(len(keep))]
                 cols += [pa.array([s for s, _ in out], pa.float64()), pa.array([int(s >= threshold) for s, _ in out], pa.int32())]
                 if spans:
