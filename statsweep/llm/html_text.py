@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+ALIGNED = 200  # columns of a table that start further right are not aligned
 MAX_DEPTH = 200  # elements nested deeper become children of the element at this depth; no text is lost
 
 # an attribute: its name, and a value after "="; a quote opens a value only there and is an ordinary character elsewhere
@@ -305,7 +306,9 @@ def _drawing(node: Node, out: Layout, nested: int, seen: bool, text: bool) -> No
 
 
 def _table(table: Node, nested: int, seen: bool) -> list[str]:
-    """Rows as lines; the cells of a column start at the same place, two spaces apart."""
+    """Rows as lines; the cells of a column start at the same place, two spaces apart, as long as that place is within
+    the first ``ALIGNED`` characters of the line (half as many in a table within a table, and so on). Cells further right
+    follow the cell before them, so a wide cell or many columns can't multiply a page by padding; no text is lost."""
     before, rows = [], []
 
     def cell(node: Node, see: bool) -> list[str]:
@@ -349,12 +352,14 @@ def _table(table: Node, nested: int, seen: bool) -> list[str]:
             if c is None or (i + 1 < len(row) and row[i + 1] is None):
                 continue  # a cell that spans columns doesn't widen its first one
             widths[i] = max(widths[i], max(map(len, c), default=0))
-    lines = list(before)
+    lines, room = list(before), ALIGNED >> nested
     for row in rows:
         for k in range(max((len(c) for c in row if c), default=0)):
             line, at = "", 0
             for c, w in zip(row, widths):
-                if c is not None:
+                if c is not None and at > room:
+                    line += "  " + c[k] if k < len(c) and c[k] else ""
+                elif c is not None:
                     line = (line.ljust(at) if len(line) <= at else line + "  ") + (c[k] if k < len(c) else "")
                 at += w + 2
             lines.append(line.rstrip())

@@ -23,6 +23,7 @@ UNSEEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|head|template|noscript)(?
 BREAK = re.compile(r"</?(?:p|div|br|li|ul|ol|tr|table|h[1-6]|article|section|nav|header|footer|blockquote|pre|hr|dt|dd|title)(?=[\s/>])[^>]*>", re.I)
 TAG = re.compile(r"<[!/?a-zA-Z][^>]*>")
 BLANKS, LINES = re.compile(r"[ \t\r\f\v\xa0]+"), re.compile(r" ?\n[ \n]*")
+MAX_INFLATED = 64 << 20  # bytes; a payload that decodes to more gets its metadata record only
 CHUNK = re.compile(rb"[ \t]*([0-9a-fA-F]+)[ \t]*(?:;[^\r\n]*)?\r?\n")
 CHARSET = re.compile(r"charset\s*=\s*[\"']?([\w.:-]+)", re.I)
 
@@ -60,13 +61,18 @@ def unchunk(payload: bytes) -> bytes:
     return b"".join(out)
 
 
-def inflate(payload: bytes, wbits: int) -> bytes | None:
-    """Decompressed data, all members, as far as it goes; null if it isn't such data."""
-    out = []
+def inflate(payload: bytes, wbits: int, limit: int = MAX_INFLATED) -> bytes | None:
+    """Decompressed data, all members, as far as it goes; null if it isn't such data or is more than ``limit`` bytes.
+    No more than that is ever held, however small the payload is."""
+    out, size = [], 0
     while payload:
         d = zlib.decompressobj(wbits)
         try:
-            out.append(d.decompress(payload) + d.flush())
+            part = d.decompress(payload, limit - size + 1)
+            size += len(part)
+            if size > limit:
+                return None
+            out.append(part + d.flush())
         except zlib.error:
             return b"".join(out) if out else None  # what follows the last whole member is no part of it
         payload = d.unused_data
@@ -158,8 +164,8 @@ def build_derivatives(responses: DataFrame, content: bool = True) -> DataFrame:
     Returns ``record_type`` (conversion or metadata), ``record_id``, ``refers_to``, ``target_uri``, ``content_length``,
     ``block_digest``, ``source_payload_digest``, ``record_sha256`` and, with ``content``, ``record`` (the WARC record's
     bytes). A null block is an empty one, a null URI or date an empty field. Rows without a record id can't be referred
-    to and give no records. Repeated rows give equal records, once each; payloads that aren't text, or whose
-    encoding can't be undone (all but chunked, gzip and deflate), give metadata only.
+    to and give no records. Repeated rows give equal records, once each; payloads that aren't text, whose encoding can't
+    be undone (all but chunked, gzip and deflate) or that inflate to more than ``MAX_INFLATED`` bytes give metadata only.
     """
 
     def run(batches):

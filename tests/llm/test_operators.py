@@ -1,5 +1,6 @@
 """Training-data operators against brute force, round trips, held-out accuracy, and on awkward rows."""
 
+import gzip
 import hashlib
 import os
 import re
@@ -10,6 +11,7 @@ from collections import defaultdict
 from html import unescape
 
 import duckdb
+import numpy as np
 import public_tokenizers
 import pytest
 
@@ -512,3 +514,63 @@ def test_pipeline_judges_rows_by_their_own_text(spark):
     rows = [(1, item), (1, b), (None, "lead " + item), (None, c)]
     out = p.drop_leaks(spark, table(spark, rows), SF)
     assert kept(out) == sorted([(1, b), (None, c)], key=str) and out.columns == table(spark, rows).columns
+
+
+def test_toxic_token_places_are_those_of_the_features():
+    """Edges, case, signs inside, scripts, short and blank-edged words: the fast way gives the CRC-32 of each feature."""
+    tokens = ["word", "Word.", "(WORD)", "a", "...", "don't", "x_y", "_x_", "ÄRGER!", "naïve", "日本語。", "éa", "№5", "--ab--", "“so”", "ABCdefghij", "1234567890123", "ß", "İ", "²"]
+    for t in tokens:
+        assert toxicity.hashed(t) == [zlib.crc32(f.encode()) % toxicity.DIM for f in toxicity.features(t)], t
+
+
+def test_toxic_scores_do_not_depend_on_the_cache(monkeypatch):
+    rng = np.random.default_rng(1)
+    model = {"w": rng.normal(size=toxicity.DIM), "bias": -1.0, "a": np.array([[0.4, -0.2], [0.1, 0.3]])}
+    texts = [" ".join(f"w{rng.integers(0, 400)}" for _ in range(rng.integers(0, 60))) for _ in range(80)] + [None, "", "  "]
+    whole = toxicity.Tagger(model).scores(texts)
+    monkeypatch.setattr(toxicity, "CACHE_ENTRIES", 50)
+    monkeypatch.setattr(toxicity, "TOGETHER", 90)
+    tagger = toxicity.Tagger(model)
+    small = [s for i in range(0, len(texts), 7) for s in tagger.scores(texts[i:i + 7])]
+    assert [(round(s, 12), [(a, b) for a, b, _ in sp]) for s, sp in small] == [(round(s, 12), [(a, b) for a, b, _ in sp]) for s, sp in whole]
+    assert whole[-3:] == [(0.0, [])] * 3
+
+
+def test_html_wide_cells_do_not_multiply_a_page():
+    rows = "".join(f"<tr><td>{i}<td>b{i}</tr>" for i in range(800))
+    wide = "w" * 50_000
+    text = html_text.render(f"<table><tr><td>{wide}<td>end</tr>{rows}</table>")
+    assert len(text) < 4 * (50_000 + 800 * 20)
+    assert text.split("\n")[0] == wide + "  end" and text.split("\n")[1] == "0  b0" and text.count("\n") == 800
+    spans = "".join(f"<tr><td colspan=1000>a{i}<td>z</tr>" for i in range(500))
+    assert len(html_text.render(f"<table>{spans}</table>")) < 500 * 300
+    deep = "<table><tr><td>a<td>" * 60 + "<br>".join("x" * 3 for _ in range(2000)) + "</table>" * 60
+    text = html_text.render(deep)
+    assert len(text) < 2000 * 500 and text.count("xxx") == 2000
+    # nothing moves in an ordinary table
+    assert html_text.render("<table><tr><td>ab<td>c<tr><td>d<td>ef</table>") == "ab  c\nd   ef"
+
+
+def test_warc_inflates_no_more_than_its_limit():
+    bomb = gzip.compress(b"a" * 3_000_000)
+    assert warc.inflate(bomb, 31, 1 << 20) is None and len(warc.inflate(bomb, 31, 3_000_000)) == 3_000_000
+    two = gzip.compress(b"x" * 600) + gzip.compress(b"y" * 600)
+    assert warc.inflate(two, 31, 1200) == b"x" * 600 + b"y" * 600 and warc.inflate(two, 31, 1199) is None
+    head = b"HTTP/1.1 200 OK\r\nContent-Type: text/plain\r\nContent-Encoding: gzip\r\n\r\n"
+    big = head + gzip.compress(b"word " * (warc.MAX_INFLATED // 5 + 1))
+    assert [r["record_type"] for r in warc.derive("<urn:uuid:0>", "http://a.example/", "2024-01-01T00:00:00Z", big)] == ["metadata"]
+    assert [r["record_type"] for r in warc.derive("<urn:uuid:0>", "http://a.example/", "2024-01-01T00:00:00Z", head + gzip.compress(b"word"))] == ["conversion", "metadata"]
+
+
+def test_toxic_marginals_side_by_side_equal_one_pass():
+    """Texts of one to 3,000 tokens in one go, transitions weak and strong: as forward-backward over each text alone."""
+    rng = np.random.default_rng(4)
+    for a in (np.array([[0.2, -0.1], [0.0, 0.1]]), np.array([[2.5, -2.0], [-1.5, 2.0]]), np.zeros((2, 2)), np.array([[9.0, -9.0], [-9.0, 9.0]])):
+        tagger = toxicity.Tagger({"w": np.zeros(toxicity.DIM), "bias": 0.0, "a": a})
+        score = rng.normal(scale=4, size=300)
+        tagger.odds.update({str(i): float(np.exp(s)) for i, s in enumerate(score)})
+        texts = [[str(i) for i in rng.integers(0, 300, n)] for n in (1, 2, 3000, 1, 64, 65, 700, 5)]
+        got, starts = tagger.all_marginals(texts)
+        for t, at in zip(texts, starts):
+            want = toxicity.posterior(score[[int(x) for x in t]][None], a)[0][0]
+            assert np.allclose(got[at:at + len(t)], want, rtol=1e-10, atol=1e-14)
