@@ -168,7 +168,7 @@ PACKS: tuple[Pack, ...] = (
     )),
     Pack("RL-04", "database_interval", ("server_id", "datid"), "source_collected_at", (
         Rule("deadlock", "deadlock_count", (("critical", 0.0),)),
-        Rule("cache_hit", "cache_hit_percent", (("warning", 99.0), ("high", 97.0)), "<", sustain_s=900),
+        Rule("cache_hit", "cache_hit_percent", (("warning", 99.0), ("high", 97.0), ("critical", 95.0)), "<", sustain_s=900),
         Rule("temp_spill_per_minute", "temp_bytes_per_second * 60", (("warning", 100.0 * MB), ("high", 1.0 * GB))),
         Rule("rollback", "rollback_percent", (("warning", 1.0), ("high", 5.0))),
     ), ("event_id",)),
