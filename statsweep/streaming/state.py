@@ -1,9 +1,11 @@
 """Stateful streaming operators (SM-01, SM-02).
 
 Both keep a small per-key state (the last sample, or the last fired time) with
-``applyInPandasWithState``; the key is the state partition, so state spreads over
-the cluster by key and survives executor loss through the checkpoint. Inside a
-group the work is vectorised pandas over the micro-batch's rows of that key.
+``applyInPandasWithState``; it spreads over the cluster by key and survives executor
+loss through the checkpoint. Triggers have a group per key. Samples are many keys with
+few rows each, so a group is a bucket of keys by hash: the work inside it is vectorised
+pandas over the micro-batch's rows of all its keys, and a call costs the same for one
+key or hundreds.
 """
 
 from __future__ import annotations
@@ -13,77 +15,150 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegralType, StructType
+
+BUCKETS = 1024  # of keys in a stream's state; fixed as long as a checkpoint lives
+NULL_FLAG = "_null_"
+FIRST = np.iinfo(np.int64).min  # a null tiebreak
 
 
 def _micros(s: pd.Series) -> np.ndarray:
     return s.values.astype("datetime64[us]").astype(np.int64)
 
 
-def _delta_frame(pdf: pd.DataFrame, prev: tuple | None, time_col: str, tb_col: str, counters: Sequence[str],
-                 reset_col: str | None, max_gap_us: int | None = None,
-                 doubles: frozenset[str] = frozenset()) -> tuple[pd.DataFrame, tuple]:
-    """Vectorised WN-01 over one key's rows in order, seeded by the previous sample ``prev``.
+def _packed(pdf: pd.DataFrame) -> bytes:
+    batch = pa.RecordBatch.from_pandas(pdf, preserve_index=False)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as w:
+        w.write_batch(batch)
+    return sink.getvalue().to_pybytes()
 
-    ``prev`` / the returned state: (time us, tiebreak, reset us, reset is null, [long values],
-    [double values], [value is null]); each counter's last value sits in the array of its
-    declared type (``doubles`` names the double ones: a long column with a null reaches
-    pandas as float). A null value, or a null before it, gives kind 'delta' and no delta, as
-    in the batch form.
+
+def _unpacked(data: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(data).read_pandas()
+
+
+def bucketed(stream: DataFrame, keys: Sequence[str], time_col: str, watermark: str, buckets: int) -> tuple[DataFrame, list[str]]:
+    """``stream`` in the form that its samples travel in, and its integer columns.
+
+    ``_key`` (the key columns as one text), ``_et`` (event time), the columns, null flags, ``_bucket`` (the group).
+    pandas turns a frame's integers into floats where one row has a null, keys included: integers travel without
+    nulls, beside a flag.
     """
-    t = _micros(pdf[time_col])
-    tb = pdf[tb_col].to_numpy(dtype=np.int64)
-    if reset_col:
-        r_null = pdf[reset_col].isna().to_numpy()
-        r = np.where(r_null, 0, _micros(pdf[reset_col].fillna(pd.Timestamp(0))))
-    else:
-        r_null = np.ones(len(pdf), dtype=bool)
-        r = np.zeros(len(pdf), dtype=np.int64)
-    pt, pr, prn = np.roll(t, 1), np.roll(r, 1), np.roll(r_null, 1)
-    has_prev = np.ones(len(pdf), dtype=bool)
-    if prev is None:
-        has_prev[0] = False
-    else:
-        pt[0], pr[0], prn[0] = prev[0], prev[2], prev[3]
+    fields = stream.schema
+    integers = [f.name for f in fields if isinstance(f.dataType, IntegralType)]
+    exact = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+             "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    timed = stream.withColumn("_et", F.col(time_col).cast("timestamp")).withWatermark("_et", watermark)
+    plain = timed.select(
+        F.to_json(F.struct(*keys), exact).alias("_key"), "_et",
+        *[F.coalesce(c, F.lit(0).cast(fields[c].dataType)).alias(c) if c in integers else F.col(c) for c in fields.names],
+        *[F.col(c).isNull().alias(NULL_FLAG + c) for c in integers])
+    return plain.select("*", F.pmod(F.xxhash64("_key"), F.lit(buckets)).cast("int").alias("_bucket")), integers
+
+
+def nullable(pdf: pd.DataFrame, integers: Sequence[str], columns: Sequence[str]) -> pd.DataFrame:
+    """``columns`` of a frame that came through :func:`bucketed`, integers with their nulls again."""
+    with_nulls = [c for c in integers if pdf[NULL_FLAG + c].any()]
+    return pdf[list(columns)].assign(**{c: pdf[c].astype("Int64").mask(pdf[NULL_FLAG + c]) for c in with_nulls})
+
+
+def no_samples(counters: Sequence[str], doubles: frozenset[str]) -> pd.DataFrame:
+    """Last samples of no key: time (us), tiebreak, reset (us), their values, and what is null."""
+    types = {"_key": object, "t": np.int64, "tb": np.int64, "r": np.int64, "rn": bool}
+    for i, c in enumerate(counters):
+        types |= {f"v{i}": np.float64 if c in doubles else np.int64, f"n{i}": bool}
+    return pd.DataFrame({c: np.array([], dtype=d) for c, d in types.items()})
+
+
+def _samples(pdf: pd.DataFrame, time_col: str, ties: np.ndarray, counters: Sequence[str], reset_col: str | None, doubles: frozenset[str]) -> pd.DataFrame:
+    """The rows of ``pdf`` (with their ``_key``) in the form of :func:`no_samples`."""
+    rn = pdf[reset_col].isna().to_numpy() if reset_col else np.ones(len(pdf), dtype=bool)
+    cols: dict[str, object] = {"_key": pdf["_key"].to_numpy(), "t": _micros(pdf[time_col]), "tb": ties,
+                               "r": np.where(rn, 0, _micros(pdf[reset_col])) if reset_col else np.zeros(len(pdf), dtype=np.int64), "rn": rn}
+    for i, c in enumerate(counters):
+        cols |= {f"v{i}": pdf[c].fillna(0).to_numpy(dtype=np.float64 if c in doubles else np.int64), f"n{i}": pdf[c].isna().to_numpy()}
+    return pd.DataFrame(cols)
+
+
+def newer_than(rows: pd.DataFrame, last: pd.DataFrame) -> np.ndarray:
+    """Which samples come after their key's last one, or have none. ``last`` has a key once."""
+    at = pd.Index(last["_key"]).get_indexer(rows["_key"])
+    if not len(last):
+        return np.ones(len(rows), dtype=bool)
+    t, tb = rows["t"].to_numpy(), rows["tb"].to_numpy()
+    lt, ltb = last["t"].to_numpy()[at], last["tb"].to_numpy()[at]
+    return (at < 0) | (t > lt) | ((t == lt) & (tb > ltb))
+
+
+def keyed_deltas(pdf: pd.DataFrame, rows: pd.DataFrame, last: pd.DataFrame, order: np.ndarray, counters: Sequence[str],
+                 max_gap_us: int | None, doubles: frozenset[str]) -> tuple[pd.DataFrame, pd.DataFrame]:
+    """Vectorised WN-01 over the rows of many keys, each seeded by its last sample; and the last samples now.
+
+    ``rows`` are the samples of ``pdf``, all newer than their key's in ``last``; of one key and time the smaller
+    ``order`` comes first. A null value, or a null before it, gives kind 'delta' and no delta, as in the batch form.
+    """
+    held = len(last)
+    x = pd.concat([last, rows], ignore_index=True) if held else rows
+    code = pd.factorize(x["_key"])[0]
+    new = np.arange(len(x)) >= held
+    at = np.lexsort((np.r_[np.zeros(held, dtype=np.int64), order], x["t"].to_numpy(), new, code))
+    code, new = code[at], new[at]
+    same = code[1:] == code[:-1]
+    has_prev = np.r_[False, same]
+    t, r, rn = (x[c].to_numpy()[at] for c in ("t", "r", "rn"))
+    pt, pr, prn = (np.roll(a, 1) for a in (t, r, rn))
     if max_gap_us is not None:
         has_prev &= (t - pt) <= max_gap_us  # a longer gap starts the series again
-    reset_changed = (prn != r_null) | (~r_null & (pr != r))
+    reset_changed = (prn != rn) | (~rn & (pr != r))
     elapsed = (t - pt) / 1e6
-    el = pd.array(elapsed, dtype="Float64")
-    el[~has_prev] = pd.NA
-    cols: dict[str, object] = {}
-    last_l, last_d, last_n = [], [], []
+    cols: dict[str, object] = {"elapsed_seconds": pd.arrays.FloatingArray(elapsed[new], ~has_prev[new])}
     for i, c in enumerate(counters):
-        is_float = c in doubles
-        null = pdf[c].isna().to_numpy()
-        v = pdf[c].fillna(0).to_numpy(dtype=np.float64 if is_float else np.int64)
+        v, null = x[f"v{i}"].to_numpy()[at], x[f"n{i}"].to_numpy()[at]
         pv, pn = np.roll(v, 1), np.roll(null, 1)
-        if prev is not None:
-            pv[0], pn[0] = (prev[5][i] if is_float else prev[4][i]), prev[6][i]
         known = ~null & ~pn
         is_reset = has_prev & (reset_changed | (known & (v < pv)))
         is_delta = has_prev & ~is_reset
-        kind = np.where(~has_prev, "first", np.where(is_reset, "reset", "delta"))
+        kind = np.where(~has_prev, "first", np.where(is_reset, "reset", "delta")).astype(object)
         d = v - pv
-        delta = pd.array(np.where(is_delta, d, 0), dtype="Int64" if v.dtype.kind == "i" else "Float64")
-        delta[~is_delta | ~known] = pd.NA
-        rate = pd.array(np.where(elapsed > 0, d / np.where(elapsed > 0, elapsed, 1.0), 0.0), dtype="Float64")
-        rate[~is_delta | (~known & (elapsed > 0))] = pd.NA
-        cols.update({f"{c}_kind": kind, f"{c}_delta": delta, f"{c}_rate": rate})
-        last_l.append(0 if is_float else int(v[-1]))
-        last_d.append(float(v[-1]) if is_float else 0.0)
-        last_n.append(bool(null[-1]))
-    out = pdf.assign(elapsed_seconds=el, **cols)
-    last = (int(t[-1]), int(tb[-1]), int(r[-1]), bool(r_null[-1]), last_l, last_d, last_n)
-    return out, last
+        array = pd.arrays.FloatingArray if c in doubles else pd.arrays.IntegerArray
+        rate = np.where(elapsed > 0, d / np.where(elapsed > 0, elapsed, 1.0), 0.0)
+        cols |= {f"{c}_kind": kind[new], f"{c}_delta": array(np.where(is_delta, d, 0)[new], (~is_delta | ~known)[new]),
+                 f"{c}_rate": pd.arrays.FloatingArray(rate[new], (~is_delta | (~known & (elapsed > 0)))[new])}
+    out = pdf.iloc[at[new] - held].reset_index(drop=True).assign(**cols)
+    return out, x.iloc[at[np.r_[~same, True]]].reset_index(drop=True)
+
+
+def _delta_frame(pdf: pd.DataFrame, prev: tuple | None, time_col: str, tb_col: str, counters: Sequence[str],
+                 reset_col: str | None, max_gap_us: int | None = None,
+                 doubles: frozenset[str] = frozenset()) -> tuple[pd.DataFrame, tuple]:
+    """:func:`keyed_deltas` over one key's rows in order, seeded by the previous sample ``prev``.
+
+    ``prev`` / the returned state: (time us, tiebreak, reset us, reset is null, [long values],
+    [double values], [value is null]); each counter's last value sits in the array of its
+    declared type (``doubles`` names the double ones).
+    """
+    keyed = pdf.assign(_key="")
+    rows = _samples(keyed, time_col, pdf[tb_col].to_numpy(dtype=np.int64), counters, reset_col, doubles)
+    last = no_samples(counters, doubles)
+    if prev is not None:
+        values = {f"v{i}": prev[5 if c in doubles else 4][i] for i, c in enumerate(counters)} | {f"n{i}": prev[6][i] for i in range(len(counters))}
+        last = pd.DataFrame([{"_key": "", "t": prev[0], "tb": prev[1], "r": prev[2], "rn": prev[3], **values}]).astype(last.dtypes.to_dict())
+    out, last = keyed_deltas(keyed, rows, last, np.arange(len(pdf)), counters, max_gap_us, doubles)
+    end = last.iloc[0]
+    values = [end[f"v{i}"] for i in range(len(counters))]
+    return out.drop(columns="_key"), (
+        int(end.t), int(end.tb), int(end.r), bool(end.rn), [0 if c in doubles else int(v) for c, v in zip(counters, values)],
+        [float(v) if c in doubles else 0.0 for c, v in zip(counters, values)], [bool(end[f"n{i}"]) for i in range(len(counters))])
 
 
 def stream_counter_delta(stream: DataFrame, keys: Sequence[str], counters: Sequence[str] | str,
                          time_col: str = "source_collected_at", reset_col: str | None = "stats_reset",
-                         tiebreak: str = "event_id", idle_ttl: str = "1 day", watermark: str = "1 hour") -> DataFrame:
+                         tiebreak: str = "event_id", idle_ttl: str = "1 day", watermark: str = "1 hour", buckets: int = BUCKETS) -> DataFrame:
     """SM-01: WN-01 on a stream for one or more counters, the last sample kept per key in state.
 
     Rows of a key are ordered by ``(time, tiebreak)`` within the micro-batch; rows
@@ -94,43 +169,53 @@ def stream_counter_delta(stream: DataFrame, keys: Sequence[str], counters: Seque
     active series. With no gap that long this equals the batch ``counter_delta``.
     Output: the input columns, ``elapsed_seconds`` and per counter ``c_kind``,
     ``c_delta``, ``c_rate``, as in the batch ``counter_delta``.
+
+    Keys are dealt over ``buckets`` by hash. A bucket's state is one table of its keys' last samples, and its rows of a
+    micro-batch are one frame: raise ``buckets`` with the number of keys, before the checkpoint's first run only;
+    ``maxFilesPerTrigger`` bounds a micro-batch.
     """
     keys = list(keys)
     counters = [counters] if isinstance(counters, str) else list(counters)
     ttl_ms = _interval_ms(idle_ttl)
-    stream = stream.withColumn("_et", F.col(time_col).cast("timestamp")).withWatermark("_et", watermark)
-    in_schema = StructType([f for f in stream.schema.fields if f.name != "_et"])
-    types = {f.name: f.dataType.simpleString() for f in in_schema.fields}
-    out_schema = StructType(list(in_schema.fields)).add("elapsed_seconds", "double")
+    fields = stream.schema
+    types = {f.name: f.dataType.simpleString() for f in fields}
+    out_schema = StructType(list(fields)).add("elapsed_seconds", "double")
     for c in counters:
         dt = "double" if types[c] in ("double", "float") else "long"
         out_schema = out_schema.add(f"{c}_kind", "string").add(f"{c}_delta", dt).add(f"{c}_rate", "double")
-    state_schema = "t long, tb long, r long, rnull boolean, vl array<long>, vd array<double>, vn array<boolean>"
-    cols = [f.name for f in in_schema.fields]
     doubles = frozenset(c for c in counters if types[c] in ("double", "float"))
-    out_cols = [*cols, "elapsed_seconds", *[f"{c}_{x}" for c in counters for x in ("kind", "delta", "rate")]]
+    columns, out_cols = fields.names, out_schema.names
+    plain, integers = bucketed(stream, keys, time_col, watermark, buckets)
+
+    def keep(last: pd.DataFrame, state: GroupState) -> None:
+        """The last samples that a row to come may follow within ``idle_ttl``; the state's next look at the clock."""
+        now, ends = state.getCurrentWatermarkMs(), last["t"].to_numpy() // 1000 + ttl_ms
+        last, ends = last[ends >= now], ends[ends >= now]
+        if len(last):
+            state.update((_packed(last),))
+            state.setTimeoutTimestamp(max(int(ends.min()), now + 1))
+        elif state.exists:
+            state.remove()
 
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        last = _unpacked(bytes(state.get[0])) if state.exists else no_samples(counters, doubles)
         if state.hasTimedOut:
-            state.remove()
+            keep(last, state)
             return
-        pdf = pd.concat(list(pdfs), ignore_index=True).drop(columns=["_et"])
-        pdf = pdf.sort_values([time_col, tiebreak], kind="stable").reset_index(drop=True)
-        prev = state.get if state.exists else None
-        if prev is not None:
-            t = _micros(pdf[time_col])
-            tb = pdf[tiebreak].to_numpy(dtype=np.int64)
-            newer = (t > prev[0]) | ((t == prev[0]) & (tb > prev[1]))
-            pdf = pdf[newer].reset_index(drop=True)
-        if len(pdf) == 0:
+        arrived = pd.concat(list(pdfs), ignore_index=True)
+        pdf = nullable(arrived, integers, ["_key", *columns])
+        ties = pdf[tiebreak].fillna(FIRST).to_numpy(dtype=np.int64)
+        rows = _samples(pdf, time_col, ties, counters, reset_col, doubles)
+        newer = newer_than(rows, last)
+        if not newer.any():
             return
-        out, last = _delta_frame(pdf, prev, time_col, tiebreak, counters, reset_col, ttl_ms * 1000, doubles)
-        state.update(last)
-        state.setTimeoutTimestamp(int(last[0] // 1000) + ttl_ms)
+        order = np.where(pdf[tiebreak].isna(), np.iinfo(np.int64).max, ties)
+        out, last = keyed_deltas(pdf[newer], rows[newer], last, order[newer], counters, ttl_ms * 1000, doubles)
+        keep(last, state)
         yield out[out_cols]
 
-    return stream.groupBy(*keys).applyInPandasWithState(fn, out_schema, state_schema, "append",
-                                                        GroupStateTimeout.EventTimeTimeout)
+    return plain.groupBy("_bucket").applyInPandasWithState(fn, out_schema, "last binary", "append",
+                                                           GroupStateTimeout.EventTimeTimeout)
 
 
 def _interval_ms(text: str) -> int:
