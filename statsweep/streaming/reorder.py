@@ -10,36 +10,22 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import IntegralType, StructType
+from pyspark.sql.types import StructType
 
-from statsweep.streaming.state import _delta_frame, _interval_ms, _micros
+from statsweep.streaming.state import (FIRST, NULL_FLAG, _interval_ms, _micros, _packed, _samples, _unpacked, bucketed, keyed_deltas,
+                                       newer_than, no_samples, nullable)
 
-LAST_SCHEMA = "t long, tb long, r long, rnull boolean, vl array<long>, vd array<double>, vn array<boolean>"
-_NULL = "_null_"
-NO_TIEBREAK = np.iinfo(np.int64).min
-
-
-def _packed(pdf: pd.DataFrame) -> bytes:
-    batch = pa.RecordBatch.from_pandas(pdf, preserve_index=False)
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema) as w:
-        w.write_batch(batch)
-    return sink.getvalue().to_pybytes()
-
-
-def _unpacked(data: bytes) -> pd.DataFrame:
-    return pa.ipc.open_stream(data).read_pandas()
+BUCKETS = 128  # of keys; a frame holds a pane of one, so there are fewer than where a frame is all that arrived
 
 
 class ReorderedDeltas(StatefulProcessor):
-    """Buffer of one key's samples and its last released sample.
+    """Buffer of the samples of one bucket of keys, and the last released sample of each.
 
-    ``pane``: map state, pane start -> the pane's waiting rows, packed; a pane is an eighth of the hold. ``last``: the
-    last released sample. ``due``: the pending timer.
+    ``pane``: map state, (pane start, number) -> rows that wait in the pane, packed as they came; a pane is an eighth of
+    the hold. ``last``: the keys' last released samples, packed. ``due``: the pending timer.
     """
 
     def __init__(self, counters: Sequence[str], time_col: str, tiebreak: str, reset_col: str | None, hold_ms: int,
@@ -47,83 +33,96 @@ class ReorderedDeltas(StatefulProcessor):
         self.counters, self.time_col, self.tiebreak, self.reset_col = list(counters), time_col, tiebreak, reset_col
         self.hold_ms, self.lead_ms, self.ttl_ms = hold_ms, watermark_ms - hold_ms, ttl_ms
         self.pane_us = max(hold_ms * 1000 // 8, 1_000_000)
-        self.arriving = ["_key", "_et", *columns, *[_NULL + c for c in integers]]
+        self.arriving = ["_key", "_et", *columns, *[NULL_FLAG + c for c in integers]]
         self.doubles, self.integers, self.columns, self.out_columns = doubles, list(integers), list(columns), list(out_columns)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pane = handle.getMapState("pane", "start long", "rows binary")
-        self.last = handle.getValueState("last", LAST_SCHEMA)
+        self.pane = handle.getMapState("pane", "start long, number long", "rows binary")
+        self.last = handle.getValueState("last", "rows binary")
         self.due = handle.getValueState("due", "ms long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        prev = self.last.get()
+        last, panes = self._last(), self._panes()
         for pdf in rows:
-            pdf = pdf.set_axis(self.arriving, axis=1)  # Spark renames those with a leading underscore
-            pdf = pdf.assign(**{c: pdf[c].astype("Int64").mask(pdf[_NULL + c]) for c in self.integers})[self.columns]
-            timeless = pdf[self.time_col].isna().to_numpy()
-            late = timeless.copy()
-            if prev is not None:
-                t, tb = _micros(pdf[self.time_col]), self._ties(pdf)
-                late |= (t < prev[0]) | ((t == prev[0]) & (tb <= prev[1]))
+            # Spark renames columns with a leading underscore; the bucket comes last
+            pdf = nullable(pdf.iloc[:, :len(self.arriving)].set_axis(self.arriving, axis=1), self.integers, ["_key", *self.columns])
+            late = pdf[self.time_col].isna().to_numpy() | ~newer_than(self._rows(pdf), last)
             if late.any():
                 yield self._late(pdf[late])
             pdf = pdf[~late]
             start = _micros(pdf[self.time_col]) // self.pane_us * self.pane_us
-            for s in np.unique(start):
-                part, at = pdf[start == s], (int(s),)
-                if self.pane.containsKey(at):
-                    part = pd.concat([_unpacked(self.pane.getValue(at)[0]), part], ignore_index=True)
-                self.pane.updateValue(at, (_packed(part),))
-        yield from self._release(timerValues.getCurrentWatermarkInMs())
+            at = np.argsort(start, kind="stable")
+            for place in np.split(at, np.flatnonzero(np.diff(start[at])) + 1) if len(at) else []:
+                s = int(start[place[0]])
+                numbers = panes.setdefault(s, [])
+                numbers.append(numbers[-1] + 1 if numbers else 0)
+                self.pane.updateValue((s, numbers[-1]), (_packed(pdf.iloc[place]),))
+        yield from self._release(timerValues.getCurrentWatermarkInMs(), panes, last)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.due.clear()
-        yield from self._release(timerValues.getCurrentWatermarkInMs())
+        yield from self._release(timerValues.getCurrentWatermarkInMs(), self._panes(), self._last())
 
     def close(self) -> None:
         pass
 
+    def _last(self) -> pd.DataFrame:
+        held = self.last.get()
+        return no_samples(self.counters, self.doubles) if held is None else _unpacked(bytes(held[0]))
+
+    def _panes(self) -> dict[int, list[int]]:
+        """Pane starts with the numbers of what waits in them."""
+        out: dict[int, list[int]] = {}
+        for start, number in sorted((int(k[0]), int(k[1])) for k in self.pane.keys()):
+            out.setdefault(start, []).append(number)
+        return out
+
     def _ties(self, pdf: pd.DataFrame) -> np.ndarray:
-        return pdf[self.tiebreak].fillna(NO_TIEBREAK).to_numpy(dtype=np.int64)
+        return pdf[self.tiebreak].fillna(FIRST).to_numpy(dtype=np.int64)
+
+    def _rows(self, pdf: pd.DataFrame) -> pd.DataFrame:
+        return _samples(pdf, self.time_col, self._ties(pdf), self.counters, self.reset_col, self.doubles)
 
     def _late(self, pdf: pd.DataFrame) -> pd.DataFrame:
         return pdf.reindex(columns=self.out_columns).astype({c: object for c in self.out_columns if c.endswith("_kind")}).assign(is_late=True)
 
-    def _release(self, watermark_ms: int) -> Iterator[pd.DataFrame]:
+    def _release(self, watermark_ms: int, panes: dict[int, list[int]], last: pd.DataFrame) -> Iterator[pd.DataFrame]:
         """Rows at or before the watermark plus the lead, pane by pane in time order; then the next timer."""
         upto = (watermark_ms + self.lead_ms) * 1000 if watermark_ms > 0 else None
-        starts = sorted(k[0] for k in self.pane.keys())
-        prev, waiting = self.last.get(), None
-        for s in starts:
+        waiting = None
+        for s in sorted(panes):
             if upto is None or s > upto:
-                waiting = s if waiting is None else waiting
+                waiting = s
                 break
-            pdf = _unpacked(self.pane.getValue((s,))[0])
+            pdf = pd.concat([_unpacked(bytes(self.pane.getValue((s, n))[0])) for n in panes[s]], ignore_index=True)
             ready = _micros(pdf[self.time_col]) <= upto
-            if ready.all():
-                self.pane.removeKey((s,))
-            else:
-                waiting = int(_micros(pdf[self.time_col])[~ready].min())
-                if ready.any():
-                    self.pane.updateValue((s,), (_packed(pdf[~ready]),))
+            if ready.any() or len(panes[s]) > 1:
+                for n in panes[s]:
+                    self.pane.removeKey((s, n))
+                if not ready.all():
+                    self.pane.updateValue((s, 0), (_packed(pdf[~ready]),))
             if ready.any():
-                pdf = pdf[ready].assign(_tie=lambda d: self._ties(d)).sort_values([self.time_col, "_tie"], kind="stable").reset_index(drop=True)
-                out, prev = _delta_frame(pdf, prev, self.time_col, "_tie", self.counters, self.reset_col, self.ttl_ms * 1000, self.doubles)
+                done = pdf[ready].reset_index(drop=True)
+                rows = self._rows(done)
+                out, last = keyed_deltas(done, rows, last, rows["tb"].to_numpy(), self.counters, self.ttl_ms * 1000, self.doubles)
                 yield out.assign(is_late=False)[self.out_columns]
-            if waiting is not None:
+            if not ready.all():
+                waiting = int(_micros(pdf[self.time_col])[~ready].min())
                 break
-        if prev is not None:
-            self.last.update(prev)
+        ends = last["t"].to_numpy() // 1000 + self.ttl_ms
+        last, ends = last[ends >= watermark_ms], ends[ends >= watermark_ms]  # a row that could follow others would start the series again
+        if len(last):
+            self.last.update((_packed(last),))
+        else:
+            self.last.clear()
         if waiting is not None:
             self._wake(-(-waiting // 1000) - self.lead_ms, watermark_ms)
-        elif prev is not None and watermark_ms >= prev[0] // 1000 + self.ttl_ms:
-            self.last.clear()  # a row that could follow would start the series again
-        elif prev is not None:
-            self._wake(prev[0] // 1000 + self.ttl_ms, watermark_ms)
+        elif len(last):
+            self._wake(int(ends.min()) + 1, watermark_ms)
 
     def _wake(self, ms: int, watermark_ms: int) -> None:
-        """One timer per key, at ``ms`` or as soon as event time moves."""
+        """One timer per bucket, at ``ms`` or as soon as event time moves."""
         ms = max(int(ms), watermark_ms + 1)
         held = self.due.get()
         if held is not None and held[0] == ms:
@@ -148,7 +147,8 @@ def delta_schema(fields: StructType, counters: Sequence[str]) -> StructType:
 
 def stream_counter_delta_reordered(stream: DataFrame, keys: Sequence[str], counters: Sequence[str] | str, hold: str = "10 minutes",
                                    time_col: str = "source_collected_at", reset_col: str | None = "stats_reset",
-                                   tiebreak: str = "event_id", idle_ttl: str = "1 day", watermark: str = "1 day") -> DataFrame:
+                                   tiebreak: str = "event_id", idle_ttl: str = "1 day", watermark: str = "1 day",
+                                   buckets: int = BUCKETS) -> DataFrame:
     """SM-01 over samples that arrive up to ``hold`` late: WN-01 in the order of ``(time, tiebreak)``.
 
     A sample waits until the latest event time seen, of any key, is ``hold`` past its own. Samples that come later than that
@@ -158,8 +158,9 @@ def stream_counter_delta_reordered(stream: DataFrame, keys: Sequence[str], count
     inside the hold are rows of their own, as in the batch form; repeated after their release they are late. A null
     ``tiebreak`` comes first. A gap longer than ``idle_ttl`` starts the series again.
 
-    State of a key: what arrived in the last ``hold``, in panes of an eighth of it, and one sample. A frame holds one
-    pane or one Arrow batch, whatever the backlog; ``maxFilesPerTrigger`` bounds the batch. Needs the RocksDB state
+    Keys are dealt over ``buckets`` by hash; raise it with the number of keys, before the checkpoint's first run only.
+    State of a bucket: what arrived in the last ``hold``, in panes of an eighth of it, and one sample of each key. A frame
+    holds one pane or one Arrow batch, whatever the backlog; ``maxFilesPerTrigger`` bounds the batch. Needs the RocksDB state
     store (``StreamJob.run(rocksdb=True)``). Output: the input columns, ``elapsed_seconds``, ``c_kind``, ``c_delta`` and
     ``c_rate`` per counter, ``is_late``. ``late_and_deltas`` splits it into two datasets.
     """
@@ -171,17 +172,10 @@ def stream_counter_delta_reordered(stream: DataFrame, keys: Sequence[str], count
     fields = stream.schema
     doubles = _doubles(fields, counters)
     out = delta_schema(fields, counters).add("is_late", "boolean")
-    timed = stream.withColumn("_et", F.col(time_col).cast("timestamp")).withWatermark("_et", watermark)
-    # pandas turns a frame's integers into floats where one row has a null, keys included: integers travel without
-    # nulls, beside a flag, and the key as one text
-    integers = [f.name for f in fields if isinstance(f.dataType, IntegralType)]
-    plain = timed.select(
-        F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}).alias("_key"), "_et",
-        *[F.coalesce(c, F.lit(0).cast(fields[c].dataType)).alias(c) if c in integers else F.col(c) for c in fields.names],
-        *[F.col(c).isNull().alias(_NULL + c) for c in integers])
+    plain, integers = bucketed(stream, keys, time_col, watermark, buckets)
     processor = ReorderedDeltas(counters, time_col, tiebreak, reset_col, hold_ms, watermark_ms, _interval_ms(idle_ttl), doubles,
                                 integers, fields.names, out.names)
-    return plain.groupBy("_key").transformWithStateInPandas(processor, out, "Append", "EventTime")
+    return plain.groupBy("_bucket").transformWithStateInPandas(processor, out, "Append", "EventTime")
 
 
 def late_and_deltas() -> dict:

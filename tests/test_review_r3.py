@@ -62,3 +62,30 @@ def test_stream_state_is_by_bucket_of_keys(spark):
         job.land(spark.createDataFrame([("z", 1, T0 + dt.timedelta(days=day), T0, 1, 1.0, 10_000 + day)], SCHEMA))
         job.run(stream_counter_delta(job.source(df.schema), ["server_id", "k"], ["c", "d"], idle_ttl="1 day", buckets=2))
     assert _state_rows(spark, job) == 1
+
+
+def test_reorder_buffer_is_by_bucket_of_keys(spark):
+    """64 keys in two groups, a third of the samples late: the deltas of the batch form."""
+    import random
+
+    from statsweep.operators.deltas import counter_delta
+    from statsweep.streaming.reorder import delta_schema, late_and_deltas, stream_counter_delta_reordered
+    from statsweep.streaming.runner import StreamJob
+    from statsweep.streaming.windows import read_committed, write_multi
+
+    rows, rnd = _many_keys(), random.Random(4)
+    df, job = spark.createDataFrame(rows, SCHEMA), StreamJob(spark, "reorder-buckets")
+    slices = [[], [], []]
+    for r in rows:
+        slices[min(2, (r[2] - T0).seconds // 5400 + (rnd.random() < 0.33))].append(r)
+    slices[2].append((None, None, T0 + dt.timedelta(days=7), None, None, None, None))
+    writer = write_multi(late_and_deltas(), job.sink)
+    for part in slices:
+        rnd.shuffle(part)
+        job.land(spark.createDataFrame(part, SCHEMA).repartition(3))
+        job.run(stream_counter_delta_reordered(job.source(df.schema), ["server_id", "k"], ["c", "d"], hold="4 hours", watermark="10 hours",
+                                               idle_ttl="1 day", buckets=2), foreach_batch=writer, rocksdb=True)
+    got = read_committed(spark, job.sink, "deltas", delta_schema(df.schema, ["c", "d"]))
+    want = counter_delta(df, ["server_id", "k"], ["c", "d"], "source_collected_at", "stats_reset", ["event_id"])
+    assert _sorted(got) == _sorted(want)
+    assert _state_rows(spark, job, stateVarName="last") <= 2
