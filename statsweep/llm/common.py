@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import functools
+import gc
 import inspect
 import sys
 import types
@@ -47,11 +48,16 @@ def discard(*saved: DataFrame) -> None:
 
 def worker_cache(name: str) -> dict:
     """A dict shared by the tasks that a Python worker process runs. A worker keeps the dict of the operator that it
-    served last; another operator's is dropped, so that their sizes don't add up over a pipeline."""
+    served last; another operator's is dropped, its memory goes back to the system before the next one grows, so that
+    their sizes don't add up over a pipeline."""
     held = sys.modules.setdefault("_statsweep_worker", types.ModuleType("_statsweep_worker")).__dict__
     if name not in held:
-        for other in [k for k in held if not k.startswith("__")]:
+        others = [k for k in held if not k.startswith("__")]
+        for other in others:
             del held[other]
+        if others:
+            gc.collect()  # caches and their fill functions hold each other
+            _give_back()
         held[name] = {}
     return held[name]
 

@@ -89,3 +89,30 @@ def test_reorder_buffer_is_by_bucket_of_keys(spark):
     want = counter_delta(df, ["server_id", "k"], ["c", "d"], "source_collected_at", "stats_reset", ["event_id"])
     assert _sorted(got) == _sorted(want)
     assert _state_rows(spark, job, stateVarName="last") <= 2
+
+
+def test_a_dropped_cache_is_freed_at_once():
+    """A worker's cache of another operator goes when the next operator asks for its own, cycles included."""
+    import gc
+    import weakref
+
+    from statsweep.llm.common import Parts, worker_cache
+
+    class Holder:
+        def __init__(self):
+            self.parts = Parts(self.fill)  # as the sentencepiece codec: the cache holds its owner
+
+        def fill(self, part):
+            return b"x" * len(part)
+
+    gc.disable()
+    try:
+        held = worker_cache("r3-first")
+        held["codec"] = Holder()
+        assert held["codec"].parts["ab"] == b"xx"
+        gone = weakref.ref(held["codec"])
+        del held
+        assert worker_cache("r3-second") == {}
+        assert gone() is None
+    finally:
+        gc.enable()
