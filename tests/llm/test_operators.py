@@ -470,7 +470,7 @@ def test_warc_undoes_codings(spark):
 
 def test_oracles(spark):
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     for name, sql in ORACLE.items():
         df = QUERIES[name](spark, SF)
