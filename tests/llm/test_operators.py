@@ -5,14 +5,18 @@ import hashlib
 import os
 import re
 import struct
+import sys
 import textwrap
 import zlib
 from collections import defaultdict
 from html import unescape
+from types import SimpleNamespace
 
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from statsweep.llm import block_dedup, decontaminate, html_text, license_scan, ngram_join, quality, sentencepiece_bpe, toxicity, url_filter, warc
@@ -91,6 +95,90 @@ def test_ngram_join_tiles(spark, monkeypatch):
     assert got == brute_components(rows, 4, 60)
 
 
+class Recorder:
+    """Stands for a DataFrame and its session; keeps the functions of ``ngram_join._shared``."""
+
+    def __init__(self):
+        self.sparkSession = self.sparkContext = self
+
+    def broadcast(self, value):
+        return SimpleNamespace(value=value)
+
+    def select(self, *_):
+        return self
+
+    groupBy = select
+
+    def mapInArrow(self, fn, _):
+        self.send = fn
+        return self
+
+    def applyInArrow(self, fn, _):
+        self.count = fn
+        return self
+
+
+def calls(fn, *args):
+    """Functions that ``fn`` calls, and what it returns."""
+    seen = [0]
+
+    def note(_, event, __):
+        seen[0] += event in ("call", "c_call")
+
+    sys.setprofile(note)
+    try:
+        out = fn(*args)
+    finally:
+        sys.setprofile(None)
+    return seen[0], out
+
+
+def test_ngram_join_work_of_a_bucket():
+    """The steps of a batch don't grow with the buckets it goes to, nor those of a bucket with the parts that it goes to."""
+    texts = [" ".join(f"w{k}x{j}" for j in range(60)) + (" more" if twin else "") for k in range(400) for twin in (0, 1)]
+    sent, size = {}, {}
+    for buckets in (16, 512):
+        to = Recorder()
+        ngram_join._shared(to, 4, 0, buckets, np.zeros(0, np.uint64))
+        batch = pa.record_batch({"text": texts})
+        list(to.send(iter([batch])))  # fills the cache of words
+        size[buckets], out = calls(lambda: list(to.send(iter([batch]))))
+        sent[buckets] = to, pa.Table.from_batches(out)
+    assert size[512] < 1.2 * size[16]
+    to, whole = sent[16]
+    few = pa.Table.from_batches(list(to.send(iter([pa.record_batch({"text": texts[:4]})]))))
+    for b in range(16):
+        groups = [t.filter(pc.equal(t.column("bucket"), b)) for t in (few, whole)]
+        (low, small), (high, large) = (calls(to.count, g) for g in groups)
+        assert small.num_rows <= 4 and large.num_rows == 64 and high < 2 * low
+
+
+def test_ngram_join_hubs_link_near_copies(spark, monkeypatch):
+    """In a family of near copies the hubs find all links, whichever class has the smallest name, and none is left for the tiles."""
+    saved, save = {}, ngram_join.save
+    monkeypatch.setattr(ngram_join, "save", lambda df, name: saved.setdefault(name, save(df, name)))
+    monkeypatch.setattr(ngram_join, "TILE", 16)
+    base = [f"b{i}" for i in range(300)]
+    rows = [(k, " ".join(f"e{k}x{j}" if (j * 7 + k * 11) % 301 < k % 13 else w for j, w in enumerate(base))) for k in range(150)]
+    got = sorted((tuple(r) for r in ngram_join.jaccard_components(table(spark, rows)).collect()), key=str)
+    assert got == brute_components(rows, 4, 85)
+    assert 1 < len({c for *_, c in got}) < 150 and saved["hub-links"].count() and not saved["tile-links"].count()
+
+
+def test_ngram_join_links_without_hub(spark, monkeypatch):
+    """Sets that are linked, while the hub of all that they share is linked with neither."""
+    saved, save = {}, ngram_join.save
+    monkeypatch.setattr(ngram_join, "save", lambda df, name: saved.setdefault(name, save(df, name)))
+    monkeypatch.setattr(ngram_join, "TILE", 2)
+    whole = [f"b{i}" for i in range(103)]
+    part = [[f"e{k}" if j == at else w for j, w in enumerate(whole[:75])] for k, at in enumerate((10, 30, 50))]
+    rest = [[*whole[72:], f"x{k}"] for k in range(6)]  # makes the end of ``whole`` more frequent than its beginning
+    rows = [(k, " ".join(w)) for k, w in enumerate([whole, [*whole, "more"], *part, *rest])]
+    got = sorted((tuple(r) for r in ngram_join.jaccard_components(table(spark, rows), 4, 70).collect()), key=str)
+    assert got == brute_components(rows, 4, 70) and {c for *_, c in got} == {0, 2, 5}
+    assert saved["tile-links"].count()
+
+
 def brute_copies(rows):
     groups = defaultdict(list)
     norm = [re.sub(r"[\x20\x09-\x0D]+", " ", t or "") for _, t in rows]
